@@ -12,6 +12,8 @@ MODULES = {
     "op1_sentencepieces": "sentencepieces",
     "op2_token_files": "token_files",
     "op4_token_counts": "token_counts",
+    "op5_decontaminate": "decontaminate",
+    "op6_html_text": "html_text",
     "op9_language": "language",
 }
 
