@@ -15,6 +15,7 @@ MODULES = {
     "op5_decontaminate": "decontaminate",
     "op6_html_text": "html_text",
     "op9_language": "language",
+    "op10_quality": "quality",
 }
 
 
