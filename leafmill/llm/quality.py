@@ -61,12 +61,12 @@ def measures(docs: DataFrame, lang: str = "lang") -> DataFrame:
     rows = rows.withColumn("_h", F.transform(F.slice(F.arrays_zip(F.col("words").alias("a"), F.slice("words", 2, F.greatest(F.size("words"), F.lit(1))).alias("b"), F.slice("words", 3, F.greatest(F.size("words"), F.lit(1))).alias("c")), 1, F.greatest(F.size("words") - 2, F.lit(0))), lambda t: F.xxhash64(t)))
     twice = F.size(F.array_distinct("_h")) < F.size("_h")
     rows = rows.withColumn("_order", F.when(twice, F.sort_array(F.transform("_h", lambda h, i: F.struct(h.alias("h"), i.alias("i"))))).otherwise(F.array().cast("array<struct<h:bigint,i:int>>")))
-    rows = rows.withColumn("_lines", F.filter(F.split("text", "\n"), lambda x: F.translate(x, SPACES, "") != ""))
+    rows = rows.withColumn("_lines", F.filter(F.split("text", "\n"), lambda x: x.rlike(r"[^\x20\x09-\x0D]")))
     lower, spaces, symbols = F.length("text") - F.length("rest"), _count("rest", SPACES), _count("rest", SYMBOLS)
     marks, quotes, digits = _count("rest", MARKS), _count("rest", QUOTES), _count("rest", DIGITS)
     capitals = _count("rest", "ABCDEFGHIJKLMNOPQRSTUVWXYZ")
     counted = [lower.cast("long"), spaces, symbols, marks, quotes, digits, capitals]
-    rows = rows.withColumn("_c", F.array(*counted)).withColumn("_cw", F.filter(F.transform("words", lambda w: F.lower(w)), lambda w: w.isin(COMMON)))
+    rows = rows.withColumn("_c", F.array(*counted)).withColumn("_cw", F.filter("words", lambda w: w.isin(COMMON)))
     common = F.transform(F.array(*map(F.lit, COMMON)), lambda c: (F.size("_cw") - F.size(F.array_remove("_cw", c))).cast("long"))
     whole = F.length("text").cast("long")
     total = F.aggregate("_c", F.lit(0).cast("long"), lambda a, b: a + b)
@@ -151,7 +151,7 @@ WITH a AS (SELECT row_number() OVER () AS r, doc_id, lang, coalesce(text, '') AS
 b AS (SELECT r, doc_id, lang, {words} AS w, {lines} AS l, len(t) AS n, [{counts}] AS k FROM a),
 c AS (SELECT *, list_transform(k, lambda x: n - x) AS h FROM b),
 m AS (SELECT r, doc_id, lang, len(w) AS n_words, n - h[2] AS word_chars, h[3] AS n_symbols, len(l) - len(list_distinct(l)) AS n_dup_lines, w,
-  list_append(h, n - list_sum(h)) AS c_h, list_filter(list_transform(w, lambda x: lower(x)), lambda x: list_contains({common}, x)) AS cw FROM c),
+  list_append(h, n - list_sum(h)) AS c_h, list_filter(w, lambda x: list_contains({common}, x)) AS cw FROM c),
 g AS (SELECT r, i, w[i] || ' ' || w[i + 1] || ' ' || w[i + 2] AS s FROM (SELECT r, w, unnest(generate_series(1, len(w) - 2)) AS i FROM m)),
 d AS (SELECT r, i FROM (SELECT r, i, count(*) OVER (PARTITION BY r, s) AS n FROM g) WHERE n > 1),
 e AS (SELECT r, count(DISTINCT j) AS n_repeat FROM (SELECT r, unnest([i, i + 1, i + 2]) AS j FROM d) GROUP BY r),
