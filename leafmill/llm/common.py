@@ -63,7 +63,16 @@ def stage(df: DataFrame, tag: str) -> DataFrame:
     schema = df.schema
     del df
     release_shuffles(spark)
-    return spark.read.schema(schema).parquet(path)
+    staged = spark.read.schema(schema).parquet(path)
+    staged._staged_at = path
+    return staged
+
+
+def unstage(df: DataFrame) -> None:
+    """Delete a table that ``stage`` wrote, once nothing reads it any more."""
+    spark = df.sparkSession
+    path = spark._jvm.org.apache.hadoop.fs.Path(df._staged_at)
+    path.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(path, True)
 
 
 def text_chunks(batches: Iterator[pa.RecordBatch], column: str = "text", limit: int = CHUNK_BYTES) -> Iterator[pa.RecordBatch]:

@@ -14,6 +14,7 @@ MODULES = {
     "op4_token_counts": "token_counts",
     "op5_decontaminate": "decontaminate",
     "op6_html_text": "html_text",
+    "op7_repeats": "repeats",
     "op8_bagminhash": "bagminhash",
     "op9_language": "language",
     "op10_quality": "quality",
