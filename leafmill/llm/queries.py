@@ -11,6 +11,7 @@ from pyspark.sql import DataFrame, SparkSession
 MODULES = {
     "op1_sentencepieces": "sentencepieces",
     "op2_token_files": "token_files",
+    "op3_ngram_scores": "ngram",
     "op4_token_counts": "token_counts",
     "op5_decontaminate": "decontaminate",
     "op6_html_text": "html_text",
