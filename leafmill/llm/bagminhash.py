@@ -242,23 +242,46 @@ def components(links: DataFrame) -> DataFrame:
         labels = stage(spread.join(hop, "label", "left").select("node", F.coalesce("next", "label").alias("label")), "labels")
 
 
-def near_duplicates(docs: DataFrame) -> DataFrame:
-    """doc_id, class_id (least doc_id of the class), class_size, node for each row of ``docs``.
+def labelled_rows(docs: DataFrame) -> tuple[DataFrame, DataFrame]:
+    """(doc_id, th, label for each row; label, class_id, class_size for each class).
 
-    Texts without a word (null, empty) are classes of their own; a text of fewer than five words
-    matches only texts with the same words; rows without doc_id take part, and a class of nothing
-    else has no class_id.  Letters A-Z are compared in lower case.
+    ``th`` is the hash of the text, ``label`` a digest that names the class; null without words.
     """
     finder = Finder(docs)
     labels = finder.search()
     nodes = finder.nodes.select("node", "first_id", "n")
     labelled = nodes.join(labels, "node", "left").withColumn("label", F.coalesce("label", "node")) if labels is not None else nodes.withColumn("label", F.col("node"))
     classes = labelled.groupBy("label").agg(F.min("first_id").alias("class_id"), F.sum("n").alias("class_size"))
-    of_node = labelled.select("node", "label").join(classes, "label").drop("label")
-    rows = finder.rows.select("doc_id", "node").join(of_node, "node", "left")
-    alone = F.col("node").isNull()
-    return rows.select("doc_id", F.when(alone, F.col("doc_id")).otherwise(F.col("class_id")).alias("class_id"), F.when(alone, 1).otherwise(F.col("class_size")).cast("long").alias("class_size"), "node")
+    rows = finder.rows.select("doc_id", "th", "node").join(labelled.select("node", "label"), "node", "left")
+    return rows, classes
+
+
+def near_duplicates(docs: DataFrame) -> DataFrame:
+    """doc_id, class_id (least doc_id of the class), class_size for each row of ``docs``.
+
+    Texts without a word (null, empty) are classes of their own; a text of fewer than five words
+    matches only texts with the same words; rows without doc_id take part, and a class of nothing
+    else has no class_id.  Letters A-Z are compared in lower case.
+    """
+    rows, classes = labelled_rows(docs)
+    alone = F.col("label").isNull()
+    return rows.join(classes, "label", "left").select("doc_id", F.when(alone, F.col("doc_id")).otherwise(F.col("class_id")).alias("class_id"), F.when(alone, 1).otherwise(F.col("class_size")).cast("long").alias("class_size"))
+
+
+def one_of_each(docs: DataFrame) -> DataFrame:
+    """``docs`` with one row of each class: the one with the least doc_id (null first).
+
+    Rows without words all stay.  Repeated rows of the chosen doc_id and text give one row.
+    """
+    rows, _ = labelled_rows(docs)
+    did = F.coalesce("doc_id", F.lit(-(1 << 62)))
+    per_text = rows.groupBy(did.alias("_did"), F.col("th").alias("_th")).agg(F.count(F.lit(1)).alias("_n"), F.max("label").alias("label"))
+    chosen = per_text.where(F.col("label").isNotNull()).groupBy("label").agg(F.min(F.struct("_did", "_th", "_n")).alias("k")).select("k.*")
+    chosen = chosen.unionByName(per_text.where(F.col("label").isNull()).select("_did", "_th", F.lit(1).cast("long").alias("_n")))
+    kept = docs.withColumns({"_did": did, "_th": F.xxhash64("text")}).join(chosen.hint("shuffle_hash"), ["_did", "_th"])
+    repeated = kept.where(F.col("_n") > 1).dropDuplicates(["_did", "_th"])
+    return kept.where(F.col("_n") == 1).unionByName(repeated).select(*docs.columns)
 
 
 def query(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return near_duplicates(table(spark, sf_dir, "documents")).drop("node")
+    return near_duplicates(table(spark, sf_dir, "documents"))

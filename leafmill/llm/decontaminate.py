@@ -75,13 +75,12 @@ def candidates(prints: str, span: int, among) -> Column:
     return F.transform(hit, lambda at: F.struct(at.alias("start"), F.lit(span).alias("span"), F.array_join(F.slice("words", at + 1, span), " ").alias("window")))
 
 
-def decontaminate(documents: DataFrame, benchmark: DataFrame) -> DataFrame:
-    """doc_id, n_words, n_hit, n_items, items_sha256, contaminated for each row of ``documents``.
+def hits_by_text(documents: DataFrame, benchmark: DataFrame) -> tuple[DataFrame, DataFrame]:
+    """(doc_id, _id, _th, n_words of each row; _id, _th, n_hit, n_items, items_sha256 of each text with a hit).
 
-    Null and empty texts have no words; equal rows give equal rows; null ids are kept.  Items
-    that share an id count once; items without id are left out.  Documents are read once, and
-    only runs with a benchmark fingerprint leave that pass.  With more than ``IN_PLAN``
-    fingerprints the documents' distinct fingerprints are semi-joined by shuffle instead.
+    Documents are read once, and only runs with a benchmark fingerprint leave that pass.  With
+    more than ``IN_PLAN`` fingerprints the documents' distinct fingerprints are semi-joined by
+    shuffle instead.
     """
     prepare(documents.sparkSession)
     windows = stage(benchmark_windows(benchmark), "windows")
@@ -111,7 +110,24 @@ def decontaminate(documents: DataFrame, benchmark: DataFrame) -> DataFrame:
     covered = F.array_distinct(F.flatten(F.transform(F.collect_set(F.struct("start", "span")), lambda s: F.sequence(s["start"], s["start"] + s["span"] - 1))))
     each = hits.groupBy("_id", "_th").agg(F.size(covered).cast("long").alias("n_hit"), F.array_distinct(F.flatten(F.collect_set("items"))).alias("items"))
     each = each.select("_id", "_th", "n_hit", F.size("items").cast("long").alias("n_items"), F.sha2(F.array_join(F.array_sort(F.transform("items", lambda i: i.cast("string"))), ","), 256).alias("items_sha256"))
-    joined = passed.drop("runs").join(each, ["_id", "_th"], "left")
+    return passed.drop("runs"), each
+
+
+def clean(documents: DataFrame, benchmark: DataFrame) -> DataFrame:
+    """The rows of ``documents``, all columns, that share no window with the benchmark."""
+    _, each = hits_by_text(documents, benchmark)
+    keyed = documents.withColumns({"_id": F.coalesce("doc_id", F.lit(-(1 << 62))), "_th": F.xxhash64("text")})
+    return keyed.join(each.select("_id", "_th").hint("shuffle_hash"), ["_id", "_th"], "left_anti").select(*documents.columns)
+
+
+def decontaminate(documents: DataFrame, benchmark: DataFrame) -> DataFrame:
+    """doc_id, n_words, n_hit, n_items, items_sha256, contaminated for each row of ``documents``.
+
+    Null and empty texts have no words; equal rows give equal rows; null ids are kept.  Items
+    that share an id count once; items without id are left out.
+    """
+    passed, each = hits_by_text(documents, benchmark)
+    joined = passed.join(each, ["_id", "_th"], "left")
     none = F.sha2(F.lit(""), 256)
     return joined.select(
         "doc_id", "n_words", F.coalesce("n_hit", F.lit(0)).alias("n_hit"), F.coalesce("n_items", F.lit(0)).alias("n_items"), F.coalesce("items_sha256", none).alias("items_sha256"), (F.coalesce("n_hit", F.lit(0)) > 0).alias("contaminated")

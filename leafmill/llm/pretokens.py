@@ -11,7 +11,7 @@ import os
 os.environ.setdefault("TOKENIZERS_PARALLELISM", "false")
 
 #: Distinct pre-tokens remembered by one worker; the memory they take is bounded by this.
-MEMO_ENTRIES = 700_000
+MEMO_ENTRIES = 900_000
 #: Longer pre-tokens are worked out each time.
 MEMO_CHARS = 64
 
@@ -67,3 +67,9 @@ class Memo(dict):
         for key in keys:
             if len(key) > MEMO_CHARS:
                 del self[key]
+
+    def learn(self, more: dict) -> None:
+        """Remember short keys; a full memo starts again."""
+        if len(self) + len(more) > self.limit:
+            self.clear()
+        self.update((k, v) for k, v in more.items() if len(k) <= MEMO_CHARS)

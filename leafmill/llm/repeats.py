@@ -208,7 +208,7 @@ def merged(spans: list[dict], size: int) -> list[tuple[int, int]]:
 
 def without_repeats(docs: DataFrame, keep: bool = False) -> DataFrame:
     """doc_id, n_bytes, n_removed, n_spans, kept_sha256 for each row; with ``keep``, all columns of
-    ``docs`` and ``kept`` (the remaining bytes) before the counts.
+    ``docs`` and ``kept`` (the remaining text; a character cut in two goes) before the counts.
 
     Null is an empty text; texts under SPAN bytes and empty tables lose nothing; two rows with
     equal doc_id and text count as two occurrences and both lose the repeated bytes.
@@ -219,7 +219,7 @@ def without_repeats(docs: DataFrame, keep: bool = False) -> DataFrame:
     given = docs.drop("did", "th", "spans", "kept", *counts) if keep else docs.select("doc_id", "text")
     rows = given.withColumns({"did": _id(), "th": F.xxhash64("text")}).join(found.hint("shuffle_hash"), ["did", "th"], "left").select(*given.columns, "spans")
     names = [*given.columns, "kept", *counts] if keep else ["doc_id", *counts]
-    full = rows.drop("spans").withColumns({"kept": F.lit(b""), "n_bytes": F.lit(0).cast("long"), "n_removed": F.lit(0).cast("long"), "n_spans": F.lit(0).cast("long"), "kept_sha256": F.lit("")})
+    full = rows.drop("spans").withColumns({"kept": F.lit(""), "n_bytes": F.lit(0).cast("long"), "n_removed": F.lit(0).cast("long"), "n_spans": F.lit(0).cast("long"), "kept_sha256": F.lit("")})
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for chunk in text_chunks(batches):
@@ -229,12 +229,12 @@ def without_repeats(docs: DataFrame, keep: bool = False) -> DataFrame:
                 runs = merged(spans, len(raw)) if spans else []
                 edge = [0, *(x for r in runs for x in r), len(raw)]
                 left = b"".join(raw[a:b] for a, b in zip(edge[::2], edge[1::2]))
-                kept.append(left if keep else None)
+                kept.append(left.decode("utf-8", "ignore") if keep else None)
                 sizes.append(len(raw))
                 removed.append(len(raw) - len(left))
                 n_spans.append(len(runs))
                 digests.append(hashlib.sha256(left).hexdigest())
-            made = {"kept": pa.array(kept, pa.binary()), "n_bytes": pa.array(sizes, pa.int64()), "n_removed": pa.array(removed, pa.int64()), "n_spans": pa.array(n_spans, pa.int64()), "kept_sha256": pa.array(digests, pa.string())}
+            made = {"kept": pa.array(kept, pa.string()), "n_bytes": pa.array(sizes, pa.int64()), "n_removed": pa.array(removed, pa.int64()), "n_spans": pa.array(n_spans, pa.int64()), "kept_sha256": pa.array(digests, pa.string())}
             yield pa.RecordBatch.from_arrays([made[n] if n in made else chunk.column(n) for n in names], names)
 
     return rows.mapInArrow(run, full.select(*names).schema)

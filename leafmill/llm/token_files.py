@@ -120,7 +120,7 @@ class Encoder:
     """Ids of whole texts as the library gives them, each distinct chunk encoded once.
 
     Where no two white-space characters are neighbours, pre-tokens never cross a blank or a
-    newline, and a blank belongs to the pre-token after it.  Such texts are cut at blanks and
+    newline, and a blank belongs to the pre-token after it.  Such texts are cut before blanks and
     newlines and the ids of a chunk are remembered; other texts are cut by the pre-token pattern.
     """
 
@@ -136,61 +136,66 @@ class Encoder:
         self.space_pair = re.compile(r"\s\s|[\x1c-\x1f]")
         self.special = [t.content for t in self.tokenizer.get_added_tokens_decoder().values()]
         self.guard = pretokens.ClassGuard()
-        self.bare, self.spaced = pretokens.Memo(pretokens.MEMO_ENTRIES // 4), pretokens.Memo()
-        self.newline = self._library(["\n"])[0]
+        self.bare, self.memo = pretokens.Memo(pretokens.MEMO_ENTRIES // 4), pretokens.Memo()
 
     def __call__(self, texts: list[str]) -> list[bytes]:
         """Ids of each text as little-endian uint32 bytes."""
-        bare: set[str] = set()
-        spaced: set[str] = set()
-        split: list = []
+        firsts: list[str | None] = []
+        rests: list[list[str]] = []
+        found: list[list[bytes | None]] = []
+        look = self.memo.get
+        new: set[str] = set()
         for text in texts:
             if any(s in text for s in self.special) or not self.guard.agrees(text):
-                split.append(None)
+                first, rest = None, []
             elif self.space_pair.search(text):
-                parts = self.pattern.findall(text)
-                bare.update(parts)
-                split.append(parts)
+                first, rest = "", self.pattern.findall(text)
+                known = list(map(self.bare.get, rest))
+                if None in known:
+                    missing = list({p for p, v in zip(rest, known) if v is None})
+                    more = dict(zip(missing, self._library(missing)))
+                    known = [more[p] if v is None else v for p, v in zip(rest, known)]
+                    self.bare.learn(more)
+                rest, first = [b"".join(known)], False
             else:
-                lines = [(first, rest) for first, *rest in (line.split(" ") for line in text.split("\n"))]
-                bare.update(first for first, _ in lines)
-                spaced.update(*(rest for _, rest in lines))
-                split.append(lines)
-        new_bare, new_spaced = self._learn(self.bare, bare, ""), self._learn(self.spaced, spaced, " ")
-        out, one, more = [], self.bare.__getitem__, self.spaced.__getitem__
-        for text, parts in zip(texts, split):
-            if parts is None:
+                first, *rest = text.replace("\n", " \n").split(" ")
+            firsts.append(first)
+            rests.append(rest)
+            known = rest if first is False else list(map(look, rest))
+            found.append(known)
+            if None in known:
+                new.update([p for p, v in zip(rest, known) if v is None])
+        chunks = list(new)
+        more = dict(zip(chunks, self._run_on(chunks)))
+        heads = [f for f in firsts if f and f not in self.bare]
+        head = dict(zip(heads, self._library(heads)))
+        out = []
+        for text, first, rest, known in zip(texts, firsts, rests, found):
+            if first is None:
                 out.append(self._library([text])[0])
-            elif parts and isinstance(parts[0], tuple):
-                out.append(self.newline.join([one(first) + b"".join(map(more, rest)) for first, rest in parts]))
-            else:
-                out.append(b"".join(map(one, parts)))
-        self.bare.forget_long(new_bare)
-        self.spaced.forget_long(new_spaced)
+                continue
+            if None in known:
+                known = [more[p] if v is None else v for p, v in zip(rest, known)]
+            start = b"" if not first else head[first] if first in head else self.bare[first]
+            out.append(start + b"".join(known))
+        self.memo.learn(more)
+        self.bare.learn(head)
         return out
 
-    def _learn(self, memo: pretokens.Memo, found: set[str], before: str) -> list[str]:
-        missing = memo.missing(found)
-        if before:
-            memo.update(zip(missing, self._run_on(missing)))
-        else:
-            memo.update(zip(missing, self._library(missing)))
-        return missing
-
     def _run_on(self, chunks: list[str], together: int = 64) -> list[bytes]:
-        """Ids of chunks, a blank before each: many as one text, cut again where the tokens begin."""
-        if "" in chunks:
-            at = chunks.index("")
-            return [*self._run_on(chunks[:at]), self._library([" "])[0], *self._run_on(chunks[at + 1 :])]
-        out: list[bytes] = []
-        groups = [chunks[i : i + together] for i in range(0, len(chunks), together)]
-        for group, e in zip(groups, self.tokenizer.encode_batch([" " + " ".join(g) for g in groups], add_special_tokens=False)):
-            begin = np.cumsum([0, *(len(c) + 1 for c in group)])
+        """Ids of chunks, a blank before each that begins no line: many as one text, cut again where the tokens begin."""
+        alone = {c: self._library([c or " "])[0] for c in {"", "\n"} & set(chunks)}
+        run = [c for c in chunks if c not in alone]
+        out = dict(alone)
+        groups = [run[i : i + together] for i in range(0, len(run), together)]
+        joined = [[c if c[0] == "\n" else " " + c for c in g] for g in groups]
+        for group, parts, e in zip(groups, joined, self.tokenizer.encode_batch(["".join(p) for p in joined], add_special_tokens=False)):
+            begin = np.cumsum([0, *map(len, parts)])
             starts = np.fromiter((a for a, _ in e.offsets), np.int64, len(e))
             cuts = (4 * np.searchsorted(starts, begin)).tolist()
             raw = np.array(e.ids, np.uint32).tobytes()
-            out.extend(raw[a:b] for a, b in zip(cuts, cuts[1:]))
-        return out
+            out.update(zip(group, (raw[a:b] for a, b in zip(cuts, cuts[1:]))))
+        return [out[c] for c in chunks]
 
     def _library(self, texts: list[str]) -> list[bytes]:
         return [np.array(e.ids, np.uint32).tobytes() for e in self.tokenizer.encode_batch_fast(texts, add_special_tokens=False)]
