@@ -57,7 +57,10 @@ _RATE = "CASE WHEN {s} >= 90 THEN 'Excellent' WHEN {s} >= 80 THEN 'Good' WHEN {s
 _SCORE = "floor((medium_pages + long_pages) / greatest(total_pages, 1) * 100.0::DOUBLE * 10.0::DOUBLE + 0.5::DOUBLE) / 10.0::DOUBLE"
 
 
-@query("corpus_quality", f"SELECT *, {_SCORE} AS overall_score, {_RATE.format(s=_SCORE)} AS rating FROM (SELECT count(*) AS pdfs, count_if(total_pages > 0) AS succeeded, count_if(needs_review) AS needing_review, {_SUMS} FROM ({_QUALITY}))")
+CORPUS_SQL = f"SELECT *, {_SCORE} AS overall_score, {_RATE.format(s=_SCORE)} AS rating FROM (SELECT count(*) AS pdfs, count_if(total_pages > 0) AS succeeded, count_if(needs_review) AS needing_review, {_SUMS} FROM ({_QUALITY}))"
+
+
+@query("corpus_quality", CORPUS_SQL)
 def corpus_quality(spark, sf_dir):
     return quality.corpus_quality(_quality(spark, sf_dir))
 
