@@ -108,10 +108,11 @@ def delivery_statistics(spark, sf_dir):
     return reports.delivery_statistics(documents(spark, sf_dir))
 
 
-@query("check_summary", f"SELECT documents, issues, warnings, documents = 100 AS complete, documents = 100 AND issues = 0 AS passed FROM (SELECT count(*) AS documents FROM ({_DOC})), (SELECT count_if(severity = 'issue') AS issues, count_if(severity = 'warning') AS warnings FROM ({_CHECKS}))")
+@query("check_summary", f"SELECT documents, issues, warnings, documents = expected AS complete, documents = expected AND issues = 0 AS passed FROM (SELECT count(*) AS documents FROM ({_DOC})), (SELECT count_if(severity = 'issue') AS issues, count_if(severity = 'warning') AS warnings FROM ({_CHECKS})), (SELECT count(DISTINCT conv_id) AS expected FROM conversations)")
 def check_summary(spark, sf_dir):
     d = _delivered(spark, sf_dir)
-    return reports.check_summary(d, reports.delivery_checks(d), 100)
+    expected = table(spark, sf_dir, "conversations").select("conv_id").distinct().count()
+    return reports.check_summary(d, reports.delivery_checks(d), expected)
 
 
 @query("document_without_metadata", f"SELECT pdf FROM ({_DOC}) WHERE CAST(pdf AS BIGINT) % 5 = 0")
