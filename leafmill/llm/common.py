@@ -15,7 +15,8 @@ import uuid
 from collections.abc import Iterator
 
 import pyarrow as pa
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 #: Bytes of text handled at once by the vectorised operators: bounds their temporary arrays.
 CHUNK_BYTES = 1 << 20
@@ -34,6 +35,17 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return prepare(spark).read.parquet(f"{sf_dir}/{name}.parquet")
 
 
+def wrapped(docs: DataFrame) -> DataFrame:
+    """doc_id, text and ``rest`` (all other columns, doc_id too): no name of theirs can clash with a step's."""
+    return docs.select("doc_id", "text", F.struct(*[F.col(f"`{c}`") for c in docs.columns if c != "text"]).alias("rest"))
+
+
+def unwrapped(frame: DataFrame, docs: DataFrame, **changed: Column) -> DataFrame:
+    """The columns of ``docs`` from a frame that ``wrapped`` began, some replaced."""
+    own = lambda c: changed[c] if c in changed else F.col("text") if c == "text" else F.col("rest").getField(c)
+    return frame.select(*[own(c).alias(c) for c in docs.columns])
+
+
 def shared_dir(spark: SparkSession) -> str:
     """The folder that all executors share, as the session names it."""
     named = spark.conf.get("spark.checkpoint.dir", None)

@@ -12,7 +12,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from leafmill.llm.common import prepare, stage, table
+from leafmill.llm.common import prepare, stage, table, unwrapped, wrapped
 
 SPAN, GRAM = 10, 5
 #: Up to so many benchmark fingerprints are held in the plan of the document pass; more are joined.
@@ -96,7 +96,8 @@ def hits_by_text(documents: DataFrame, benchmark: DataFrame) -> tuple[DataFrame,
             wanted[r["span"]].append(r["print"])
         found = [candidates(columns[n], n, lambda p, n=n: p.isin(wanted[n])) for n in spans]
     else:
-        own = F.concat(*[F.transform(F.array_distinct(columns[n]), lambda p, n=n: F.struct(F.lit(n).alias("span"), p.alias("print"))) for n in spans])
+        tagged = lambda n: F.transform(F.array_distinct(columns[n]), lambda p: F.struct(F.lit(n).alias("span"), p.alias("print")))
+        own = F.concat(*[tagged(n) for n in spans])
         shared = prints.select("_id", "_th", F.explode(own).alias("p")).select("_id", "_th", "p.*").join(windows.select("span", "print").distinct(), ["span", "print"], "left_semi")
         lists = shared.groupBy("_id", "_th").agg(*[F.collect_set(F.when(F.col("span") == n, F.col("print"))).alias(f"own_{n}") for n in spans])
         prints = prints.join(lists, ["_id", "_th"], "left")
@@ -116,8 +117,8 @@ def hits_by_text(documents: DataFrame, benchmark: DataFrame) -> tuple[DataFrame,
 def clean(documents: DataFrame, benchmark: DataFrame) -> DataFrame:
     """The rows of ``documents``, all columns, that share no window with the benchmark."""
     _, each = hits_by_text(documents, benchmark)
-    keyed = documents.withColumns({"_id": F.coalesce("doc_id", F.lit(-(1 << 62))), "_th": F.xxhash64("text")})
-    return keyed.join(each.select("_id", "_th").hint("shuffle_hash"), ["_id", "_th"], "left_anti").select(*documents.columns)
+    keyed = wrapped(documents).withColumns({"_id": F.coalesce("doc_id", F.lit(-(1 << 62))), "_th": F.xxhash64("text")})
+    return unwrapped(keyed.join(each.select("_id", "_th").hint("shuffle_hash"), ["_id", "_th"], "left_anti"), documents)
 
 
 def decontaminate(documents: DataFrame, benchmark: DataFrame) -> DataFrame:

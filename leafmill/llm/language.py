@@ -17,7 +17,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from leafmill.llm.common import prepare, table, text_bytes, text_chunks
+from leafmill.llm.common import prepare, table, text_bytes, text_chunks, wrapped
 
 BITS = 15
 BUCKETS = 1 << BITS
@@ -110,13 +110,13 @@ def score(raw: np.ndarray, offsets: np.ndarray, fitted: dict) -> np.ndarray:
 
 
 def identify(docs: DataFrame, fitted: dict, keep: bool = False) -> DataFrame:
-    """doc_id, held_out, lang_pred, score for each row; with ``keep``, all columns of ``docs`` too.
+    """doc_id, held_out, lang_pred, score for each row; with ``keep``, text and ``rest`` (see ``wrapped``) too.
 
     ``und`` with score 0 for a null text, one without a letter, or when nothing was learned.  A
     null doc_id is not held out.  One pass, no shuffle.
     """
     spark = prepare(docs.sparkSession)
-    given = docs.drop("held_out", "lang_pred", "score") if keep else docs.select("doc_id", "text")
+    given = wrapped(docs) if keep else docs.select("doc_id", "text")
     rows = given.withColumn("held_out", held_out())
     names = [*given.columns, "held_out", "lang_pred", "score"] if keep else ["doc_id", "held_out", "lang_pred", "score"]
     full = rows.withColumns({"lang_pred": F.lit(""), "score": F.lit(0.0)})

@@ -22,7 +22,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from leafmill.llm.common import prepare, stage, table, text_bytes, text_chunks, unstage
+from leafmill.llm.common import prepare, stage, table, text_bytes, text_chunks, unstage, wrapped
 from leafmill.llm.hashing import Prefixes, mix
 from leafmill.llm.phrases import SPAN, phrases
 
@@ -207,16 +207,16 @@ def merged(spans: list[dict], size: int) -> list[tuple[int, int]]:
 
 
 def without_repeats(docs: DataFrame, keep: bool = False) -> DataFrame:
-    """doc_id, n_bytes, n_removed, n_spans, kept_sha256 for each row; with ``keep``, all columns of
-    ``docs`` and ``kept`` (the remaining text; a character cut in two goes) before the counts.
+    """doc_id, n_bytes, n_removed, n_spans, kept_sha256 for each row; with ``keep``, text and
+    ``rest`` (see ``wrapped``) and ``kept`` (the remaining text; a character cut in two goes) before the counts.
 
     Null is an empty text; texts under SPAN bytes and empty tables lose nothing; two rows with
     equal doc_id and text count as two occurrences and both lose the repeated bytes.
     """
     prepare(docs.sparkSession)
-    found = repeated_spans(docs)
+    found = repeated_spans(docs.select("doc_id", "text"))
     counts = ["n_bytes", "n_removed", "n_spans", "kept_sha256"]
-    given = docs.drop("did", "th", "spans", "kept", *counts) if keep else docs.select("doc_id", "text")
+    given = wrapped(docs) if keep else docs.select("doc_id", "text")
     rows = given.withColumns({"did": _id(), "th": F.xxhash64("text")}).join(found.hint("shuffle_hash"), ["did", "th"], "left").select(*given.columns, "spans")
     names = [*given.columns, "kept", *counts] if keep else ["doc_id", *counts]
     full = rows.drop("spans").withColumns({"kept": F.lit(""), "n_bytes": F.lit(0).cast("long"), "n_removed": F.lit(0).cast("long"), "n_spans": F.lit(0).cast("long"), "kept_sha256": F.lit("")})
