@@ -11,7 +11,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from leafmill.llm import bagminhash, decontaminate, language, repeats, sentencepieces
-from leafmill.llm.common import stage, table
+from leafmill.llm.common import stage, table, unwrapped, wrapped
 
 #: Documents whose best language has a smaller posterior are rejected.
 MIN_LANGUAGE_SCORE = 0.5
@@ -20,7 +20,7 @@ MIN_LANGUAGE_SCORE = 0.5
 def language_id(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents with a recognised language.  Null texts and texts without a letter go."""
     rated = language.identify(docs, language.fit(docs), keep=True)
-    return rated.where((F.col("lang_pred") != language.UNKNOWN) & (F.col("score") >= MIN_LANGUAGE_SCORE)).select(*docs.columns)
+    return unwrapped(rated.where((F.col("lang_pred") != language.UNKNOWN) & (F.col("score") >= MIN_LANGUAGE_SCORE)), docs)
 
 
 def near_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -35,8 +35,8 @@ def suffix_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame
     left = ~touched | F.col("kept").rlike(r"[^\x20\x09-\x0D]")
     changed = {"text": F.when(touched, F.col("kept")).otherwise(F.col("text"))}
     if "n_chars" in docs.columns:
-        changed["n_chars"] = F.when(touched, F.length("kept").cast("long")).otherwise(F.col("n_chars"))
-    return cut.where(left).withColumns(changed).select(*docs.columns)
+        changed["n_chars"] = F.when(touched, F.length("kept").cast("long")).otherwise(F.col("rest.n_chars"))
+    return unwrapped(cut.where(left), docs, **changed)
 
 
 def decontamination(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -46,8 +46,10 @@ def decontamination(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFr
 
 def sentencepiece(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents with their piece ids (little-endian uint32), the number of ids, and whether decoding gives the text back."""
-    encoded = sentencepieces.decode_column(sentencepieces.encode_column(docs))
-    return encoded.select(*docs.columns, "piece_ids", (F.octet_length("piece_ids") / 4).cast("long").alias("n_pieces"), F.col("decoded").eqNullSafe(F.coalesce("text", F.lit(""))).alias("round_trip"))
+    encoded = sentencepieces.decode_column(sentencepieces.encode_column(wrapped(docs)))
+    made = ["piece_ids", "n_pieces", "round_trip"]
+    own = [F.col("text") if c == "text" else F.col("rest").getField(c).alias(c) for c in docs.columns if c not in made]
+    return encoded.select(*own, "piece_ids", (F.octet_length("piece_ids") / 4).cast("long").alias("n_pieces"), F.col("decoded").eqNullSafe(F.coalesce("text", F.lit(""))).alias("round_trip"))
 
 
 STAGES = [
