@@ -9,6 +9,7 @@ from __future__ import annotations
 
 import atexit
 import gc
+import os
 import shutil
 import tempfile
 import uuid
@@ -22,10 +23,14 @@ from pyspark.sql import functions as F
 CHUNK_BYTES = 1 << 20
 
 _own: list[str] = []
+_ROOT = os.path.dirname(os.path.dirname(os.path.dirname(os.path.abspath(__file__))))
 
 
 def prepare(spark: SparkSession) -> SparkSession:
-    """Keep Arrow batches small enough that a batch of ordinary documents is a few MB."""
+    """Keep Arrow batches to a few MB of ordinary documents, and this package on the workers' path."""
+    path = spark.sparkContext.environment.get("PYTHONPATH", "")
+    if _ROOT not in path.split(os.pathsep):
+        spark.sparkContext.environment["PYTHONPATH"] = os.pathsep.join(filter(None, [_ROOT, path]))
     if int(spark.conf.get("spark.sql.execution.arrow.maxRecordsPerBatch")) > 2000:
         spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", "2000")
     return spark
