@@ -8,10 +8,10 @@ the element's hash alone, in order of time, until every register is filled; two
 on a register with probability equal to their weighted Jaccard similarity.
 
 Signatures are cut in bands.  Documents with the same words are one node from the start, so a
-group of copies of any size costs one signature.  In a bucket nodes are compared with a leader, not
-with each other; where a bucket still holds several classes after two such rounds, the pairs
-between different classes that are left are compared, each once.  Every link is verified by the
-exact overlap of the two multisets.
+group of copies of any size costs one signature.  In a bucket nodes are compared with a leader,
+the node that meets most others, and not with each other; where a bucket still holds several
+classes, nodes of different classes are compared once inside a join that gives only links.  Every
+link is verified by the exact overlap of the two multisets.
 """
 
 from __future__ import annotations
@@ -24,7 +24,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from leafmill.llm.common import prepare, stage, table, text_bytes, text_chunks
+from leafmill.llm.common import prepare, stage, table, text_bytes, text_chunks, unstage, unwrapped, wrapped
 from leafmill.llm.hashing import Prefixes, mix
 
 GRAM = 5
@@ -123,9 +123,9 @@ def sketch(docs: DataFrame) -> DataFrame:
             element, owner, weight = multiset(*shingles(words, first))
             sig = signatures(element, owner, weight, chunk.num_rows)
             nodes = [hashlib.blake2b(words[a:b].tobytes(), digest_size=16).digest() if b > a else None for a, b in zip(first[:-1], first[1:])]
-            yield pa.RecordBatch.from_arrays([chunk.column("doc_id"), chunk.column("th"), pa.array(nodes, pa.binary()), pa.array([s.tobytes() if k else None for s, k in zip(sig, nodes)], pa.binary())], ["doc_id", "th", "node", "sig"])
+            yield pa.RecordBatch.from_arrays([chunk.column("doc_id"), chunk.column("th"), pa.array(nodes, pa.binary()), pa.ListArray.from_arrays(pa.array(np.arange(0, sig.size + 1, REGISTERS, dtype=np.int32)), pa.array(sig.view(np.int32).ravel()))], ["doc_id", "th", "node", "sig"])
 
-    return docs.select("doc_id", F.xxhash64("text").alias("th"), "text").mapInArrow(run, "doc_id long, th long, node binary, sig binary")
+    return docs.select("doc_id", F.xxhash64("text").alias("th"), "text").mapInArrow(run, "doc_id long, th long, node binary, sig array<int>")
 
 
 def bags(docs: DataFrame) -> DataFrame:
@@ -145,7 +145,12 @@ def bags(docs: DataFrame) -> DataFrame:
 
 
 def _bands(sig: str = "sig"):
-    return [F.xxhash64(F.lit(i), F.substring(sig, 1 + 4 * ROWS * i, 4 * ROWS)) for i in range(BANDS)]
+    return [F.xxhash64(F.lit(i), F.slice(sig, 1 + ROWS * i, ROWS)) for i in range(BANDS)]
+
+
+def _agreeing(a: str, b: str):
+    """Registers on which two signatures agree."""
+    return F.size(F.filter(F.zip_with(a, b, lambda p, q: p == q), lambda e: e))
 
 
 class Finder:
@@ -156,21 +161,23 @@ class Finder:
         self.docs = docs.select("doc_id", "text")
         self.rows = stage(sketch(self.docs), "sketch")
         per_node = self.rows.where(F.col("node").isNotNull()).groupBy("node")
-        self.nodes = stage(per_node.agg(F.min("doc_id").alias("first_id"), F.count(F.lit(1)).alias("n"), F.min("th").alias("th"), F.min("sig").alias("sig")), "nodes")
+        self.nodes = stage(per_node.agg(F.min("doc_id").alias("first_id"), F.count(F.lit(1)).alias("n"), F.min("th").alias("th"), F.first("sig").alias("sig")), "nodes")
         exploded = self.nodes.select("node", F.posexplode(F.array(*_bands())).alias("band", "bucket"))
-        shared = exploded.groupBy("bucket").agg(F.count(F.lit(1)).alias("k")).where(F.col("k") > 1).select("bucket")
-        self.buckets = stage(exploded.join(shared, "bucket"), "buckets")
-        self.tested: DataFrame | None = None
+        shared = exploded.groupBy("bucket").agg(F.count(F.lit(1)).alias("k")).where(F.col("k") > 1)
+        found = stage(exploded.join(shared, "bucket"), "buckets")
+        # a text that the others were copied from meets more of them than they meet each other
+        hubs = found.groupBy("node").agg(F.sum("k").alias("met"))
+        self.buckets = stage(found.drop("k").join(hubs, "node"), "buckets")
+        unstage(found)
         self.links: DataFrame | None = None
         self.labels: DataFrame | None = None
-        self.bag: DataFrame | None = None
 
     def search(self) -> DataFrame | None:
         """node, label of all nodes with a link; None if there are none."""
-        for seed in (1, 2):
-            if not self._round(self._with_leaders(seed)):
-                return self.labels
-        self._round(self._left_over())
+        pairs = stage(self._with_leaders(), "pairs")
+        if not pairs.isEmpty():
+            self._join(self._verified(self._close(pairs)))
+            self._join(self._left_over())
         return self.labels
 
     def _classed(self) -> DataFrame:
@@ -181,48 +188,57 @@ class Finder:
         mixed = rows.groupBy("bucket").agg(F.min("label").alias("a"), F.max("label").alias("b")).where(F.col("a") != F.col("b")).select("bucket")
         return rows.join(mixed, "bucket")
 
-    def _with_leaders(self, seed: int) -> DataFrame:
-        rows = self._classed()
-        order = F.struct(F.xxhash64(F.lit(seed), "bucket", "node").alias("o"), "node", "label")
-        leaders = rows.groupBy("bucket").agg(F.min(order).alias("leader")).select("bucket", F.col("leader.node").alias("other"), F.col("leader.label").alias("other_label"))
-        pairs = rows.join(leaders, "bucket").where(F.col("label") != F.col("other_label"))
+    def _with_leaders(self) -> DataFrame:
+        """Pairs of each bucket's best-met node and its other nodes."""
+        order = F.struct(-F.col("met"), "node")
+        leaders = self.buckets.groupBy("bucket").agg(F.min(order).alias("leader")).select("bucket", F.col("leader.node").alias("other"))
+        pairs = self.buckets.join(leaders, "bucket").where(F.col("node") != F.col("other"))
         return pairs.select(F.least("node", "other").alias("a"), F.greatest("node", "other").alias("b")).distinct()
 
+    def _close(self, pairs: DataFrame) -> DataFrame:
+        """Pairs whose signatures agree enough to be verified."""
+        sig = lambda end: self.nodes.select(F.col("node").alias(end), F.col("sig").alias(f"sig_{end}"))
+        both = pairs.join(sig("a"), "a").join(sig("b"), "b")
+        return stage(both.where(_agreeing("sig_a", "sig_b") >= MIN_AGREE).select("a", "b"), "close")
+
     def _left_over(self) -> DataFrame:
-        """Pairs of one bucket and different classes; the first band that a pair shares gives it."""
-        rows = stage(self._classed().join(self.nodes.select("node", F.array(*_bands()).alias("bands")), "node"), "left")
-        pairs = rows.alias("x").join(rows.alias("y"), (F.col("x.bucket") == F.col("y.bucket")) & (F.col("x.node") < F.col("y.node")) & (F.col("x.label") != F.col("y.label")) & (F.array_position(F.zip_with("x.bands", "y.bands", lambda p, q: p == q), True) == F.col("x.band") + 1))
+        """Links between different classes of one bucket: the test is part of the join, so only links leave it.
+
+        The first band that two nodes share compares them.
+        """
+        rows = self._classed()
+        rows = stage(rows.select("bucket", "band", "node", "label").join(self.nodes.select("node", "sig", F.array(*_bands()).alias("bands")), "node"), "left")
+        rows = stage(rows.join(self._bags(rows.select("node").distinct()), "node"), "left")
+        first = F.array_position(F.zip_with("x.bands", "y.bands", lambda p, q: p == q), True) == F.col("x.band") + 1
+        close = F.when(first & (_agreeing("x.sig", "y.sig") >= MIN_AGREE), _similar("x.bag", "y.bag")).otherwise(False)
+        pairs = rows.alias("x").join(rows.alias("y"), (F.col("x.bucket") == F.col("y.bucket")) & (F.col("x.node") < F.col("y.node")) & (F.col("x.label") != F.col("y.label")) & close)
         return pairs.select(F.col("x.node").alias("a"), F.col("y.node").alias("b"))
 
-    def _round(self, pairs: DataFrame) -> bool:
-        """Verify pairs and join classes; whether a later round can find more."""
-        pairs = stage(pairs if self.tested is None else pairs.join(self.tested, ["a", "b"], "left_anti"), "pairs")
-        if pairs.isEmpty():
-            return False
-        self.tested = pairs if self.tested is None else self.tested.unionByName(pairs)
-        sig = self.nodes.select("node", F.transform(F.sequence(F.lit(0), F.lit(REGISTERS - 1)), lambda i: F.substring(F.col("sig"), 1 + 4 * i, 4)).alias("s"))
-        close = pairs.join(sig.select(F.col("node").alias("a"), F.col("s").alias("sa")), "a").join(sig.select(F.col("node").alias("b"), F.col("s").alias("sb")), "b")
-        agree = F.size(F.filter(F.zip_with("sa", "sb", lambda p, q: p == q), lambda e: e))
-        close = stage(close.where(agree >= MIN_AGREE).select("a", "b"), "close")
-        links = stage(self._verified(close), "links")
-        self.links = links if self.links is None else self.links.unionByName(links)
+    def _join(self, links: DataFrame) -> None:
+        """Take links up and renew the classes."""
+        links = stage(links, "links")
         if not links.isEmpty():
+            self.links = links if self.links is None else self.links.unionByName(links)
             self.labels = components(self.links)
-        return True
 
-    def _verified(self, pairs: DataFrame) -> DataFrame:
-        wanted = pairs.select(F.col("a").alias("node")).unionByName(pairs.select(F.col("b").alias("node"))).distinct()
-        if self.bag is not None:
-            wanted = wanted.join(self.bag.select("node"), "node", "left_anti")
+    def _bags(self, wanted: DataFrame) -> DataFrame:
+        """node, bag for the wanted nodes, from one text of each."""
         texts = self.nodes.join(wanted, "node", "left_semi").select("th").distinct()
         fetched = self.docs.withColumn("th", F.xxhash64("text")).join(texts, "th", "left_semi")
         one = fetched.groupBy("th").agg(F.min("text").alias("text"))
-        new = stage(bags(one).dropDuplicates(["node"]), "bags")
-        self.bag = new if self.bag is None else self.bag.unionByName(new)
-        both = pairs.join(self.bag.select(F.col("node").alias("a"), F.col("bag").alias("x")), "a").join(self.bag.select(F.col("node").alias("b"), F.col("bag").alias("y")), "b")
-        common = F.size(F.array_intersect("x", "y"))
-        # common / (|x| + |y| - common) >= 0.8 in whole numbers
-        return both.where(common * 10 >= (F.size("x") + F.size("y") - common) * int(SIMILARITY * 10)).select("a", "b")
+        return stage(bags(one).dropDuplicates(["node"]), "bags")
+
+    def _verified(self, pairs: DataFrame) -> DataFrame:
+        ends = pairs.select(F.col("a").alias("node")).unionByName(pairs.select(F.col("b").alias("node"))).distinct()
+        bag = self._bags(ends)
+        both = pairs.join(bag.select(F.col("node").alias("a"), F.col("bag").alias("x")), "a").join(bag.select(F.col("node").alias("b"), F.col("bag").alias("y")), "b")
+        return both.where(_similar("x", "y")).select("a", "b")
+
+
+def _similar(x: str, y: str):
+    """Whether the overlap of two bags is at least SIMILARITY of their union, in whole numbers."""
+    common = F.size(F.array_intersect(x, y))
+    return common * 10 >= (F.size(x) + F.size(y) - common) * int(SIMILARITY * 10)
 
 
 def components(links: DataFrame) -> DataFrame:
@@ -278,9 +294,9 @@ def one_of_each(docs: DataFrame) -> DataFrame:
     per_text = rows.groupBy(did.alias("_did"), F.col("th").alias("_th")).agg(F.count(F.lit(1)).alias("_n"), F.max("label").alias("label"))
     chosen = per_text.where(F.col("label").isNotNull()).groupBy("label").agg(F.min(F.struct("_did", "_th", "_n")).alias("k")).select("k.*")
     chosen = chosen.unionByName(per_text.where(F.col("label").isNull()).select("_did", "_th", F.lit(1).cast("long").alias("_n")))
-    kept = docs.withColumns({"_did": did, "_th": F.xxhash64("text")}).join(chosen.hint("shuffle_hash"), ["_did", "_th"])
+    kept = wrapped(docs).withColumns({"_did": did, "_th": F.xxhash64("text")}).join(chosen.hint("shuffle_hash"), ["_did", "_th"])
     repeated = kept.where(F.col("_n") > 1).dropDuplicates(["_did", "_th"])
-    return kept.where(F.col("_n") == 1).unionByName(repeated).select(*docs.columns)
+    return unwrapped(kept.where(F.col("_n") == 1).unionByName(repeated), docs)
 
 
 def query(spark: SparkSession, sf_dir: str) -> DataFrame:
