@@ -46,7 +46,7 @@ def decontamination(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFr
 
 def sentencepiece(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents with their piece ids (little-endian uint32), the number of ids, and whether decoding gives the text back."""
-    encoded = sentencepieces.decode_column(sentencepieces.encode_column(wrapped(docs)))
+    encoded = sentencepieces.encode_and_decode(wrapped(docs))
     made = ["piece_ids", "n_pieces", "round_trip"]
     own = [F.col("text") if c == "text" else F.col("rest").getField(c).alias(c) for c in docs.columns if c not in made]
     return encoded.select(*own, "piece_ids", (F.octet_length("piece_ids") / 4).cast("long").alias("n_pieces"), F.col("decoded").eqNullSafe(F.coalesce("text", F.lit(""))).alias("round_trip"))

@@ -199,6 +199,32 @@ def decode_column(frame: DataFrame, tokenizer: str = "piece_bpe_32k.model") -> D
     return frame.drop("decoded").mapInArrow(run, schema)
 
 
+def encode_and_decode(docs: DataFrame, tokenizer: str = "piece_bpe_32k.model") -> DataFrame:
+    """All columns of ``docs``, ``piece_ids`` and ``decoded``, in one pass of one worker.
+
+    What a task remembers is dropped at its end, so that workers that go on to other operators
+    hold only the vocabulary.
+    """
+    import public_tokenizers
+
+    prepare(docs.sparkSession)
+    path = public_tokenizers.path(tokenizer)
+    given = docs.drop("piece_ids", "decoded")
+    schema = given.withColumns({"piece_ids": F.lit(b""), "decoded": F.lit("")}).schema
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        m = model(path)
+        try:
+            for chunk in text_chunks(batches):
+                ids = m.encode([t or "" for t in chunk.column("text").to_pylist()])
+                texts = [m.decode(np.frombuffer(raw, np.uint32)) for raw in ids]
+                yield pa.RecordBatch.from_arrays([*chunk.columns, pa.array(ids, pa.binary()), pa.array(texts, pa.string())], [*chunk.schema.names, "piece_ids", "decoded"])
+        finally:
+            m.memo.clear()
+
+    return given.mapInArrow(run, schema)
+
+
 def sentencepieces(docs: DataFrame, tokenizer: str = "piece_bpe_32k.model") -> DataFrame:
     """Encode and decode every text: doc_id, n_pieces, ids_crc32, decoded_crc32, round_trip.
 

@@ -74,3 +74,5 @@ def test_round_trip(docs):
     assert all(r.round_trip for r in sentencepieces.sentencepieces(docs).collect())
     coded = sentencepieces.decode_column(sentencepieces.encode_column(docs))
     assert all(r.decoded == (r.text or "") for r in coded.collect()) and coded.columns[: len(docs.columns)] == docs.columns
+    once = sentencepieces.encode_and_decode(docs)
+    assert sorted(map(str, once.collect())) == sorted(map(str, coded.select(*once.columns).collect()))
