@@ -5,8 +5,8 @@ in a few packed blocks, dealt by a hash, so that frequent words don't gather in
 trie lies in shards in the shared folder, and workers map them into memory:
 
 * level 1: sorted word hashes with counts; a word's id is its rank;
-* level 2: for every context the ids of its successors seen at least ``MIN_COUNT`` times, kept as
-  one monotone Elias-Fano sequence relative to the context (context x vocabulary + word), monotone
+* level 2: for every context the ids of its successors (the query keeps all of them, ``train`` those
+  seen ``min_count`` times), kept as one monotone Elias-Fano sequence relative to the context (context x vocabulary + word), monotone
   pointers to each context's first successor, and 16-bit codes of the smoothed log10 probability
   and of each context's back-off weight.
 
@@ -369,17 +369,18 @@ def scores(docs: DataFrame, trie: Trie) -> DataFrame:
     return docs.select("doc_id", "held_out", "text").mapInArrow(run, "doc_id long, held_out boolean, n_tokens long, n_known long, train_tokens long, base_score double, score double")
 
 
-def lm_scores(docs: DataFrame, folds: int = 10) -> DataFrame:
+def lm_scores(docs: DataFrame, folds: int = 10, min_count: int = MIN_COUNT) -> DataFrame:
     """doc_id, held_out, n_tokens, n_known, train_tokens, base_score, score for each row.
 
     Rows whose crc32(doc_id) is no multiple of ``folds`` are learned from; a null doc_id is
     neither learned from nor held out.  A null or empty text is one end token.  Repeated rows
-    count each time.  With nothing to learn from, every token is unknown.
+    count each time.  With nothing to learn from, every token is unknown.  Pairs seen fewer than
+    ``min_count`` times are not kept.
     """
     fold = F.crc32(F.col("doc_id").cast("string")) % folds
-    trie = train(docs.where(fold != 0))
+    trie = train(docs.where(fold != 0), min_count=min_count)
     return scores(docs.select("doc_id", F.coalesce(fold == 0, F.lit(False)).alias("held_out"), "text"), trie)
 
 
 def query(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return lm_scores(table(spark, sf_dir, "documents"))
+    return lm_scores(table(spark, sf_dir, "documents"), min_count=1)

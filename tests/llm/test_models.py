@@ -48,6 +48,25 @@ def test_scores(spark, docs):
         assert g[:5] == w[:5] and abs(g[5] - w[5]) < 1e-9 * w[2] + 1e-6 and abs(g[6] - w[6]) < 2e-4 * w[2]
 
 
+def test_scores_of_pairs_seen_once(spark, tmp_path):
+    texts = ["red fox runs home", "red fox sleeps", "grey owl flies home", "grey owl sleeps now", "red owl runs now"] * 2 + [f"word{i} follows word{i + 1}" for i in range(30)]
+    spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string").coalesce(1).write.parquet(f"{tmp_path}/documents.parquet")
+    tokens = [t.split(" ") + ["\n"] for t in texts]
+    words, pairs, successors = Counter(), Counter(), Counter()
+    for i, t in enumerate(tokens):
+        if zlib.crc32(str(i).encode()) % 10:
+            words.update(t)
+            pairs.update(zip(["\n", *t], t))
+    successors.update(u for u, _ in pairs)
+    assert 1 in pairs.values() and max(pairs.values()) > 1
+    total, distinct = sum(words.values()), len(words)
+    p1 = lambda w: (words[w] + 0.1) / (total + 0.1 * (distinct + 1))
+    p2 = lambda u, w: (max(pairs[u, w] - 0.75, 0) + 0.75 * successors[u] * p1(w)) / words[u] if words[u] else p1(w)
+    for r in ngram.query(spark, str(tmp_path)).collect():
+        t = tokens[r.doc_id]
+        assert abs(r.score - sum(math.log10(p2(u, w)) for u, w in zip(["\n", *t], t))) < 2e-4 * len(t)
+
+
 def test_successors(spark, docs):
     trie = ngram.train(docs.select("text"))
     got = sum(len(trie.successors(c)) for c in range(trie.size))
