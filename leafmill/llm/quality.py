@@ -3,7 +3,8 @@
 Each document gives two histograms: its characters by class, and its words by common word.  The
 language references are the summed histograms of all rows of a language.  A document is kept if
 it passes the base rules and the Jensen-Shannon distances of both histograms to the nearest
-reference stay below their limits; documents and languages below a minimum length are not judged.
+reference stay below their limits.  Languages below a minimum length are no reference, and documents
+with fewer than MIN_COMMON common words, however long, are judged by their characters alone.
 """
 
 from __future__ import annotations
