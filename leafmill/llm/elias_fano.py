@@ -74,13 +74,14 @@ class Sequence:
         upper = self._select(index, ones, False) - index
         return (upper << self.low_bits) | self.low(index)
 
-    def find(self, values: np.ndarray) -> np.ndarray:
-        """Index of each value, -1 where it is absent."""
+    def find(self, values: np.ndarray, first: np.ndarray | int = 0, last: np.ndarray | None = None) -> np.ndarray:
+        """Index of each value in its range from ``first`` to before ``last``, -1 where it is absent there."""
         if not self.n or not len(values):
             return np.full(len(values), -1, np.int64)
         upper = values >> self.low_bits
         begin = np.where(upper > 0, self._select(np.maximum(upper - 1, 0), self.zeros, True) - upper + 1, 0)
         end = self._select(upper, self.zeros, True) - upper
+        begin, end = np.maximum(begin, first), np.minimum(end, self.n if last is None else last)
         wanted = values & ((1 << self.low_bits) - 1)
         low, high = begin.copy(), end.copy()
         while (open_ := np.flatnonzero(low < high)).size:

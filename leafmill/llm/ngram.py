@@ -216,7 +216,10 @@ class Trie:
             own = order[i:j]
             weight[own] = restore(arrays["weight"][context[own] - low])
             known = own[word[own] >= 0]
-            found = Sequence(arrays).find((context[known] - low) * self.size + word[known])
+            distinct, which = np.unique(context[known] - low, return_inverse=True)
+            pointers = pointers_of(arrays)
+            begin, end = pointers[distinct][which], pointers[distinct + 1][which]
+            found = Sequence(arrays).find(distinct[which] * self.size + word[known], begin, end)
             hit = found >= 0
             probability[known[hit]] = restore(arrays["code"][found[hit]])
         return probability, weight
@@ -226,7 +229,7 @@ class Trie:
         for shard, (low, high) in zip(self.level2, self.bounds):
             if low <= context < high:
                 arrays = opened(shard[1])
-                pointers = Sequence({k[2:]: v for k, v in arrays.items() if k.startswith("p_")})
+                pointers = pointers_of(arrays)
                 a, b = pointers[np.array([context - low, context - low + 1])]
                 return Sequence(arrays)[np.arange(a, b)] - (context - low) * self.size if b > a else np.zeros(0, np.int64)
         return np.zeros(0, np.int64)
@@ -241,6 +244,11 @@ def level_bound(bucket: int, buckets: int, size: int) -> tuple[int, int]:
     return -(-bucket * size // buckets), -(-(bucket + 1) * size // buckets)
 
 
+def pointers_of(arrays: dict[str, np.ndarray]) -> Sequence:
+    """Place of each context's first successor, and the end."""
+    return Sequence({k[2:]: v for k, v in arrays.items() if k.startswith("p_")})
+
+
 _open: dict[str, dict] = {}
 
 

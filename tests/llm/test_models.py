@@ -73,6 +73,23 @@ def test_successors(spark, docs):
     assert got == sum(r[2] for r in trie.level2) and (np.diff(trie.successors(3)) > 0).all()
 
 
+def test_pairs_are_searched_between_pointers(spark, docs, monkeypatch):
+    trie = ngram.train(docs.select("text"), min_count=1)
+    following = [trie.successors(c) for c in range(trie.size)]
+    context, word = np.repeat(np.arange(trie.size), list(map(len, following))), np.concatenate(following)
+    assert not np.isnan(trie.pairs(context, word)[0]).any()
+    absent = [(c, w) for c in range(20) for w in range(trie.size) if w not in following[c]]
+    assert np.isnan(trie.pairs(*np.array(absent).T)[0]).all()
+
+    def without_successors(uri, whole=ngram.opened):
+        arrays = whole(uri)
+        n = len(arrays.get("weight", ())) + 1
+        return {**arrays, **{f"p_{k}": v for k, v in elias_fano.encode(np.zeros(n, np.int64), 1).items()}}
+
+    monkeypatch.setattr(ngram, "opened", without_successors)
+    assert np.isnan(trie.pairs(context, word)[0]).all()
+
+
 def test_nothing_to_learn(none, docs):
     assert ngram.lm_scores(none).count() == 0
     assert all(r.n_known == 0 and r.train_tokens == 0 for r in ngram.scores(docs.selectExpr("doc_id", "false AS held_out", "text"), ngram.train(none.select("text"))).collect())
