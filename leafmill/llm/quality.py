@@ -1,10 +1,12 @@
 """Operator 10: quality rules with distribution divergence, in DataFrame operations only.
 
-Each document gives two histograms: its characters by class, and its words by common word.  The
-language references are the summed histograms of all rows of a language.  A document is kept if
-it passes the base rules and the Jensen-Shannon distances of both histograms to the nearest
-reference stay below their limits.  Languages below a minimum length are no reference, and documents
-with fewer than MIN_COMMON common words, however long, are judged by their characters alone.
+Each document gives two histograms: its characters by class, and its words by common word, all
+other words being one more bin.  The language references are the summed histograms of the rows of
+a language that pass the base rules.  A document is kept if it passes the base rules and there is
+a language to whose histograms both its Jensen-Shannon distances stay below their limits.
+Languages below a minimum length are no reference; documents of fewer than MIN_JUDGED words are
+judged by their characters alone.  A language that uses none of the listed words has all of its
+reference in the bin of other words, and so have its documents.
 """
 
 from __future__ import annotations
@@ -32,10 +34,12 @@ COMMON = list(dict.fromkeys(COMMON))
 MIN_WORDS = 50
 #: A language without so many words in all rows is no reference.
 MIN_REFERENCE = 2_000
-#: Documents with fewer common words than this are judged by their characters alone.
-MIN_COMMON = 20
+#: The references are part of the plan; more languages than this are an error.
+MAX_LANGUAGES = 200
+#: Documents with fewer words than this are judged by their characters alone.
+MIN_JUDGED = 80
 #: Limits of the Jensen-Shannon distance (base 2, 0 to 1).
-CHAR_LIMIT, WORD_LIMIT = 0.25, 0.70
+CHAR_LIMIT, WORD_LIMIT = 0.25, 0.28
 
 
 def _count(text: str, signs: str) -> Column:
@@ -67,7 +71,7 @@ def measures(docs: DataFrame, lang: str = "lang") -> DataFrame:
     marks, quotes, digits = _count("rest", MARKS), _count("rest", QUOTES), _count("rest", DIGITS)
     capitals = _count("rest", "ABCDEFGHIJKLMNOPQRSTUVWXYZ")
     counted = [lower.cast("long"), spaces, symbols, marks, quotes, digits, capitals]
-    rows = rows.withColumn("_c", F.array(*counted)).withColumn("_cw", F.filter("words", lambda w: w.isin(COMMON)))
+    rows = rows.withColumn("_c", F.array(*counted)).withColumn("_cw", F.filter(F.transform("words", F.lower), lambda w: w.isin(COMMON)))
     common = F.transform(F.array(*map(F.lit, COMMON)), lambda c: (F.size("_cw") - F.size(F.array_remove("_cw", c))).cast("long"))
     whole = F.length("text").cast("long")
     total = F.aggregate("_c", F.lit(0).cast("long"), lambda a, b: a + b)
@@ -80,17 +84,23 @@ def measures(docs: DataFrame, lang: str = "lang") -> DataFrame:
         (F.size("_lines") - F.size(F.array_distinct("_lines"))).cast("long").alias("n_dup_lines"),
         repeated("words").alias("n_repeat_words"),
         F.concat("_c", F.array(whole - total)).alias("chars"),
-        common.alias("common"),
+        F.concat(common, F.array((F.size("words") - F.size("_cw")).cast("long"))).alias("common"),
         whole.alias("n_chars"),
-        F.size("_cw").cast("long").alias("n_common"),
     )
 
 
 def references(measured: DataFrame) -> list[dict]:
-    """Summed histograms by language: one small row for each language (aggregated map-side)."""
-    sums = [F.sum(F.col("chars")[i]).alias(f"c{i}") for i in range(8)] + [F.sum(F.col("common")[i]).alias(f"w{i}") for i in range(len(COMMON))]
-    rows = measured.where(F.col("lang").isNotNull()).groupBy("lang").agg(F.sum("n_words").alias("n"), *sums).where(F.col("n") >= MIN_REFERENCE).orderBy("lang").collect()
-    return [{"chars": [r[f"c{i}"] for i in range(8)], "common": [r[f"w{i}"] for i in range(len(COMMON))]} for r in rows]
+    """Summed histograms by language of the rows that pass the base rules: one small row for each
+    language (aggregated map-side), at most MAX_LANGUAGES."""
+    sums = [F.sum(F.col("chars")[i]).alias(f"c{i}") for i in range(8)] + [F.sum(F.col("common")[i]).alias(f"w{i}") for i in range(len(COMMON) + 1)]
+    rows = measured.where(F.col("lang").isNotNull() & ~base_failed()).groupBy("lang").agg(F.sum("n_words").alias("n"), *sums).where(F.col("n") >= MIN_REFERENCE).orderBy("lang").limit(MAX_LANGUAGES + 1).collect()
+    if len(rows) > MAX_LANGUAGES:
+        raise ValueError(f"more than {MAX_LANGUAGES} languages have a reference: is lang a language?")
+    return [{"chars": [r[f"c{i}"] for i in range(8)], "common": [r[f"w{i}"] for i in range(len(COMMON) + 1)]} for r in rows]
+
+
+def base_failed() -> Column:
+    return (F.col("n_words") < MIN_WORDS) | (100 * F.col("n_repeat_words") > 50 * F.col("n_words"))
 
 
 def distance(counts: str, total: str, reference: list[int]) -> Column:
@@ -111,11 +121,12 @@ def distance(counts: str, total: str, reference: list[int]) -> Column:
 def rated(measured: DataFrame) -> DataFrame:
     """``measured`` with ``char_distance``, ``word_distance`` (to the nearest reference; 0 without any) and ``kept``."""
     found = references(measured)
-    nearest = lambda kind: F.least(*[distance(kind, f"n_{kind}", r[kind]) for r in found], F.lit(1.0)) if found else F.lit(0.0)
-    rows = measured.withColumns({"char_distance": nearest("chars"), "word_distance": nearest("common")})
-    failed = (F.col("n_words") < MIN_WORDS) | (100 * F.col("n_repeat_words") > 50 * F.col("n_words"))
-    far = (F.col("char_distance") > CHAR_LIMIT) | ((F.col("n_common") >= MIN_COMMON) & (F.col("word_distance") > WORD_LIMIT))
-    return rows.withColumn("base_failed", failed).withColumn("kept", ~failed & ~far)
+    rows = measured
+    for kind, total in (("chars", "n_chars"), ("common", "n_words")):
+        rows = rows.withColumn(f"d_{kind}", F.array(*[distance(kind, total, r[kind]) for r in found]) if found else F.array(F.lit(0.0)))
+    near = F.zip_with("d_chars", "d_common", lambda c, w: (c <= CHAR_LIMIT) & ((F.col("n_words") < MIN_JUDGED) | (w <= WORD_LIMIT)))
+    rows = rows.withColumns({"char_distance": F.array_min("d_chars"), "word_distance": F.array_min("d_common")})
+    return rows.withColumn("base_failed", base_failed()).withColumn("kept", ~F.col("base_failed") & F.exists(near, lambda x: x))
 
 
 def quality(docs: DataFrame) -> DataFrame:
@@ -152,17 +163,18 @@ WITH a AS (SELECT row_number() OVER () AS r, doc_id, lang, coalesce(text, '') AS
 b AS (SELECT r, doc_id, lang, {words} AS w, {lines} AS l, len(t) AS n, [{counts}] AS k FROM a),
 c AS (SELECT *, list_transform(k, lambda x: n - x) AS h FROM b),
 m AS (SELECT r, doc_id, lang, len(w) AS n_words, n - h[2] AS word_chars, h[3] AS n_symbols, len(l) - len(list_distinct(l)) AS n_dup_lines, w,
-  list_append(h, n - list_sum(h)) AS c_h, list_filter(w, lambda x: list_contains({common}, x)) AS cw FROM c),
+  list_append(h, n - list_sum(h)) AS c_h, list_filter([lower(x) for x in w], lambda x: list_contains({common}, x)) AS cw FROM c),
 g AS (SELECT r, i, w[i] || ' ' || w[i + 1] || ' ' || w[i + 2] AS s FROM (SELECT r, w, unnest(generate_series(1, len(w) - 2)) AS i FROM m)),
 d AS (SELECT r, i FROM (SELECT r, i, count(*) OVER (PARTITION BY r, s) AS n FROM g) WHERE n > 1),
 e AS (SELECT r, count(DISTINCT j) AS n_repeat FROM (SELECT r, unnest([i, i + 1, i + 2]) AS j FROM d) GROUP BY r),
-f AS (SELECT m.* EXCLUDE (w, cw), coalesce(n_repeat, 0) AS n_repeat_words, [len(list_filter(cw, lambda x: x = y)) for y in {common}] AS w_h FROM m LEFT JOIN e USING (r)),
-u AS (SELECT lang, c_q, w_q, list_sum(c_q) AS c_m, list_sum(w_q) AS w_m FROM (SELECT lang, sum(n_words) AS n, [{", ".join(f"sum(c_h[{i + 1}])" for i in range(8))}] AS c_q, [{", ".join(f"sum(w_h[{i + 1}])" for i in range(len(COMMON)))}] AS w_q FROM f WHERE lang IS NOT NULL GROUP BY lang) WHERE n >= {MIN_REFERENCE}),
+f0 AS (SELECT m.* EXCLUDE (w, cw), coalesce(n_repeat, 0) AS n_repeat_words, list_append([len(list_filter(cw, lambda x: x = y)) for y in {common}], n_words - len(cw)) AS w_h FROM m LEFT JOIN e USING (r)),
+f AS (SELECT *, n_words < {MIN_WORDS} OR 100 * n_repeat_words > 50 * n_words AS base_failed FROM f0),
+u AS (SELECT lang, c_q, w_q, list_sum(c_q) AS c_m, list_sum(w_q) AS w_m FROM (SELECT lang, sum(n_words) AS n, [{", ".join(f"sum(c_h[{i + 1}])" for i in range(8))}] AS c_q, [{", ".join(f"sum(w_h[{i + 1}])" for i in range(len(COMMON) + 1))}] AS w_q FROM f WHERE lang IS NOT NULL AND NOT base_failed GROUP BY lang) WHERE n >= {MIN_REFERENCE}),
 v AS (SELECT f.*, list_sum(c_h) AS c_n, list_sum(w_h) AS w_n, [x / list_sum(c_h) for x in c_h] AS c_p, [x / list_sum(w_h) for x in w_h] AS w_p FROM f),
-z AS (SELECT r, min({least("c")}) AS cd, min({least("w")}) AS wd FROM (SELECT v.*, c_m, w_m, [x / c_m for x in c_q] AS c_q, [x / w_m for x in w_q] AS w_q FROM v, u) GROUP BY r),
-y AS (SELECT v.*, n_words < {MIN_WORDS} OR 100 * n_repeat_words > 50 * n_words AS base_failed, coalesce(cd, 0) AS cd, coalesce(wd, 0) AS wd FROM v LEFT JOIN z USING (r))
+z AS (SELECT r, bool_or({least("c")} <= {CHAR_LIMIT} AND (n_words < {MIN_JUDGED} OR {least("w")} <= {WORD_LIMIT})) AS near FROM (SELECT v.*, c_m, w_m, [x / c_m for x in c_q] AS c_q, [x / w_m for x in w_q] AS w_q FROM v, u) GROUP BY r),
+y AS (SELECT v.*, coalesce(near, true) AS near FROM v LEFT JOIN z USING (r))
 SELECT doc_id, CAST(n_words AS BIGINT) AS n_words, CAST(word_chars AS BIGINT) AS word_chars, CAST(n_symbols AS BIGINT) AS n_symbols, CAST(n_dup_lines AS BIGINT) AS n_dup_lines,
-  CAST(n_repeat_words AS BIGINT) AS n_repeat_words, base_failed, NOT base_failed AND NOT (cd > {CHAR_LIMIT} OR (w_n >= {MIN_COMMON} AND wd > {WORD_LIMIT})) AS kept
+  CAST(n_repeat_words AS BIGINT) AS n_repeat_words, base_failed, NOT base_failed AND near AS kept
 FROM y
 """
 

@@ -11,6 +11,11 @@ def prose(seed: int, n: int) -> str:
     return " ".join(r.choice(WORDS) + r.choice(["", "", "", ",", "."]) + str(r.randrange(50)) * (r.random() < 0.2) for _ in range(n))
 
 
+@pytest.fixture(scope="session")
+def make_prose():
+    return prose
+
+
 @pytest.fixture(scope="session")
 def texts():
     """Awkward texts: null, empty, blank, copies, near copies, a long one, periodic ones, other scripts."""

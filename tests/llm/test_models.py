@@ -154,7 +154,18 @@ def test_quality_separates(spark):
     d = spark.read.parquet("/root/testdata/sf0.01/documents.parquet").join(spark.read.parquet("/root/testdata/sf0.01/labels.parquet"), "doc_id")
     rows = quality.quality(d).join(d.select("doc_id", "quality"), "doc_id").where("NOT base_failed").collect()
     good, bad = [r.kept for r in rows if r.quality], [r.kept for r in rows if not r.quality]
-    assert sum(good) >= 0.98 * len(good) and sum(bad) <= 0.5 * len(bad)
+    assert sum(good) >= 0.99 * len(good) and sum(bad) <= 0.15 * len(bad)
+
+
+def test_quality_of_capitals_and_other_scripts(spark, make_prose):
+    prose = make_prose
+    text = prose(11, 400)
+    han = " ".join("".join(chr(0x4E00 + (i * 37 + k * 11) % 900) for k in range(3 + i % 4)) for i in range(300))
+    rows = [(i, prose(20 + i, 400), "en") for i in range(30)] + [(100 + i, han, "zh") for i in range(10)] + [(200, text.upper(), None), (201, " ".join(f"w{i}x" for i in range(300)), "en")]
+    kept = {r.doc_id: r.kept for r in quality.quality(spark.createDataFrame(rows, "doc_id long, text string, lang string")).collect()}
+    assert all(kept[i] for i in range(30)) and all(kept[100 + i] for i in range(10)) and not kept[201]
+    words = quality.rated(quality.measures(spark.createDataFrame(rows, "doc_id long, text string, lang string"))).where("doc_id IN (0, 200)").collect()
+    assert all(r.word_distance < quality.WORD_LIMIT for r in words)
 
 
 PAGE = """<html><head><title>T</title><script>var a="</p>";</script></head><body><nav><ul><li><a href=x>Home</a></li></ul></nav><div class="cookie-notice">We use cookies, a lot.</div>
