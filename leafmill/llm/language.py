@@ -1,8 +1,8 @@
-"""Operator 9: language identification by multinomial naive Bayes over hashed byte n-grams.
+"""Operator 9: language identification by multinomial naive Bayes over hashed character n-grams.
 
-Texts are lower-cased (A-Z), ASCII other than letters becomes a blank, and each place of the text
-gives four features: the n-grams of 1 to 4 UTF-8 bytes that begin there, hashed to ``BUCKETS``
-buckets.  A batch of documents is a sparse count matrix in row order (all features of a
+Texts are lower-cased (A-Z), ASCII other than letters becomes a blank, and each character of the
+text gives four features: the n-grams of 1 to 4 characters (code points) that begin there, hashed
+to ``BUCKETS`` buckets.  A batch of documents is a sparse count matrix in row order (all features of a
 document side by side); its product with the broadcast log-probability matrix is a gather and a
 segmented sum.
 """
@@ -18,38 +18,43 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from leafmill.llm.common import prepare, table, text_bytes, text_chunks, wrapped
+from leafmill.llm.hashing import mix
 
 BITS = 15
 BUCKETS = 1 << BITS
 SIZES = (1, 2, 3, 4)
 #: The classifier is fitted on at most about this many labelled documents (by a hash of doc_id).
 TRAIN_DOCS = 20_000
+#: The matrix has one column for each language; more distinct labels than this are an error.
+MAX_LANGUAGES = 500
 UNKNOWN = "und"
 _letter = re.compile(r"[^\W\d_]")
-_fold = np.arange(256, dtype=np.uint32)
-_fold[:128] = 32
+_fold = np.full(128, 32, np.uint32)
 _fold[97:123] = np.arange(97, 123)
 _fold[65:91] = np.arange(97, 123)
+_BASE = np.uint64(0x9E3779B97F4A7C15)
 
 
-def features(raw: np.ndarray, offsets: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-    """(buckets of shape [places, sizes], first place of each document and the end)."""
+def characters(raw: np.ndarray, offsets: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """(folded code points of UTF-8 texts, first one of each document and the end)."""
+    points = np.frombuffer(raw.tobytes().decode("utf-8", "replace").encode("utf-32-le"), np.uint32)
+    begun = np.concatenate([[0], np.cumsum((raw & 0xC0) != 0x80)])
+    return np.where(points < 128, _fold[np.minimum(points, 127)], points), begun[offsets]
+
+
+def features(points: np.ndarray, offsets: np.ndarray) -> np.ndarray:
+    """Buckets of shape [characters, sizes]; blanks follow the end of each document."""
     pad = max(SIZES) - 1
     n, sizes = len(offsets) - 1, np.diff(offsets)
-    flat = np.full(int(offsets[-1]) + pad * n, 32, np.uint32)
-    begin = offsets[:-1] + pad * np.arange(n)
-    place = np.repeat(begin - offsets[:-1], sizes) + np.arange(int(offsets[-1]))
-    flat[place] = _fold[raw]
-    flat = np.append(flat, np.full(pad, 32, np.uint32))
+    flat = np.full(int(offsets[-1]) + pad * (n + 1), 32, np.uint64)
+    place = np.arange(int(offsets[-1])) + np.repeat(pad * np.arange(n), sizes)
+    flat[place] = points
     out = np.empty((len(place), len(SIZES)), np.int32)
-    gram = np.zeros(len(flat), np.uint32)
+    gram = np.zeros(len(flat), np.uint64)
     for k, size in enumerate(SIZES):
-        gram[: len(flat) - size + 1] = (gram[: len(flat) - size + 1] << np.uint32(8)) | flat[size - 1 :]
-        mixed = (gram + np.uint32(0x9E3779B9 * size & 0xFFFFFFFF)) * np.uint32(2654435761)
-        mixed ^= mixed >> np.uint32(15)
-        mixed *= np.uint32(2246822519)
-        out[:, k] = (mixed >> np.uint32(32 - BITS))[place]
-    return out, offsets
+        gram[: len(flat) - size + 1] = gram[: len(flat) - size + 1] * _BASE + flat[size - 1 :] + np.uint64(1)
+        out[:, k] = mix(gram[place]) >> np.uint64(64 - BITS)
+    return out
 
 
 def held_out(doc_id: str = "doc_id"):
@@ -59,6 +64,9 @@ def held_out(doc_id: str = "doc_id"):
 def fit(docs: DataFrame, train_docs: int = TRAIN_DOCS) -> dict:
     """Log-probabilities learned from the rows with a label that are not held out.
 
+    All of them up to ``train_docs``; beyond that about ``train_docs`` of them, drawn by a 64-bit
+    hash of doc_id (rows that share a doc_id are drawn together).  A null text teaches the prior only.
+
     Each task counts n-grams by language in one array; Spark adds the arrays' entries up, so the
     driver receives at most languages x buckets counts, however large the corpus is.
     """
@@ -66,14 +74,14 @@ def fit(docs: DataFrame, train_docs: int = TRAIN_DOCS) -> dict:
     labelled = docs.where(F.col("lang").isNotNull() & F.col("doc_id").isNotNull() & ~held_out())
     total = labelled.count()
     share = min(1.0, train_docs / max(total, 1))
-    drawn = labelled.where(F.pmod(F.xxhash64("doc_id"), F.lit(1_000_000)) < int(share * 1_000_000)) if share < 1 else labelled
+    drawn = labelled.where(F.xxhash64("doc_id") < F.lit(int(share * 2**64) - 2**63)) if share < 1 else labelled
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         counts: dict[str, np.ndarray] = {}
         documents: dict[str, int] = {}
         for chunk in text_chunks(batches):
-            raw, offsets = text_bytes(chunk.column("text"))
-            grams, _ = features(raw, offsets)
+            points, offsets = characters(*text_bytes(chunk.column("text")))
+            grams = features(points, offsets)
             for row, lang in enumerate(chunk.column("lang").to_pylist()):
                 own = counts.setdefault(lang, np.zeros(BUCKETS, np.int64))
                 own += np.bincount(grams[offsets[row] : offsets[row + 1]].ravel(), minlength=BUCKETS)
@@ -83,6 +91,9 @@ def fit(docs: DataFrame, train_docs: int = TRAIN_DOCS) -> dict:
             at, n = np.append(at, -1), np.append(own[at], documents[lang])
             yield pa.RecordBatch.from_arrays([pa.array([lang] * len(at)), pa.array(at, pa.int32()), pa.array(n, pa.int64())], ["lang", "bucket", "n"])
 
+    distinct = drawn.select("lang").distinct().limit(MAX_LANGUAGES + 1).count()
+    if distinct > MAX_LANGUAGES:
+        raise ValueError(f"more than {MAX_LANGUAGES} distinct labels: is lang a language?")
     parts = drawn.select("lang", "text").repartition(16).mapInArrow(run, "lang string, bucket int, n long")
     found = parts.groupBy("lang", "bucket").agg(F.sum("n").alias("n")).toPandas()
     langs = sorted(found["lang"].unique().tolist())
@@ -93,12 +104,13 @@ def fit(docs: DataFrame, train_docs: int = TRAIN_DOCS) -> dict:
     counts[bucket[gram], column[gram].astype(int) if len(column) else []] = n[gram]
     prior[column[~gram].astype(int) if len(column) else []] = n[~gram]
     table_ = np.log((counts + 0.1) / (counts.sum(0) + 0.1 * BUCKETS)) if langs else np.zeros((BUCKETS, 0))
-    return {"langs": langs, "prior": np.log((prior + 1) / (prior.sum() + len(langs))) if langs else prior, "table": table_.astype(np.float32)}
+    return {"langs": langs, "documents": int(prior.sum()), "prior": np.log((prior + 1) / (prior.sum() + len(langs))) if langs else prior, "table": table_.astype(np.float32)}
 
 
 def score(raw: np.ndarray, offsets: np.ndarray, fitted: dict) -> np.ndarray:
     """Posterior of each language for each document."""
-    grams, _ = features(raw, offsets)
+    points, offsets = characters(raw, offsets)
+    grams = features(points, offsets)
     n = len(offsets) - 1
     total = np.tile(fitted["prior"], (n, 1))
     full = np.flatnonzero(np.diff(offsets) > 0)
@@ -113,7 +125,8 @@ def identify(docs: DataFrame, fitted: dict, keep: bool = False) -> DataFrame:
     """doc_id, held_out, lang_pred, score for each row; with ``keep``, text and ``rest`` (see ``wrapped``) too.
 
     ``und`` with score 0 for a null text, one without a letter, or when nothing was learned.  A
-    null doc_id is not held out.  One pass, no shuffle.
+    null doc_id is not held out.  A very long text is one slice of its own, its features taking
+    about 50 bytes for each character.  One pass, no shuffle.
     """
     spark = prepare(docs.sparkSession)
     given = wrapped(docs) if keep else docs.select("doc_id", "text")

@@ -105,6 +105,47 @@ def test_languages(spark, docs):
     assert odd[None] == odd[""] == odd["1234 5678 ..."] == "und" and odd["one"] != "und"
 
 
+def test_languages_by_brute_force(spark):
+    """The same rows from dictionaries of character n-grams, each document on its own."""
+    texts = {"a": "Über den Fluß, 12 Häuser", "b": "the old house by THE river", "c": "日本語の家と川"}
+    rows = [(i, texts[x], x) for i, x in enumerate("abcabcabcaabb")] + [(50, "Häuser am Fluß", None), (51, "川の家", None), (52, "é", None), (53, "x" * 30 + "日", None)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string, lang string")
+
+    def grams(text):
+        t = [c.lower() if c.isascii() and c.isalpha() else " " if c.isascii() else c for c in text]
+        return ["".join(t[i : i + n]).ljust(n) for i in range(len(t)) for n in (1, 2, 3, 4)]
+
+    def bucket(gram):
+        h = 0
+        for c in gram:
+            h = (h * 0x9E3779B97F4A7C15 + ord(c) + 1) % 2**64
+        for shift, factor in ((30, 0xBF58476D1CE4E5B9), (27, 0x94D049BB133111EB)):
+            h = (h ^ h >> shift) * factor % 2**64
+        return (h ^ h >> 31) >> (64 - language.BITS)
+
+    counts, prior = {x: Counter() for x in "abc"}, Counter()
+    for i, t, x in rows:
+        if x and zlib.crc32(str(i).encode()) % 4 != 2:
+            counts[x].update(map(bucket, grams(t)))
+            prior[x] += 1
+    for r in language.identify(docs, language.fit(docs)).collect():
+        text = next(t for i, t, _ in rows if i == r.doc_id)
+        logs = {}
+        for x in "abc":
+            total = sum(counts[x].values()) + 0.1 * language.BUCKETS
+            logs[x] = math.log((prior[x] + 1) / (sum(prior.values()) + 3)) + sum(math.log((counts[x][bucket(g)] + 0.1) / total) for g in grams(text))
+        best = max(logs, key=logs.get)
+        assert r.lang_pred == best and abs(r.score - 1 / sum(math.exp(v - logs[best]) for v in logs.values())) < 1e-3
+        assert r.held_out == (zlib.crc32(str(r.doc_id).encode()) % 4 == 2)
+
+
+def test_training_draw(spark):
+    docs = spark.range(4000).selectExpr("id AS doc_id", "concat('word ', id) AS text", "IF(id % 2 = 0, 'a', 'b') AS lang")
+    few = language.fit(docs, train_docs=300)
+    assert few["langs"] == ["a", "b"] and 220 < few["documents"] < 380
+    assert language.fit(docs)["documents"] == docs.where(~language.held_out()).count()
+
+
 def test_decontaminate(spark, docs, texts):
     from leafmill.llm import decontaminate as module
 
