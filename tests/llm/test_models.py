@@ -5,7 +5,7 @@ from collections import Counter
 
 import numpy as np
 
-from leafmill.llm import elias_fano, html_text, language, ngram, quality
+from leafmill.llm import elias_fano, language, ngram, quality
 from leafmill.llm.decontaminate import decontaminate
 
 
@@ -207,21 +207,3 @@ def test_quality_of_capitals_and_other_scripts(spark, make_prose):
     assert all(kept[i] for i in range(30)) and all(kept[100 + i] for i in range(10)) and not kept[201]
     words = quality.rated(quality.measures(spark.createDataFrame(rows, "doc_id long, text string, lang string"))).where("doc_id IN (0, 200)").collect()
     assert all(r.word_distance < quality.WORD_LIMIT for r in words)
-
-
-PAGE = """<html><head><title>T</title><script>var a="</p>";</script></head><body><nav><ul><li><a href=x>Home</a></li></ul></nav><div class="cookie-notice">We use cookies, a lot.</div>
-<article><h1>Head &amp; more</h1><p>First text,  with marks. And more of it, here.<p><b>Second text.<br></b>It goes
-on, for long.</p><p>End.</p><section class="comments"><p>Nice article, thanks. I liked it, really.</p></section></article><footer>&copy; us</footer></body></html>"""
-
-
-def test_main_text():
-    assert html_text.main_text(PAGE) == "Head & more\n\nFirst text, with marks. And more of it, here.\n\nSecond text. It goes on, for long.\n\nEnd."
-    assert html_text.main_text(None) == html_text.main_text("") == html_text.main_text("<nav>a</nav>") == ""
-    assert html_text.main_text("<body><div><p>Only text, in a div.</p><p>More text.</p></div><aside>no</aside>") == "Only text, in a div.\n\nMore text."
-    assert html_text.main_text("<article><p>cut &am") == "cut &am"
-    assert html_text.main_text("<article><p>cut here. <a hr") == "cut here."
-
-
-def test_pages(spark):
-    rows = html_text.html_text(spark.createDataFrame([(1, "u", PAGE), (None, None, None), (1, "u", PAGE)], "page_id long, url string, html string")).collect()
-    assert len(rows) == 3 and rows[0] == rows[2] and rows[1].n_chars == 0 and rows[0].n_chars == len(rows[0].text)
