@@ -1,15 +1,18 @@
 """Operator 7: removal of repeated strings by prefix-free parsing.
 
 Every text is parsed into phrases at rolling-hash triggers (see ``phrases``): the parse is the
-list of phrases with their places, the dictionary the distinct phrases.  A phrase that occurs
-twice in the parse is repeated as a whole.  What is left are phrases that share their trigger
-with another phrase but occur once: the edges of repeats.  Only these are written out, gathered
-by trigger, and the suffixes of the gathered phrases are put in order to find those with
-SPAN bytes in common; the places of the phrase in the parse carry the result back to the texts.
-
-No more than one phrase in about 80 bytes is shuffled, phrases with a trigger of their own are
-dropped by a join that splits skewed keys, and triggers with very many phrases are dealt out by
-string instead of by trigger.
+list of phrases with their places, the dictionary the distinct phrases.  Phrases overlap so far
+that every string of SPAN bytes lies in one phrase.  A phrase that occurs twice in the parse is
+repeated as a whole.  What is left are phrases that share their trigger with another phrase but
+occur once: the edges of repeats.  Only these are written out and gathered by trigger; the
+suffixes of a bounded part of the dictionary are put in order by prefix doubling, and suffixes
+with SPAN bytes in common are neighbours there; the places of the phrase in the parse carry the
+result back to the texts.
+
+No more than one phrase in about 80 bytes is shuffled, and phrases with a trigger of their own are
+dropped by a join that splits skewed keys.  Triggers with more than GROUP phrases are split by the
+bytes around the trigger: a shared string reaches at least half of what it needs beyond the
+trigger to one of its two sides, so phrases that share one meet in a group that agrees there.
 """
 
 from __future__ import annotations
@@ -23,14 +26,14 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from leafmill.llm.common import prepare, stage, table, text_bytes, text_chunks, unstage, wrapped
-from leafmill.llm.hashing import Prefixes, mix
-from leafmill.llm.phrases import SPAN, phrases
+from leafmill.llm.phrases import GRAM, SPAN, phrases
 
-
-#: Phrases of one trigger that a task orders at once (about 350 bytes each); larger groups are dealt out by string.
-GROUP = 20_000
-#: Phrases ordered at once.
+#: Phrases of one group that a task orders at once (about 350 bytes each); larger groups are split.
+GROUP = 4_000
+#: Phrases ordered at once, if they are more than those of one group.
 BATCH = 4_000
+
+
 def _id():
     return F.coalesce("doc_id", F.lit(-(1 << 62))).alias("did")
 
@@ -73,11 +76,12 @@ _written = pa.schema([(n, pa.int64()) for n in ("trigger", "whole", "n", "group"
 _spans = pa.schema([(n, pa.int64()) for n in ("did", "th", "start", "stop")])
 
 
-def suffix_order(trigger: np.ndarray, before: np.ndarray, texts: list[bytes]) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+def suffix_order(texts: list[bytes], whole: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     """(phrase, place in the phrase, shared) of each SPAN-byte string at the head of a suffix.
 
-    Suffixes are ordered by trigger, distance to it and the hash of their first SPAN bytes;
-    neighbours that agree in all three are compared byte by byte.
+    Suffixes are ranked by their first 8 bytes, and by twice as many in each round, until the
+    rank covers SPAN bytes.  A suffix that has lost all its equals shares nothing and leaves.
+    Strings of one rank are shared if they stand in different phrases (``whole``).
     """
     raw = np.frombuffer(b"".join(texts), np.uint8)
     sizes = np.fromiter(map(len, texts), np.int64, len(texts))
@@ -85,18 +89,37 @@ def suffix_order(trigger: np.ndarray, before: np.ndarray, texts: list[bytes]) ->
     phrase = np.repeat(np.arange(len(texts)), strings)
     place = np.arange(len(phrase)) - np.repeat(np.cumsum(strings) - strings, strings)
     start = (np.cumsum(sizes) - sizes)[phrase] + place
-    away = before[phrase] - place
-    head = Prefixes(raw).of(start, start + SPAN)
-    key = mix(head + trigger[phrase].view(np.uint64) * np.uint64(0xD6E8FEB86659FD93) + away.astype(np.uint64) * np.uint64(0xA24BAED4963EE407))
-    order = np.argsort(key, kind="stable")
-    pair = np.flatnonzero(key[order][1:] == key[order][:-1])
-    shared = np.zeros(len(phrase), bool)
-    view = np.lib.stride_tricks.sliding_window_view(raw, SPAN)
-    for i in range(0, len(pair), 20_000):
-        a, b = order[pair[i : i + 20_000]], order[pair[i : i + 20_000] + 1]
-        same = (view[start[a]] == view[start[b]]).all(axis=1) & (trigger[phrase[a]] == trigger[phrase[b]])
-        shared[a[same]] = True
-        shared[b[same]] = True
+
+    key = np.zeros(len(raw), np.uint64)
+    for i in range(8):
+        key[: len(raw) - i] |= raw[i:].astype(np.uint64) << np.uint64(56 - 8 * i)
+    at, have = np.arange(len(raw)), 8
+    rank = np.full(len(raw) + SPAN, -1)
+    while True:
+        order = np.argsort(key)
+        ranked = key[order]
+        new = np.append(True, ranked[1:] != ranked[:-1])
+        equal = ~(new & np.append(new[1:], True))  # has a neighbour with the same head
+        rank[:] = -1
+        rank[at[order[equal]]] = np.cumsum(new)[equal]
+        if have == SPAN or not equal.any():
+            break
+        step = min(have, SPAN - have)
+        at = np.flatnonzero(rank >= 0)
+        at = at[rank[at + step] >= 0]
+        key = rank[at] * np.int64(len(rank)) + rank[at + step]
+        have += step
+        if not len(at):
+            rank[:] = -1
+            break
+    shared = np.zeros(len(start), bool)
+    ranked = np.flatnonzero(rank[start] >= 0) if have == SPAN else start[:0]
+    if len(ranked):
+        ranked = ranked[np.argsort(rank[start[ranked]], kind="stable")]
+        first = np.flatnonzero(np.append(True, np.diff(rank[start[ranked]]) != 0))
+        owner = whole[phrase[ranked]]
+        several = np.minimum.reduceat(owner, first) != np.maximum.reduceat(owner, first)
+        shared[ranked[np.repeat(several, np.diff(np.append(first, len(ranked))))]] = True
     return phrase, place, shared
 
 
@@ -110,8 +133,8 @@ def _ranges(flags: np.ndarray, phrase: np.ndarray, place: np.ndarray):
     return phrase[first], place[first], place[last]
 
 
-def edges(written: DataFrame) -> DataFrame:
-    """did, th, start, stop: what phrases that occur once share with others of their trigger."""
+def edges(groups: DataFrame) -> DataFrame:
+    """did, th, start, stop: what phrases that occur once share with others of their group."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         held: list[pa.RecordBatch] = []
@@ -119,7 +142,7 @@ def edges(written: DataFrame) -> DataFrame:
 
         def solve(rows: pa.Table):
             column = lambda n: rows.column(n).to_numpy()
-            phrase, place, shared = suffix_order(column("trigger"), column("before"), rows.column("bytes").to_pylist())
+            phrase, place, shared = suffix_order(rows.column("bytes").to_pylist(), column("whole"))
             own, first, last = _ranges(shared & (column("n")[phrase] == 1), phrase, place)
             low = column("low")[own]
             return pa.RecordBatch.from_arrays([pa.array(column("did")[own]), pa.array(column("th")[own]), pa.array(low + first), pa.array(low + last + SPAN)], schema=_spans)
@@ -129,10 +152,10 @@ def edges(written: DataFrame) -> DataFrame:
                 part = batch.slice(i, 2000)
                 held.append(part)
                 count += part.num_rows
-                if count >= BATCH:  # all but the last trigger's phrases are complete
+                if count >= BATCH:  # all but the last group's phrases are complete
                     rows = pa.Table.from_batches(held).combine_chunks()
-                    trigger = rows.column("trigger").to_numpy()
-                    cut = int(np.flatnonzero(trigger != trigger[-1])[-1]) + 1 if (trigger != trigger[-1]).any() else 0
+                    key = rows.column("key").to_numpy()
+                    cut = int(np.flatnonzero(key != key[-1])[-1]) + 1 if (key != key[-1]).any() else 0
                     if cut:
                         yield solve(rows.slice(0, cut))
                     held = rows.slice(cut).to_batches()
@@ -140,35 +163,39 @@ def edges(written: DataFrame) -> DataFrame:
         if count:
             yield solve(pa.Table.from_batches(held).combine_chunks())
 
-    small = written.where(F.col("group") <= GROUP)
-    dealt = small.repartition(F.col("trigger")).sortWithinPartitions("trigger")
+    dealt = groups.select("key", "whole", "n", "did", "th", "low", "bytes").repartition(F.col("key")).sortWithinPartitions("key")
     return dealt.mapInArrow(run, "did long, th long, start long, stop long")
 
 
-def crowded_edges(written: DataFrame) -> DataFrame:
-    """The same for triggers with more than GROUP phrases: strings meet by their own hash."""
+def bounded_groups(written: DataFrame) -> tuple[DataFrame, DataFrame | None]:
+    """(phrases with the ``key`` of their group, spans of strings that more than GROUP phrases share).
 
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            for i in range(0, batch.num_rows, 500):
-                part = batch.slice(i, 500)
-                texts = part.column("bytes").to_pylist()
-                raw = np.frombuffer(b"".join(texts), np.uint8)
-                sizes = np.fromiter(map(len, texts), np.int64, len(texts))
-                strings = sizes - SPAN + 1
-                phrase = np.repeat(np.arange(len(texts)), strings)
-                place = np.arange(len(phrase)) - np.repeat(np.cumsum(strings) - strings, strings)
-                start = (np.cumsum(sizes) - sizes)[phrase] + place
-                sums = Prefixes(raw)
-                take = lambda n: part.column(n).take(pa.array(phrase))
-                yield pa.RecordBatch.from_arrays(
-                    [pa.array(sums.of(start, start + SPAN).view(np.int64)), pa.array(sums.of(start + 1, start + SPAN - 1).view(np.int64)), take("trigger"), take("whole"), take("n"), take("did"), take("th"), pa.array(part.column("low").to_numpy()[phrase] + place)],
-                    ["h1", "h2", "trigger", "whole", "n", "did", "th", "start"],
-                )
-
-    strings = written.where(F.col("group") > GROUP).mapInArrow(run, "h1 long, h2 long, trigger long, whole long, n long, did long, th long, start long")
-    shared = strings.groupBy("trigger", "h1", "h2").agg(F.min("whole").alias("a"), F.max("whole").alias("b")).where("a != b")
-    return strings.where("n = 1").join(shared.select("trigger", "h1", "h2"), ["trigger", "h1", "h2"], "left_semi").select("did", "th", "start", (F.col("start") + SPAN).alias("stop"))
+    A string of SPAN bytes needs SPAN - GRAM bytes beside the trigger.  A crowded group is split by
+    the first half of them, once before and once behind the trigger, and so on with what is
+    needed then; at the end a group is one string.
+    """
+    columns = ["key", "n", "whole", "did", "th", "low", "before", "bytes", "left", "right"]
+    rows = written.withColumns({"key": F.col("trigger"), "left": F.lit(0), "right": F.lit(0)})
+    done = rows.where(F.col("group") <= GROUP).select(*columns)
+    rows, need = rows.where(F.col("group") > GROUP).select(*columns), SPAN - GRAM
+    while not rows.isEmpty():
+        if not need:
+            string = rows.withColumn("string", F.substring("bytes", F.col("before") - F.col("left") + 1, F.lit(SPAN)))
+            shared = string.groupBy("key", "string").agg(F.min("whole").alias("a"), F.max("whole").alias("b")).where("a != b").select("key", "string")
+            start = F.col("low") + F.col("before") - F.col("left")
+            return done, string.where("n = 1").join(shared, ["key", "string"], "left_semi").select("did", "th", start.alias("start"), (start + SPAN).alias("stop"))
+        step = -(-need // 2)
+        bytes_at = lambda at: F.substring("bytes", at + 1, F.lit(step))
+        before = F.col("before") - F.col("left") - step
+        behind = F.col("before") + GRAM + F.col("right")
+        to_left = rows.where(before >= 0).withColumns({"key": F.xxhash64(F.lit("left"), "key", bytes_at(before)), "left": F.col("left") + step})
+        to_right = rows.where(F.octet_length("bytes") >= behind + step).withColumns({"key": F.xxhash64(F.lit("right"), "key", bytes_at(behind)), "right": F.col("right") + step})
+        split = stage(to_left.unionByName(to_right).select(*columns), "split")
+        need -= step
+        sizes = split.groupBy("key").agg(F.count(F.lit(1)).alias("group")).where(F.col("group") > GROUP).select("key")
+        done = done.unionByName(split.join(sizes, "key", "left_anti").select(*columns))
+        rows = split.join(sizes, "key", "left_semi").select(*columns)
+    return done, None
 
 
 def repeated_spans(docs: DataFrame) -> DataFrame:
@@ -183,13 +210,16 @@ def repeated_spans(docs: DataFrame) -> DataFrame:
     dictionary = stage(dictionary, "dictionary")
     groups = dictionary.groupBy("trigger").agg(F.count(F.lit(1)).alias("group"))
     written = stage(written_out(docs, dictionary.join(groups, "trigger")), "written")
-    spans = edges(written)
-    if not written.where(F.col("group") > GROUP).isEmpty():
-        spans = spans.unionByName(crowded_edges(written))
+    groups, common = bounded_groups(written)
+    spans = edges(groups)
+    if common is not None:
+        spans = spans.unionByName(common)
     whole = rows.where("NOT several").unionByName(several.join(dictionary.where("n > 1").select("trigger", "whole"), ["trigger", "whole"], "left_semi"))
     whole = whole.select("did", "th", F.col("low").alias("start"), (F.col("high") + SPAN).alias("stop"), "step", "copies")
     spans = spans.select("did", "th", "start", "stop", F.lit(0).cast("long").alias("step"), F.lit(1).cast("long").alias("copies"))
     joined = stage(whole.unionByName(spans), "spans")
+    for read in (rows, dictionary, written):
+        unstage(read)
     return joined.groupBy("did", "th").agg(F.collect_list(F.struct("start", "stop", "step", "copies")).alias("spans"))
 
 
@@ -211,7 +241,8 @@ def without_repeats(docs: DataFrame, keep: bool = False) -> DataFrame:
     ``rest`` (see ``wrapped``) and ``kept`` (the remaining text; a character cut in two goes) before the counts.
 
     Null is an empty text; texts under SPAN bytes and empty tables lose nothing; two rows with
-    equal doc_id and text count as two occurrences and both lose the repeated bytes.
+    equal doc_id and text count as two occurrences and both lose the repeated bytes.  A very long
+    text is parsed as one slice, with about 60 bytes of arrays for each of its bytes.
     """
     prepare(docs.sparkSession)
     found = repeated_spans(docs.select("doc_id", "text"))

@@ -37,6 +37,46 @@ def test_crowded_triggers(docs, monkeypatch):
     check(docs)
 
 
+def test_one_trigger_many_phrases(spark, monkeypatch):
+    """Texts around one common passage, each with its own words at both sides."""
+    import random
+
+    r = random.Random(5)
+    middle = "".join(r.choice("abcdefgh ") for _ in range(190))
+    own = lambda k: "".join(r.choice("uvwxyz ") for _ in range(k))
+    texts = [own(300) + middle + own(300) for _ in range(60)]
+    texts += [texts[i][: 300 + 190 + 25] + own(200) for i in range(0, 30, 3)] + [own(200) + texts[i][290:] for i in range(1, 30, 3)]
+    docs = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")
+    for group in (4000, 7, 1):
+        monkeypatch.setattr(repeats, "GROUP", group)
+        check(docs)
+
+
+def test_suffix_order():
+    import random
+
+    import numpy as np
+
+    r = random.Random(2)
+    for k in range(20):
+        parts = ["".join(r.choice("ab") for _ in range(250)).encode() for _ in range(3)]
+        texts = [r.choice(parts)[r.randrange(30) :] + r.choice(parts) for _ in range(8)] + [b"x" * 199, b"x" * 200]
+        phrase, place, shared = repeats.suffix_order(texts, np.arange(len(texts)))
+        strings = [texts[p][q : q + SPAN] for p, q in zip(phrase.tolist(), place.tolist())]
+        owners = {}
+        for p, x in zip(phrase.tolist(), strings):
+            owners.setdefault(x, set()).add(p)
+        assert shared.tolist() == [len(owners[x]) > 1 for x in strings] and all(len(x) == SPAN for x in strings)
+
+
+def test_long_text(spark):
+    import random
+
+    r = random.Random(9)
+    long = "".join(r.choice("abcdefghij ") for _ in range((1 << 20) + 5000))
+    check(spark.createDataFrame([(1, long), (2, long[500_000:500_700]), (3, "é" * 300)], "doc_id long, text string"))
+
+
 def test_columns_stay(docs):
     got = repeats.without_repeats(docs, keep=True)
     assert got.columns == ["doc_id", "text", "rest", "kept", "n_bytes", "n_removed", "n_spans", "kept_sha256"]
