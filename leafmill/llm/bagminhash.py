@@ -8,9 +8,10 @@ the element's hash alone, in order of time, until every register is filled; two
 on a register with probability equal to their weighted Jaccard similarity.
 
 Signatures are cut in bands.  Documents with the same words are one node from the start, so a
-group of copies of any size costs one signature.  In a bucket nodes are compared with a leader,
-the node that meets most others, and not with each other; where a bucket still holds several
-classes, nodes of different classes are compared once inside a join that gives only links.  Every
+group of copies of any size costs one node.  In a bucket nodes are compared with a leader, the
+node that meets most others, and not with each other.  Where a bucket still holds several classes,
+the nodes beside its largest class are compared with the bucket's nodes of other classes, the
+bucket being dealt out in salted parts; the test of the signatures is part of that join.  Every
 link is verified by the exact overlap of the two multisets.
 """
 
@@ -34,6 +35,8 @@ BANDS, ROWS = 25, 5
 REGISTERS = BANDS * ROWS
 #: Pairs whose signatures agree on fewer registers aren't verified; at the limit 4.5 standard deviations.
 MIN_AGREE = int(REGISTERS * (SIMILARITY - 4.5 * (SIMILARITY * (1 - SIMILARITY) / REGISTERS) ** 0.5))
+#: Nodes of one bucket in a salted part.
+PART = 500
 _fold = np.arange(256, dtype=np.uint8)
 _fold[65:91] += 32
 _space = np.zeros(256, bool)
@@ -154,85 +157,93 @@ def _agreeing(a: str, b: str):
 
 
 class Finder:
-    """The steps of the search; every table between them is staged."""
+    """The steps of the search; every table between them is staged, and deleted once it is read."""
 
     def __init__(self, docs: DataFrame):
         prepare(docs.sparkSession)
         self.docs = docs.select("doc_id", "text")
-        self.rows = stage(sketch(self.docs), "sketch")
-        per_node = self.rows.where(F.col("node").isNotNull()).groupBy("node")
+        sketched = stage(sketch(self.docs), "sketch")
+        per_node = sketched.where(F.col("node").isNotNull()).groupBy("node")
         self.nodes = stage(per_node.agg(F.min("doc_id").alias("first_id"), F.count(F.lit(1)).alias("n"), F.min("th").alias("th"), F.first("sig").alias("sig")), "nodes")
-        exploded = self.nodes.select("node", F.posexplode(F.array(*_bands())).alias("band", "bucket"))
+        self.rows = stage(sketched.drop("sig"), "rows")
+        unstage(sketched)
+        exploded = self.nodes.select("node", F.explode(F.array(*_bands())).alias("bucket"))
         shared = exploded.groupBy("bucket").agg(F.count(F.lit(1)).alias("k")).where(F.col("k") > 1)
         found = stage(exploded.join(shared, "bucket"), "buckets")
         # a text that the others were copied from meets more of them than they meet each other
         hubs = found.groupBy("node").agg(F.sum("k").alias("met"))
-        self.buckets = stage(found.drop("k").join(hubs, "node"), "buckets")
+        self.buckets = stage(found.join(hubs, "node"), "buckets")
         unstage(found)
         self.links: DataFrame | None = None
         self.labels: DataFrame | None = None
 
     def search(self) -> DataFrame | None:
         """node, label of all nodes with a link; None if there are none."""
-        pairs = stage(self._with_leaders(), "pairs")
-        if not pairs.isEmpty():
-            self._join(self._verified(self._close(pairs)))
-            self._join(self._left_over())
+        self._join(self._with_leaders())
+        if self.links is not None:
+            self._join(self._beside_largest())
+        unstage(self.buckets)
         return self.labels
 
-    def _classed(self) -> DataFrame:
-        """Buckets that hold more than one class, with each node's class."""
-        if self.labels is None:
-            return self.buckets.withColumn("label", F.col("node"))
-        rows = self.buckets.join(self.labels, "node", "left").withColumn("label", F.coalesce("label", "node"))
-        mixed = rows.groupBy("bucket").agg(F.min("label").alias("a"), F.max("label").alias("b")).where(F.col("a") != F.col("b")).select("bucket")
-        return rows.join(mixed, "bucket")
-
     def _with_leaders(self) -> DataFrame:
         """Pairs of each bucket's best-met node and its other nodes."""
         order = F.struct(-F.col("met"), "node")
         leaders = self.buckets.groupBy("bucket").agg(F.min(order).alias("leader")).select("bucket", F.col("leader.node").alias("other"))
         pairs = self.buckets.join(leaders, "bucket").where(F.col("node") != F.col("other"))
-        return pairs.select(F.least("node", "other").alias("a"), F.greatest("node", "other").alias("b")).distinct()
-
-    def _close(self, pairs: DataFrame) -> DataFrame:
-        """Pairs whose signatures agree enough to be verified."""
+        pairs = stage(pairs.select(F.least("node", "other").alias("a"), F.greatest("node", "other").alias("b")).distinct(), "pairs")
         sig = lambda end: self.nodes.select(F.col("node").alias(end), F.col("sig").alias(f"sig_{end}"))
         both = pairs.join(sig("a"), "a").join(sig("b"), "b")
-        return stage(both.where(_agreeing("sig_a", "sig_b") >= MIN_AGREE).select("a", "b"), "close")
+        close = stage(both.where(_agreeing("sig_a", "sig_b") >= MIN_AGREE).select("a", "b"), "close")
+        unstage(pairs)
+        return close
 
-    def _left_over(self) -> DataFrame:
-        """Links between different classes of one bucket: the test is part of the join, so only links leave it.
+    def _beside_largest(self) -> DataFrame:
+        """Pairs of nodes of different classes in one bucket, at least one of them outside the
+        bucket's largest class, whose signatures agree enough to be verified.
 
-        The first band that two nodes share compares them.
+        A bucket of n nodes with m outside its largest class costs m x n comparisons, in parts of
+        PART nodes; the others follow from their classes.
         """
-        rows = self._classed()
-        rows = stage(rows.select("bucket", "band", "node", "label").join(self.nodes.select("node", "sig", F.array(*_bands()).alias("bands")), "node"), "left")
-        rows = stage(rows.join(self._bags(rows.select("node").distinct()), "node"), "left")
-        first = F.array_position(F.zip_with("x.bands", "y.bands", lambda p, q: p == q), True) == F.col("x.band") + 1
-        close = F.when(first & (_agreeing("x.sig", "y.sig") >= MIN_AGREE), _similar("x.bag", "y.bag")).otherwise(False)
-        pairs = rows.alias("x").join(rows.alias("y"), (F.col("x.bucket") == F.col("y.bucket")) & (F.col("x.node") < F.col("y.node")) & (F.col("x.label") != F.col("y.label")) & close)
-        return pairs.select(F.col("x.node").alias("a"), F.col("y.node").alias("b"))
-
-    def _join(self, links: DataFrame) -> None:
-        """Take links up and renew the classes."""
-        links = stage(links, "links")
-        if not links.isEmpty():
-            self.links = links if self.links is None else self.links.unionByName(links)
-            self.labels = components(self.links)
+        rows = self.buckets.select("bucket", "node", "k").join(self.labels, "node", "left").withColumn("label", F.coalesce("label", "node"))
+        counted = rows.groupBy("bucket", "label").agg(F.count(F.lit(1)).alias("c"))
+        mixed = counted.groupBy("bucket").agg(F.max(F.struct("c", "label")).alias("top"), F.count(F.lit(1)).alias("classes")).where(F.col("classes") > 1).select("bucket", F.col("top.label").alias("largest"))
+        rows = rows.join(mixed, "bucket").select("bucket", "node", "label", F.ceil(F.col("k") / PART).cast("int").alias("parts"), (F.col("label") != F.col("largest")).alias("beside"))
+        rows = stage(rows.join(self.nodes.select("node", "sig"), "node"), "mixed")
+        every = rows.withColumn("part", F.pmod(F.xxhash64("node"), F.col("parts")).cast("int"))
+        few = rows.where("beside").withColumn("part", F.explode(F.sequence(F.lit(0), F.col("parts") - 1)))
+        once = ~F.col("y.beside") | (F.col("x.node") < F.col("y.node"))
+        close = F.when((F.col("x.label") != F.col("y.label")) & once, _agreeing("x.sig", "y.sig") >= MIN_AGREE).otherwise(False)
+        pairs = few.alias("x").join(every.alias("y"), (F.col("x.bucket") == F.col("y.bucket")) & (F.col("x.part") == F.col("y.part")) & close)
+        found = stage(pairs.select(F.least("x.node", "y.node").alias("a"), F.greatest("x.node", "y.node").alias("b")).distinct(), "close")
+        unstage(rows)
+        return found
+
+    def _join(self, close: DataFrame) -> None:
+        """Verify staged pairs, take the links up and renew the classes."""
+        if not close.isEmpty():
+            links = self._verified(close)
+            if not links.isEmpty():
+                if self.labels is not None:
+                    unstage(self.labels)
+                self.links = links if self.links is None else self.links.unionByName(links)
+                self.labels = components(self.links)
+        unstage(close)
 
     def _bags(self, wanted: DataFrame) -> DataFrame:
         """node, bag for the wanted nodes, from one text of each."""
-        texts = self.nodes.join(wanted, "node", "left_semi").select("th").distinct()
-        fetched = self.docs.withColumn("th", F.xxhash64("text")).join(texts, "th", "left_semi")
-        one = fetched.groupBy("th").agg(F.min("text").alias("text"))
+        keys = self.nodes.join(wanted, "node", "left_semi").select("th").distinct()
+        fetched = self.docs.withColumn("th", F.xxhash64("text")).join(keys, "th", "left_semi")
+        # texts that share the key by chance differ in another hash or in length
+        one = fetched.groupBy("th", F.hash("text"), F.length("text")).agg(F.min("text").alias("text"))
         return stage(bags(one).dropDuplicates(["node"]), "bags")
 
     def _verified(self, pairs: DataFrame) -> DataFrame:
         ends = pairs.select(F.col("a").alias("node")).unionByName(pairs.select(F.col("b").alias("node"))).distinct()
         bag = self._bags(ends)
         both = pairs.join(bag.select(F.col("node").alias("a"), F.col("bag").alias("x")), "a").join(bag.select(F.col("node").alias("b"), F.col("bag").alias("y")), "b")
-        return both.where(_similar("x", "y")).select("a", "b")
+        links = stage(both.where(_similar("x", "y")).select("a", "b"), "links")
+        unstage(bag)
+        return links
 
 
 def _similar(x: str, y: str):
@@ -253,13 +264,18 @@ def components(links: DataFrame) -> DataFrame:
         near = both.join(labels.select(F.col("node").alias("peer"), F.col("label").alias("seen")), "peer").groupBy("node").agg(F.min("seen").alias("seen"))
         spread = stage(labels.join(near, "node").select("node", F.least("label", "seen").alias("label"), (F.col("seen") < F.col("label")).alias("moved")), "labels")
         if spread.where("moved").isEmpty():
+            unstage(both)
+            unstage(spread)
             return labels
+        unstage(labels)
         hop = spread.select(F.col("node").alias("label"), F.col("label").alias("next"))
         labels = stage(spread.join(hop, "label", "left").select("node", F.coalesce("next", "label").alias("label")), "labels")
+        unstage(spread)
 
 
-def labelled_rows(docs: DataFrame) -> tuple[DataFrame, DataFrame]:
-    """(doc_id, th, label for each row; label, class_id, class_size for each class).
+def labelled_rows(docs: DataFrame) -> tuple[DataFrame, DataFrame, DataFrame]:
+    """(doc_id, th, node, label for each row; label, class_id, class_size for each class; node,
+    n_links, link_id for each text with a link).
 
     ``th`` is the hash of the text, ``label`` a digest that names the class; null without words.
     """
@@ -269,27 +285,49 @@ def labelled_rows(docs: DataFrame) -> tuple[DataFrame, DataFrame]:
     labelled = nodes.join(labels, "node", "left").withColumn("label", F.coalesce("label", "node")) if labels is not None else nodes.withColumn("label", F.col("node"))
     classes = labelled.groupBy("label").agg(F.min("first_id").alias("class_id"), F.sum("n").alias("class_size"))
     rows = finder.rows.select("doc_id", "th", "node").join(labelled.select("node", "label"), "node", "left")
-    return rows, classes
+    return rows, classes, _linked(finder)
+
+
+def _linked(finder: Finder) -> DataFrame:
+    """node, n_links, link_id: verified links of a text, and the least doc_id at their other ends."""
+    ids = finder.nodes.select(F.col("node").alias("peer"), "first_id")
+    if finder.links is None:
+        return ids.limit(0).select(F.col("peer").alias("node"), F.lit(0).cast("long").alias("n_links"), F.col("first_id").alias("link_id"))
+    both = finder.links.select(F.col("a").alias("node"), F.col("b").alias("peer")).unionByName(finder.links.select(F.col("b").alias("node"), F.col("a").alias("peer"))).distinct()
+    return both.join(ids, "peer").groupBy("node").agg(F.count(F.lit(1)).alias("n_links"), F.min("first_id").alias("link_id"))
 
 
 def near_duplicates(docs: DataFrame) -> DataFrame:
-    """doc_id, class_id (least doc_id of the class), class_size for each row of ``docs``.
+    """doc_id, class_id (least doc_id of the class), class_size, n_links, link_id for each row of ``docs``.
+
+    ``n_links`` counts the different texts with which the row's text was compared and found
+    similar, ``link_id`` is the least doc_id among these (null without): the links that hold the
+    class together.  Pairs within a class that were not needed for that are not compared.
 
     Texts without a word (null, empty) are classes of their own; a text of fewer than five words
     matches only texts with the same words; rows without doc_id take part, and a class of nothing
-    else has no class_id.  Letters A-Z are compared in lower case.
+    else has no class_id.  Letters A-Z are compared in lower case.  A very long text is sketched
+    as one slice; its multiset is one row when it is verified.
     """
-    rows, classes = labelled_rows(docs)
+    rows, classes, linked = labelled_rows(docs)
     alone = F.col("label").isNull()
-    return rows.join(classes, "label", "left").select("doc_id", F.when(alone, F.col("doc_id")).otherwise(F.col("class_id")).alias("class_id"), F.when(alone, 1).otherwise(F.col("class_size")).cast("long").alias("class_size"))
+    rows = rows.join(linked, "node", "left").join(classes, "label", "left")
+    return rows.select(
+        "doc_id",
+        F.when(alone, F.col("doc_id")).otherwise(F.col("class_id")).alias("class_id"),
+        F.when(alone, 1).otherwise(F.col("class_size")).cast("long").alias("class_size"),
+        F.coalesce("n_links", F.lit(0)).cast("long").alias("n_links"),
+        "link_id",
+    )
 
 
 def one_of_each(docs: DataFrame) -> DataFrame:
     """``docs`` with one row of each class: the one with the least doc_id (null first).
 
-    Rows without words all stay.  Repeated rows of the chosen doc_id and text give one row.
+    Rows without words (null, empty) all stay.  Of rows that share the least doc_id the one with
+    the least text hash stays; repeated rows of the chosen doc_id and text give one row.
     """
-    rows, _ = labelled_rows(docs)
+    rows, _, _ = labelled_rows(docs)
     did = F.coalesce("doc_id", F.lit(-(1 << 62)))
     per_text = rows.groupBy(did.alias("_did"), F.col("th").alias("_th")).agg(F.count(F.lit(1)).alias("_n"), F.max("label").alias("label"))
     chosen = per_text.where(F.col("label").isNotNull()).groupBy("label").agg(F.min(F.struct("_did", "_th", "_n")).alias("k")).select("k.*")

@@ -37,7 +37,7 @@ def classes(docs):
 def test_classes(docs):
     docs = docs.fillna(1000, ["doc_id"])
     want, _, _ = classes(docs)
-    assert sorted(map(tuple, bagminhash.near_duplicates(docs).collect())) == want
+    assert sorted(tuple(r)[:3] for r in bagminhash.near_duplicates(docs).collect()) == want
 
 
 def test_left_over_pairs_join_classes(spark, monkeypatch):
@@ -46,7 +46,48 @@ def test_left_over_pairs_join_classes(spark, monkeypatch):
     rows = [(k, " ".join(words[6 * k : 6 * k + 120])) for k in range(20)]
     docs = spark.createDataFrame(rows, "doc_id long, text string")
     want, _, _ = classes(docs)
-    assert sorted(map(tuple, bagminhash.near_duplicates(docs).collect())) == want
+    assert sorted(tuple(r)[:3] for r in bagminhash.near_duplicates(docs).collect()) == want
+
+
+def test_left_over_pairs_in_salted_parts(spark, monkeypatch):
+    monkeypatch.setattr(bagminhash, "PART", 2)
+    words = [f"w{i}" for i in range(400)]
+    rows = [(k, " ".join(words[5 * k : 5 * k + 130])) for k in range(30)] + [(100 + k, " ".join(words[:100] + [f"x{k}"] + words[100:130])) for k in range(12)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string")
+    want, _, _ = classes(docs)
+    assert sorted(tuple(r)[:3] for r in bagminhash.near_duplicates(docs).collect()) == want
+
+
+def test_links(docs):
+    docs = docs.fillna(1000, ["doc_id"])
+    rows = {(r.doc_id, r.class_id): r for r in bagminhash.near_duplicates(docs).collect()}
+    texts = {r.doc_id: bag(r.text) for r in docs.collect()}
+    for r in rows.values():
+        assert (r.link_id is None) == (r.n_links == 0) and r.n_links < r.class_size
+        if r.n_links:
+            a, b = texts[r.doc_id], texts[r.link_id]
+            common = sum((a & b).values())
+            assert 10 * common >= 8 * (sum(a.values()) + sum(b.values()) - common) and a != b
+    assert rows[7, 5].n_links == 1 and rows[7, 5].link_id == 5
+
+
+def test_recall(spark):
+    """All pairs at 0.8 or more of the documents with ids divisible by 20 and all documents."""
+    docs = spark.read.parquet("/root/testdata/sf0.01/documents.parquet").select("doc_id", "text")
+    found = {r.doc_id: r.class_id for r in bagminhash.near_duplicates(docs).collect()}
+    bags = {r.doc_id: bag(r.text) for r in docs.collect()}
+    holders = defaultdict(set)
+    for i, b in bags.items():
+        for g in b:
+            holders[g].add(i)
+    met = near = 0
+    for i in (i for i in bags if i % 20 == 0 and bags[i]):
+        for j in {j for g in bags[i] for j in holders[g]} - {i}:
+            common = sum((bags[i] & bags[j]).values())
+            if 10 * common >= 8 * (sum(bags[i].values()) + sum(bags[j].values()) - common):
+                near += 1
+                met += found[i] == found[j]
+    assert near >= 5 and met >= 0.99 * near, (met, near)
 
 
 def test_one_of_each(docs):
