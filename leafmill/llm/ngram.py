@@ -4,11 +4,12 @@ Counts cover every training token.  A task counts what it reads as sorted arrays
 in a few packed blocks, dealt by a hash, so that frequent words don't gather in one place.  The
 trie lies in shards in the shared folder, and workers map them into memory:
 
-* level 1: sorted word hashes with counts; a word's id is its rank;
-* level 2: for every context the ids of its successors (the query keeps all of them, ``train`` those
-  seen ``min_count`` times), kept as one monotone Elias-Fano sequence relative to the context (context x vocabulary + word), monotone
-  pointers to each context's first successor, and 16-bit codes of the smoothed log10 probability
-  and of each context's back-off weight.
+* level 1: word hashes relative to their shard as a monotone Elias-Fano sequence, with counts; a
+  word's id is its rank;
+* level 2: for every context the ids of its successors, kept as one monotone Elias-Fano sequence
+  relative to the shard's first context (context x vocabulary + word), monotone pointers to each
+  context's first successor, and 16-bit codes of the smoothed log10 probability and of each
+  context's back-off weight.  A pair is searched between the pointers of its context.
 
 P(w | u) is absolute discounting of the pair count, interpolated with the additive unigram
 estimate; pairs that are not in level 2 cost the back-off weight times the unigram estimate.
@@ -34,7 +35,12 @@ from leafmill.llm.token_files import _fs
 #: Stands for the end of a text, and for what comes before its first word.
 END = np.uint64(0x5DEECE66D5DEECE6)
 ALPHA = 0.1
-MIN_COUNT = 2
+#: Pairs seen less often are not kept; 1 keeps all.
+MIN_COUNT = 1
+#: Distinct words whose pairs fit in one 63-bit key; more are an error.
+MOST_WORDS = 3_000_000_000
+#: Bytes of shards that a worker holds where they can't be memory-mapped.
+CACHED = 256 << 20
 DISCOUNT = 0.75
 #: Log10 values from 0 to -LOG_RANGE are stored as 16-bit codes.
 LOG_RANGE = 16.0
@@ -195,8 +201,8 @@ class Trie:
             if i == j:
                 continue
             arrays = opened(shard[1])
-            at = np.minimum(np.searchsorted(arrays["hash"], hashes[i:j]), len(arrays["hash"]) - 1)
-            ok = arrays["hash"][at] == hashes[i:j]
+            at = Sequence(arrays).find(relative(hashes[i:j], shard[0], self.level1_buckets))
+            ok = at >= 0
             ids[i:j] = np.where(ok, base + at, -1)
             counts[i:j] = np.where(ok, arrays["count"][at], 0)
         return ids, counts
@@ -240,6 +246,11 @@ def word_bucket(hashes: np.ndarray, buckets: int) -> np.ndarray:
     return ((hashes >> np.uint64(32)) * np.uint64(buckets) >> np.uint64(32)).astype(np.int64)
 
 
+def relative(hashes: np.ndarray, bucket: int, buckets: int) -> np.ndarray:
+    """Hashes less the smallest one that their bucket may hold."""
+    return (hashes - np.uint64(-(-(bucket << 32) // buckets) << 32)).astype(np.int64)
+
+
 def level_bound(bucket: int, buckets: int, size: int) -> tuple[int, int]:
     return -(-bucket * size // buckets), -(-(bucket + 1) * size // buckets)
 
@@ -253,11 +264,21 @@ _open: dict[str, dict] = {}
 
 
 def opened(uri: str) -> dict[str, np.ndarray]:
-    if uri not in _open:
-        if len(_open) > 4096:
-            _open.clear()
-        _open[uri] = read_arrays(uri)
-    return _open[uri]
+    """Arrays of a shard.  Maps stay open; of shards that had to be read, the latest CACHED bytes stay."""
+    if uri in _open:
+        _open[uri] = _open.pop(uri)  # the latest is the last
+        return _open[uri]
+    arrays = read_arrays(uri)
+    mapped = urlparse(uri).scheme in ("", "file")
+    size = sum(a.nbytes for a in arrays.values())
+    held = 0 if mapped else size + sum(sum(a.nbytes for a in x.values()) for u, x in _open.items() if urlparse(u).scheme not in ("", "file"))
+    for old in list(_open):
+        if len(_open) <= 4096 and held <= CACHED:
+            break
+        gone = _open.pop(old)
+        held -= 0 if urlparse(old).scheme in ("", "file") else sum(a.nbytes for a in gone.values())
+    _open[uri] = arrays
+    return arrays
 
 
 def _shards(blocks: DataFrame, uri: str, buckets: int, level: int, build) -> list:
@@ -290,10 +311,15 @@ def train(docs: DataFrame, uri: str | None = None, min_count: int = MIN_COUNT) -
     def count_words(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         yield from _counted((_tokens(c)[0] for c in text_chunks(batches)), lambda k: word_bucket(k, buckets), buckets)
 
-    level1 = _shards(texts.mapInArrow(count_words, "bucket int, block binary"), uri, buckets, 1, lambda b, keys, counts: {"hash": keys, "count": counts})
+    def words_of(bucket: int, keys: np.ndarray, counts: np.ndarray) -> dict[str, np.ndarray]:
+        return {**encode(relative(keys, bucket, buckets), (1 << 64) // buckets + (1 << 32)), "count": counts}
+
+    level1 = _shards(texts.mapInArrow(count_words, "bucket int, block binary"), uri, buckets, 1, words_of)
     trie = Trie(level1, [])
     trie.level1_buckets = buckets
     size, tokens = trie.size, trie.tokens
+    if size > MOST_WORDS:
+        raise ValueError(f"{size} distinct words: pairs of more than {MOST_WORDS} don't fit in one key")
 
     def count_pairs(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         def keys():
@@ -383,7 +409,7 @@ def lm_scores(docs: DataFrame, folds: int = 10, min_count: int = MIN_COUNT) -> D
     Rows whose crc32(doc_id) is no multiple of ``folds`` are learned from; a null doc_id is
     neither learned from nor held out.  A null or empty text is one end token.  Repeated rows
     count each time.  With nothing to learn from, every token is unknown.  Pairs seen fewer than
-    ``min_count`` times are not kept.
+    ``min_count`` times are not kept.  A very long text is scored as one slice.
     """
     fold = F.crc32(F.col("doc_id").cast("string")) % folds
     trie = train(docs.where(fold != 0), min_count=min_count)
@@ -391,4 +417,4 @@ def lm_scores(docs: DataFrame, folds: int = 10, min_count: int = MIN_COUNT) -> D
 
 
 def query(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return lm_scores(table(spark, sf_dir, "documents"), min_count=1)
+    return lm_scores(table(spark, sf_dir, "documents"))

@@ -11,7 +11,7 @@ from leafmill.llm.decontaminate import decontaminate
 
 def test_elias_fano():
     rng = np.random.default_rng(3)
-    for n, universe in ((0, 10), (1, 1), (1, 5), (1000, 1000), (5000, 1 << 40), (3000, 4000)):
+    for n, universe in ((0, 10), (1, 1), (1, 5), (1000, 1000), (5000, 1 << 40), (3000, 4000), (1, 1 << 62), (4000, (1 << 63) - 1), (9, 1 << 62)):
         values = np.sort(rng.integers(0, universe, n))
         s = elias_fano.Sequence(elias_fano.encode(values, universe))
         if n:
@@ -35,13 +35,12 @@ def test_scores(spark, docs):
     total, distinct = sum(words.values()), len(words)
     mass = Counter()
     for (u, w), n in pairs.items():
-        if n >= 2:
-            mass[u] += n - 0.75
+        mass[u] += n - 0.75
     want = []
     for r, t, f in zip(rows, tokens, fold):
         p1 = lambda w: (words[w] + 0.1) / (total + 0.1 * (distinct + 1))
         back = lambda u: max(1 - mass[u] / words[u], 1e-9) if words[u] else 1
-        score = sum(math.log10(((pairs[u, w] - 0.75) / words[u] if pairs[u, w] >= 2 else 0) + back(u) * p1(w)) for u, w in zip(["\n", *t], t))
+        score = sum(math.log10(((pairs[u, w] - 0.75) / words[u] if pairs[u, w] else 0) + back(u) * p1(w)) for u, w in zip(["\n", *t], t))
         want.append((r.doc_id, f == 0, len(t), sum(words[w] > 0 for w in t), total, sum(math.log10(p1(w)) for w in t), score))
     got = sorted(map(tuple, ngram.lm_scores(docs).collect()), key=lambda r: (str(r[0]), r[2]))
     for g, w in zip(got, sorted(want, key=lambda r: (str(r[0]), r[2])), strict=True):
@@ -90,6 +89,16 @@ def test_pairs_are_searched_between_pointers(spark, docs, monkeypatch):
     assert np.isnan(trie.pairs(context, word)[0]).all()
 
 
+def test_shards_that_are_read_stay_bounded(monkeypatch):
+    monkeypatch.setattr(ngram, "read_arrays", lambda uri: {"a": np.zeros(1000, np.int64)})
+    monkeypatch.setattr(ngram, "CACHED", 3 * 8000)
+    monkeypatch.setattr(ngram, "_open", {})
+    for k in range(10):
+        ngram.opened(f"store://x/{k}")
+        ngram.opened("store://x/0")
+    assert list(ngram._open) == ["store://x/8", "store://x/9", "store://x/0"]
+
+
 def test_nothing_to_learn(none, docs):
     assert ngram.lm_scores(none).count() == 0
     assert all(r.n_known == 0 and r.train_tokens == 0 for r in ngram.scores(docs.selectExpr("doc_id", "false AS held_out", "text"), ngram.train(none.select("text"))).collect())
