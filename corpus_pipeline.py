@@ -24,12 +24,20 @@ def language_id(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 def near_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """One document of each class of near copies: the one with the least doc_id."""
+    """One document of each class of near copies: the one with the least doc_id (null first).
+
+    Texts without a word (null, empty) all stay; of equal doc_ids the one with the least text hash
+    stays, repeated rows once.  A very long text is sketched as one slice.
+    """
     return bagminhash.one_of_each(docs)
 
 
 def suffix_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Documents without the passages that occur elsewhere; those with nothing else go."""
+    """Documents without the passages that occur elsewhere; those with nothing else go.
+
+    Texts that lose nothing stay as they are: a null text and one without a word go.  Repeated
+    rows and ties lose the passage at every place.  A very long text is parsed as one slice.
+    """
     cut = repeats.without_repeats(docs, keep=True)
     touched = F.col("n_removed") > 0
     left = ~touched | F.col("kept").rlike(r"[^\x20\x09-\x0D]")
@@ -40,12 +48,21 @@ def suffix_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame
 
 
 def decontamination(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Documents without a passage of the benchmark."""
+    """Documents without a passage of the benchmark.
+
+    A null or empty text has none and stays; repeated rows stay or go together; an empty
+    benchmark takes nothing away.  A very long text is one row of word and hash arrays.
+    """
     return decontaminate.clean(docs, table(spark, sf_dir, "benchmark"))
 
 
 def sentencepiece(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Documents with their piece ids (little-endian uint32), the number of ids, and whether decoding gives the text back."""
+    """Documents with their piece ids (little-endian uint32), the number of ids, and whether decoding gives the text back.
+
+    A null text is encoded like an empty one; repeated rows give equal rows; very long texts are
+    streamed.  Columns of the documents that are named like one of the three new ones are
+    replaced by it.
+    """
     encoded = sentencepieces.encode_and_decode(wrapped(docs))
     made = ["piece_ids", "n_pieces", "round_trip"]
     own = [F.col("text") if c == "text" else F.col("rest").getField(c).alias(c) for c in docs.columns if c not in made]
