@@ -2,7 +2,7 @@
 
 ``stage`` is the only place that writes intermediate tables.  They go to the folder named by
 ``spark.checkpoint.dir`` (shared by driver and executors); a private temporary folder is used
-only where that setting is absent, as in tests on one machine.
+only where that setting is absent and the master is local, as in tests on one machine.
 """
 
 from __future__ import annotations
@@ -52,10 +52,18 @@ def unwrapped(frame: DataFrame, docs: DataFrame, **changed: Column) -> DataFrame
 
 
 def shared_dir(spark: SparkSession) -> str:
-    """The folder that all executors share, as the session names it."""
+    """The folder that all executors share: ``spark.checkpoint.dir``, else the context's checkpoint folder.
+
+    Without either a private folder is made, on a local master only: executors of a cluster don't see it.
+    """
     named = spark.conf.get("spark.checkpoint.dir", None)
+    if not named:
+        given = spark.sparkContext._jsc.sc().getCheckpointDir()
+        named = given.get() if given.isDefined() else None
     if named:
         return named.rstrip("/")
+    if not spark.sparkContext.master.startswith("local"):
+        raise RuntimeError("set spark.checkpoint.dir to a folder that all executors share")
     if not _own:
         _own.append(tempfile.mkdtemp(prefix="leafmill-"))
         atexit.register(shutil.rmtree, _own[0], True)

@@ -17,8 +17,8 @@ from leafmill.llm.common import prepare, stage, table, unwrapped, wrapped
 SPAN, GRAM = 10, 5
 #: Up to so many benchmark fingerprints are held in the plan of the document pass; more are joined.
 IN_PLAN = 50_000
-#: Up to so many distinct windows (at most about 100 bytes each) are broadcast; more are joined by shuffle.
-BROADCAST = 50_000
+#: Up to so many bytes of distinct windows are broadcast; more are joined by shuffle.
+BROADCAST_BYTES = 16 << 20
 UPPER, LOWER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"
 
 
@@ -55,17 +55,21 @@ def with_fingerprints(frame: DataFrame, short: list[int]) -> DataFrame:
 
 
 def benchmark_windows(benchmark: DataFrame) -> DataFrame:
-    """Distinct windows: span, window, print, items (distinct ids).  Items without id or word have none."""
+    """Distinct (span, window, item_id).  Items without id or word have none."""
     items = benchmark.where(F.col("item_id").isNotNull()).select("item_id", words(F.col("text")).alias("words")).where(F.size("words") > 0)
     span = F.least(F.size("words"), F.lit(SPAN))
     starts = items.withColumn("span", span).select("item_id", "span", "words", F.explode(F.sequence(F.lit(1), F.size("words") - F.col("span") + 1)).alias("at"))
-    windows = starts.select("item_id", "span", F.slice("words", F.col("at"), F.col("span")).alias("words"))
-    distinct = windows.groupBy("span", F.array_join("words", " ").alias("window")).agg(F.array_sort(F.collect_set("item_id")).alias("items"), F.first("words").alias("words"))
+    return starts.select("span", F.array_join(F.slice("words", F.col("at"), F.col("span")), " ").alias("window"), "item_id").distinct()
+
+
+def with_print(windows: DataFrame) -> DataFrame:
+    """Distinct span, window, print of ``benchmark_windows``."""
+    distinct = windows.select("span", "window").distinct().withColumn("words", F.split("window", " "))
     prints = with_fingerprints(distinct, list(range(1, SPAN)))
     own = F.element_at("print", 1)
     for n in range(1, SPAN):
         own = F.when(F.col("span") == n, F.element_at(f"print_{n}", 1)).otherwise(own)
-    return prints.select("span", "window", "items", own.alias("print"))
+    return prints.select("span", "window", own.alias("print"))
 
 
 def candidates(prints: str, span: int, among) -> Column:
@@ -83,7 +87,8 @@ def hits_by_text(documents: DataFrame, benchmark: DataFrame) -> tuple[DataFrame,
     shuffle instead.
     """
     prepare(documents.sparkSession)
-    windows = stage(benchmark_windows(benchmark), "windows")
+    held = stage(benchmark_windows(benchmark), "items")
+    windows = stage(with_print(held), "windows")
     by_span = {r["span"]: r["n"] for r in windows.groupBy("span").agg(F.count_distinct("print").alias("n")).collect()}  # at most SPAN rows
     short = sorted(n for n in by_span if n < SPAN)
     columns = {SPAN: "print", **{n: f"print_{n}" for n in short}}
@@ -106,16 +111,23 @@ def hits_by_text(documents: DataFrame, benchmark: DataFrame) -> tuple[DataFrame,
     passed = stage(prints.select("doc_id", "_id", "_th", F.size("words").cast("long").alias("n_words"), runs.alias("runs")), "runs")
 
     hits = passed.where(F.size("runs") > 0).select("_id", "_th", F.explode("runs").alias("run")).select("_id", "_th", "run.*").distinct()
-    right = windows.select("span", "window", "items")
-    hits = hits.join(F.broadcast(right) if windows.count() <= BROADCAST else right, ["span", "window"])
+    size = windows.agg(F.coalesce(F.sum(F.octet_length("window") + 16), F.lit(0))).first()[0]
+    right = windows.select("span", "window")
+    hits = stage(hits.join(F.broadcast(right) if size <= BROADCAST_BYTES else right, ["span", "window"]), "hits")
     covered = F.array_distinct(F.flatten(F.transform(F.collect_set(F.struct("start", "span")), lambda s: F.sequence(s["start"], s["start"] + s["span"] - 1))))
-    each = hits.groupBy("_id", "_th").agg(F.size(covered).cast("long").alias("n_hit"), F.array_distinct(F.flatten(F.collect_set("items"))).alias("items"))
-    each = each.select("_id", "_th", "n_hit", F.size("items").cast("long").alias("n_items"), F.sha2(F.array_join(F.array_sort(F.transform("items", lambda i: i.cast("string"))), ","), 256).alias("items_sha256"))
+    n_hit = hits.groupBy("_id", "_th").agg(F.size(covered).cast("long").alias("n_hit"))
+    # each text meets a window once, and an item once: a window of many items is no row of its own
+    items = hits.select("_id", "_th", "span", "window").distinct().join(held, ["span", "window"]).select("_id", "_th", F.col("item_id").cast("string").alias("item")).distinct()
+    items = items.groupBy("_id", "_th").agg(F.count(F.lit(1)).alias("n_items"), F.sha2(F.array_join(F.array_sort(F.collect_list("item")), ","), 256).alias("items_sha256"))
+    each = n_hit.join(items, ["_id", "_th"])
     return passed.drop("runs"), each
 
 
 def clean(documents: DataFrame, benchmark: DataFrame) -> DataFrame:
-    """The rows of ``documents``, all columns, that share no window with the benchmark."""
+    """The rows of ``documents``, all columns, that share no window with the benchmark.
+
+    Null and empty texts share none and stay; repeated rows stay or go together.
+    """
     _, each = hits_by_text(documents, benchmark)
     keyed = wrapped(documents).withColumns({"_id": F.coalesce("doc_id", F.lit(-(1 << 62))), "_th": F.xxhash64("text")})
     return unwrapped(keyed.join(each.select("_id", "_th").hint("shuffle_hash"), ["_id", "_th"], "left_anti"), documents)
@@ -125,7 +137,8 @@ def decontaminate(documents: DataFrame, benchmark: DataFrame) -> DataFrame:
     """doc_id, n_words, n_hit, n_items, items_sha256, contaminated for each row of ``documents``.
 
     Null and empty texts have no words; equal rows give equal rows; null ids are kept.  Items
-    that share an id count once; items without id are left out.
+    that share an id count once; items without id are left out.  A very long text is one row of
+    word and hash arrays, about 50 bytes for each of its words.
     """
     passed, each = hits_by_text(documents, benchmark)
     joined = passed.join(each, ["_id", "_th"], "left")

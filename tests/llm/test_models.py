@@ -185,6 +185,12 @@ def test_decontaminate(spark, docs, texts):
     finally:
         module.IN_PLAN = whole
     assert decontaminate(docs, bench.limit(0)).where("contaminated").isEmpty()
+    assert decontaminate(docs.limit(0), bench).count() == 0
+    whole, module.BROADCAST_BYTES = module.BROADCAST_BYTES, 0
+    try:
+        assert sorted(map(tuple, decontaminate(docs, bench).collect()), key=str) == sorted(want, key=str)
+    finally:
+        module.BROADCAST_BYTES = whole
 
 
 def test_quality(docs, none):
