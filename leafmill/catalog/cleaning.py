@@ -95,6 +95,67 @@ def json_blocks(spark, sf_dir):
     return table(spark, sf_dir, "nation").select("n_nationkey", clean.clean_json(md).alias("markdown"))
 
 
-@query("cleaned_documents")
+# every shape of left-over JSON, one after the other, around a document's own words
+_NAME = "regexp_replace(n_name, '[^A-Za-z]', '', 'g')"
+
+
+def _left(spark, sf_dir):
+    n, k = F.regexp_replace("n_name", "[^A-Za-z]", ""), F.col("n_nationkey") % 8
+    shape = (
+        F.when(k == 0, F.concat(F.lit('a\n```json\n{"body_text": "'), n, F.lit('\\nx"}\n```\nb')))
+        .when(k == 1, F.concat(F.lit('```json\n{"body_text": "", "content": "'), n, F.lit('"}\n```')))
+        .when(k == 2, F.concat(F.lit("```json\n{"), n, F.lit("\n```")))
+        .when(k == 3, F.concat(F.lit('x\n```json\n{\n  "page_number": 3,\n  "tables": [],\n  "body_text": "'), n, F.lit(' \\"q\\", \\tz",\n\n## Page 4\n\ny')))
+        .when(k == 4, F.concat(F.lit('"tables": [],\n"page_number": 4,\n'), n))
+        .when(k == 5, F.concat(F.lit('"body_text": "'), n, F.lit('\\nw",\nmore",\n## Page 2')))
+        .when(k == 6, F.concat(F.lit("a\n```json\n{\n\n"), n))
+        .otherwise(F.concat(F.lit("```json\n[1]\n```"), n))
+    )
+    return table(spark, sf_dir, "nation").select("n_nationkey", shape.alias("markdown"))
+
+
+@query("json_leftovers", f"""SELECT n_nationkey, CASE n_nationkey % 8 WHEN 0 THEN 'a' || chr(10) || {_NAME} || chr(10) || 'x' || chr(10) || 'b' WHEN 1 THEN '' WHEN 2 THEN '```json' || chr(10) || '{{' || {_NAME} || chr(10) || '```'
+ WHEN 3 THEN 'x' || chr(10) || {_NAME} || ' "q", ' || chr(9) || 'z' || chr(10) || chr(10) || '## Page 4' || chr(10) || chr(10) || 'y' WHEN 4 THEN {_NAME} WHEN 5 THEN {_NAME} || chr(10) || 'w",' || chr(10) || 'more' || chr(10) || '## Page 2' WHEN 6 THEN 'a' || chr(10) || chr(10) || chr(10) || {_NAME} ELSE {_NAME} END AS markdown FROM nation""")
+def json_leftovers(spark, sf_dir):
+    return _left(spark, sf_dir).select("n_nationkey", clean.clean_json("markdown").alias("markdown"))
+
+
+# the rendered documents with their tables aligned, their runs of blank lines cut and their lines trimmed
+_WIDTH = "greatest(len({}), {})"
+_CLEANED = _DOC.replace("'| role | size |' || chr(10) || '|---|---|' || chr(10) || '| ' || role || ' | ' || len(text) || ' |' || chr(10)", "'| ' || rpad('role', CAST(greatest(len(role), 4) AS INTEGER), ' ') || ' | ' || rpad('size', CAST(greatest(len(CAST(len(text) AS VARCHAR)), 4) AS INTEGER), ' ') || ' |' || chr(10) || '| ' || repeat('-', greatest(len(role), 4)) || ' | ' || repeat('-', greatest(len(CAST(len(text) AS VARCHAR)), 4)) || ' |' || chr(10) || '| ' || rpad(role, CAST(greatest(len(role), 4) AS INTEGER), ' ') || ' | ' || rpad(CAST(len(text) AS VARCHAR), CAST(greatest(len(CAST(len(text) AS VARCHAR)), 4) AS INTEGER), ' ') || ' |' || chr(10)")
+_TRIMMED = "array_to_string([regexp_replace(l, '[ \\t\\r\\f\\v]+$', '') for l in string_split(regexp_replace(markdown, '\\n{4,}', chr(10) || chr(10) || chr(10), 'g'), chr(10))], chr(10))"
+
+
+@query("cleaned_documents", f"SELECT pdf, {_TRIMMED} AS markdown FROM ({_CLEANED})")
 def cleaned_documents(spark, sf_dir):
     return clean.cleaned(documents(spark, sf_dir))
+
+
+def _damaged(spark, sf_dir):
+    """Documents with a formula, links, newline marks and answers in them."""
+    n = F.col("doc_id").cast("string")
+    md = F.concat(F.lit("# "), "source", F.lit("\n## Part "), n, F.lit("\n### Sub\n\\n `x` [a](#nowhere) [b](img.png) $(]$\n```json\n{\"body_text\": \"B\"}\n```\n|a|b|\n|---|---|\n|1|2|\n\n\n\n\nend"))
+    return table(spark, sf_dir, "documents").select(F.col("doc_id").alias("pdf"), md.alias("markdown"))
+
+
+@query("clean_details", "SELECT doc_id AS pdf, 'json: 1|newline marks: 1|blank lines: 1|tables: 1' AS fixes, 0 AS grown FROM documents")
+def clean_details(spark, sf_dir):
+    rows = clean.cleaned(_damaged(spark, sf_dir), details=True)
+    return rows.select("pdf", F.array_join("fixes", "|").alias("fixes"), (F.col("size_after") > F.col("size_before")).cast("int").alias("grown"))
+
+
+@query("clean_warnings", """SELECT doc_id AS pdf, unnest([1, 2, 3, 4, 5]) AS place, unnest(['formula', 'heading', 'heading', 'link', 'link']) AS kind, unnest(['brackets: (]', 'no text below: ' || source, 'no text below: Part ' || doc_id, 'broken: #nowhere', 'relative: img.png']) AS message FROM documents""")
+def clean_warnings(spark, sf_dir):
+    return clean.warnings(_damaged(spark, sf_dir)).where("place <= 5")
+
+
+@query("clean_totals", "SELECT count(*) AS files, count(*) * 4 AS fixes, count(*) * 5 AS warnings, 0 AS contents FROM documents")
+def clean_totals(spark, sf_dir):
+    rows = _damaged(spark, sf_dir)
+    return clean.clean_totals(clean.cleaned(rows, details=True), clean.warnings(rows))
+
+
+@query("clean_report", "SELECT doc_id AS pdf, true AS fits FROM documents")
+def clean_report(spark, sf_dir):
+    rows = clean.clean_report(clean.cleaned(_damaged(spark, sf_dir), details=True))
+    return rows.select("pdf", F.col("line").rlike(r"^\| \S{1,30} \| \d+ \| \d+ \| json: 1, newline marks: 1, blank lines: 1, tables: 1 \|$").alias("fits"))
