@@ -15,6 +15,7 @@ INDICATORS = [
     "billion", "percent", r"x[\-\s]?axis", r"y[\-\s]?axis", "legend", "scatter", "histogram", "bar chart", "pie chart",
 ]
 INDICATOR = "(?i)(?:" + "|".join(INDICATORS) + ")"
+# Fixed value: a reference to a figure or table with the rest of its sentence.
 REFERENCE = r"(?i)((?:Figure|Fig\.?|Table|Chart)\s*\d+[^.]*\.)"
 MISSING = "N/A"
 
@@ -47,9 +48,10 @@ def truncate_with_references(text: Column, limit: int) -> Column:
     return F.when(F.length(text) <= limit, text).when(useful, with_refs).otherwise(F.concat(F.substring(text, 1, limit), F.lit("...")))
 
 
-def backoff_seconds(attempt: Column, base: float = 1.0, most: float = 30.0) -> Column:
-    """Wait before a repeated call, doubled each time (no jitter)."""
-    return F.least(F.lit(base) * F.pow(F.lit(2.0), attempt), F.lit(most))
+def backoff_seconds(attempt: Column, base: float = 1.0, most: float = 30.0, chance: Column | None = None) -> Column:
+    """Wait before a repeated call, doubled each time; with ``chance`` (0 to 1) up to a quarter less or more, 0.1 at least."""
+    wait = F.least(F.lit(base) * F.pow(F.lit(2.0), attempt), F.lit(most))
+    return wait if chance is None else F.greatest(wait + wait * 0.25 * (chance * 2 - 1), F.lit(0.1))
 
 
 def rating(score: Column) -> Column:
@@ -109,6 +111,20 @@ def page_of_name(name: Column) -> Column:
     return F.nullif(F.regexp_extract(name, r"page_?(\d+)", 1), F.lit("")).cast("int")
 
 
+def page_image(page: Column) -> Column:
+    """Path of a page's image below its document; null without a page."""
+    return F.concat(F.lit("images/"), image_name(page))
+
+
+def image_name(page: Column) -> Column:
+    return F.concat(F.lit("page_"), F.lpad(page.cast("string"), F.greatest(F.length(page.cast("string")), F.lit(3)), F.lit("0")), F.lit(".png"))
+
+
+def data_uri(content: Column, kind: str = "image/png") -> Column:
+    """Binary content as a data URI."""
+    return F.concat(F.lit(f"data:{kind};base64,"), F.regexp_replace(F.base64(content), r"\s", ""))
+
+
 def masked_key(key: Column) -> Column:
     return F.concat(F.substring(key, 1, 8), F.lit("..."), F.substring(key, -4, 4))
 
@@ -133,6 +149,17 @@ def number(value: Column) -> Column:
     return F.when(shape, plain.try_cast("double"))
 
 
+def is_numeric(value: Column) -> Column:
+    """Whether a cell is a number once currency, per cent and thousands marks, dashes and question marks are gone."""
+    bare = F.regexp_replace(value, r"[£$€¥%,\s\-–—?]", "")
+    return F.coalesce(bare.rlike(r"^\+?(?:\d+\.?\d*|\.\d+)(?:[eE]\+?\d+)?$"), F.lit(False))
+
+
+def normal_value(value: Column) -> Column:
+    """A cell for comparison: trimmed, in lower case, without commas, dashes as hyphens; empty for null."""
+    return F.lower(F.translate(strip(F.coalesce(value, F.lit(""))), "–—,", "--"))
+
+
 def number_kind(value: Column) -> Column:
     """``int``, ``float`` or ``text``."""
     bare = F.regexp_replace(value, r"[£$€¥,\s]", "")
