@@ -93,10 +93,80 @@ def consecutive_failures(spark, sf_dir):
 def healthy_key_rank(spark, sf_dir):
     calls = _calls(spark, sf_dir)
     worst = progress.consecutive_failures(calls).groupBy("key").agg(F.max("consecutive").alias("consecutive"))
-    return progress.healthy_keys(progress.key_health(calls).join(worst, "key")).select("key", "place")
+    return progress.key_ranks(progress.key_health(calls).join(worst, "key"))
 
 
-@query("circuit_breaker")
+_BREAKER = f"""WITH RECURSIVE c AS (SELECT key, call, ts, ok, row_number() OVER (PARTITION BY key ORDER BY ts, call) AS n FROM ({_CALLS})),
+ s AS (SELECT key, call, ts, n, CASE WHEN ok THEN 0 ELSE 1 END AS consecutive, CAST(NULL AS TIMESTAMP) AS until, false AS banned FROM c WHERE n = 1
+ UNION ALL SELECT key, call, ts, n, CASE WHEN ok THEN 0 ELSE before + 1 END, CASE WHEN ok THEN NULL WHEN before + 1 >= 5 THEN ts + INTERVAL 300 SECOND ELSE running END, running IS NOT NULL
+ FROM (SELECT c.key, c.call, c.ts, c.n, c.ok, CASE WHEN s.until IS NOT NULL AND c.ts > s.until THEN 0 ELSE s.consecutive END AS before, CASE WHEN s.until IS NOT NULL AND c.ts > s.until THEN NULL ELSE s.until END AS running FROM s JOIN c ON c.key = s.key AND c.n = s.n + 1))
+ SELECT key, call, ts, CAST(consecutive AS INTEGER) AS consecutive, until IS NOT NULL AS disabled, until AS disabled_until, banned FROM s"""
+# calls a few seconds apart, most of them failures, so that bans begin, run on, are lifted and expire
+_CALLS_OFTEN = "SELECT user_id % 5 AS key, event_id AS call, TIMESTAMP '2024-01-01' + to_seconds(event_id * 7 + (event_id // 100) * 400) AS ts, event_type = 'purchase' AND event_id % 3 = 0 AS ok, value AS latency FROM events"
+
+
+def _calls_often(spark, sf_dir):
+    i = F.col("event_id")
+    at = F.timestamp_add("SECOND", i * 7 + F.floor(i / 100) * 400, F.lit("2024-01-01").cast("timestamp"))
+    return table(spark, sf_dir, "events").select((F.col("user_id") % 5).alias("key"), i.alias("call"), at.alias("ts"), ((F.col("event_type") == "purchase") & (i % 3 == 0)).alias("ok"), F.col("value").alias("latency"))
+
+
+@query("circuit_breaker_bans", _BREAKER.replace(_CALLS, _CALLS_OFTEN))
+def circuit_breaker_bans(spark, sf_dir):
+    return progress.circuit_breaker(_calls_often(spark, sf_dir))
+
+
+_NOW = "TIMESTAMP '2024-01-01' + to_seconds(1000)"
+
+
+@query("chosen_key", f"""WITH b AS ({_BREAKER.replace(_CALLS, _CALLS_OFTEN)}), h AS (SELECT key, avg(CASE WHEN ok THEN 1.0 ELSE 0.0 END) AS rate FROM ({_CALLS_OFTEN}) GROUP BY key), l AS (SELECT key, max(CASE WHEN call = last THEN consecutive END) AS consecutive, max(CASE WHEN call = last THEN disabled_until END) AS until FROM (SELECT *, max(call) OVER (PARTITION BY key) AS last FROM b) GROUP BY key),
+ r AS (SELECT key, coalesce(until < {_NOW}, true) AS free, rate, consecutive, until FROM h JOIN l USING (key))
+ SELECT coalesce((SELECT key FROM r WHERE free ORDER BY rate DESC, consecutive, key LIMIT 1), (SELECT key FROM r ORDER BY until, key LIMIT 1)) AS key, NOT EXISTS (SELECT 1 FROM r WHERE free) AS forced""")
+def chosen_key(spark, sf_dir):
+    calls = _calls_often(spark, sf_dir)
+    last = progress.latest(progress.circuit_breaker(calls), ["key"], ["call"], ["consecutive", "disabled_until"])
+    return progress.chosen_key(progress.key_health(calls).join(last, "key"), F.timestamp_add("SECOND", F.lit(1000), F.lit("2024-01-01").cast("timestamp")))
+
+
+@query("invalidated_documents", """SELECT o_orderkey AS pdf, 'pending' AS status, CASE WHEN o_orderkey % 7 = 0 THEN 'no_output' ELSE 'too_small' END AS error FROM orders WHERE o_orderstatus = 'F' AND (o_orderkey % 7 = 0 OR o_orderkey % 1000 < 500)""")
+def invalidated_documents(spark, sf_dir):
+    k = F.col("o_orderkey")
+    o = table(spark, sf_dir, "orders")
+    state = o.select(k.alias("pdf"), F.when(F.col("o_orderstatus") == "F", "completed").otherwise("pending").alias("status"))
+    check = progress.resume_check(o.select(k.alias("pdf"), F.lit(True).alias("listed"), F.when(k % 7 != 0, k % 1000).alias("md_bytes"), F.lit(0).alias("total_pages"), F.lit(0).alias("completed_pages")))
+    return progress.invalidations(state, check, ["pdf"])
+
+
+@query("pages_after_invalidation", """SELECT l_orderkey AS pdf, count(*) AS pages FROM lineitem WHERE l_orderkey NOT IN (SELECT o_orderkey FROM orders WHERE o_orderstatus = 'F' AND (o_orderkey % 7 = 0 OR o_orderkey % 1000 < 500)) GROUP BY l_orderkey""")
+def pages_after_invalidation(spark, sf_dir):
+    pages = table(spark, sf_dir, "lineitem").select(F.col("l_orderkey").alias("pdf"))
+    return progress.after_invalidation(pages, invalidated_documents(spark, sf_dir), ["pdf"]).groupBy("pdf").agg(F.count(F.lit(1)).alias("pages"))
+
+
+@query("overall_status", f"SELECT count(*) AS steps, count_if(s = 'completed') AS completed, CASE WHEN count(CASE WHEN s = 'failed' THEN 1 END) > 0 THEN 'failed' WHEN count(CASE WHEN s = 'completed' THEN 1 END) = count(*) AND count(*) > 0 THEN 'completed' WHEN count(CASE WHEN s = 'completed' THEN 1 END) > 0 THEN 'in_progress' ELSE 'pending' END AS status FROM (SELECT step, arg_max(status, pdf) AS s FROM ({_STATE}) GROUP BY step)")
+def overall_status(spark, sf_dir):
+    return progress.overall_status(_state(spark, sf_dir).groupBy("step").agg(F.max_by("status", "pdf").alias("status")))
+
+
+@query("completion_rates", """SELECT *, CASE WHEN rate > 0 THEN (50 - done) / rate END AS seconds_left FROM (SELECT *, CASE WHEN elapsed > 0 THEN done / elapsed ELSE 0 END AS rate FROM (SELECT o_custkey, item, done_at, row_number() OVER (PARTITION BY o_custkey ORDER BY done_at, item) AS done, done_at - min(done_at) OVER (PARTITION BY o_custkey) AS elapsed, 50 AS total
+ FROM (SELECT o_custkey, o_orderkey AS item, CAST(o_orderkey % 5000 AS DOUBLE) AS done_at FROM orders)))""")
+def completion_rates(spark, sf_dir):
+    done = table(spark, sf_dir, "orders").select("o_custkey", F.col("o_orderkey").alias("item"), (F.col("o_orderkey") % 5000).cast("double").alias("done_at"))
+    return progress.completion_rates(done, "o_custkey", "done_at", F.lit(50)).withColumn("done", F.col("done").cast("long"))
+
+
+@query("recorded_calls", f"SELECT key, count(*) AS calls FROM ({_CALLS}) WHERE key IN (SELECT c_custkey FROM customer WHERE c_acctbal > 0) GROUP BY key")
+def recorded_calls(spark, sf_dir):
+    known = table(spark, sf_dir, "customer").where("c_acctbal > 0").select(F.col("c_custkey").alias("key"))
+    return progress.recorded(_calls(spark, sf_dir), known).groupBy("key").agg(F.count(F.lit(1)).alias("calls"))
+
+
+@query("retry_jitter", "SELECT event_id, greatest(w + w * 0.25::DOUBLE * (chance * 2 - 1), 0.1::DOUBLE) AS seconds FROM (SELECT event_id, least(pow(2, event_id % 7), 30)::DOUBLE AS w, (event_id % 101) / 100.0::DOUBLE AS chance FROM events)")
+def retry_jitter(spark, sf_dir):
+    return table(spark, sf_dir, "events").select("event_id", T.backoff_seconds(F.col("event_id") % 7, chance=F.col("event_id") % 101 / 100.0).alias("seconds"))
+
+
+@query("circuit_breaker", _BREAKER)
 def circuit_breaker(spark, sf_dir):
     return progress.circuit_breaker(_calls(spark, sf_dir))
 
@@ -109,28 +179,41 @@ def step_states(spark, sf_dir):
     return progress.step_states(e).join(seen, "step").select("step", (F.col("n") > 0).alias("seen_pending"), "status")
 
 
-_RECOVERED = "SELECT doc_id % 20 AS pdf, doc_id AS page_num, doc_id % 3 <> 0 AS success, 'new ' || doc_id AS section, n_chars AS tokens, CAST(doc_id % 9 AS DOUBLE) AS seconds FROM documents WHERE doc_id % 5 = 0"
+# every document is a page; which failed, and how its two recoveries ended, depends on its length
+_STATES = "SELECT source AS pdf, doc_id AS page_num, CASE WHEN n_chars % 3 = 0 THEN 'failed' ELSE 'ok' END AS status, CASE n_chars % 9 WHEN 0 THEN 'TimeoutError: read' WHEN 3 THEN 'DataInspectionFailed: inappropriate content' WHEN 6 THEN 'DataInspectionFailed: other' END AS error, 'old ' || doc_id AS section, n_chars FROM documents"
+_RECOVERED = f"SELECT pdf, page_num, attempt, (n_chars + attempt) % 4 < 2 AS success, 'new ' || page_num || '/' || attempt AS section, n_chars AS tokens, CAST(n_chars % 9 AS DOUBLE) AS seconds, CASE WHEN (n_chars + attempt) % 4 >= 2 THEN CASE WHEN n_chars % 2 = 0 THEN 'refused' ELSE 'no answer' END END AS error FROM (SELECT *, unnest([1, 2]) AS attempt FROM ({_STATES}) WHERE status = 'failed')"
 
 
-def _recovered(spark, sf_dir):
-    i = F.col("doc_id")
-    return table(spark, sf_dir, "documents").where("doc_id % 5 = 0").select((i % 20).alias("pdf"), i.alias("page_num"), (i % 3 != 0).alias("success"), F.concat(F.lit("new "), i.cast("string")).alias("section"), F.col("n_chars").alias("tokens"), (i % 9).cast("double").alias("seconds"))
+def _states(spark, sf_dir):
+    n, i = F.col("n_chars"), F.col("doc_id")
+    error = F.when(n % 9 == 0, "TimeoutError: read").when(n % 9 == 3, "DataInspectionFailed: inappropriate content").when(n % 9 == 6, "DataInspectionFailed: other")
+    return table(spark, sf_dir, "documents").select(F.col("source").alias("pdf"), i.alias("page_num"), F.when(n % 3 == 0, "failed").otherwise("ok").alias("status"), error.alias("error"), F.concat(F.lit("old "), i.cast("string")).alias("section"), "n_chars")
 
 
-def _sections(spark, sf_dir):
-    i = F.col("doc_id")
-    return table(spark, sf_dir, "documents").where("doc_id % 2 = 0").select((i % 20).alias("pdf"), i.alias("page_num"), F.concat(F.lit("old "), i.cast("string")).alias("section"))
+def _recovered(spark, sf_dir):
+    n = F.col("n_chars")
+    rows = _states(spark, sf_dir).where("status = 'failed'").withColumn("attempt", F.explode(F.array(F.lit(1), F.lit(2))))
+    success = (n + F.col("attempt")) % 4 < 2
+    section = F.concat(F.lit("new "), F.col("page_num").cast("string"), F.lit("/"), F.col("attempt").cast("string"))
+    return rows.select("pdf", "page_num", "attempt", success.alias("success"), section.alias("section"), n.alias("tokens"), (n % 9).cast("double").alias("seconds"), F.when(~success, F.when(n % 2 == 0, "refused").otherwise("no answer")).alias("error"))
 
 
-@query("recover_merge", f"SELECT coalesce(o.pdf, r.pdf) AS pdf, coalesce(o.page_num, r.page_num) AS page_num, coalesce(r.section, o.section) AS section, r.section IS NOT NULL AS recovered FROM (SELECT doc_id % 20 AS pdf, doc_id AS page_num, 'old ' || doc_id AS section FROM documents WHERE doc_id % 2 = 0) o FULL JOIN (SELECT * FROM ({_RECOVERED}) WHERE success) r ON o.pdf = r.pdf AND o.page_num = r.page_num")
+@query("recover_merge", f"SELECT pdf, page_num, coalesce(r.section, o.section) AS section, r.section IS NOT NULL AS recovered FROM (SELECT pdf, page_num, section FROM ({_STATES}) WHERE status = 'ok' OR n_chars % 2 = 0) o FULL JOIN (SELECT pdf, page_num, arg_min(section, attempt) AS section FROM ({_RECOVERED}) WHERE success GROUP BY ALL) r USING (pdf, page_num)")
 def recover_merge(spark, sf_dir):
-    return recover.recovered_pages(_sections(spark, sf_dir), _recovered(spark, sf_dir))
+    there = _states(spark, sf_dir).where("status = 'ok' OR n_chars % 2 = 0").select("pdf", "page_num", "section")
+    return recover.recovered_pages(there, _recovered(spark, sf_dir), "attempt")
 
 
-@query("recover_failed_pages", f"SELECT pdf, count(*) AS failed, count_if(success) AS recovered FROM ({_RECOVERED}) GROUP BY pdf")
+@query("recover_failed_pages", f"SELECT pdf, count(*) AS failed, count(r.page_num) AS recovered FROM (SELECT pdf, page_num FROM ({_STATES}) WHERE status = 'failed') f LEFT JOIN (SELECT DISTINCT pdf, page_num FROM ({_RECOVERED}) WHERE success) r USING (pdf, page_num) GROUP BY pdf")
 def recover_failed_pages(spark, sf_dir):
-    rows = _recovered(spark, sf_dir)
-    return recover.still_failed(rows.select("pdf", "page_num"), rows)
+    failed = _states(spark, sf_dir).where("status = 'failed'").select("pdf", "page_num")
+    return recover.still_failed(failed, _recovered(spark, sf_dir))
+
+
+@query("failed_details", f"SELECT pdf, page_num, error FROM ({_STATES}) s WHERE status = 'failed' AND NOT EXISTS (SELECT 1 FROM ({_RECOVERED}) r WHERE success AND r.pdf = s.pdf AND r.page_num = s.page_num)")
+def failed_details(spark, sf_dir):
+    failed = _states(spark, sf_dir).where("status = 'failed'").select("pdf", "page_num", "error")
+    return recover.failed_details(failed, _recovered(spark, sf_dir))
 
 
 @query("recovery_stats", f"SELECT *, total / seconds AS pages_per_second FROM (SELECT count(*) AS total, count_if(success) AS succeeded, count_if(NOT success) AS failed, CAST(sum(tokens) AS BIGINT) AS tokens, sum(seconds) AS seconds FROM ({_RECOVERED}))")
@@ -138,6 +221,16 @@ def recovery_stats(spark, sf_dir):
     return recover.recovery_statistics(_recovered(spark, sf_dir))
 
 
+@query("recovery_errors", f"SELECT error, count(*) AS failures, string_agg(CASE WHEN place <= 10 THEN pdf || ' page ' || page_num END, ', ' ORDER BY place) AS pages FROM (SELECT *, row_number() OVER (PARTITION BY error ORDER BY pdf, page_num) AS place FROM ({_RECOVERED}) WHERE attempt = 1 AND NOT success) GROUP BY error")
+def recovery_errors(spark, sf_dir):
+    return recover.recovery_errors(_recovered(spark, sf_dir).where("attempt = 1"))
+
+
+@query("content_blocked", f"SELECT pdf, page_num FROM ({_STATES}) WHERE status = 'failed' AND contains(error, 'DataInspectionFailed') AND contains(error, 'inappropriate') ORDER BY pdf, page_num LIMIT 50")
+def content_blocked(spark, sf_dir):
+    return recover.limited(recover.blocked_pages(_states(spark, sf_dir)).select("pdf", "page_num"), 50, ["pdf", "page_num"])
+
+
 @query("log_tail", "SELECT user_id, event_id FROM (SELECT *, row_number() OVER (PARTITION BY user_id ORDER BY event_id DESC) AS place FROM events) WHERE place <= 10")
 def log_tail(spark, sf_dir):
     return files.log_tail(table(spark, sf_dir, "events").select("user_id", "event_id"), "user_id", "event_id", 10)

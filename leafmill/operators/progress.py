@@ -6,6 +6,7 @@ import pandas as pd
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+# Errors and statuses of calls that are worth repeating.
 RETRYABLE_ERRORS = ["SSLError", "ConnectionError", "TimeoutError", "NameResolutionError", "UNEXPECTED_EOF"]
 RETRYABLE_STATUS = [429, 500, 502, 503, 504]
 #: Consecutive failures that disable a key, and for how many seconds.
@@ -60,23 +61,74 @@ def consecutive_failures(calls: DataFrame) -> DataFrame:
     return run.withColumn("consecutive", F.sum(F.when(F.col("ok"), 0).otherwise(1)).over(Window.partitionBy("key", "run").orderBy("ts", "call"))).drop("run")
 
 
-def healthy_keys(health: DataFrame) -> DataFrame:
-    """Keys ranked by success rate, then fewest consecutive failures, then name (one row for each key)."""
-    place = F.row_number().over(Window.orderBy(F.desc("success_rate"), "consecutive", "key"))
-    return health.withColumn("place", place.cast("long"))
+def key_ranks(health: DataFrame) -> DataFrame:
+    """Keys with their place by success rate, then fewest consecutive failures, then name.
 
+    The key table is as large as the list of keys: it is gathered in one row map-side and
+    unfolded in order.
+    """
+    order = F.array_sort(F.collect_list(F.struct((-F.col("success_rate")).alias("r"), "consecutive", "key")))
+    return health.agg(order.alias("o")).select(F.posexplode("o").alias("i", "k")).select("k.key", (F.col("i") + 1).cast("long").alias("place"))
+
+
+def chosen_key(health: DataFrame, now: Column) -> DataFrame:
+    """One row: the key to use at ``now``, and whether it was banned (rows: key, success_rate, consecutive, disabled_until).
+
+    The best-ranked key without a running ban; if all are banned, the one whose ban ends first.
+    """
+    free = F.col("disabled_until").isNull() | (F.col("disabled_until") < now)
+    rank = F.struct((-F.col("success_rate")).alias("r"), F.col("consecutive").alias("c"), F.col("key").alias("k"))
+    sums = health.agg(F.min(F.when(free, rank)).alias("best"), F.min(F.when(~free, F.struct("disabled_until", "key"))).alias("first"))
+    return sums.select(F.coalesce("best.k", "first.key").alias("key"), F.col("best").isNull().alias("forced"))
+
+
+def invalidations(state: DataFrame, check: DataFrame, keys: list[str]) -> DataFrame:
+    """Events that take completed documents back to pending: those whose ``resume_check`` failed."""
+    bad = check.where(~F.col("valid")).select(*keys, F.col("reason").alias("error"))
+    return state.where(F.col("status") == "completed").join(bad, keys).withColumn("status", F.lit("pending"))
+
+
+def after_invalidation(pages: DataFrame, invalidated: DataFrame, keys: list[str]) -> DataFrame:
+    """Page states without those of invalidated documents; counters are derived from what is left."""
+    return pages.join(invalidated.select(*keys).distinct(), keys, "left_anti")
 
-_BREAKER = "key long, call long, ts timestamp, consecutive int, disabled boolean, disabled_until timestamp, rejected boolean"
+
+def overall_status(steps: DataFrame) -> DataFrame:
+    """One row over step states (step, status): ``completed``, ``failed``, ``in_progress`` or ``pending``."""
+    any_ = lambda s: F.count_if(F.col("status") == s)
+    status = F.when(any_("failed") > 0, "failed").when((any_("completed") == F.count(F.lit(1))) & (F.count(F.lit(1)) > 0), "completed").when(any_("completed") + any_("in_progress") > 0, "in_progress").otherwise("pending")
+    return steps.agg(F.count(F.lit(1)).alias("steps"), any_("completed").alias("completed"), status.alias("status"))
+
+
+def completion_rates(done: DataFrame, group: str, at: str, total: Column) -> DataFrame:
+    """After each completion of a group (``at`` in seconds): how many are done, how fast, and the seconds left."""
+    order = Window.partitionBy(group).orderBy(at, "item")
+    rows = done.withColumns({"done": F.row_number().over(order), "elapsed": F.col(at) - F.min(at).over(Window.partitionBy(group)), "total": total})
+    rate = F.when(F.col("elapsed") > 0, F.col("done") / F.col("elapsed"))
+    return rows.withColumn("rate", F.coalesce(rate, F.lit(0.0))).withColumn("seconds_left", F.when(F.col("rate") > 0, (F.col("total") - F.col("done")) / F.col("rate")))
+
+
+def recorded(calls: DataFrame, known: DataFrame) -> DataFrame:
+    """Calls of known keys; what is recorded for any other key is left out."""
+    return calls.join(known.select("key").distinct(), "key", "left_semi")
+
+
+_BREAKER = "key long, call long, ts timestamp, consecutive int, disabled boolean, disabled_until timestamp, banned boolean"
 
 
 def breaker_step(consecutive: int, until: pd.Timestamp | None, ts: pd.Timestamp, ok: bool):
-    """(consecutive, until, rejected) after a call at ``ts``: an expired ban is lifted first."""
-    if until is not None and ts >= until:
+    """(consecutive, until, banned) after a call that ended at ``ts``.
+
+    A ban that has expired is lifted first.  A success lifts any ban; a failure beyond the limit
+    begins it anew, also for calls that were under way when it began (``banned``).
+    """
+    if until is not None and ts > until:
         consecutive, until = 0, None
-    if until is not None:
-        return consecutive, until, True
-    consecutive = 0 if ok else consecutive + 1
-    return consecutive, ts + pd.Timedelta(seconds=DISABLED) if consecutive >= FAILURES else None, False
+    banned = until is not None
+    if ok:
+        return 0, None, banned
+    consecutive += 1
+    return consecutive, ts + pd.Timedelta(seconds=DISABLED) if consecutive >= FAILURES else until, banned
 
 
 def circuit_breaker(calls: DataFrame) -> DataFrame:
@@ -93,10 +145,10 @@ def circuit_breaker(calls: DataFrame) -> DataFrame:
             for row in batch.itertuples(index=False):
                 if row.key != key:
                     key, state = row.key, (0, None)
-                consecutive, until, rejected = breaker_step(*state, row.ts, row.ok)
+                consecutive, until, banned = breaker_step(*state, row.ts, row.ok)
                 state = (consecutive, until)
-                out.append((row.key, row.call, row.ts, consecutive, until is not None, until, rejected))
-            yield pd.DataFrame(out, columns=["key", "call", "ts", "consecutive", "disabled", "disabled_until", "rejected"])
+                out.append((row.key, row.call, row.ts, consecutive, until is not None, until, banned))
+            yield pd.DataFrame(out, columns=["key", "call", "ts", "consecutive", "disabled", "disabled_until", "banned"])
 
     rows = calls.select("key", "call", "ts", "ok")
     return rows.repartition("key").sortWithinPartitions("key", "ts", "call").mapInPandas(run, _BREAKER)

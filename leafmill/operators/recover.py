@@ -2,17 +2,35 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
+#: Pages named for each error.
+MOST_PAGES = 10
 
-def recovered_pages(pages: DataFrame, recovered: DataFrame) -> DataFrame:
-    """Pages (pdf, page_num, section) with recovered sections in place; pages that were missing are added."""
-    good = recovered.where("success").select("pdf", "page_num", F.col("section").alias("new"))
+
+def recovered_pages(pages: DataFrame, recovered: DataFrame, order: str = "section") -> DataFrame:
+    """Pages (pdf, page_num, section) with recovered sections in place; pages that were missing are added.
+
+    Of several recoveries of a page the first in ``order`` counts.
+    """
+    good = recovered.where("success").groupBy("pdf", "page_num").agg(F.min_by("section", order).alias("new"))
     rows = pages.join(good, ["pdf", "page_num"], "full")
     return rows.select("pdf", "page_num", F.coalesce("new", "section").alias("section"), F.col("new").isNotNull().alias("recovered"))
 
 
+def blocked_pages(pages: DataFrame) -> DataFrame:
+    """Pages (pdf, page_num, status, error) that a content check refused."""
+    from leafmill.operators.progress import blocked
+
+    return pages.where((F.col("status") == "failed") & blocked(F.col("error")))
+
+
+def limited(pages: DataFrame, n: int, order: list[str]) -> DataFrame:
+    """The first n pages in order; 0 is all."""
+    return pages.orderBy(*order).limit(n) if n else pages
+
+
 def still_failed(failed: DataFrame, recovered: DataFrame) -> DataFrame:
     """Failed pages of each document, and how many of them were recovered."""
     good = recovered.where("success").select("pdf", "page_num").distinct().withColumn("ok", F.lit(1))
@@ -20,6 +38,19 @@ def still_failed(failed: DataFrame, recovered: DataFrame) -> DataFrame:
     return rows.groupBy("pdf").agg(F.count(F.lit(1)).alias("failed"), F.count("ok").alias("recovered"))
 
 
+def failed_details(failed: DataFrame, recovered: DataFrame) -> DataFrame:
+    """Failed pages that no recovery brought back, with their error."""
+    return failed.join(recovered.where("success").select("pdf", "page_num").distinct(), ["pdf", "page_num"], "left_anti")
+
+
+def recovery_errors(recovered: DataFrame) -> DataFrame:
+    """Pages of failed recoveries by error, as ``pdf page n``, the first MOST_PAGES in order of each."""
+    rows = recovered.where(~F.col("success")).withColumn("place", F.row_number().over(Window.partitionBy("error").orderBy("pdf", "page_num")))
+    name = F.concat(F.col("pdf").cast("string"), F.lit(" page "), F.col("page_num").cast("string"))
+    named = F.transform(F.array_sort(F.collect_list(F.when(F.col("place") <= MOST_PAGES, F.struct("place", name.alias("n"))))), lambda x: x["n"])
+    return rows.groupBy("error").agg(F.count(F.lit(1)).alias("failures"), F.array_join(named, ", ").alias("pages"))
+
+
 def recovery_statistics(recovered: DataFrame) -> DataFrame:
     sums = recovered.agg(F.count(F.lit(1)).alias("total"), F.count_if("success").alias("succeeded"), F.count_if(~F.col("success")).alias("failed"), F.coalesce(F.sum("tokens"), F.lit(0)).alias("tokens"), F.coalesce(F.sum("seconds"), F.lit(0.0)).alias("seconds"))
     return sums.withColumn("pages_per_second", F.when(F.col("seconds") > 0, F.col("total") / F.col("seconds")).otherwise(0.0))

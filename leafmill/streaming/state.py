@@ -22,6 +22,18 @@ def run_available(stream: DataFrame, target: str, checkpoint: str) -> None:
     stream.writeStream.format("parquet").option("path", target).option("checkpointLocation", checkpoint).outputMode("append").trigger(availableNow=True).start().awaitTermination()
 
 
+def restart(checkpoint: str) -> str:
+    """A checkpoint beside the old one: the query begins from the start, what was there stays to be looked at."""
+    import uuid
+
+    return f"{checkpoint.rstrip('/')}-{uuid.uuid4().hex[:8]}"
+
+
+def as_completed(stream: DataFrame, take: object, checkpoint: str) -> None:
+    """Give ``take(batch, number)`` the rows in the order in which they are completed, batch by batch."""
+    stream.writeStream.foreachBatch(take).option("checkpointLocation", checkpoint).trigger(availableNow=True).start().awaitTermination()
+
+
 def error_rates(events: DataFrame, width: str = "1 hour", late: str = "1 hour") -> DataFrame:
     """Calls and failures by key and window; rows later than the watermark are left out."""
     return events.withWatermark("ts", late).groupBy(F.window("ts", width), "key").agg(F.count(F.lit(1)).alias("calls"), F.count_if(~F.col("ok")).alias("failures")).select("key", F.col("window.start").alias("start"), "calls", "failures")
