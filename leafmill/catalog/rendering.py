@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 from leafmill.catalog import planning, query
 from leafmill.functions import text as T
 from leafmill.operators import merge, render
+from leafmill.sources import files
 from leafmill.sources.tables import table
 
 _BODY = "CASE WHEN len(regexp_replace(text, '^\\s+|\\s+$', '', 'g')) > 0 THEN text || chr(10) || chr(10) ELSE '' END"
@@ -72,6 +73,82 @@ def merge_renumbered(spark, sf_dir):
     return merge.renumbered(pages, chunks)
 
 
+# chunk texts with page marks, image and metadata references of their own numbers
+def _chunk_text(n: str) -> str:
+    return f"'## Page ' || {n} || chr(10) || 'see [Page ' || {n} || '] ![a](images/page_' || lpad(CAST({n} AS VARCHAR), 3, '0') || '.png) yaml_metadata/Table_1_page' || {n} || '.yaml, yaml_metadata/Fig_2_b_page' || {n} || '.yaml ## Page ' || n || ' x'"
+
+
+@query("renumbered_text", f"SELECT chunk, string_agg({_chunk_text('(n + page_offset)')}, chr(10) ORDER BY n) AS markdown FROM (SELECT *, unnest(generate_series(1, pages)) AS n FROM ({_OFFSETS}) WHERE there) GROUP BY chunk")
+def renumbered_text(spark, sf_dir):
+    n = F.col("n").cast("string")
+    text = F.concat(F.lit("## Page "), n, F.lit("\nsee [Page "), n, F.lit("] ![a](images/"), T.image_name(F.col("n")), F.lit(") yaml_metadata/Table_1_page"), n, F.lit(".yaml, yaml_metadata/Fig_2_b_page"), n, F.lit(".yaml ## Page "), n, F.lit(" x"))
+    rows = _offsets(spark, sf_dir).where("there").withColumn("n", F.explode(F.sequence(F.lit(1), F.col("pages"))))
+    texts = rows.groupBy("chunk", "page_offset").agg(F.array_join(F.transform(F.array_sort(F.collect_list(F.struct("n", text.alias("t")))), lambda x: x["t"]), "\n").alias("markdown"))
+    return texts.select("chunk", merge.renumbered_text("markdown", "page_offset").alias("markdown"))
+
+
+_BARE = "regexp_replace(coalesce(text, ''), '^\\s+|\\s+$', '', 'g')"
+
+
+@query("thin_chunks", f"SELECT doc_id AS chunk, CAST(len({_BARE}) AS INTEGER) AS size FROM documents WHERE len({_BARE}) < 100")
+def thin_chunks(spark, sf_dir):
+    return merge.thin_chunks(table(spark, sf_dir, "documents").select(F.col("doc_id").alias("chunk"), F.col("text").alias("markdown")))
+
+
+_MERGED = f"SELECT pdf, count(*) AS chunks, count_if(there) AS found, count_if(NOT there) AS missing, CAST(coalesce(sum(CASE WHEN there THEN pages END), 0) AS BIGINT) AS pages, CAST(coalesce(sum(CASE WHEN there THEN pages // 2 END), 0) AS BIGINT) AS figures FROM ({_OFFSETS}) GROUP BY pdf"
+
+
+@query("merge_totals", f"SELECT count(*) AS pdfs, count_if(missing = 0) AS whole, {', '.join(f'CAST(sum({c}) AS BIGINT) AS {c}' for c in ('chunks', 'found', 'missing', 'pages', 'figures'))} FROM ({_MERGED})")
+def merge_totals(spark, sf_dir):
+    chunks = _offsets(spark, sf_dir)
+    figures = chunks.where("pages >= 2").select("chunk", F.explode(F.sequence(F.lit(1), F.floor(F.col("pages") / 2).cast("int"))).alias("figure"))
+    return merge.merge_totals(merge.merge_summary(chunks, figures))
+
+
+_CHUNK_JSON = """'{"pdf":"' || pdf || '","chunk_idx":' || chunk_idx || ',"chunk":"' || chunk || '","total_chunks":' || total_chunks || ',"start_page":' || start_page || ',"end_page":' || end_page || ',"pages":' || pages || '}'"""
+_STATS_JSON = """'{"total_pdfs":' || count(*) || ',"split_pdfs":' || count(CASE WHEN status = 'split' THEN 1 END) || ',"skipped_pdfs":' || count(CASE WHEN status = 'skip' THEN 1 END) || ',"failed_pdfs":0,"total_chunks":' || coalesce(sum(CASE WHEN status = 'split' THEN chunks END), 0) || '}'"""
+
+
+@query("split_mapping", f"""SELECT '{{"chunks":' || (SELECT coalesce('[' || string_agg({_CHUNK_JSON}, ',' ORDER BY pdf, chunk_idx) || ']', '[]') FROM ({planning._CHUNKS})) || ',"direct":' || (SELECT coalesce('[' || string_agg('{{"pdf":"' || pdf || '"}}', ',' ORDER BY pdf) || ']', '[]') FROM ({planning._PLAN}) WHERE status = 'skip')
+ || ',"stats":' || (SELECT {_STATS_JSON} FROM ({planning._PLAN})) || '}}' AS json""")
+def split_mapping(spark, sf_dir):
+    return files.split_mapping(planning.split_plan(spark, sf_dir), planning.split_chunks(spark, sf_dir))
+
+
+_LONG_NAME = "p_name || ' (' || p_partkey % 7 || ') ' || p_brand"
+
+
+@query("delivery_files", f"""SELECT short || CASE WHEN place > 1 THEN '-' || place ELSE '' END || ending AS name, CASE ending WHEN '.md' THEN m ELSE y END AS size FROM (SELECT *, row_number() OVER (PARTITION BY short ORDER BY pdf) AS place FROM (SELECT pdf, m, y, regexp_replace(replace(substring(pdf, 1, 50), ' ', '-'), '[^a-zA-Z0-9-]', '', 'g') AS short
+ FROM (SELECT {_LONG_NAME} || repeat('_', p_partkey) AS pdf, len(p_type) AS m, CASE WHEN p_size % 2 = 0 THEN len(p_brand) END AS y FROM part))), (SELECT unnest(['.md', '.yaml']) AS ending) WHERE ending = '.md' OR y IS NOT NULL""")
+def delivery_files(spark, sf_dir):
+    name = F.concat("p_name", F.lit(" ("), (F.col("p_partkey") % 7).cast("string"), F.lit(") "), "p_brand", F.expr("repeat('_', CAST(p_partkey AS INT))"))
+    p = table(spark, sf_dir, "part").withColumn("pdf", name)
+    names = F.array(F.struct(F.lit("b.yaml").alias("name"), F.lit("wrong").alias("content")), F.struct(F.lit("a.yaml").alias("name"), F.col("p_brand").alias("content")), F.struct(F.lit("a.validation.yaml").alias("name"), F.lit("no").alias("content")))
+    metadata = p.where("p_size % 2 = 0").select("pdf", F.explode(names).alias("f")).select("pdf", "f.*")
+    return files.delivery_files(p.select("pdf", F.col("p_type").alias("markdown")), metadata).select("name", F.length("content").cast("long").alias("size"))
+
+
+@query("combined_figures", """SELECT n_regionkey || '_all_figures.yaml' AS name, 'document_info:' || chr(10) || '  filename: ' || chr(39) || n_regionkey || chr(39) || chr(10) || '  total_figures: ' || count(*) || chr(10) || '  processing_date: ' || chr(39) || '2024-01-01' || chr(39) || chr(10) || 'figures:' || chr(10) || string_agg('- figure_number: ' || n_name || 's' || chr(10) || '  page: ' || n_nationkey || chr(10), '' ORDER BY n_nationkey) AS content FROM nation GROUP BY n_regionkey""")
+def combined_figures(spark, sf_dir):
+    value = F.to_json(F.struct(F.concat("n_name", F.lit("s")).alias("figure_number"), F.col("n_nationkey").alias("page")))
+    rows = table(spark, sf_dir, "nation").select(F.col("n_regionkey").alias("pdf"), F.col("n_nationkey").alias("page_num"), F.lit(1).alias("ordinal"), value.alias("json"))
+    return files.combined_figures(rows, "2024-01-01")
+
+
+@query("figure_files", """SELECT n_regionkey || '/yaml_metadata/Table_' || n_nationkey % 3 || CASE WHEN count(*) OVER (PARTITION BY n_regionkey, n_nationkey % 3) > 1 THEN '_' || n_nationkey ELSE '' END || '_page7.yaml' AS name, 'title: ' || n_name || 's' || chr(10) AS content FROM nation""")
+def figure_files(spark, sf_dir):
+    number = F.concat(F.lit("Table: "), (F.col("n_nationkey") % 3).cast("string"))
+    value = F.to_json(F.struct(F.concat("n_name", F.lit("s")).alias("title")))
+    return files.figure_files(table(spark, sf_dir, "nation").select(F.col("n_regionkey").alias("pdf"), F.lit(7).alias("page_num"), F.col("n_nationkey").alias("ordinal"), number.alias("figure_number"), value.alias("json")))
+
+
+@query("changed_files", f"SELECT pdf || '.md' AS name FROM ({_DOC}) WHERE CAST(pdf AS BIGINT) % 3 = 0")
+def changed_files(spark, sf_dir):
+    before = files.document_files(documents(spark, sf_dir))
+    after = before.withColumn("content", F.when(F.regexp_extract("name", r"(\d+)", 1).cast("long") % 3 == 0, F.concat("content", F.lit("x"))).otherwise(F.col("content")))
+    return files.changed_files(before, after, "content").select("name")
+
+
 @query("merge_summary", f"SELECT pdf, count(*) AS chunks, count_if(there) AS found, count_if(NOT there) AS missing, CAST(coalesce(sum(CASE WHEN there THEN pages END), 0) AS BIGINT) AS pages FROM ({_OFFSETS}) GROUP BY pdf")
 def merge_summary(spark, sf_dir):
     return merge.merge_summary(_offsets(spark, sf_dir))

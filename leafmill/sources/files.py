@@ -3,67 +3,114 @@
 from __future__ import annotations
 
 import json
+import re
+import zlib
 from collections.abc import Iterator
 
 import pandas as pd
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 from pyspark.sql.functions import pandas_udf
-from pyspark.sql.types import StringType
+from pyspark.sql.types import IntegerType, StringType
+
+from leafmill.functions import text as T
+
+# Fixed value: names of report files, which are no documents.
+REPORT = "QUALITY_REPORT"
+#: File name patterns of metadata by kind.
+METADATA = {"tables": "Table*.yaml", "figures": "*_all_figures.yaml", "validation": "*.validation.yaml", "any": "*.yaml"}
 
 
 def binary_files(spark: SparkSession, folder: str, pattern: str = "*.pdf", recursive: bool = False) -> DataFrame:
-    """pdf (name without ending), path, size_mb, content of files, in order of path."""
+    """pdf (name without ending), path, size_mb, content of files.  Not sorted: sort after ``content`` is gone."""
     rows = spark.read.format("binaryFile").option("pathGlobFilter", pattern).option("recursiveFileLookup", str(recursive).lower()).load(folder)
     name = F.regexp_replace(F.element_at(F.split("path", "/"), -1), r"\.[^.]*$", "")
-    return rows.select(name.alias("pdf"), "path", (F.col("length") / 1048576.0).alias("size_mb"), "content").orderBy("path")
+    return rows.select(name.alias("pdf"), "path", (F.col("length") / 1048576.0).alias("size_mb"), "content")
 
 
-def page_counts(content: pd.Series) -> pd.Series:
-    """Pages of PDF files by their page objects; null where none is found."""
-    import re
+def pages_of(content: bytes) -> int | None:
+    """Pages of a PDF by its page objects, those in compressed object streams too; None where none is found."""
+    found = len(re.findall(rb"/Type\s*/Page[^s]", content + b" "))
+    for stream in re.finditer(rb"/ObjStm\b.*?stream\r?\n(.*?)endstream", content, re.S):
+        try:
+            found += len(re.findall(rb"/Type\s*/Page[^s]", zlib.decompressobj().decompress(stream[1]) + b" "))
+        except zlib.error:
+            continue
+    return found or None
 
-    mark = re.compile(rb"/Type\s*/Page[^s]")
-    return content.map(lambda b: len(mark.findall(bytes(b) + b" ")) or None).astype("Int32")
+
+@pandas_udf(IntegerType())
+def page_counts(content: pd.Series) -> pd.Series:
+    return content.map(lambda b: None if b is None else pages_of(bytes(b))).astype("Int32")
 
 
 def with_page_counts(files: DataFrame) -> DataFrame:
-    """``binary_files`` rows with total_pages in place of content."""
-    return files.withColumn("total_pages", pandas_udf(page_counts, "int")("content")).drop("content")
+    """``binary_files`` rows with total_pages in place of content, in order of path."""
+    return files.withColumn("total_pages", page_counts("content")).drop("content").orderBy("path")
 
 
-def markdown_files(spark: SparkSession, folder: str, recursive: bool = False, leave_out: str = "QUALITY_REPORT") -> DataFrame:
-    """pdf, markdown of the ``.md`` files, reports left out."""
+def markdown_files(spark: SparkSession, folder: str, recursive: bool = False) -> DataFrame:
+    """pdf, markdown of the ``.md`` files: without those whose name begins like a report's, or, read
+    recursively, without the report itself."""
     rows = spark.read.option("pathGlobFilter", "*.md").option("recursiveFileLookup", str(recursive).lower()).text(folder, wholetext=True)
-    name = F.regexp_replace(F.col("_metadata.file_name"), r"\.md$", "")
-    return rows.select(F.url_decode(name).alias("pdf"), F.col("value").alias("markdown")).where(~F.col("pdf").startswith(leave_out))
+    name = F.url_decode(F.regexp_replace(F.col("_metadata.file_name"), r"\.md$", ""))
+    kept = name != REPORT if recursive else ~name.startswith(REPORT)
+    return rows.select(name.alias("pdf"), F.col("value").alias("markdown"), kept.alias("_kept")).where("_kept").drop("_kept")
 
 
-def _loaded(text: str | None) -> str | None:
+def _loaded(text: str | None) -> tuple[str | None, str | None]:
     import yaml
 
     try:
-        return json.dumps(yaml.safe_load(text), default=str) if text else None
-    except yaml.YAMLError:
-        return None
+        return (json.dumps(yaml.safe_load(text), default=str) if text is not None else None), None
+    except yaml.YAMLError as e:
+        return None, " ".join(str(e).split())
+    except (TypeError, ValueError) as e:
+        return None, f"{type(e).__name__}: {e}"
 
 
 @pandas_udf(StringType())
 def yaml_to_json(text: pd.Series) -> pd.Series:
     """YAML as JSON; null where it can't be read."""
-    return text.map(_loaded)
+    return text.map(lambda t: _loaded(t)[0])
+
+
+@pandas_udf(StringType())
+def yaml_error(text: pd.Series) -> pd.Series:
+    """Why YAML can't be read; null where it can."""
+    return text.map(lambda t: _loaded(t)[1])
+
+
+@pandas_udf(StringType())
+def json_to_yaml(text: pd.Series) -> pd.Series:
+    """JSON as YAML, keys in their order."""
+    import yaml
+
+    return text.map(lambda t: None if t is None else yaml.safe_dump(json.loads(t), allow_unicode=True, sort_keys=False, default_flow_style=False))
+
 
+def yaml_texts(spark: SparkSession, folder: str, kind: str = "any", recursive: bool = False) -> DataFrame:
+    """name, text of YAML files of a kind (see ``METADATA``)."""
+    rows = spark.read.option("pathGlobFilter", METADATA[kind]).option("recursiveFileLookup", str(recursive).lower()).text(folder, wholetext=True)
+    return rows.select(F.url_decode(F.regexp_replace(F.col("_metadata.file_name"), r"\.ya?ml$", "")).alias("name"), F.col("value").alias("text"))
 
-def yaml_files(spark: SparkSession, folder: str, pattern: str = "*.yaml", recursive: bool = False) -> DataFrame:
-    """name, json, value (variant; null where the file can't be read) of YAML files but reports and validations."""
-    rows = spark.read.option("pathGlobFilter", pattern).option("recursiveFileLookup", str(recursive).lower()).text(folder, wholetext=True)
-    named = rows.select(F.regexp_replace(F.col("_metadata.file_name"), r"\.ya?ml$", "").alias("name"), "value")
-    kept = named.where(~F.col("name").rlike(r"^(?:QUALITY|VALIDATION)|\.validation$"))
-    return kept.select("name", yaml_to_json("value").alias("json")).withColumn("value", F.try_parse_json("json"))
+
+def yaml_files(spark: SparkSession, folder: str, kind: str = "any", recursive: bool = False) -> DataFrame:
+    """name, json, value (variant; null where the file can't be read) of YAML files; of ``any`` kind without reports and validations."""
+    named = yaml_texts(spark, folder, kind, recursive)
+    if kind == "any":
+        named = named.where(~F.col("name").rlike(r"^(?:QUALITY|VALIDATION)|\.validation$"))
+    return named.select("name", yaml_to_json("text").alias("json")).withColumn("value", F.try_parse_json("json"))
+
+
+def figures_of(files: DataFrame) -> DataFrame:
+    """name, ordinal, figure (variant) of combined metadata, both a bare list and one under ``figures``."""
+    listed = F.coalesce(F.try_variant_get("value", "$.figures", "array<variant>"), F.try_variant_get("value", "$", "array<variant>"))
+    return files.select("name", F.posexplode(listed).alias("i", "figure")).select("name", (F.col("i") + 1).alias("ordinal"), "figure")
 
 
 def json_reports(spark: SparkSession, patterns: list[str]) -> DataFrame:
-    """Whole JSON files of several patterns; files with equal content once."""
+    """Whole JSON files of several patterns; files of later patterns with equal content once."""
     found = None
     for pattern in patterns:
         rows = spark.read.text(pattern, wholetext=True).select(F.col("value").alias("json"))
@@ -71,15 +118,130 @@ def json_reports(spark: SparkSession, patterns: list[str]) -> DataFrame:
     return found
 
 
+def json_state(spark: SparkSession, path: str, schema: str) -> DataFrame:
+    """Rows of a JSON file (a mapping, progress, a list of blocked pages): none if it is missing or can't be read."""
+    from pyspark.errors import AnalysisException
+
+    try:
+        rows = spark.read.schema(f"{schema}, _corrupt string").option("multiLine", True).option("columnNameOfCorruptRecord", "_corrupt").json(path)
+        return rows.cache().where("_corrupt IS NULL").drop("_corrupt")
+    except AnalysisException:
+        return spark.createDataFrame([], schema)
+
+
+PROGRESS = "steps map<string,struct<status:string,completed:array<string>,failed:array<string>,pending:array<string>>>"
+
+
+def progress_events(state: DataFrame) -> DataFrame:
+    """step, pdf, status of a progress file (``PROGRESS``); a fresh state has none."""
+    lists = F.array(*[F.struct(F.lit(s).alias("status"), F.col(f"v.{s}").alias("pdfs")) for s in ("completed", "failed", "pending")])
+    rows = state.select(F.explode("steps").alias("step", "v")).select("step", F.explode(lists).alias("l"))
+    return rows.select("step", F.explode("l.pdfs").alias("pdf"), "l.status")
+
+
+def monitor_summaries(spark: SparkSession, folder: str, task: str) -> DataFrame:
+    """name, json of the monitor files whose name begins with the task, else of the one that is last by name."""
+    rows = spark.read.option("pathGlobFilter", "*monitor*.json").text(folder, wholetext=True)
+    rows = rows.select(F.url_decode(F.col("_metadata.file_name")).alias("name"), F.col("value").alias("json"))
+    own = rows.where(F.col("name").startswith(task))
+    return own if not own.isEmpty() else rows.orderBy(F.desc("name")).limit(1)
+
+
+def retry_failures(spark: SparkSession, folder: str) -> DataFrame:
+    """pdf, page_num, error, kind (permanent or skipped) of ``*retry*`` files in JSON or YAML; none if there are none."""
+    rows = spark.read.option("pathGlobFilter", "*retry*.{json,yaml,yml}").text(folder, wholetext=True).select(yaml_to_json("value").alias("json"))
+    one = "array<struct<pdf:string,page_num:int,error:string>>"
+    value = F.from_json("json", f"permanent {one}, skipped {one}")
+    kinds = F.array(*[F.struct(F.lit(k).alias("kind"), value[k].alias("l")) for k in ("permanent", "skipped")])
+    each = rows.select(F.explode(kinds).alias("k")).select("k.kind", F.explode("k.l").alias("x"))
+    return each.select("x.pdf", "x.page_num", "x.error", "kind")
+
+
 def log_tail(lines: DataFrame, key: str, order: str, n: int = 1000) -> DataFrame:
     """The last ``n`` lines of each log."""
     place = F.row_number().over(Window.partitionBy(key).orderBy(F.desc(order)))
     return lines.withColumn("_place", place).where(F.col("_place") <= n).drop("_place")
 
 
-def write_documents(documents: DataFrame, folder: str) -> None:
-    """One text file for each document (pdf, markdown), below a folder named by it."""
-    documents.select(F.col("markdown").alias("value"), "pdf").write.partitionBy("pdf").option("lineSep", "\n").mode("overwrite").text(folder)
+# ---- writers -----------------------------------------------------------------------------------
+
+
+def write_files(files: DataFrame, folder: str, backup: bool = False) -> None:
+    """One file for each row (name, content: text or binary) below a folder that all executors share.
+
+    A file is written under another name and then renamed, so a repeated task leaves whole files.
+    ``backup`` keeps what was there before as ``.bak``, once.  A row with a null content is left out.
+    """
+
+    def write(rows: Iterator) -> None:
+        from pyarrow import fs
+
+        target, base = fs.FileSystem.from_uri(folder) if "://" in folder else (fs.LocalFileSystem(), folder)
+        for row in rows:
+            if row.content is None:
+                continue
+            path = f"{base}/{row.name}"
+            target.create_dir(path.rpartition("/")[0], recursive=True)
+            if backup and target.get_file_info(path).type == fs.FileType.File and target.get_file_info(f"{path}.bak").type == fs.FileType.NotFound:
+                target.copy_file(path, f"{path}.bak")
+            with target.open_output_stream(f"{path}.part") as out:
+                out.write(row.content.encode() if isinstance(row.content, str) else bytes(row.content))
+            target.move(f"{path}.part", path)
+
+    files.select("name", "content").foreachPartition(write)
+
+
+def document_files(documents: DataFrame) -> DataFrame:
+    """name, content of the Markdown file of each document."""
+    return documents.select(F.concat(F.col("pdf").cast("string"), F.lit(".md")).alias("name"), F.col("markdown").alias("content"))
+
+
+def figure_files(figures: DataFrame, value: str = "json") -> DataFrame:
+    """name, content of one metadata file for each figure (pdf, page_num, ordinal, figure_number, JSON text); a
+    second figure of the same name has its ordinal before the page."""
+    clash = F.count(F.lit(1)).over(Window.partitionBy("pdf", "page_num", "figure_number")) > 1
+    number = F.when(clash, F.concat("figure_number", F.lit("_"), F.col("ordinal").cast("string"))).otherwise(F.col("figure_number"))
+    path = F.concat(F.col("pdf").cast("string"), F.lit("/yaml_metadata/"), T.figure_file(number, F.col("page_num")))
+    return figures.select(path.alias("name"), json_to_yaml(value).alias("content"))
+
+
+def combined_figures(figures: DataFrame, made: str, value: str = "json") -> DataFrame:
+    """name, content of the combined metadata file of each document: its figures in order of page and ordinal."""
+    listed = F.array_sort(F.collect_list(F.struct("page_num", "ordinal", F.col(value).alias("v"))))
+    rows = figures.groupBy("pdf").agg(F.count(F.lit(1)).alias("n"), F.array_join(F.transform(listed, lambda x: x["v"]), ",").alias("all"))
+    head = F.to_json(F.struct(F.col("pdf").cast("string").alias("filename"), F.col("n").alias("total_figures"), F.lit(made).alias("processing_date")))
+    return rows.select(F.concat(F.col("pdf").cast("string"), F.lit("_all_figures.yaml")).alias("name"), json_to_yaml(F.concat(F.lit('{"document_info":'), head, F.lit(',"figures":['), "all", F.lit("]}"))).alias("content"))
+
+
+def changed_files(before: DataFrame, after: DataFrame, value: str) -> DataFrame:
+    """Rows of ``after`` (name) whose value differs from ``before``: what a clean-up or an update has to write again."""
+    old = before.select("name", F.col(value).alias("_old"))
+    return after.join(old, "name", "left").where(~F.col(value).eqNullSafe(F.col("_old"))).drop("_old")
+
+
+def delivery_files(documents: DataFrame, metadata: DataFrame) -> DataFrame:
+    """name, content of a delivery: each document's text and the first of its metadata files by name, under short names.
+
+    Documents whose short names meet are numbered in order of their names.
+    """
+    first = metadata.where(~F.col("name").endswith(".validation.yaml")).groupBy("pdf").agg(F.min_by("content", "name").alias("meta"))
+    short = T.delivery_name(F.col("pdf").cast("string"))
+    place = F.row_number().over(Window.partitionBy(short).orderBy("pdf"))
+    rows = documents.join(first, "pdf", "left").withColumn("place", place)
+    name = F.concat(short, F.when(F.col("place") > 1, F.concat(F.lit("-"), F.col("place").cast("string"))).otherwise(""))
+    both = F.array(F.struct(F.concat(name, F.lit(".md")).alias("name"), F.col("markdown").alias("content")), F.struct(F.concat(name, F.lit(".yaml")).alias("name"), F.col("meta").alias("content")))
+    return rows.select(F.explode(both).alias("f")).select("f.*").where("content IS NOT NULL")
+
+
+def split_mapping(plan: DataFrame, ranges: DataFrame) -> DataFrame:
+    """One row: the JSON of a split, its statistics, chunks and whole documents.  It is as long as the list of files."""
+    from leafmill.plans.chunks import split_statistics
+
+    chunk = ranges.agg(F.array_sort(F.collect_list(F.struct("pdf", "chunk_idx", "chunk", "total_chunks", "start_page", "end_page", "pages"))).alias("chunks"))
+    whole = plan.where("status = 'skip'").agg(F.array_sort(F.collect_list(F.struct("pdf"))).alias("direct"))
+    parts = [split_statistics(plan).select(F.to_json(F.struct("*")).alias("j"), F.lit("stats").alias("k")), chunk.select(F.to_json("chunks").alias("j"), F.lit("chunks").alias("k")), whole.select(F.to_json("direct").alias("j"), F.lit("direct").alias("k"))]
+    every = parts[0].unionByName(parts[1]).unionByName(parts[2])
+    return every.agg(F.concat(F.lit("{"), F.array_join(F.array_sort(F.collect_list(F.concat(F.lit('"'), "k", F.lit('":'), "j"))), ","), F.lit("}")).alias("json"))
 
 
 def write_report(row: DataFrame, folder: str) -> None:
@@ -87,8 +249,18 @@ def write_report(row: DataFrame, folder: str) -> None:
     row.coalesce(1).write.mode("overwrite").json(folder)
 
 
+def write_texts(spark: SparkSession, texts: dict[str, str], folder: str) -> None:
+    """A few report texts (file name -> text) as files."""
+    write_files(spark.createDataFrame(sorted(texts.items()), "name string, content string").coalesce(1), folder)
+
+
+def append_events(events: DataFrame, folder: str) -> None:
+    """Progress events (step, pdf, page_num, status, error, ts) at the end of the log; Spark commits whole files."""
+    events.select("step", "pdf", "page_num", "status", "error", "ts").write.mode("append").parquet(folder)
+
+
 def page_images(files: DataFrame, render: object, max_pages: int = 0) -> DataFrame:
-    """pdf, page_num, image of files (pdf, content); ``render(content)`` yields the pages' images."""
+    """pdf, page_num, name, image of files (pdf, content); ``render(content)`` yields the pages' images."""
 
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for batch in batches:
@@ -96,6 +268,8 @@ def page_images(files: DataFrame, render: object, max_pages: int = 0) -> DataFra
                 for n, image in enumerate(render(content), 1):
                     if max_pages and n > max_pages:
                         break
-                    yield pd.DataFrame({"pdf": [pdf], "page_num": [n], "image": [image]})
+                    yield pd.DataFrame({"pdf": [pdf], "page_num": [n], "name": [f"page_{n:03d}.png"], "image": [image]})
+
+    return files.select("pdf", "content").mapInPandas(run, "pdf string, page_num int, name string, image binary")
+
 
-    return files.select("pdf", "content").mapInPandas(run, "pdf string, page_num int, image binary")
