@@ -64,12 +64,14 @@ def table_preview(spark, sf_dir):
 
 
 _WORDS = r"list_distinct(list_filter(regexp_split_to_array(lower(regexp_replace(text, '[^\p{L}\p{N}_\s]', ' ', 'g')), '\s+'), lambda w: len(w) > 2))"
-_PAIRS = f"""SELECT item_id, doc_id, count(*) AS shared, count(*) / (any_value(nl) + any_value(nr) - count(*)) AS score FROM
- (SELECT item_id, len(w) AS nl, unnest(w) AS w FROM (SELECT item_id, {_WORDS} AS w FROM benchmark)) JOIN (SELECT doc_id, len(w) AS nr, unnest(w) AS w FROM (SELECT doc_id, {_WORDS} AS w FROM documents)) USING (w) GROUP BY item_id, doc_id"""
+#: Pairs below this similarity are not looked for.
+AT_LEAST = 0.05
+_PAIRS = f"""SELECT item_id, doc_id, shared, score FROM (SELECT item_id, doc_id, count(*) AS shared, count(*) / (any_value(nl) + any_value(nr) - count(*)) AS score FROM
+ (SELECT item_id, len(w) AS nl, unnest(w) AS w FROM (SELECT item_id, {_WORDS} AS w FROM benchmark)) JOIN (SELECT doc_id, len(w) AS nr, unnest(w) AS w FROM (SELECT doc_id, {_WORDS} AS w FROM documents)) USING (w) GROUP BY item_id, doc_id) WHERE score >= {AT_LEAST}"""
 
 
 def _pairs(spark, sf_dir):
-    return match.keyword_pairs(table(spark, sf_dir, "benchmark"), table(spark, sf_dir, "documents"), "item_id", "doc_id", "text", "text")
+    return match.keyword_pairs(table(spark, sf_dir, "benchmark"), table(spark, sf_dir, "documents"), "item_id", "doc_id", "text", "text", AT_LEAST)
 
 
 @query("keyword_jaccard", _PAIRS)
@@ -139,12 +141,12 @@ def merged_figures(spark, sf_dir):
     return match.merged_figures(o.drop("o_orderstatus"), new, F.lit(5))
 
 
-_VERIFY = """SELECT p_partkey, CASE WHEN m = 0 THEN 'EMPTY' WHEN t IS NULL THEN 'FAIL' WHEN m = t THEN 'PASS' WHEN abs(m - t) <= greatest(1, floor(t * 0.2)) THEN 'PARTIAL' ELSE 'FAIL' END AS status
- FROM (SELECT p_partkey, p_size % 10 AS m, CASE WHEN p_partkey % 9 <> 0 THEN p_partkey % 10 END AS t FROM part)"""
+_VERIFY = """SELECT p_partkey, CASE WHEN m IS NULL THEN 'FAIL' WHEN m = 0 THEN 'EMPTY' WHEN t IS NULL THEN 'PARTIAL' WHEN m = t THEN 'PASS' ELSE 'PARTIAL' END AS status
+ FROM (SELECT p_partkey, CASE WHEN p_partkey % 11 <> 0 THEN p_size % 5 END AS m, CASE WHEN p_partkey % 9 <> 0 THEN p_partkey % 5 END AS t FROM part)"""
 
 
 def _verify(spark, sf_dir):
-    m, t = F.col("p_size") % 10, F.when(F.col("p_partkey") % 9 != 0, F.col("p_partkey") % 10)
+    m, t = F.when(F.col("p_partkey") % 11 != 0, F.col("p_size") % 5), F.when(F.col("p_partkey") % 9 != 0, F.col("p_partkey") % 5)
     return table(spark, sf_dir, "part").select("p_partkey", match.verify_status(m, t).alias("status"))
 
 
@@ -172,3 +174,83 @@ def series_columns(spark, sf_dir):
     row = F.create_map(F.concat(F.lit("v"), (F.col("n_nationkey") % 3).cast("string")), F.lit(1), F.lit("total"), F.lit(2), F.lit("x"), F.lit(3))
     rows = n.groupBy("n_regionkey").agg(F.collect_list(row).alias("rows"))
     return rows.select("n_regionkey", F.array_join(tables.series_columns(F.col("rows")), ",").alias("columns"))
+
+
+# a document of pages with several tables, whose titles have numbers, colons, empty cells and rows without end
+_SHEETS = """SELECT n_regionkey AS pdf, n_nationkey % 4 + 1 AS page_num, n_name, n_nationkey FROM nation"""
+
+
+def _sheets(spark, sf_dir):
+    n = table(spark, sf_dir, "nation")
+    key = F.col("n_nationkey").cast("string")
+    md = F.concat(F.lit("### Table "), key, F.lit(": of "), "n_name", F.lit("\n\n| name | | key |\n|---|---|---|\n| "), "n_name", F.lit(" | | "), key, F.lit(" |\n|  |  |\n"), F.when(F.col("n_nationkey") % 2 == 0, F.lit("| more | 1 |\n")).otherwise(F.lit("")), F.lit("\ntext\n"))
+    rows = n.select(F.col("n_regionkey").alias("pdf"), (F.col("n_nationkey") % 4 + 1).alias("page_num"), "n_nationkey", md.alias("md"))
+    texts = F.array_join(F.transform(F.array_sort(F.collect_list(F.struct("n_nationkey", "md"))), lambda x: x["md"]), "\n")
+    return tables.titled_tables(rows.groupBy("pdf", "page_num").agg(texts.alias("text")), _KEYS)
+
+
+_TITLED = f"SELECT pdf, page_num, row_number() OVER (PARTITION BY pdf, page_num ORDER BY n_nationkey) AS ordinal, 'Table ' || n_nationkey AS figure_number, 'of ' || n_name AS title, 'name|key' AS headers, CASE WHEN n_nationkey % 2 = 0 THEN 2 ELSE 1 END AS row_count FROM ({_SHEETS})"
+
+
+@query("titled_tables", f"SELECT pdf, page_num, CAST(ordinal AS INTEGER) AS ordinal, figure_number, title, headers, row_count FROM ({_TITLED})")
+def titled_tables(spark, sf_dir):
+    return _sheets(spark, sf_dir).withColumn("headers", F.array_join("headers", "|"))
+
+
+_FILES = "SELECT n_regionkey AS pdf, 'Table_' || n_nationkey || '_page' || (n_nationkey % 5 + 1) || '.yaml' AS file, CASE WHEN n_nationkey % 3 = 0 THEN 'table ' || n_nationkey ELSE 'Table 99' END AS figure_number, n_nationkey % 5 + 1 AS page_num, CASE WHEN n_nationkey % 7 <> 6 THEN n_nationkey % 3 END AS rows FROM nation"
+
+
+def _metadata(spark, sf_dir):
+    k = F.col("n_nationkey")
+    file = F.concat(F.lit("Table_"), k.cast("string"), F.lit("_page"), (k % 5 + 1).cast("string"), F.lit(".yaml"))
+    rows = table(spark, sf_dir, "nation").select(F.col("n_regionkey").alias("pdf"), file.alias("file"), F.when(k % 3 == 0, F.concat(F.lit("table "), k.cast("string"))).otherwise("Table 99").alias("figure_number"), F.when(k % 7 != 6, k % 3).alias("rows"))
+    return rows.withColumn("page_num", T.page_of_name(F.col("file")))
+
+
+_NEAREST = f"""SELECT f.pdf, f.file, CASE WHEN rows IS NULL THEN 'FAIL' WHEN rows = 0 THEN 'EMPTY' WHEN t.row_count IS NULL THEN 'PARTIAL' WHEN rows = t.row_count THEN 'PASS' ELSE 'PARTIAL' END AS status, coalesce(t.page_num, -1) AS table_page FROM ({_FILES}) f LEFT JOIN
+ (SELECT * FROM (SELECT f.pdf, f.file, t.page_num, t.row_count, row_number() OVER (PARTITION BY f.pdf, f.file ORDER BY contains(lower(t.figure_number), lower(f.figure_number)) DESC, t.page_num, t.ordinal) AS place FROM ({_FILES}) f JOIN ({_TITLED}) t ON f.pdf = t.pdf AND abs(f.page_num - t.page_num) <= 1) WHERE place = 1) t ON f.pdf = t.pdf AND f.file = t.file"""
+
+
+@query("verify_tables", _NEAREST)
+def verify_tables(spark, sf_dir):
+    rows = match.verify_tables(_metadata(spark, sf_dir), _sheets(spark, sf_dir), ["pdf"])
+    return rows.select("pdf", "file", "status", F.coalesce("table_page", F.lit(-1)).alias("table_page"))
+
+
+@query("metadata_in_chunks", f"SELECT pdf AS chunk, file FROM ({_FILES}) WHERE pdf IN (SELECT r_regionkey FROM region WHERE r_regionkey % 2 = 0)")
+def metadata_in_chunks(spark, sf_dir):
+    documents = table(spark, sf_dir, "region").where("r_regionkey % 2 = 0").select(F.col("r_regionkey").alias("chunk"), F.col("r_name").alias("markdown"))
+    return match.in_chunks(_metadata(spark, sf_dir).select(F.col("pdf").alias("chunk"), "file"), documents).select("chunk", "file")
+
+
+@query("change_counts", f"SELECT 'sync' AS kind, count(*) AS seen, count_if(updated) AS changed, count_if(NOT updated) AS \"left\" FROM (SELECT u.new IS NOT NULL AS updated FROM ({_FIG}) f LEFT JOIN (SELECT o_custkey AS figure, o_orderkey % 50 AS page_num, arg_min(o_orderstatus, o_orderkey) AS new FROM orders WHERE o_orderkey % 3 = 0 GROUP BY ALL) u USING (figure, page_num))")
+def change_counts(spark, sf_dir):
+    return match.change_counts(sync_update(spark, sf_dir), "sync")
+
+
+@query("fill_match_far", """SELECT s_suppkey AS chart, CASE WHEN s_suppkey % 3 = 0 THEN 100 + s_nationkey ELSE s_nationkey END AS asked, s_nationkey AS "table" FROM supplier WHERE s_nationkey IN (SELECT c_nationkey FROM customer)""")
+def fill_match_far(spark, sf_dir):
+    """Charts on pages without any table are matched with all tables of their document, by number."""
+    s = table(spark, sf_dir, "supplier")
+    asked = F.when(F.col("s_suppkey") % 3 == 0, F.col("s_nationkey") + 100).otherwise(F.col("s_nationkey"))
+    charts = s.select(F.lit("bank").alias("pdf"), F.col("s_suppkey").alias("chart"), asked.alias("page_num"), F.lit("").alias("title"), F.array(F.lit("balance"), F.lit("segment")).alias("elements"), F.concat(F.lit("Table "), F.col("s_nationkey").cast("string"), F.lit(":")).alias("figure_number"))
+    found = _tables(spark, sf_dir).select("pdf", "page_num", F.col("page_num").alias("table"), F.col("title").alias("table_title"), "headers")
+    rows = match.matched_tables(charts, found).join(s.select(F.col("s_suppkey").alias("chart"), "s_nationkey"), "chart")
+    return rows.join(found.select(F.col("table").alias("s_nationkey")), "s_nationkey", "left_semi").select("chart", F.col("page_num").alias("asked"), "table")
+
+
+@query("glued_headers", """SELECT n_nationkey, '### Table ' || n_nationkey || ': x' || chr(10) || chr(10) || '| a | b |' || chr(10) || '|---|---|' || chr(10) || '| 1 | 2 |' || chr(10) || CASE WHEN n_nationkey % 2 = 0 THEN '' ELSE '### Table 2 | c |' || chr(10) || 'no row' END AS text FROM nation""")
+def glued_headers(spark, sf_dir):
+    key = F.col("n_nationkey")
+    text = F.concat(F.lit("### Table "), key.cast("string"), F.lit(": x | a | b |\n|---|---|\n| 1 | 2 |\n"), F.when(key % 2 == 0, "").otherwise("### Table 2 | c |\nno row"))
+    return table(spark, sf_dir, "nation").select("n_nationkey", tables.glued_headers(text).alias("text"))
+
+
+_CELL = "CASE p_partkey % 8 WHEN 0 THEN '£ ' || p_partkey || ',000' WHEN 1 THEN '-' || p_size || '.5%' WHEN 2 THEN ' N/A ' WHEN 3 THEN '' WHEN 4 THEN '–' WHEN 5 THEN p_size || '?' WHEN 6 THEN 'A–B,' || p_size || '—C' ELSE '1.2.3' END"
+
+
+@query("numeric_cells", f"SELECT p_partkey, p_partkey % 8 IN (0, 1, 5) AS numeric, lower(replace(replace(replace(trim({_CELL}), ',', ''), '–', '-'), '—', '-')) AS normal FROM part")
+def numeric_cells(spark, sf_dir):
+    k, size = F.col("p_partkey"), F.col("p_size").cast("string")
+    cell = F.when(k % 8 == 0, F.concat(F.lit("£ "), k.cast("string"), F.lit(",000"))).when(k % 8 == 1, F.concat(F.lit("-"), size, F.lit(".5%"))).when(k % 8 == 2, " N/A ").when(k % 8 == 3, "").when(k % 8 == 4, "–").when(k % 8 == 5, F.concat(size, F.lit("?"))).when(k % 8 == 6, F.concat(F.lit("A–B,"), size, F.lit("—C"))).otherwise("1.2.3")
+    return table(spark, sf_dir, "part").select("p_partkey", T.is_numeric(cell).alias("numeric"), T.normal_value(cell).alias("normal"))

@@ -65,13 +65,16 @@ def corpus_quality(spark, sf_dir):
     return quality.corpus_quality(_quality(spark, sf_dir))
 
 
-@query("quality_rating", f"SELECT pdf, quality_score, {_RATE.format(s='quality_score')} AS rating, row_number() OVER (ORDER BY quality_score DESC, pdf) AS place FROM ({_QUALITY})")
+@query("quality_rating", f"SELECT pdf, quality_score, {_RATE.format(s='quality_score')} AS rating FROM ({_QUALITY}) ORDER BY quality_score DESC, pdf")
 def quality_rating(spark, sf_dir):
-    from pyspark.sql import Window
+    rows = _quality(spark, sf_dir).select("pdf", "quality_score", T.rating(F.col("quality_score")).alias("rating"))
+    return rows.orderBy(F.desc("quality_score"), "pdf")
 
-    # one row for each document: the ordering is over the small aggregate
-    place = F.row_number().over(Window.orderBy(F.desc("quality_score"), "pdf"))
-    return _quality(spark, sf_dir).select("pdf", "quality_score", T.rating(F.col("quality_score")).alias("rating"), place.cast("long").alias("place"))
+
+@query("corpus_compliance", f"SELECT pdfs, compliant, floor(compliant * 100.0::DOUBLE / greatest(succeeded, 1) * 10.0::DOUBLE + 0.5::DOUBLE) / 10.0::DOUBLE AS compliance_rate FROM (SELECT count(*) AS pdfs, count_if(total_pages > 0) AS succeeded, count_if(char_count % 3 = 0) AS compliant FROM ({_QUALITY}))")
+def corpus_compliance(spark, sf_dir):
+    rows = _quality(spark, sf_dir)
+    return quality.corpus_quality(rows, rows.select("pdf", (F.col("char_count") % 3 == 0).alias("compliant"))).select("pdfs", "compliant", "compliance_rate")
 
 
 _REF = r"(?i)((?:Figure|Fig\.?|Table|Chart)\s*\d+[^.]*\.)"
@@ -129,6 +132,17 @@ def simple_prompts(spark, sf_dir):
     return _near(spark, sf_dir).select("conv_id", "page_num", context.simple_prompt(F.col("page_num"), F.col("text"), F.col("prev_text"), F.col("next_text")).alias("prompt"))
 
 
+_TASKS = " || chr(10) || ".join(["'" + f"{i}. {t}".replace("'", "''") + "'" for i, t in enumerate(context.TASKS, 1)])
+
+
+@query("routed_prompts", f"""SELECT conv_id, page_num, CASE WHEN coalesce(regexp_matches(text, '{_IND}'), false) OR coalesce(regexp_matches(prev_text, '{_IND}'), false) OR coalesce(regexp_matches(next_text, '{_IND}'), false)
+ THEN 'Page ' || page_num || chr(10) || 'Before: ' || coalesce(prev_text, 'N/A') || chr(10) || 'After: ' || coalesce(next_text, 'N/A') || chr(10) || {_TASKS} || chr(10) || 'Answer with JSON.'
+ ELSE 'Page ' || page_num || chr(10) || 'Before: ' || substring(coalesce(prev_text, 'N/A'), 1, 100) || chr(10) || 'Text: ' || substring(coalesce(text, 'N/A'), 1, 300) || chr(10) || 'After: ' || substring(coalesce(next_text, 'N/A'), 1, 100) || chr(10) || 'Answer with JSON.' END AS prompt FROM ({_NEAR})""")
+def routed_prompts(spark, sf_dir):
+    page, text, prev, following = (F.col(c) for c in ("page_num", "text", "prev_text", "next_text"))
+    return _near(spark, sf_dir).select("conv_id", "page_num", context.prompt(context.prompt_mode(text, prev, following), page, text, prev, following).alias("prompt"))
+
+
 @query("page_cost_estimate", "SELECT source AS pdf, count(*) AS pages, floor(count(*) * 2000 / 1000 * 0.008::DOUBLE * 100.0::DOUBLE + 0.5::DOUBLE) / 100.0::DOUBLE AS cost FROM documents GROUP BY source")
 def page_cost_estimate(spark, sf_dir):
     rows = table(spark, sf_dir, "documents").groupBy(F.col("source").alias("pdf")).agg(F.count(F.lit(1)).alias("pages"))

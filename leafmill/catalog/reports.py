@@ -12,23 +12,34 @@ from leafmill.operators import reports
 from leafmill.sources.tables import table
 
 _PAGES = """SELECT source AS pdf, CASE WHEN d.doc_id % 41 = 0 THEN 'failed' WHEN d.doc_id % 29 = 0 THEN 'skipped' ELSE 'ok' END AS status, d.doc_id % 3 AS figures, CASE WHEN d.doc_id % 17 = 0 THEN 0 ELSE d.doc_id % 3 END AS metas,
- d.doc_id % 2 AS tables, d.doc_id % 5 AS formulas, n_chars AS tokens, CASE quality WHEN 1 THEN 'high' WHEN 0 THEN 'low' END AS confidence FROM documents d LEFT JOIN labels USING (doc_id)"""
+ d.doc_id % 2 AS tables, d.doc_id % 5 AS formulas, n_chars AS tokens, n_chars // 3 AS tokens_input, n_chars - n_chars // 3 AS tokens_output, CASE quality WHEN 1 THEN 'high' WHEN 0 THEN 'low' END AS confidence FROM documents d LEFT JOIN labels USING (doc_id)"""
 
 
 def _pages(spark, sf_dir):
     d = table(spark, sf_dir, "documents").join(table(spark, sf_dir, "labels"), "doc_id", "left")
     i = F.col("doc_id")
     status = F.when(i % 41 == 0, "failed").when(i % 29 == 0, "skipped").otherwise("ok")
-    return d.select(F.col("source").alias("pdf"), status.alias("status"), (i % 3).alias("figures"), F.when(i % 17 == 0, 0).otherwise(i % 3).alias("metas"), (i % 2).alias("tables"), (i % 5).alias("formulas"), F.col("n_chars").alias("tokens"), F.when(F.col("quality") == 1, "high").when(F.col("quality") == 0, "low").alias("confidence"))
+    return d.select(F.col("source").alias("pdf"), status.alias("status"), (i % 3).alias("figures"), F.when(i % 17 == 0, 0).otherwise(i % 3).alias("metas"), (i % 2).alias("tables"), (i % 5).alias("formulas"), F.col("n_chars").alias("tokens"), F.floor(F.col("n_chars") / 3).alias("tokens_input"), (F.col("n_chars") - F.floor(F.col("n_chars") / 3)).alias("tokens_output"), F.when(F.col("quality") == 1, "high").when(F.col("quality") == 0, "low").alias("confidence"))
+
+
+# the same pages with numbers and errors
+_NUMBERED = _PAGES.replace("SELECT source AS pdf,", "SELECT source AS pdf, d.doc_id AS page_num, CASE WHEN d.doc_id % 82 = 0 THEN 'TimeoutError: read' END AS error,")
+
+
+def _numbered(spark, sf_dir):
+    i = F.col("doc_id")
+    d = table(spark, sf_dir, "documents")
+    status = F.when(i % 41 == 0, "failed").when(i % 29 == 0, "skipped").otherwise("ok")
+    return d.select(F.col("source").alias("pdf"), i.alias("page_num"), F.when(i % 82 == 0, "TimeoutError: read").alias("error"), status.alias("status"), (i % 3).alias("figures"), (i % 2).alias("tables"), (i % 5).alias("formulas"))
 
 
 _BIG = "CAST(coalesce(sum({}), 0) AS BIGINT)"
 _COUNTS = f"""SELECT pdf, count(*) AS total_pages, count_if(status = 'ok') AS success_pages, count_if(status = 'failed') AS failed_pages, count_if(status = 'skipped') AS skipped_pages,
  {_BIG.format("CASE WHEN status = 'ok' THEN figures END")} AS figures, {_BIG.format("CASE WHEN status = 'ok' THEN metas END")} AS metas, count_if(status = 'ok' AND figures > 0) AS pages_with_figures, count_if(status = 'ok' AND tables > 0) AS pages_with_tables,
- count_if(status = 'ok' AND formulas > 0) AS pages_with_formulas, {_BIG.format("CASE WHEN status = 'ok' THEN tokens END")} AS tokens, {_BIG.format("CASE confidence WHEN 'high' THEN 10 WHEN 'low' THEN 3 END")} AS confidence_tenths, count(confidence) AS rated,
- count_if(confidence = 'high') AS high_confidence, count_if(confidence = 'low') AS low_confidence FROM ({_PAGES}) GROUP BY pdf"""
-_KQI = f"""SELECT *, insertion_pass AND confidence_pass AND success_pass AS overall_pass, confidence_tenths >= 6 * greatest(rated, 1) AS complete_data_extraction FROM (SELECT *, insertion_rate >= 0.95::DOUBLE AS insertion_pass, 100 * confidence_tenths >= 850 * greatest(rated, 1) AS confidence_pass, page_success_rate >= 0.98::DOUBLE AS success_pass
- FROM (SELECT *, figures > 0 AS has_figures, metas / greatest(figures, 1) AS insertion_rate, success_pages / greatest(total_pages, 1) AS page_success_rate, confidence_tenths / (10.0::DOUBLE * greatest(rated, 1)) AS avg_confidence FROM ({_COUNTS})))"""
+ count_if(status = 'ok' AND formulas > 0) AS pages_with_formulas, {', '.join(_BIG.format(f"CASE WHEN status = 'ok' THEN {c} END") + f" AS {c}" for c in ("tokens", "tokens_input", "tokens_output", "tables", "formulas"))}, {_BIG.format("CASE confidence WHEN 'high' THEN 10 WHEN 'low' THEN 3 END")} AS confidence_tenths, count(confidence) AS rated,
+ count_if(confidence = 'high') AS high_confidence, count_if(confidence = 'medium') AS medium_confidence, count_if(confidence = 'low') AS low_confidence FROM ({_PAGES}) GROUP BY pdf"""
+_KQI = f"""SELECT *, insertion_pass AND confidence_pass AND success_pass AS overall_pass, confidence_tenths >= 6 * greatest(rated, 1) AS complete_data_extraction, metas = figures AS all_figures_have_metadata, failed_pages = 0 AS no_page_failures FROM (SELECT *, insertion_rate >= 0.95::DOUBLE AS insertion_pass, 100 * confidence_tenths >= 850 * greatest(rated, 1) AS confidence_pass, page_success_rate >= 0.98::DOUBLE AS success_pass
+ FROM (SELECT *, figures > 0 AS has_figures, metas / greatest(figures, 1) AS insertion_rate, success_pages / greatest(total_pages, 1) AS page_success_rate, floor(figures / greatest(total_pages, 1) * 100.0::DOUBLE + 0.5::DOUBLE) / 100.0::DOUBLE AS figures_per_page, floor(success_pages / greatest(total_pages, 1) * 10000.0::DOUBLE + 0.5::DOUBLE) / 10000.0::DOUBLE AS success_rate, confidence_tenths / (10.0::DOUBLE * greatest(rated, 1)) AS avg_confidence FROM ({_COUNTS})))"""
 
 
 @query("kqi_metrics", _KQI)
@@ -80,9 +91,9 @@ def task_cost(spark, sf_dir):
     return reports.task_cost(_runs(spark, sf_dir))
 
 
-@query("recovery_estimate", "SELECT source AS pdf, count(*) AS pages, count(*) * 40000 AS tokens, count(*) * 40000 * (0.15::DOUBLE / 1000000) AS usd, count(*) * 40000 * (0.15::DOUBLE / 1000000) * 7.2::DOUBLE AS cny, count(*) / 10.0::DOUBLE * 3.0::DOUBLE AS seconds FROM documents WHERE doc_id % 41 = 0 GROUP BY source")
+@query("recovery_estimate", "SELECT source AS pdf, count(*) AS pages, count(*) * 40000 AS tokens, count(*) * 40000 * (0.15::DOUBLE / 1000000) AS usd, count(*) * 40000 * (0.15::DOUBLE / 1000000) * 7.2::DOUBLE AS cny, count(*) / 10.0::DOUBLE * 3.0::DOUBLE AS seconds FROM documents WHERE n_chars % 3 = 0 GROUP BY source")
 def recovery_estimate(spark, sf_dir):
-    rows = table(spark, sf_dir, "documents").where("doc_id % 41 = 0").groupBy(F.col("source").alias("pdf")).agg(F.count(F.lit(1)).alias("pages"))
+    rows = table(spark, sf_dir, "documents").withColumn("status", F.when(F.col("n_chars") % 3 == 0, "failed").otherwise("ok")).where("status = 'failed'").groupBy(F.col("source").alias("pdf")).agg(F.count(F.lit(1)).alias("pages"))
     return rows.withColumns(reports.recovery_estimate(F.col("pages")))
 
 
@@ -141,14 +152,51 @@ def top_documents(spark, sf_dir):
     return page_queries.pdf_quality(spark, sf_dir).select("pdf", "quality_score").orderBy(F.desc("quality_score"), "pdf").limit(5)
 
 
-@query("warnings_per_document", f"""SELECT pdf, "check", message FROM (SELECT *, row_number() OVER (PARTITION BY pdf ORDER BY "check", message) AS place FROM ({_CHECKS})) WHERE place <= 1""")
+@query("warnings_per_document", f"""SELECT pdf, "check", message FROM (SELECT *, row_number() OVER (PARTITION BY pdf ORDER BY "check", message) AS place FROM ({_CHECKS})) WHERE place <= 5""")
 def warnings_per_document(spark, sf_dir):
     from pyspark.sql import Window
 
     place = F.row_number().over(Window.partitionBy("pdf").orderBy("check", "message"))
-    return delivery_checks(spark, sf_dir).withColumn("place", place).where("place <= 1").select("pdf", "check", "message")
+    return delivery_checks(spark, sf_dir).withColumn("place", place).where("place <= 5").select("pdf", "check", "message")
 
 
 @query("masked_keys", "SELECT c_custkey, substring(c_name, 1, 8) || '...' || right(c_name, 4) AS masked FROM customer")
 def masked_keys(spark, sf_dir):
     return table(spark, sf_dir, "customer").select("c_custkey", T.masked_key(F.col("c_name")).alias("masked"))
+
+
+@query("page_details", f"""SELECT pdf, string_agg(CASE WHEN status = 'failed' THEN page_num || ': ' || coalesce(error, 'Unknown error') END, ', ' ORDER BY page_num) AS failed, string_agg(page_num || CASE WHEN status = 'ok' THEN ' ok ' || figures || ' ' || tables || ' ' || formulas ELSE ' no 0 0 0' END, ', ' ORDER BY page_num) AS pages FROM ({_NUMBERED}) GROUP BY pdf""")
+def page_details(spark, sf_dir):
+    rows = reports.page_details(_numbered(spark, sf_dir), "pdf")
+    failed = F.transform("failures", lambda x: F.concat(x["page_num"].cast("string"), F.lit(": "), x["error"]))
+    each = lambda x: F.concat_ws(" ", x["page_num"].cast("string"), F.when(x["success"], "ok").otherwise("no"), *[x[c].cast("string") for c in ("figures", "tables", "formulas")])
+    return rows.select("pdf", F.when(F.size("failures") > 0, F.array_join(failed, ", ")).alias("failed"), F.array_join(F.transform("page_results", each), ", ").alias("pages"))
+
+
+@query("validation_files", f"SELECT pdf || '.validation.yaml' AS name, true AS whole FROM ({_PAGES}) GROUP BY pdf")
+def validation_files(spark, sf_dir):
+    rows = reports.validation_yaml(kqi_metrics(spark, sf_dir), reports.page_details(_numbered(spark, sf_dir), "pdf"))
+    whole = F.col("content").rlike(r"(?s)^document_info:\n  filename: .*\nkqi_metrics:\n.*\nfailed_pages_detail:.*\npage_by_page_results:\n- page_num: ")
+    return rows.select("name", whole.alias("whole"))
+
+
+@query("task_quality", f"""SELECT *, floor((pages - failed_pages) * 100.0::DOUBLE / greatest(pages, 1) * 10.0::DOUBLE + 0.5::DOUBLE) / 10.0::DOUBLE AS success_rate FROM (SELECT * FROM (SELECT {_BIG.format('pages')} AS pages, {_BIG.format('figures')} AS figures FROM ({_RUNS})),
+ (SELECT {_BIG.format("CASE WHEN status = 'ok' THEN tables END")} AS tables, {_BIG.format("CASE WHEN status = 'ok' THEN formulas END")} AS formulas, count_if(status = 'failed') AS failed_pages FROM ({_PAGES})))""")
+def task_quality(spark, sf_dir):
+    return reports.task_quality(_runs(spark, sf_dir), _pages(spark, sf_dir)).withColumn("failed_pages", F.col("failed_pages").cast("long"))
+
+
+@query("shown_documents", f"SELECT CAST(place AS INTEGER) AS place, line FROM (SELECT row_number() OVER (ORDER BY pdf) AS place, pdf AS line FROM ({page_queries._QUALITY}) WHERE needs_review) WHERE place <= 3 UNION ALL SELECT 4, '... and ' || (count(*) - 3) || ' more' FROM ({page_queries._QUALITY}) WHERE needs_review HAVING count(*) > 3")
+def shown_documents(spark, sf_dir):
+    return reports.shown_rows(page_queries.pdf_quality(spark, sf_dir).where("needs_review"), [F.col("pdf")], F.col("pdf"), 3)
+
+
+_YAML = "CASE c_custkey % 4 WHEN 0 THEN 'a: ' || c_custkey WHEN 1 THEN 'a: [1, ' || c_custkey WHEN 2 THEN '# ' || c_name || ' only a comment' ELSE '' END"
+
+
+@query("metadata_checks", """SELECT c_name AS pdf, CASE c_custkey % 4 WHEN 1 THEN 'issue' ELSE 'warning' END AS severity, 'yaml' AS "check", CASE c_custkey % 4 WHEN 1 THEN 'unreadable' ELSE 'nothing in it' END AS message FROM customer WHERE c_custkey % 4 IN (1, 2)""")
+def metadata_checks(spark, sf_dir):
+    k = F.col("c_custkey") % 4
+    text = F.when(k == 0, F.concat(F.lit("a: "), F.col("c_custkey").cast("string"))).when(k == 1, F.concat(F.lit("a: [1, "), F.col("c_custkey").cast("string"))).when(k == 2, F.concat(F.lit("# "), "c_name", F.lit(" only a comment"))).otherwise("")
+    found = reports.metadata_checks(table(spark, sf_dir, "customer").select(F.col("c_name").alias("name"), text.alias("text")))
+    return found.withColumn("message", F.regexp_replace("message", ":.*", ""))

@@ -31,6 +31,27 @@ def prompt_mode(text: Column, prev: Column, following: Column) -> Column:
     return F.when(found, "enhanced").otherwise("simple")
 
 
+#: What the enhanced prompt asks for, one line each.
+TASKS = (
+    "Name what kind of image the page holds and what stands on its axes.",
+    "Read off the values of every series, with units.",
+    "Give tables as Markdown, formulas as LaTeX, footnotes in order.",
+    "Say for each figure how sure you are: high, medium or low.",
+    "Keep the language of the page.",
+)
+
+
+def enhanced_prompt(page: Column, prev: Column, following: Column) -> Column:
+    """The prompt for a page with a chart: its tasks and the neighbours' text, the page itself being an image."""
+    shown = lambda c: F.coalesce(c, F.lit(T.MISSING))
+    tasks = "\n".join(f"{i}. {t}" for i, t in enumerate(TASKS, 1))
+    return F.concat(F.lit("Page "), page.cast("string"), F.lit("\nBefore: "), shown(prev), F.lit("\nAfter: "), shown(following), F.lit("\n" + tasks + "\nAnswer with JSON."))
+
+
+def prompt(mode: Column, page: Column, text: Column, prev: Column, following: Column) -> Column:
+    return F.when(mode == "enhanced", enhanced_prompt(page, prev, following)).otherwise(simple_prompt(page, text, prev, following))
+
+
 def simple_prompt(page: Column, text: Column, prev: Column, following: Column) -> Column:
     cut = lambda c, n: F.substring(F.coalesce(c, F.lit(T.MISSING)), 1, n)
     return F.concat(F.lit("Page "), page.cast("string"), F.lit("\nBefore: "), cut(prev, 100), F.lit("\nText: "), cut(text, 300), F.lit("\nAfter: "), cut(following, 100), F.lit("\nAnswer with JSON."))

@@ -12,34 +12,47 @@ from pyspark.sql.types import DoubleType
 
 from leafmill.functions import text as T
 
-#: A join side with at most so many rows is broadcast.
-BROADCAST_ROWS = 10_000
-
-
-def small(frame: DataFrame) -> DataFrame:
-    """``frame``, broadcast if a count says that it is small."""
-    return F.broadcast(frame) if frame.limit(BROADCAST_ROWS + 1).count() <= BROADCAST_ROWS else frame
-
-
 @pandas_udf(DoubleType())
 def similarity(a: pd.Series, b: pd.Series) -> pd.Series:
     """Ratcliff-Obershelp ratio of lower-cased strings; not symmetric."""
     return pd.Series([SequenceMatcher(None, (x or "").lower(), (y or "").lower()).ratio() for x, y in zip(a, b)], dtype=float)
 
 
-def keyword_pairs(left: DataFrame, right: DataFrame, left_id: str, right_id: str, left_text: str, right_text: str) -> DataFrame:
-    """Jaccard similarity of keyword sets for pairs that share a keyword.
+def _keywords(frame: DataFrame, key: str, text: str, name: str) -> DataFrame:
+    return frame.select(F.col(key).alias(name), T.keywords(F.col(text)).alias("w"))
+
+
+def keyword_pairs(left: DataFrame, right: DataFrame, left_id: str, right_id: str, left_text: str, right_text: str, at_least: float) -> DataFrame:
+    """Pairs whose keyword sets have a Jaccard similarity of ``at_least`` (above 0), with the shared words and the score.
 
-    Joined on keywords, so pairs with nothing in common are never made; sizes come with the rows.
+    Exact prefix filter: with words in order of how rare they are, sets that similar share a word among
+    the first ``n - ceil(at_least * n) + 1`` of each, so only these are joined; the join is on the
+    word and drops pairs whose sizes differ too much.  Candidates are then compared as whole sets.
     """
-    words = lambda d, i, t, k, n: d.select(F.col(i).alias(k), T.keywords(F.col(t)).alias("w")).select(k, F.size("w").alias(n), F.explode("w").alias("w"))
-    pairs = words(left, left_id, left_text, "l", "nl").join(words(right, right_id, right_text, "r", "nr"), "w")
-    shared = pairs.groupBy("l", "r").agg(F.count(F.lit(1)).alias("shared"), F.first("nl").alias("nl"), F.first("nr").alias("nr"))
-    return shared.select(F.col("l").alias(left_id), F.col("r").alias(right_id), "shared", (F.col("shared") / (F.col("nl") + F.col("nr") - F.col("shared"))).alias("score"))
+    if not 0 < at_least <= 1:
+        raise ValueError("a pair needs a similarity above 0")
+    sides = _keywords(left, left_id, left_text, "l"), _keywords(right, right_id, right_text, "r")
+    rare = sides[0].select("w").unionByName(sides[1].select("w")).select(F.explode("w").alias("word")).groupBy("word").agg(F.count(F.lit(1)).alias("c"))
+
+    def heads(side: DataFrame, name: str) -> DataFrame:
+        rows = side.where(F.size("w") > 0).select(name, F.size("w").alias("n"), F.explode("w").alias("word")).join(rare, "word")
+        listed = rows.groupBy(name, "n").agg(F.array_sort(F.collect_list(F.struct("c", "word"))).alias("s"))
+        kept = F.col("n") - F.ceil(F.col("n") * at_least - 1e-9).cast("int") + 1
+        return listed.select(name, F.col("n").alias(f"n{name}"), F.explode(F.slice("s", F.lit(1), kept)).alias("h")).select(name, f"n{name}", F.col("h.word").alias("word"))
+
+    near = (F.col("nr") >= F.col("nl") * (at_least - 1e-9)) & (F.col("nl") >= F.col("nr") * (at_least - 1e-9))
+    pairs = heads(sides[0], "l").join(heads(sides[1], "r"), "word").where(near).select("l", "r").distinct()
+    both = pairs.join(sides[0].withColumnRenamed("w", "wl"), "l").join(sides[1].withColumnRenamed("w", "wr"), "r")
+    shared = F.size(F.array_intersect("wl", "wr"))
+    scored = both.select(F.col("l").alias(left_id), F.col("r").alias(right_id), shared.cast("long").alias("shared"), (shared / (F.size("wl") + F.size("wr") - shared)).alias("score"))
+    return scored.where(F.col("score") >= at_least)
 
 
 def best(pairs: DataFrame, key: str, score: str, order: str, k: int = 1) -> DataFrame:
-    """The k best rows of each key; of equal scores the first in ``order``."""
+    """The k best rows of each key; of equal scores the first in ``order``.
+
+    The list of a key never holds more than the partial results of k rows from each task.
+    """
     place = F.row_number().over(Window.partitionBy(key).orderBy(F.desc(score), order))
     return pairs.withColumn("place", place).where(F.col("place") <= k)
 
@@ -48,7 +61,10 @@ def table_scores(charts: DataFrame, tables: DataFrame) -> DataFrame:
     """Pairs of charts (chart, page_num, title, elements, figure_number) and tables (table, page_num,
     table_title, headers) on pages at most one apart, with a score."""
     near = charts.withColumn("at", F.explode(F.array(F.col("page_num") - 1, F.col("page_num"), F.col("page_num") + 1)))
-    pairs = near.join(tables.withColumnRenamed("page_num", "at"), ["pdf", "at"])
+    return _scored(near.join(tables.withColumnRenamed("page_num", "at"), ["pdf", "at"]))
+
+
+def _scored(pairs: DataFrame) -> DataFrame:
     contents = T.jaccard(T.keywords(F.array_join("headers", " ")), T.keywords(F.array_join("elements", " ")))
     titles = T.jaccard(T.keywords(F.col("title")), T.keywords(F.col("table_title")))
     titled = F.length(F.coalesce("title", F.lit(""))) > 0
@@ -65,6 +81,18 @@ def best_tables(scored: DataFrame) -> DataFrame:
     return ranked.where((F.col("place") == 1) & ((F.col("score") >= F.col("limit")) | (F.col("candidates") == 1)))
 
 
+def whole_document_candidates(charts: DataFrame, tables: DataFrame, scored: DataFrame) -> DataFrame:
+    """Pairs of charts that found no table near their page with all tables of their document, to be scored."""
+    return charts.join(scored.select("pdf", "chart").distinct(), ["pdf", "chart"], "left_anti").join(tables.withColumnRenamed("page_num", "at"), "pdf")
+
+
+def matched_tables(charts: DataFrame, tables: DataFrame) -> DataFrame:
+    """The best table of each chart: on its page or a page beside it, else anywhere in the document."""
+    near = table_scores(charts, tables)
+    far = _scored(whole_document_candidates(charts, tables, near))
+    return best_tables(near).unionByName(best_tables(far))
+
+
 def by_prefix(deliveries: DataFrame, chunks: DataFrame) -> DataFrame:
     """Pairs of deliveries (base) and chunks (chunk) whose normal name begins with the base's.
 
@@ -105,9 +133,34 @@ def merged_figures(old: DataFrame, new: DataFrame, offset: Column) -> DataFrame:
     return old.join(last, ["figure", "page_num"], "left").withColumns({"series": F.coalesce("new", "series"), "updated": F.col("new").isNotNull()}).drop("new")
 
 
+def verify_tables(metadata: DataFrame, tables: DataFrame, keys: list[str]) -> DataFrame:
+    """Status of each metadata row (keys, file, figure_number, page_num, rows) against the Markdown tables near its page.
+
+    ``tables`` has keys, page_num, ordinal, figure_number, row_count.  The first table on the pages
+    p - 1, p, p + 1 is compared, or the first whose number contains the metadata's.
+    """
+    near = metadata.withColumn("at", F.explode(F.array(F.col("page_num") - 1, F.col("page_num"), F.col("page_num") + 1)))
+    found = tables.select(*keys, F.col("page_num").alias("at"), "ordinal", F.col("figure_number").alias("number"), "row_count")
+    wanted = F.lower(F.coalesce("figure_number", F.lit("")))
+    other = ~((F.length(wanted) > 0) & (F.instr(F.lower("number"), wanted) > 0))
+    pairs = near.join(found, [*keys, "at"]).groupBy(*keys, "file").agg(F.min(F.struct(other.alias("other"), "at", "ordinal", "row_count")).alias("m"))
+    rows = metadata.join(pairs.select(*keys, "file", F.col("m.row_count").alias("table_rows"), F.col("m.at").alias("table_page")), [*keys, "file"], "left")
+    return rows.withColumn("status", verify_status(F.col("rows"), F.col("table_rows")))
+
+
+def in_chunks(metadata: DataFrame, documents: DataFrame) -> DataFrame:
+    """Metadata files (chunk, file) of chunks that have a Markdown text of their own name."""
+    return metadata.join(documents.select("chunk", "markdown"), "chunk")
+
+
 def verify_status(metadata_rows: Column, table_rows: Column) -> Column:
-    """PASS, PARTIAL, EMPTY or FAIL for row counts of metadata and Markdown (null: no table)."""
-    return F.when(F.coalesce(metadata_rows, F.lit(0)) == 0, "EMPTY").when(table_rows.isNull(), "FAIL").when(metadata_rows == table_rows, "PASS").when(F.abs(metadata_rows - table_rows) <= F.greatest(F.lit(1), F.floor(table_rows * 0.2)), "PARTIAL").otherwise("FAIL")
+    """PASS, PARTIAL, EMPTY or FAIL for row counts of metadata (null: unreadable) and Markdown (null: no table)."""
+    return F.when(metadata_rows.isNull(), "FAIL").when(metadata_rows == 0, "EMPTY").when(metadata_rows == table_rows, "PASS").otherwise("PARTIAL")
+
+
+def change_counts(rows: DataFrame, kind: str) -> DataFrame:
+    """One row: how many figures were looked at, changed and left by a fill, sync or update (``updated``)."""
+    return rows.agg(F.lit(kind).alias("kind"), F.count(F.lit(1)).alias("seen"), F.count_if("updated").alias("changed"), F.count_if(~F.col("updated")).alias("left"))
 
 
 def status_summary(rows: DataFrame) -> DataFrame:

@@ -63,15 +63,20 @@ def document_quality(pages: DataFrame, key: str) -> DataFrame:
     return counted.withColumns({"quality_score": score, "needs_review": review})
 
 
-def corpus_quality(documents: DataFrame) -> DataFrame:
-    """One row over ``document_quality`` rows."""
+def corpus_quality(documents: DataFrame, compliance: DataFrame | None = None) -> DataFrame:
+    """One row over ``document_quality`` rows; with ``compliance`` (pdf, compliant) the compliance rate in per cent too."""
+    if compliance is not None:
+        documents = documents.join(compliance.select("pdf", "compliant"), "pdf", "left")
     sums = ["total_pages", "char_count", "empty_pages", "short_pages", "medium_pages", "long_pages", "table_count", "formula_count", "image_count", "code_block_count"]
     total = documents.agg(
         F.count(F.lit(1)).alias("pdfs"),
         F.count_if(F.col("total_pages") > 0).alias("succeeded"),
         F.count_if("needs_review").alias("needing_review"),
         *[F.coalesce(F.sum(c), F.lit(0)).alias(c) for c in sums],
+        *([F.count_if("compliant").alias("compliant")] if compliance is not None else []),
     )
+    if compliance is not None:
+        total = total.withColumn("compliance_rate", T.rounded(F.col("compliant") * 100.0 / F.greatest("succeeded", F.lit(1)), 1))
     share = (F.col("medium_pages") + F.col("long_pages")) / F.greatest("total_pages", F.lit(1)) * 100.0
     return total.withColumn("overall_score", T.rounded(share, 1)).withColumn("rating", T.rating(F.col("overall_score")))
 

@@ -39,10 +39,13 @@ def kqi_metrics(pages: DataFrame, key: str) -> DataFrame:
         F.count_if(ok & (F.col("figures") > 0)).alias("pages_with_figures"),
         F.count_if(ok & (F.col("tables") > 0)).alias("pages_with_tables"),
         F.count_if(ok & (F.col("formulas") > 0)).alias("pages_with_formulas"),
-        F.coalesce(F.sum(F.when(ok, F.col("tokens"))), F.lit(0)).alias("tokens"),
+        *[F.coalesce(F.sum(F.when(ok, F.col(c))), F.lit(0)).alias(c) for c in ("tokens", "tokens_input", "tokens_output") if c in pages.columns],
+        F.coalesce(F.sum(F.when(ok, F.col("tables"))), F.lit(0)).alias("tables"),
+        F.coalesce(F.sum(F.when(ok, F.col("formulas"))), F.lit(0)).alias("formulas"),
         F.coalesce(F.sum(F.when(F.col("confidence").isNotNull(), confidence_tenths(F.col("confidence")))), F.lit(0)).alias("confidence_tenths"),
         F.count("confidence").alias("rated"),
         F.count_if(F.col("confidence") == "high").alias("high_confidence"),
+        F.count_if(F.col("confidence").isNotNull() & ~F.col("confidence").isin("high", "low")).alias("medium_confidence"),
         F.count_if(F.col("confidence") == "low").alias("low_confidence"),
     )
     rows = counted.withColumns(
@@ -50,12 +53,52 @@ def kqi_metrics(pages: DataFrame, key: str) -> DataFrame:
             "has_figures": F.col("figures") > 0,
             "insertion_rate": F.col("metas") / F.greatest("figures", F.lit(1)),
             "page_success_rate": F.col("success_pages") / F.greatest("total_pages", F.lit(1)),
+            "figures_per_page": T.rounded(F.col("figures") / F.greatest("total_pages", F.lit(1)), 2),
+            "success_rate": T.rounded(F.col("success_pages") / F.greatest("total_pages", F.lit(1)), 4),
             "avg_confidence": F.col("confidence_tenths") / (10.0 * F.greatest("rated", F.lit(1))),
         }
     )
     passed = {"insertion_pass": F.col("insertion_rate") >= 0.95, "confidence_pass": 100 * F.col("confidence_tenths") >= 850 * F.greatest("rated", F.lit(1)), "success_pass": F.col("page_success_rate") >= 0.98}
     complete = F.col("confidence_tenths") >= 6 * F.greatest("rated", F.lit(1))
-    return rows.withColumns(passed).withColumns({"overall_pass": F.col("insertion_pass") & F.col("confidence_pass") & F.col("success_pass"), "complete_data_extraction": complete})
+    return rows.withColumns(passed).withColumns({"overall_pass": F.col("insertion_pass") & F.col("confidence_pass") & F.col("success_pass"), "complete_data_extraction": complete, "all_figures_have_metadata": F.col("metas") == F.col("figures"), "no_page_failures": F.col("failed_pages") == 0})
+
+
+def page_details(pages: DataFrame, key: str) -> DataFrame:
+    """Nested lists of each document: its failed pages with their errors, and every page's outcome, in page order.
+
+    A document's pages are one list; documents have pages by the thousand at most.
+    """
+    ok = F.col("status") == "ok"
+    failed = F.when(F.col("status") == "failed", F.struct("page_num", F.coalesce("error", F.lit("Unknown error")).alias("error")))
+    each = F.struct("page_num", ok.alias("success"), F.when(ok, F.col("figures")).otherwise(0).alias("figures"), F.when(ok, F.col("tables")).otherwise(0).alias("tables"), F.when(ok, F.col("formulas")).otherwise(0).alias("formulas"))
+    return pages.groupBy(F.col(key).alias("pdf")).agg(F.array_sort(F.collect_list(failed)).alias("failures"), F.array_sort(F.collect_list(each)).alias("page_results"))
+
+
+def validation_yaml(kqi: DataFrame, details: DataFrame) -> DataFrame:
+    """name, content of the validation file of each document."""
+    from leafmill.sources.files import json_to_yaml
+
+    measured = F.struct(*[c for c in kqi.columns if c != "pdf"])
+    rows = kqi.join(details, "pdf")
+    content = F.to_json(F.struct(F.struct(F.col("pdf").alias("filename"), "total_pages").alias("document_info"), measured.alias("kqi_metrics"), F.col("failures").alias("failed_pages_detail"), F.col("page_results").alias("page_by_page_results")))
+    return rows.select(F.concat(F.col("pdf").cast("string"), F.lit(".validation.yaml")).alias("name"), json_to_yaml(content).alias("content"))
+
+
+def task_quality(runs: DataFrame, pages: DataFrame) -> DataFrame:
+    """One row: pages and figures of the runs, tables and formulas and failed pages from page states, success in per cent."""
+    a = runs.select(F.col("pages").alias("pages"), F.col("figures").alias("figures"), *[F.lit(0).alias(c) for c in ("tables", "formulas", "failed_pages")])
+    ok = F.col("status") == "ok"
+    b = pages.select(F.lit(0).alias("pages"), F.lit(0).alias("figures"), F.when(ok, F.col("tables")).otherwise(0).alias("tables"), F.when(ok, F.col("formulas")).otherwise(0).alias("formulas"), (F.col("status") == "failed").cast("int").alias("failed_pages"))
+    sums = a.unionByName(b).agg(*[F.coalesce(F.sum(c), F.lit(0)).alias(c) for c in ("pages", "figures", "tables", "formulas", "failed_pages")])
+    return sums.withColumn("success_rate", T.rounded((F.col("pages") - F.col("failed_pages")) * 100.0 / F.greatest("pages", F.lit(1)), 1))
+
+
+def shown_rows(rows: DataFrame, order: list[Column | str], name: Column, n: int) -> DataFrame:
+    """place, line of the first n names in order, and a line that says how many more there are."""
+    names = rows.select(*[o.alias(f"o{i}") for i, o in enumerate(order)], name.alias("line")).orderBy(*[f"o{i}" for i in range(len(order))], "line").limit(n)
+    listed = names.agg(F.array_sort(F.collect_list(F.struct(*[f"o{i}" for i in range(len(order))], "line"))).alias("l")).select(F.posexplode("l").alias("i", "x"))
+    more = rows.agg((F.count(F.lit(1)) - n).alias("more")).where("more > 0").select(F.lit(n + 1).alias("place"), F.concat(F.lit("... and "), F.col("more").cast("string"), F.lit(" more")).alias("line"))
+    return listed.select((F.col("i") + 1).alias("place"), F.col("x.line").alias("line")).unionByName(more)
 
 
 def token_cost(tokens_in: Column, tokens_out: Column) -> Column:
@@ -102,6 +145,16 @@ def delivery_checks(documents: DataFrame) -> DataFrame:
     return rows.select("pdf", "x.severity", "x.check", "x.message")
 
 
+def metadata_checks(files: DataFrame) -> DataFrame:
+    """Issues and warnings of metadata files (name, text): YAML that can't be read, or that holds nothing."""
+    from leafmill.sources.files import yaml_error, yaml_to_json
+
+    rows = files.where(~F.col("name").startswith("VALIDATION_REPORT")).withColumns({"error": yaml_error("text"), "json": yaml_to_json("text")})
+    empty = F.col("error").isNull() & F.coalesce(F.col("json") == "null", F.col("json").isNull()) & (F.octet_length("text") > 10)
+    found = F.when(F.col("error").isNotNull(), F.struct(F.lit("issue").alias("severity"), F.concat(F.lit("unreadable: "), "error").alias("message"))).when(empty, F.struct(F.lit("warning").alias("severity"), F.lit("nothing in it").alias("message")))
+    return rows.withColumn("x", found).where("x IS NOT NULL").select(F.col("name").alias("pdf"), "x.severity", F.lit("yaml").alias("check"), "x.message")
+
+
 def delivery_statistics(documents: DataFrame) -> DataFrame:
     md = F.col("markdown")
     return documents.agg(F.count(F.lit(1)).alias("documents"), F.sum(F.regexp_count(md, F.lit(r"(?m)^## Page \d+"))).alias("pages"), F.sum(F.regexp_count(md, F.lit(r"### Fig(?:ure)?\.? \d+:"))).alias("figures"), F.sum(F.length(md)).alias("chars"))
@@ -109,9 +162,9 @@ def delivery_statistics(documents: DataFrame) -> DataFrame:
 
 def check_summary(documents: DataFrame, findings: DataFrame, expected: int | Column) -> DataFrame:
     """One row: counts, whether the number of documents is the expected one, and whether all passed."""
-    n = documents.agg(F.count(F.lit(1)).alias("documents"))
-    f = findings.agg(F.count_if(F.col("severity") == "issue").alias("issues"), F.count_if(F.col("severity") == "warning").alias("warnings"))
-    both = n.join(f, F.lit(True))  # one row each
+    n = documents.select(F.lit("document").alias("kind"))
+    f = findings.select(F.col("severity").alias("kind"))
+    both = n.unionByName(f).agg(*[F.count_if(F.col("kind") == k).alias(f"{k}s") for k in ("document", "issue", "warning")])
     complete = F.col("documents") == expected
     return both.select("documents", "issues", "warnings", complete.alias("complete"), (complete & (F.col("issues") == 0)).alias("passed"))
 
@@ -129,12 +182,49 @@ def recommendations(row: DataFrame) -> DataFrame:
     return row.select(F.posexplode(F.when(F.size(found) > 0, found).otherwise(F.array(F.lit("nothing to do")))).alias("i", "message")).select((F.col("i") + 1).alias("place"), "message")
 
 
-def quality_report(total: DataFrame, documents: DataFrame, top: int = 30) -> str:
-    """Markdown of a quality report: one aggregated row and the best ``top`` documents."""
+def quality_report(total: DataFrame, documents: DataFrame, failures: DataFrame | None = None, seconds: float | None = None, top: int = 30, named: int = 20) -> str:
+    """Markdown of a quality report: totals, sizes of pages, content, review, failures, resources, best documents, advice.
+
+    ``total`` is the row of ``corpus_quality``, ``documents`` rows of ``document_quality``,
+    ``failures`` (pdf, page_num, error) pages that stayed failed.  Only the rows shown reach the driver.
+    """
     t = total.first()
-    rows = documents.orderBy(F.desc("quality_score"), "pdf").limit(top).collect()
-    lines = ["# Quality report", "", f"Documents: {t['pdfs']}, pages: {t['total_pages']}, score: {t['overall_score']} ({t['rating']})", "", "| document | pages | score | review |", "|---|---|---|---|"]
-    lines += [f"| {r['pdf']} | {r['total_pages']} | {r['quality_score']:.1f} | {'yes' if r['needs_review'] else 'no'} |" for r in rows]
+    n = max(t["total_pages"], 1)
+    best_ = documents.orderBy(F.desc("quality_score"), "pdf").limit(top).collect()
+    review = documents.where("needs_review").orderBy("pdf").limit(named).collect()
+    bars = [f"- {k.removesuffix('_pages')}: {t[k]} {'█' * (t[k] * 20 // n)}{'░' * (20 - t[k] * 20 // n)}" for k in ("empty_pages", "short_pages", "medium_pages", "long_pages")]
+    out = ["# Quality report", "", f"Documents: {t['pdfs']}, pages: {t['total_pages']}, score: {t['overall_score']} ({t['rating']})", "", "## Page sizes", "", *bars]
+    out += ["", "## Content", "", *[f"- {k.removesuffix('_count')} pages: {t[k]}" for k in ("table_count", "formula_count", "image_count", "code_block_count")]]
+    out += ["", "## Review", "", f"{t['needing_review']} of {t['pdfs']} documents", "", *[f"- {r['pdf']}" for r in review]]
+    if t["needing_review"] > len(review):
+        out.append(f"- ... and {t['needing_review'] - len(review)} more")
+    if failures is not None:
+        failed = failures.orderBy("pdf", "page_num").limit(top + 1).collect()
+        out += ["", "## Failed pages", "", *[f"- {r['pdf']} page {r['page_num']}: {r['error']}" for r in failed[:top]], *(["- ..."] if len(failed) > top else [])]
+    if seconds is not None:
+        out += ["", "## Resources", "", f"{seconds:.0f} s, {seconds / n:.2f} s a page, estimated cost {n * 2000 / 1000 * 0.008:.2f}"]
+    out += ["", "## Documents", "", "| document | pages | score | review |", "|---|---|---|---|"]
+    out += [f"| {r['pdf']} | {r['total_pages']} | {r['quality_score']:.1f} | {'yes' if r['needs_review'] else 'no'} |" for r in best_]
     if t["pdfs"] > top:
-        lines.append("| ... | | | |")
-    return "\n".join(lines) + "\n"
+        out.append("| ... | | | |")
+    advice = [r["message"] for r in recommendations(total).orderBy("place").collect()]  # five at most
+    return "\n".join([*out, "", "## Advice", "", *[f"- {m}" for m in advice]]) + "\n"
+
+
+def task_reports(task: str, made: str, runs: DataFrame, pages: DataFrame, details: int = 50) -> dict[str, str]:
+    """File name -> text of a task's reports: costs, quality, validation.  One row of sums and the first rows reach the driver."""
+    import json
+
+    cost = task_cost(runs).first().asDict()
+    shown = runs.orderBy("pdf").limit(details).collect()
+    q = task_quality(runs, pages).first()
+    n = runs.agg(F.count(F.lit(1)).alias("n"), F.count_if("success").alias("ok")).first()
+    table = [f"| {r['pdf']} | {r['pages']} | {r['figures']} | {'ok' if r['success'] else 'failed'} |" for r in shown[:30]] + (["| ... | | | |"] if n["n"] > 30 else [])
+    quality = [f"# Quality of {task}", "", f"Made: {made}", "", "| measure | value |", "|---|---|", *[f"| {k} | {q[k]} |" for k in q.asDict()], "", "| document | pages | figures | status |", "|---|---|---|---|", *table]
+    summary = {"documents": n["n"], "successful": n["ok"], "failed": n["n"] - n["ok"], "success_rate": round(n["ok"] / max(n["n"], 1) * 100, 1)}
+    rows = [{"name": str(r["pdf"]), "success": r["success"]} for r in shown]
+    return {
+        "cost_summary.json": json.dumps({"task": task, "made": made, **cost, "details": [{"name": str(r["pdf"]), "pages": r["pages"], "seconds": r["seconds"]} for r in shown]}),
+        "quality_report.md": "\n".join(quality) + "\n",
+        "validation_result.json": json.dumps({"task": task, "made": made, "pdfs": rows, "summary": summary}),
+    }

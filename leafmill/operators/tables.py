@@ -10,6 +10,15 @@ from leafmill.functions import text as T
 _BLOCK = r"###\s*(Table[^\n]*)\n+((?:\|[^\n]*(?:\n|\z))+)"
 
 
+# Fixed value: a table whose title is split at its first colon.
+_TITLED = r"###\s*(Table[^\n:]*):?[^\S\n]*([^\|\n][^\n]*)?\n+((?:\|[^\n]+\|(?:\n|\z))+)"
+
+
+def glued_headers(text: Column) -> Column:
+    """Markdown with the header that stands on a table's title line moved to a line of its own."""
+    return F.regexp_replace(text, r"(?m)^(###\s*Table[^\n|]*?)[ \t]*(\|[^\n]*\|)[ \t]*\n(?=\|)", "$1\n\n$2\n")
+
+
 def tables(pages: DataFrame, keys: list[str], text: str = "text") -> DataFrame:
     """One row for each table under a ``### Table`` title: ordinal, title, headers, rows, row_count."""
     title, body = (F.regexp_extract_all(F.col(text), F.lit(_BLOCK), F.lit(i)) for i in (1, 2))
@@ -23,6 +32,21 @@ def tables(pages: DataFrame, keys: list[str], text: str = "text") -> DataFrame:
     return shaped.withColumn("row_count", F.size("rows"))
 
 
+def titled_tables(pages: DataFrame, keys: list[str], text: str = "text") -> DataFrame:
+    """Tables as the check of metadata reads them: ordinal, figure_number (before the first colon), title, headers, row_count.
+
+    Rows begin and end with a bar; empty cells are dropped, and rows that have no other.
+    """
+    number, title, body = (F.regexp_extract_all(F.col(text), F.lit(_TITLED), F.lit(i)) for i in (1, 2, 3))
+    found = pages.select(*keys, F.posexplode(F.arrays_zip(number.alias("number"), title.alias("title"), body.alias("body"))).alias("i", "t"))
+    lines = F.filter(F.split(F.col("t.body"), "\n"), lambda x: F.length(x) > 0)
+    full = lambda line: F.filter(F.transform(F.split(line, r"\|"), T.strip), lambda c: F.length(c) > 0)
+    rows = found.select(*keys, (F.col("i") + 1).alias("ordinal"), T.strip(F.col("t.number")).alias("figure_number"), T.strip(F.coalesce("t.title", F.lit(""))).alias("title"), lines.alias("lines")).where(F.size("lines") >= 2)
+    data = F.filter(F.transform(F.slice("lines", F.lit(3), F.greatest(F.size("lines"), F.lit(1))), full), lambda c: F.size(c) > 0)
+    shown = rows.withColumn("title", F.when(F.col("title") == "", F.col("figure_number")).otherwise(F.col("title")))
+    return shown.select(*keys, "ordinal", "figure_number", "title", full(F.get("lines", F.lit(0))).alias("headers"), F.size(data).alias("row_count"))
+
+
 def table_cells(found: DataFrame, keys: list[str]) -> DataFrame:
     """One row for each cell of ``tables``: row, col, header (``x`` for the first column), raw, num, kind."""
     rows = found.select(*keys, "ordinal", "headers", F.posexplode("rows").alias("r", "cells"))

@@ -5,7 +5,7 @@ from hypothesis import given
 from hypothesis import strategies as st
 
 from leafmill.functions import text as T
-from leafmill.operators import clean, parse
+from leafmill.operators import clean, leftovers, parse
 from leafmill.operators.progress import breaker_step
 
 
@@ -87,11 +87,29 @@ def test_alignment():
     assert clean.aligned("|a|bcde|\n|:--|---|\n|x|\nend") == "| a   | bcde |\n| :-- | ---- |\n| x   |      |\nend"
 
 
-def test_json_leftovers():
-    assert clean.without_json('a\n```json\n{"body_text": "x\\\\ny"}\n```\nb') == "a\nx\ny\nb"
-    assert clean.without_json("a\n```json\n[1, 2]\n```\nb") == "a\n\nb"
-    assert clean.without_json("```json\n{broken\n```") == "```json\n{broken\n```"
-    assert clean.without_json('```json\n{\n"page_number": 1,\n"body_text": "open\\nend') == "open\nend"
+@pytest.mark.parametrize(
+    "text, want, fixes",
+    [
+        ('a\n```json\n{"body_text": "x\\\\ny"}\n```\nb', "a\nx\ny\nb", 1),
+        ('```json\n{"body_text": "", "content": "C"}\n```', "", 1),
+        ('```json\n{"content": 7}\n```', "7", 1),
+        ('```json\n{"text": "T"}\n``` tail', "T tail", 1),
+        ('```json\n{"body_text": ["a"]}\n```', "['a']", 1),
+        ("a\n```json\n[1, 2]\n```\nb", "a\n\nb", 1),
+        ("```json\n{broken\n```", "```json\n{broken\n```", 0),
+        ('```json\n{\n"page_number": 1,\n"body_text": "open\\nend', "open\nend", 1),
+        ('x\n```json\n{\n  "page_number": 3,\n  "tables": [],\n  "body_text": "say \\"hi\\", \\tthen",\n  "notes": [\n\n## Page 4\n\ny', 'x\nsay "hi", \tthen\n\n## Page 4\n\ny', 1),
+        ('```json\n{\n"page_number": 2,\n"tables": []\n\n## Page 3', "\n\n## Page 3", 1),
+        ("a\n```json\n{\n\nb", "a\n\n\nb", 1),
+        ('"tables": [],\n"page_number": 4,\n"figures": {"a": 1}\nb', '"figures": {"a": 1}\nb', 2),
+        ('"body_text": "hello\\nworld",\nmore",\n## Page 2', 'hello\nworld",\nmore\n## Page 2', 1),
+        ('  "body_text": "hello there', "hello there", 1),
+        ('"body_text": "a",', "a", 1),
+    ],
+)
+def test_json_leftovers(text, want, fixes):
+    got, n = leftovers.without_json(text)
+    assert (got, n) == (want, fixes)
 
 
 def test_breaker():
@@ -100,10 +118,49 @@ def test_breaker():
     at = lambda s: pd.Timestamp(2024, 1, 1) + pd.Timedelta(seconds=s)
     state = (0, None)
     for s in range(5):
-        *state, rejected = breaker_step(*state, at(s), False)
-        assert not rejected
-    assert state[1] == at(304)
-    *state, rejected = breaker_step(*state, at(100), True)
-    assert rejected
-    *state, rejected = breaker_step(*state, at(305), True)
-    assert (state, rejected) == ([0, None], False)
+        *state, banned = breaker_step(*state, at(s), False)
+        assert not banned
+    assert state == [5, at(304)]
+    assert breaker_step(*state, at(100), False) == (6, at(400), True)  # under way when the ban began
+    assert breaker_step(*state, at(100), True) == (0, None, True)  # a success lifts the ban
+    assert breaker_step(*state, at(304), False) == (6, at(604), True)
+    assert breaker_step(*state, at(305), False) == (1, None, False)  # the ban has expired
+    assert breaker_step(*state, at(305), True) == (0, None, False)
+
+
+@pytest.mark.parametrize("value, numeric, normal", [("£ 1,000", True, "£ 1000"), ("-3.5%", True, "-3.5%"), ("", False, ""), ("–", False, "-"), (" N/A ", False, "n/a"), ("12?", True, "12?"), ("1.2.3", False, "1.2.3"), (None, False, ""), ("1e3", True, "1e3"), ("A—B", False, "a-b")])
+def test_cells_as_values(one, value, numeric, normal):
+    from pyspark.sql import functions as F
+
+    assert one(lambda c: T.is_numeric(c.cast("string")), value) == numeric and one(lambda c: T.normal_value(c.cast("string")), value) == normal
+
+
+@pytest.mark.parametrize("attempt, chance, wait", [(0, 0.0, 0.75), (0, 1.0, 1.25), (3, 0.5, 8.0), (9, 1.0, 37.5)])
+def test_jitter(one, attempt, chance, wait):
+    from leafmill.sources.providers import wait_seconds
+
+    assert one(lambda a, c: T.backoff_seconds(a, chance=c), attempt, chance) == wait == wait_seconds(attempt, lambda: chance)
+
+
+def test_shifted_references():
+    from leafmill.operators.merge import shifted
+
+    text = "[Page 3] ## Page 3 x\n## Page 3\n![a b](images/page_003.png) yaml_metadata/Figure_1_page3.yaml and yaml_metadata/T_page4.yaml"
+    assert shifted(text, 100) == "[Page 103] ## Page 3 x\n## Page 103\n![a b](images/page_103.png) yaml_metadata/Figure_1_page103.yaml and yaml_metadata/T_page104.yaml"
+
+
+@pytest.mark.parametrize(
+    "raw, body, parsed",
+    [
+        ('{"body_text": "a"}', "a", True),
+        ('x ```json\n{"body_text": "\\alpha"}\n``` y', "\\alpha", True),
+        ("[1, 2]", "[1, 2]", False),
+        ('"\\alpha"', '"\\alpha"', False),
+        ("```json\n{\\alpha\n```", "```json\n{\\alpha\n```", False),
+        ("z" * 600, "z" * 500, False),
+        (None, "", False),
+    ],
+)
+def test_records(raw, body, parsed):
+    text, own = parse.record(raw)
+    assert (json.loads(text)["body_text"], own) == (body, parsed)

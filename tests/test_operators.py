@@ -76,11 +76,20 @@ def test_medium_confidence_is_complete(spark):
 
 
 def test_answers(spark):
-    rows = spark.createDataFrame([('```json\n{"body_text": "\\alpha", "figures": [{"caption": "c"}]}\n```',), ("not json",)], "raw string")
+    rows = spark.createDataFrame([('```json\n{"body_text": "\\alpha", "figures": [{"caption": "c", "data_series": [{"x": "1895", "Branches": 16, "Total": null}, 7], "axes": {"x": 1}}]}\n```',), ("not json",), (None,)], "raw string")
     got = parse.answers(rows).collect()
-    assert [(r.parsed, r.answer.body_text) for r in got] == [(True, "\\alpha"), (False, "not json")]
+    assert [(r.parsed, r.answer.body_text) for r in got] == [(True, "\\alpha"), (False, "not json"), (False, "")]
     figure = parse.figure_metadata(parse.answers(rows), []).first()
     assert (figure.figure_number, figure.chart_title, figure.confidence_score) == ("Figure 1", "c", 0.7)
+    assert figure.data_series == ['{"x":"1895","Branches":16,"Total":null}', "7"] and figure.axes == '{"x":1}' and figure.has_quantitative_data
+    values = parse.series_values(parse.figure_metadata(parse.answers(rows), []), [])
+    assert [(r.row, r.name, r.value) for r in values.collect()] == [(1, "x", "1895"), (1, "Branches", "16"), (1, "Total", None)]
+
+
+def test_answers_are_parsed_once(spark):
+    rows = spark.createDataFrame([("{}",)], "raw string")
+    plan = parse.figure_metadata(parse.answers(rows), [])._jdf.queryExecution().executedPlan().toString()
+    assert plan.count("from_json") <= 2 and len(plan) < 60_000
 
 
 def test_recovery_is_no_template(spark):
@@ -88,6 +97,8 @@ def test_recovery_is_no_template(spark):
     new = spark.createDataFrame([("a", 1, True, r"\frac \1"), ("a", 3, True, "added"), ("a", 2, False, "bad")], "pdf string, page_num int, success boolean, section string")
     rows = {r.page_num: r.section for r in recover.recovered_pages(pages, new).collect()}
     assert rows == {1: r"\frac \1", 2: "keep", 3: "added"}
+    twice = new.unionByName(new.withColumn("section", F.lit("a second time")))
+    assert recover.recovered_pages(pages, twice).count() == 3
 
 
 def test_retry_loop():
@@ -99,7 +110,7 @@ def test_retry_loop():
             raise ConnectionError("ConnectionError")
         return "done"
 
-    assert providers.attempt(call, sleep=waits.append) == ("done", None) and waits == [1, 2]
+    assert providers.attempt(call, sleep=waits.append) == ("done", None) and 0.75 <= waits[0] <= 1.25 and 1.5 <= waits[1] <= 2.5
     assert providers.attempt(lambda: 1 / 0)[1].startswith("ZeroDivisionError")
 
 
@@ -116,7 +127,7 @@ def test_files(spark, tmp_path):
     (tmp_path / "r1.json").write_text('{"a": 1}')
     (tmp_path / "r2.json").write_text('{"a": 1}')
     assert files.json_reports(spark, [str(tmp_path / "r1.json"), str(tmp_path / "r2.json")]).count() == 1
-    assert files.page_images(spark.createDataFrame([("d", b"x")], "pdf string, content binary"), lambda c: [b"1", b"2", b"3"], 2).count() == 2
+    assert [r.name for r in files.page_images(spark.createDataFrame([("d", b"x")], "pdf string, content binary"), lambda c: [b"1", b"2", b"3"], 2).collect()] == ["page_001.png", "page_002.png"]
 
 
 def test_streaming_resume(spark, tmp_path):
@@ -132,3 +143,138 @@ def test_streaming_resume(spark, tmp_path):
     state.run_available(state.circuit_breaker(state.new_files(spark, source, schema)), out, mark)
     rows = {r.key: (r.consecutive, r.disabled_until is not None) for r in spark.read.parquet(out).collect()}
     assert rows == {0: (5, True), 1: (5, True)}
+
+
+def test_pages_in_object_streams():
+    import zlib
+
+    stream = zlib.compress(b"<< /Type /Page >> << /Type /Pages >> << /Type/Page/Parent 1 >>")
+    assert files.pages_of(b"%PDF /Type /Page 1 0 obj << /Type /ObjStm /Length 9 >> stream\n" + stream + b"\nendstream") == 3
+    assert files.pages_of(b"no page") is None
+
+
+def test_similarity_is_difflib_s(spark):
+    from difflib import SequenceMatcher
+
+    from leafmill.catalog import matching
+
+    rows = matching.string_similarity(spark, "/root/testdata/sf0.001").collect()
+    assert len(rows) == 25 and all(r.similarity == SequenceMatcher(None, r.n_name.lower(), r.r_name.lower()).ratio() for r in rows)
+
+
+def test_titled_matches_by_brute_force(spark):
+    import re
+    from difflib import SequenceMatcher
+
+    from leafmill.catalog import matching
+
+    charts = [("d", 1, 2, "Branch deposits by year", ["deposits", "year"], "Table 1"), ("d", 2, 9, "Loans", ["loans"], "Table 7"), ("d", 3, 50, "Branch deposits", ["x"], "")]
+    found = [("d", 1, 11, "Table 1: Branch deposits, 1895-1900", ["year", "deposits"]), ("d", 3, 12, "Table 2: Staff", ["name"]), ("d", 10, 13, "Table 7: other", ["loans", "rate"])]
+    got = match.matched_tables(spark.createDataFrame(charts, "pdf string, chart int, page_num int, title string, elements array<string>, figure_number string"), spark.createDataFrame(found, "pdf string, page_num int, table int, table_title string, headers array<string>")).collect()
+    words = lambda t: {w for w in re.sub(r"[^\w\s]", " ", t).lower().split() if len(w) > 2}
+    jaccard = lambda a, b: len(a & b) / len(a | b) if a and b else 0.0
+    score = lambda c, t: 0.4 * SequenceMatcher(None, c[3].lower(), t[3].lower()).ratio() + 0.3 * jaccard(words(c[3]), words(t[3])) + 0.3 * jaccard(words(" ".join(t[4])), words(" ".join(c[4])))
+    want = {}
+    for c in charts:
+        near = [t for t in found if abs(t[1] - c[2]) <= 1] or found
+        best = max(near, key=lambda t: score(c, t))
+        if score(c, best) >= 0.2 or len(near) == 1:
+            want[c[1]] = best[2]
+    assert {r.chart: r.table for r in got} == want and want[3] == 11
+    assert matching.fill_match_titled(spark, "/root/testdata/sf0.001").count() > 0
+
+
+def test_keyword_pairs_by_brute_force(spark):
+    import random
+    import re
+
+    r = random.Random(4)
+    vocabulary = [f"word{int(30 * r.random() ** 3)}" for _ in range(400)]
+    text = lambda: " ".join(r.choice(vocabulary) for _ in range(r.randrange(0, 14)))
+    left, right = [(i, text()) for i in range(25)], [(i, text()) for i in range(40)] + [(99, None)]
+    words = lambda t: {w for w in re.sub(r"[^\w\s]", " ", t or "").lower().split() if len(w) > 2}
+    frames = spark.createDataFrame(left, "l_id int, t string"), spark.createDataFrame(right, "r_id int, t string")
+    for limit in (0.1, 0.5, 1.0):
+        want = {(i, j, len(words(a) & words(b))) for i, a in left for j, b in right if words(a) and words(b) and len(words(a) & words(b)) / len(words(a) | words(b)) >= limit}
+        assert {(x.l_id, x.r_id, x.shared) for x in match.keyword_pairs(*frames, "l_id", "r_id", "t", "t", limit).collect()} == want
+    with pytest.raises(ValueError):
+        match.keyword_pairs(*frames, "l_id", "r_id", "t", "t", 0.0)
+
+
+def test_writers(spark, tmp_path):
+    folder = str(tmp_path / "out")
+    documents = spark.createDataFrame([("a", "# a"), ("b b", "ü")], "pdf string, markdown string")
+    files.write_files(files.document_files(documents), folder)
+    assert {r.pdf: r.markdown for r in files.markdown_files(spark, folder).collect()} == {"a": "# a", "b b": "ü"}
+    for text in ("second", "third"):
+        files.write_files(spark.createDataFrame([("a.md", text), ("none.md", None)], "name string, content string"), folder, backup=True)
+    assert (tmp_path / "out/a.md").read_text() == "third" and (tmp_path / "out/a.md.bak").read_text() == "# a" and not (tmp_path / "out/none.md").exists()
+    (tmp_path / "out/QUALITY_REPORT.md").write_text("x")
+    (tmp_path / "out/QUALITY_REPORT_2.md").write_text("x")
+    assert {r.pdf for r in files.markdown_files(spark, folder).collect()} == {"a", "b b"}
+    assert {r.pdf for r in files.markdown_files(spark, folder, recursive=True).collect()} == {"a", "b b", "QUALITY_REPORT_2"}
+    figures = spark.createDataFrame([("a", 1, 1, "Fig: 1", '{"x": [1, {"y": "z"}]}'), ("a", 1, 2, "Fig: 1", '{"x": 2}')], "pdf string, page_num int, ordinal int, figure_number string, json string")
+    files.write_files(files.figure_files(figures), folder)
+    files.write_files(files.combined_figures(figures, "2024-01-01"), folder)
+    named = {r.name: r.json for r in files.yaml_files(spark, folder, recursive=True).collect()}
+    assert named["Fig_1_1_page1"] == '{"x": [1, {"y": "z"}]}' and named["Fig_1_2_page1"] == '{"x": 2}'
+    assert [(r.ordinal, str(r.figure)) for r in files.figures_of(files.yaml_files(spark, folder, "figures")).collect()] == [(1, '{"x":[1,{"y":"z"}]}'), (2, '{"x":2}')]
+
+
+def test_state_files(spark, tmp_path):
+    (tmp_path / "p.json").write_text('{"steps": {"convert": {"status": "in_progress", "completed": ["a"], "failed": ["b"], "pending": []}}}')
+    (tmp_path / "bad.json").write_text('{"steps": {"conv')
+    read = lambda n: {(r.step, r.pdf, r.status) for r in files.progress_events(files.json_state(spark, str(tmp_path / n), files.PROGRESS)).collect()}
+    assert read("p.json") == {("convert", "a", "completed"), ("convert", "b", "failed")} and read("bad.json") == read("none.json") == set()
+    for name in ("task1_monitor_a.json", "task1_monitor_b.json", "zz_monitor.json"):
+        (tmp_path / name).write_text("{}")
+    assert {r.name for r in files.monitor_summaries(spark, str(tmp_path), "task1").collect()} == {"task1_monitor_a.json", "task1_monitor_b.json"}
+    assert {r.name for r in files.monitor_summaries(spark, str(tmp_path), "other").collect()} == {"zz_monitor.json"}
+    assert files.retry_failures(spark, str(tmp_path)).count() == 0
+    (tmp_path / "retry_1.yaml").write_text("permanent:\n- {pdf: a, page_num: 3, error: e}\nskipped: []\n")
+    assert [tuple(r) for r in files.retry_failures(spark, str(tmp_path)).collect()] == [("a", 3, "e", "permanent")]
+    log = str(tmp_path / "log")
+    event = spark.createDataFrame([("s", "a", 1, "failed", "e")], "step string, pdf string, page_num int, status string, error string").withColumn("ts", F.current_timestamp())
+    files.append_events(event, log)
+    files.append_events(event, log)
+    assert spark.read.parquet(log).count() == 2
+
+
+def test_reports(spark, tmp_path):
+    import json
+
+    from leafmill.catalog import pages as page_queries
+    from leafmill.catalog import reports as report_queries
+
+    sf = "/root/testdata/sf0.001"
+    total, documents = page_queries.corpus_quality(spark, sf), page_queries.pdf_quality(spark, sf)
+    failures = spark.createDataFrame([("a", i, "e") for i in range(40)], "pdf string, page_num int, error string")
+    text = reports.quality_report(total, documents, failures, 12.0, top=5)
+    assert all(f"## {h}" in text for h in ("Page sizes", "Content", "Review", "Failed pages", "Resources", "Documents", "Advice")) and "| ... |" in text and "- ...\n" in text
+    texts = reports.task_reports("t", "2024-01-01", report_queries._runs(spark, sf), report_queries._pages(spark, sf))
+    assert set(texts) == {"cost_summary.json", "quality_report.md", "validation_result.json"} and len(json.loads(texts["cost_summary.json"])["details"]) == 50 and "| ... |" in texts["quality_report.md"]
+    files.write_texts(spark, texts, str(tmp_path / "r"))
+    assert (tmp_path / "r/quality_report.md").read_text() == texts["quality_report.md"]
+
+
+def test_metadata_problems(spark):
+    rows = spark.createDataFrame([("a", "x: [1"), ("b", "# only a comment"), ("c", "x: 1"), ("d", ""), ("VALIDATION_REPORT_1", "x: [1"), ("e", None)], "name string, text string")
+    assert {(r.pdf, r.severity) for r in reports.metadata_checks(rows).collect()} == {("a", "issue"), ("b", "warning")}
+
+
+def test_keys(spark):
+    from leafmill.operators import progress
+
+    rows = [("a", 0.5, 0, None), ("b", 0.9, 3, 2000), ("c", 0.9, 1, 100), ("d", 0.9, 1, 100)]
+    health = spark.createDataFrame(rows, "key string, success_rate double, consecutive int, disabled_until long")
+    assert tuple(progress.chosen_key(health, F.lit(500)).first()) == ("c", False)
+    assert tuple(progress.chosen_key(health.where("disabled_until IS NOT NULL"), F.lit(50)).first()) == ("c", True)
+    assert [(r.key, r.place) for r in progress.key_ranks(health).orderBy("place").collect()] == [("c", 1), ("d", 2), ("b", 3), ("a", 4)]
+    assert providers.missing_modules({"no_such_module": "x", "json": "y"}) == ["no_such_module (x)"]
+
+
+def test_batches_as_completed(spark, tmp_path):
+    schema, taken = "id long", []
+    spark.range(5).coalesce(1).write.parquet(str(tmp_path / "in"))
+    state.as_completed(state.new_files(spark, str(tmp_path / "in"), schema), lambda batch, n: taken.append((n, batch.count())), str(tmp_path / "c"))
+    assert taken == [(0, 5)] and state.restart("/x/c/").startswith("/x/c-")
