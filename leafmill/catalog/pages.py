@@ -10,6 +10,7 @@ from leafmill.operators import context, quality
 from leafmill.sources.tables import table
 
 _STRIP = r"regexp_replace(text, '^\s+|\s+$', '', 'g')"
+# The patterns of page flags, as in operators.quality
 _FLAGS = rf"""SELECT doc_id, source, text, len({_STRIP}) AS char_count,
  regexp_matches(text, '\|.*\|.*\|') AND regexp_matches(text, '\|\s*:?-+:?\s*\|') AS has_table,
  regexp_matches(text, '\|.*\|.*\|') AND regexp_matches(text, '\|-+\|') AS has_table_strict,

@@ -37,6 +37,14 @@ def progress_summary(spark, sf_dir):
     return progress.progress_summary(_state(spark, sf_dir), "step")
 
 
+@query("resumed_pages", """SELECT conv_id AS pdf, turn AS page_num, CASE WHEN turn % 2 = 0 THEN role ELSE 'stored' END AS section, CASE WHEN turn % 2 = 0 THEN len(text) ELSE -1 END AS tokens, turn % 2 = 1 AS skipped FROM conversations""")
+def resumed_pages(spark, sf_dir):
+    c = table(spark, sf_dir, "conversations").select(F.col("conv_id").alias("pdf"), F.col("turn").alias("page_num"), "role", F.length("text").cast("long").alias("tokens"))
+    stored = c.select("pdf", "page_num", F.lit("stored").alias("section"))
+    fresh = c.where("page_num % 2 = 0").select("pdf", "page_num", F.col("role").alias("section"), "tokens")
+    return progress.all_results(stored, fresh, ["pdf", "page_num"]).fillna(-1, ["tokens"])
+
+
 @query("pending_anti", f"SELECT DISTINCT user_id AS pdf FROM events WHERE user_id NOT IN (SELECT pdf FROM ({_STATE}) WHERE step = 0 AND status = 'failed')")
 def pending_anti(spark, sf_dir):
     wanted = table(spark, sf_dir, "events").select(F.col("user_id").alias("pdf")).distinct()

@@ -47,6 +47,13 @@ def render_documents(spark, sf_dir):
     return documents(spark, sf_dir)
 
 
+@query("document_headers", """SELECT CAST(conv_id AS VARCHAR) AS pdf, '# ' || conv_id || chr(10) || chr(10) || 'Converted: 2024-01-01' || chr(10) || chr(10) || 'Model: m' || chr(10) || chr(10) || 'Pages: ' || count(*) || ', turns: ' || sum(turn) || ', signs: ' || sum(len(text)) || chr(10) || chr(10) || '---' AS head FROM conversations GROUP BY conv_id""")
+def document_headers(spark, sf_dir):
+    rows = table(spark, sf_dir, "conversations").select("conv_id", "turn", F.length("text").alias("size"), F.lit("").alias("section"))
+    made = render.document_markdown(rows, "conv_id", "turn", "section", "2024-01-01", "m", {"turn": "turns", "size": "signs"})
+    return made.select("pdf", F.regexp_extract("markdown", r"(?s)^(.*\n---)\n", 1).alias("head"))
+
+
 @query("page_split", _PAGES)
 def page_split(spark, sf_dir):
     return render.split_pages(documents(spark, sf_dir))

@@ -23,6 +23,11 @@ def pending(wanted: DataFrame, done: DataFrame, keys: list[str]) -> DataFrame:
     return wanted.join(done, keys, "left_anti")
 
 
+def all_results(stored: DataFrame, fresh: DataFrame, keys: list[str]) -> DataFrame:
+    """Fresh page results and the stored ones of pages that were skipped; columns that one side lacks are null there."""
+    return fresh.withColumn("skipped", F.lit(False)).unionByName(stored.join(fresh.select(*keys), keys, "left_anti").withColumn("skipped", F.lit(True)), allowMissingColumns=True)
+
+
 def progress_summary(state: DataFrame, group: str) -> DataFrame:
     is_ = lambda s: F.count_if(F.col("status") == s)
     rows = state.groupBy(group).agg(F.count(F.lit(1)).alias("total"), is_("completed").alias("completed"), is_("failed").alias("failed"), is_("pending").alias("pending"))

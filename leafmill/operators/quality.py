@@ -14,15 +14,17 @@ EMPTY, SHORT, MEDIUM = 10, 100, 500
 def page_flags(pages: DataFrame, text: str = "text") -> DataFrame:
     """``pages`` with char_count and what the page holds."""
     t = F.col(text)
-    rows = t.rlike(r"(?d)\|.*\|.*\|")
+    # The patterns.  A sign that every match needs is looked for first: most pages have none and meet no pattern
+    having = lambda sign, test: F.when(t.contains(sign), test).otherwise(F.when(t.isNotNull(), False))
+    rows = having("|", t.rlike(r"(?d)\|.*\|.*\|"))
     return pages.withColumns(
         {
             "char_count": F.length(T.strip(t)).cast("long"),
             "has_table": rows & t.rlike(r"\|\s*:?-+:?\s*\|"),
             "has_table_strict": rows & t.rlike(r"\|-+\|"),
-            "has_formula": t.rlike(r"(?s)\$\$.+?\$\$") | t.rlike(r"\$[^$]+\$"),
-            "has_image": t.rlike(r"(?d)!\[.*?\]\(.*?\)") | t.rlike("(?i)<figure>"),
-            "has_code": t.rlike(r"(?s)```.*?```"),
+            "has_formula": having("$", t.rlike(r"(?s)\$\$.+?\$\$") | t.rlike(r"\$[^$]+\$")),
+            "has_image": having("![", t.rlike(r"(?d)!\[.*?\]\(.*?\)")) | having("<", t.rlike("(?i)<figure>")),
+            "has_code": having("```", t.rlike(r"(?s)```.*?```")),
         }
     )
 

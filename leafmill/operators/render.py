@@ -26,12 +26,17 @@ def page_section(page: Column, body: Column, tables: Column, formulas: Column, f
     return F.concat(head, F.when(F.length(T.strip(body)) > 0, F.concat(body, F.lit("\n\n"))).otherwise(""), optional(tables, shown_tables), optional(formulas, shown_formulas), optional(figures, shown_figures), optional(notes, shown_notes))
 
 
-def document_markdown(sections: DataFrame, key: str, page: str, section: str, made: str) -> DataFrame:
-    """One row for each document: title, date, then the sections in page order.  ``made`` is the date text."""
+def document_markdown(sections: DataFrame, key: str, page: str, section: str, made: str, model: str | None = None, counts: dict[str, str] | None = None) -> DataFrame:
+    """One row for each document: title, date, model, totals, then the sections in page order.
+
+    ``made`` is the date text; ``counts`` names columns of whole numbers that are summed, each with
+    the word it is shown under.
+    """
+    counts = counts or {}
     ordered = F.array_sort(F.collect_list(F.struct(F.col(page).alias("p"), F.col(section).alias("s"))))
     body = F.array_join(F.transform(ordered, lambda x: x["s"]), "\n")
-    head = F.concat(F.lit("# "), F.col("pdf"), F.lit(f"\n\nConverted: {made}\n\nPages: "), F.col("n").cast("string"), F.lit("\n\n---\n\n"))
-    return sections.groupBy(F.col(key).cast("string").alias("pdf")).agg(F.count(F.lit(1)).alias("n"), body.alias("body")).select("pdf", F.concat(head, "body").alias("markdown"))
+    head = F.concat(F.lit("# "), F.col("pdf"), F.lit(f"\n\nConverted: {made}" + (f"\n\nModel: {model}" if model else "") + "\n\nPages: "), F.col("n").cast("string"), *[part for c, word in counts.items() for part in (F.lit(f", {word}: "), F.col(f"_{c}").cast("string"))], F.lit("\n\n---\n\n"))
+    return sections.groupBy(F.col(key).cast("string").alias("pdf")).agg(F.count(F.lit(1)).alias("n"), body.alias("body"), *[F.coalesce(F.sum(c), F.lit(0)).alias(f"_{c}") for c in counts]).select("pdf", F.concat(head, "body").alias("markdown"))
 
 
 def split_pages(documents: DataFrame, key: str = "pdf", markdown: str = "markdown") -> DataFrame:

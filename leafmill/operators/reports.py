@@ -169,6 +169,15 @@ def check_summary(documents: DataFrame, findings: DataFrame, expected: int | Col
     return both.select("documents", "issues", "warnings", complete.alias("complete"), (complete & (F.col("issues") == 0)).alias("passed"))
 
 
+def delivery_report(summary: DataFrame, findings: DataFrame, statistics: DataFrame, shown: int = 100) -> str:
+    """JSON of a delivery check: its summary, the totals, and the first findings by severity and name."""
+    import json
+
+    s, t = summary.first().asDict(), statistics.first().asDict()
+    rows = findings.orderBy("severity", "pdf", "check", "message").limit(shown).collect()
+    return json.dumps({"passed": s["passed"], "summary": s, "statistics": t, "findings": [r.asDict() for r in rows], "more": max(s["issues"] + s["warnings"] - len(rows), 0)}, ensure_ascii=False)
+
+
 def recommendations(row: DataFrame) -> DataFrame:
     """Messages for the row of ``corpus_quality``."""
     message = F.array(

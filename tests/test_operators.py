@@ -257,6 +257,17 @@ def test_reports(spark, tmp_path):
     assert (tmp_path / "r/quality_report.md").read_text() == texts["quality_report.md"]
 
 
+def test_delivery_report(spark):
+    import json
+
+    from leafmill.catalog import reports as q
+
+    sf = "/root/testdata/sf0.001"
+    text = reports.delivery_report(q.check_summary(spark, sf), q.delivery_checks(spark, sf), q.delivery_statistics(spark, sf), 5)
+    report = json.loads(text)
+    assert len(report["findings"]) == 5 and report["more"] == report["summary"]["issues"] + report["summary"]["warnings"] - 5 and not report["passed"]
+
+
 def test_metadata_problems(spark):
     rows = spark.createDataFrame([("a", "x: [1"), ("b", "# only a comment"), ("c", "x: 1"), ("d", ""), ("VALIDATION_REPORT_1", "x: [1"), ("e", None)], "name string, text string")
     assert {(r.pdf, r.severity) for r in reports.metadata_checks(rows).collect()} == {("a", "issue"), ("b", "warning")}
