@@ -35,8 +35,8 @@ def near_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 def suffix_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents without the passages that occur elsewhere; those with nothing else go.
 
-    Texts that lose nothing stay as they are: a null text and one without a word go.  Repeated
-    rows and ties lose the passage at every place.  A very long text is parsed as one slice.
+    Texts that lose nothing stay as they are, null and empty ones too.  Repeated rows and ties lose
+    the passage at every place.  A very long text is parsed as one slice.
     """
     cut = repeats.without_repeats(docs, keep=True)
     touched = F.col("n_removed") > 0
