@@ -9,10 +9,12 @@ on a register with probability equal to their weighted Jaccard similarity.
 
 Signatures are cut in bands.  Documents with the same words are one node from the start, so a
 group of copies of any size costs one node.  In a bucket nodes are compared with a leader, the
-node that meets most others, and not with each other.  Where a bucket still holds several classes,
-the nodes beside its largest class are compared with the bucket's nodes of other classes, the
-bucket being dealt out in salted parts; the test of the signatures is part of that join.  Every
-link is verified by the exact overlap of the two multisets.
+node that meets most others, and not with each other; in ROUNDS more rounds the nodes outside the
+bucket's largest class choose a leader.  Where a bucket still holds several classes after that,
+the nodes beside its largest class are compared with its nodes of other classes, the bucket being
+dealt out in salted parts: semi-joins on the signatures leave those with a possible partner, and
+the exact test is part of the last join, so that only links leave it.  Every link is verified by
+the exact overlap of the two multisets.
 """
 
 from __future__ import annotations
@@ -37,6 +39,8 @@ REGISTERS = BANDS * ROWS
 MIN_AGREE = int(REGISTERS * (SIMILARITY - 4.5 * (SIMILARITY * (1 - SIMILARITY) / REGISTERS) ** 0.5))
 #: Nodes of one bucket in a salted part.
 PART = 500
+#: Rounds with leaders from outside the largest class of a bucket.
+ROUNDS = 2
 _fold = np.arange(256, dtype=np.uint8)
 _fold[65:91] += 32
 _space = np.zeros(256, bool)
@@ -167,7 +171,7 @@ class Finder:
         self.nodes = stage(per_node.agg(F.min("doc_id").alias("first_id"), F.count(F.lit(1)).alias("n"), F.min("th").alias("th"), F.first("sig").alias("sig")), "nodes")
         self.rows = stage(sketched.drop("sig"), "rows")
         unstage(sketched)
-        exploded = self.nodes.select("node", F.explode(F.array(*_bands())).alias("bucket"))
+        exploded = self.nodes.select("node", F.posexplode(F.array(*_bands())).alias("band", "bucket"))
         shared = exploded.groupBy("bucket").agg(F.count(F.lit(1)).alias("k")).where(F.col("k") > 1)
         found = stage(exploded.join(shared, "bucket"), "buckets")
         # a text that the others were copied from meets more of them than they meet each other
@@ -179,55 +183,88 @@ class Finder:
 
     def search(self) -> DataFrame | None:
         """node, label of all nodes with a link; None if there are none."""
-        self._join(self._with_leaders())
+        self._take(self._verified(self._close(self._with_leaders(self.buckets))))
+        for _ in range(ROUNDS if self.links is not None else 0):
+            mixed = stage(self._mixed(), "mixed")
+            more = self._verified(self._close(self._with_leaders(mixed)))
+            unstage(mixed)
+            if not self._take(more):
+                break
         if self.links is not None:
-            self._join(self._beside_largest())
+            self._take(self._beside_largest())
         unstage(self.buckets)
         return self.labels
 
-    def _with_leaders(self) -> DataFrame:
-        """Pairs of each bucket's best-met node and its other nodes."""
+    def _with_leaders(self, buckets: DataFrame) -> DataFrame:
+        """Pairs of each bucket's best-met node (outside its largest class, where classes are known) and its nodes of other classes."""
+        classed = "label" in buckets.columns
+        able = buckets.where("beside") if classed else buckets
         order = F.struct(-F.col("met"), "node")
-        leaders = self.buckets.groupBy("bucket").agg(F.min(order).alias("leader")).select("bucket", F.col("leader.node").alias("other"))
-        pairs = self.buckets.join(leaders, "bucket").where(F.col("node") != F.col("other"))
-        pairs = stage(pairs.select(F.least("node", "other").alias("a"), F.greatest("node", "other").alias("b")).distinct(), "pairs")
+        best = able.groupBy("bucket").agg(F.min_by(F.struct(F.col("node"), F.col("label") if classed else F.col("node").alias("label")), order).alias("leader"))
+        pairs = buckets.join(best.select("bucket", F.col("leader.node").alias("other"), F.col("leader.label").alias("class")), "bucket")
+        pairs = pairs.where(F.col("label") != F.col("class") if classed else F.col("node") != F.col("other"))
+        return pairs.select(F.least("node", "other").alias("a"), F.greatest("node", "other").alias("b")).distinct()
+
+    def _close(self, pairs: DataFrame) -> DataFrame:
+        """Pairs whose signatures agree enough to be verified, staged."""
+        pairs = stage(pairs, "pairs")
         sig = lambda end: self.nodes.select(F.col("node").alias(end), F.col("sig").alias(f"sig_{end}"))
         both = pairs.join(sig("a"), "a").join(sig("b"), "b")
         close = stage(both.where(_agreeing("sig_a", "sig_b") >= MIN_AGREE).select("a", "b"), "close")
         unstage(pairs)
         return close
 
+    def _mixed(self) -> DataFrame:
+        """Nodes of buckets with several classes: bucket, node, met, k, label, beside (outside the largest class)."""
+        rows = self.buckets.join(self.labels, "node", "left").withColumn("label", F.coalesce("label", "node"))
+        counted = rows.groupBy("bucket", "label").agg(F.count(F.lit(1)).alias("c"))
+        mixed = counted.groupBy("bucket").agg(F.max(F.struct("c", "label")).alias("top"), F.count(F.lit(1)).alias("classes")).where(F.col("classes") > 1).select("bucket", F.col("top.label").alias("largest"))
+        return rows.join(mixed, "bucket").withColumn("beside", F.col("label") != F.col("largest")).drop("largest")
+
     def _beside_largest(self) -> DataFrame:
-        """Pairs of nodes of different classes in one bucket, at least one of them outside the
-        bucket's largest class, whose signatures agree enough to be verified.
+        """Links between nodes of different classes in one bucket, at least one outside its largest class.
 
-        A bucket of n nodes with m outside its largest class costs m x n comparisons, in parts of
-        PART nodes; the others follow from their classes.
+        A bucket of n nodes with m outside its largest class costs m x n comparisons of signatures,
+        in parts of PART nodes; the other pairs follow from their classes.
         """
-        rows = self.buckets.select("bucket", "node", "k").join(self.labels, "node", "left").withColumn("label", F.coalesce("label", "node"))
-        counted = rows.groupBy("bucket", "label").agg(F.count(F.lit(1)).alias("c"))
-        mixed = counted.groupBy("bucket").agg(F.max(F.struct("c", "label")).alias("top"), F.count(F.lit(1)).alias("classes")).where(F.col("classes") > 1).select("bucket", F.col("top.label").alias("largest"))
-        rows = rows.join(mixed, "bucket").select("bucket", "node", "label", F.ceil(F.col("k") / PART).cast("int").alias("parts"), (F.col("label") != F.col("largest")).alias("beside"))
-        rows = stage(rows.join(self.nodes.select("node", "sig"), "node"), "mixed")
-        every = rows.withColumn("part", F.pmod(F.xxhash64("node"), F.col("parts")).cast("int"))
-        few = rows.where("beside").withColumn("part", F.explode(F.sequence(F.lit(0), F.col("parts") - 1)))
+        rows = self._mixed().join(self.nodes.select("node", "sig"), "node").select("bucket", "band", "node", "label", "beside", "sig", F.ceil(F.col("k") / PART).cast("int").alias("parts"))
+        rows = stage(rows, "mixed")
         once = ~F.col("y.beside") | (F.col("x.node") < F.col("y.node"))
-        close = F.when((F.col("x.label") != F.col("y.label")) & once, _agreeing("x.sig", "y.sig") >= MIN_AGREE).otherwise(False)
-        pairs = few.alias("x").join(every.alias("y"), (F.col("x.bucket") == F.col("y.bucket")) & (F.col("x.part") == F.col("y.part")) & close)
-        found = stage(pairs.select(F.least("x.node", "y.node").alias("a"), F.greatest("x.node", "y.node").alias("b")).distinct(), "close")
+        able = lambda test: F.when(F.col("x.label") != F.col("y.label"), test).otherwise(False)
+        met = (F.col("x.bucket") == F.col("y.bucket")) & (F.col("x.part") == F.col("y.part"))
+        close = met & able(_agreeing("x.sig", "y.sig") >= MIN_AGREE)
+        every = lambda r: r.withColumn("part", F.pmod(F.xxhash64("node"), F.col("parts")).cast("int"))
+        few = lambda r: r.where("beside").withColumn("part", F.explode(F.sequence(F.lit(0), F.col("parts") - 1)))
+        kept = ["bucket", "band", "node", "label", "beside", "sig", "parts", "part"]
+        x = few(rows).alias("x").join(every(rows).alias("y"), close, "left_semi").select(*kept).distinct()
+        y = every(rows).alias("x").join(few(rows).alias("y"), close, "left_semi").select(*kept)
+        x, y = stage(x, "few"), stage(y, "every")
         unstage(rows)
-        return found
-
-    def _join(self, close: DataFrame) -> None:
-        """Verify staged pairs, take the links up and renew the classes."""
-        if not close.isEmpty():
-            links = self._verified(close)
-            if not links.isEmpty():
-                if self.labels is not None:
-                    unstage(self.labels)
-                self.links = links if self.links is None else self.links.unionByName(links)
-                self.labels = components(self.links)
-        unstage(close)
+        if x.isEmpty():
+            links = None
+        else:
+            bag = self._bags(x.select("node").unionByName(y.select("node")).distinct())
+            # two nodes may share many buckets: the first band in which they agree compares them
+            same = lambda i: F.slice("x.sig", i * ROWS + 1, ROWS) == F.slice("y.sig", i * ROWS + 1, ROWS)
+            before = F.exists(F.slice(F.array(*map(F.lit, range(BANDS))), F.lit(1), F.col("x.band")), same)
+            test = F.when(once, F.when(~before, F.when(_agreeing("x.sig", "y.sig") >= MIN_AGREE, _similar("x.bag", "y.bag"))))
+            similar = met & able(F.coalesce(test, F.lit(False)))
+            pairs = x.join(bag, "node").alias("x").join(y.join(bag, "node").alias("y"), similar)
+            links = stage(pairs.select(F.least("x.node", "y.node").alias("a"), F.greatest("x.node", "y.node").alias("b")).distinct(), "links")
+            unstage(bag)
+        unstage(x)
+        unstage(y)
+        return links
+
+    def _take(self, links: DataFrame | None) -> bool:
+        """Take staged links up and renew the classes; whether there are any."""
+        if links is None or links.isEmpty():
+            return False
+        if self.labels is not None:
+            unstage(self.labels)
+        self.links = links if self.links is None else self.links.unionByName(links)
+        self.labels = components(self.links)
+        return True
 
     def _bags(self, wanted: DataFrame) -> DataFrame:
         """node, bag for the wanted nodes, from one text of each."""
@@ -237,12 +274,17 @@ class Finder:
         one = fetched.groupBy("th", F.hash("text"), F.length("text")).agg(F.min("text").alias("text"))
         return stage(bags(one).dropDuplicates(["node"]), "bags")
 
-    def _verified(self, pairs: DataFrame) -> DataFrame:
+    def _verified(self, pairs: DataFrame) -> DataFrame | None:
+        """Links among staged pairs, staged; None if there are no pairs."""
+        if pairs.isEmpty():
+            unstage(pairs)
+            return None
         ends = pairs.select(F.col("a").alias("node")).unionByName(pairs.select(F.col("b").alias("node"))).distinct()
         bag = self._bags(ends)
         both = pairs.join(bag.select(F.col("node").alias("a"), F.col("bag").alias("x")), "a").join(bag.select(F.col("node").alias("b"), F.col("bag").alias("y")), "b")
         links = stage(both.where(_similar("x", "y")).select("a", "b"), "links")
         unstage(bag)
+        unstage(pairs)
         return links
 
 
