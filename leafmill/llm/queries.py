@@ -19,6 +19,9 @@ MODULES = {
     "op8_bagminhash": "bagminhash",
     "op9_language": "language",
     "op10_quality": "quality",
+    "op11_conversations": "conversations",
+    "op12_topk": "topk",
+    "op13_fill_middle": "fill_middle",
 }
 
 
