@@ -6,7 +6,7 @@ from pyspark.sql import functions as F
 
 from leafmill.catalog import query
 from leafmill.functions import text as T
-from leafmill.operators import match, render, tables
+from leafmill.operators import match, render, similar, tables
 from leafmill.sources.tables import table
 
 # customers of a nation as a Markdown table on the nation's page
@@ -55,33 +55,31 @@ def number_coercion(spark, sf_dir):
     return table(spark, sf_dir, "part").select("p_partkey", raw.alias("raw")).select("p_partkey", "raw", T.number(F.col("raw")).alias("num"), T.number_kind(F.col("raw")).alias("kind"))
 
 
-@query("table_preview", """SELECT n_regionkey, '| x | key | name_size |' || chr(10) || '|---|---|---|' || chr(10) || string_agg('| ' || n_name || ' | ' || n_nationkey || ' | ' || (len(n_name) / 2) || ' |', chr(10) ORDER BY n_nationkey) AS markdown
- FROM (SELECT n_regionkey, n_name, n_nationkey, n_name AS nn FROM nation WHERE len(n_name) % 2 = 1) GROUP BY n_regionkey""")
+@query("table_preview", """SELECT n_regionkey, '| x | key | name_size |' || chr(10) || '|---|---|---|' || chr(10) || string_agg('| ' || n_name || ' | ' || n_nationkey || ' | ' || CASE WHEN len(n_name) % 2 = 0 THEN CAST(len(n_name) // 2 AS VARCHAR) ELSE CAST(len(n_name) / 2 AS VARCHAR) END || ' |', chr(10) ORDER BY n_nationkey) AS markdown
+ FROM nation GROUP BY n_regionkey""")
 def table_preview(spark, sf_dir):
-    n = table(spark, sf_dir, "nation").where(F.length("n_name") % 2 == 1)
+    n = table(spark, sf_dir, "nation")
     rows = n.select("n_regionkey", F.col("n_nationkey").alias("row"), F.col("n_name").alias("x"), F.col("n_nationkey").cast("double").alias("key"), (F.length("n_name") / 2).alias("name_size"))
     return tables.preview(rows, ["n_regionkey"], ["key", "name_size"])
 
 
 _WORDS = r"list_distinct(list_filter(regexp_split_to_array(lower(regexp_replace(text, '[^\p{L}\p{N}_\s]', ' ', 'g')), '\s+'), lambda w: len(w) > 2))"
-#: Pairs below this similarity are not looked for.
-AT_LEAST = 0.05
-_PAIRS = f"""SELECT item_id, doc_id, shared, score FROM (SELECT item_id, doc_id, count(*) AS shared, count(*) / (any_value(nl) + any_value(nr) - count(*)) AS score FROM
- (SELECT item_id, len(w) AS nl, unnest(w) AS w FROM (SELECT item_id, {_WORDS} AS w FROM benchmark)) JOIN (SELECT doc_id, len(w) AS nr, unnest(w) AS w FROM (SELECT doc_id, {_WORDS} AS w FROM documents)) USING (w) GROUP BY item_id, doc_id) WHERE score >= {AT_LEAST}"""
+_PAIRS = f"""SELECT item_id, doc_id, count(*) AS shared, count(*) / (any_value(nl) + any_value(nr) - count(*)) AS score FROM
+ (SELECT item_id, len(w) AS nl, unnest(w) AS w FROM (SELECT item_id, {_WORDS} AS w FROM benchmark)) JOIN (SELECT doc_id, len(w) AS nr, unnest(w) AS w FROM (SELECT doc_id, {_WORDS} AS w FROM documents)) USING (w) GROUP BY item_id, doc_id"""
 
 
-def _pairs(spark, sf_dir):
-    return match.keyword_pairs(table(spark, sf_dir, "benchmark"), table(spark, sf_dir, "documents"), "item_id", "doc_id", "text", "text", AT_LEAST)
+def _sides(spark, sf_dir):
+    return table(spark, sf_dir, "benchmark"), table(spark, sf_dir, "documents"), "item_id", "doc_id", "text", "text"
 
 
 @query("keyword_jaccard", _PAIRS)
 def keyword_jaccard(spark, sf_dir):
-    return _pairs(spark, sf_dir)
+    return similar.keyword_pairs(*_sides(spark, sf_dir))
 
 
 @query("best_match_topk", f"SELECT * FROM (SELECT *, CAST(row_number() OVER (PARTITION BY item_id ORDER BY score DESC, doc_id) AS INTEGER) AS place FROM ({_PAIRS})) WHERE place <= 3")
 def best_match_topk(spark, sf_dir):
-    return match.best(_pairs(spark, sf_dir), "item_id", "score", "doc_id", 3)
+    return similar.best_matches(*_sides(spark, sf_dir), 3)
 
 
 @query("string_similarity")

@@ -7,8 +7,11 @@ from pyspark.sql import functions as F
 from leafmill.catalog import query
 from leafmill.functions import text as T
 from leafmill.operators import context, quality
+from leafmill.operators.ranks import with_place
 from leafmill.sources.tables import table
 
+# a page without a text is an empty page
+_TEXTS = "(SELECT doc_id, source, coalesce(text, '') AS text FROM documents)"
 _STRIP = r"regexp_replace(text, '^\s+|\s+$', '', 'g')"
 # The patterns of page flags, as in operators.quality
 _FLAGS = rf"""SELECT doc_id, source, text, len({_STRIP}) AS char_count,
@@ -16,11 +19,11 @@ _FLAGS = rf"""SELECT doc_id, source, text, len({_STRIP}) AS char_count,
  regexp_matches(text, '\|.*\|.*\|') AND regexp_matches(text, '\|-+\|') AS has_table_strict,
  regexp_matches(text, '(?s)\$\$.+?\$\$') OR regexp_matches(text, '\$[^$]+\$') AS has_formula,
  regexp_matches(text, '!\[.*?\]\(.*?\)') OR regexp_matches(text, '(?i)<figure>') AS has_image,
- regexp_matches(text, '(?s)```.*?```') AS has_code FROM documents WHERE text IS NOT NULL"""
+ regexp_matches(text, '(?s)```.*?```') AS has_code FROM {_TEXTS}"""
 _ISSUES = rf"""SELECT doc_id, source, [x for x in [CASE WHEN len({_STRIP}) < 10 THEN 'blank' WHEN len({_STRIP}) < 50 THEN 'short' END,
  CASE WHEN len(text) > 0 AND len(text) - len(replace(text, chr(65533), '')) > len(text) * 0.05 THEN 'garbled' END,
  CASE WHEN EXISTS (SELECT 1 FROM (SELECT lead(i, 1, n + 1) OVER (ORDER BY i) - i AS run, ch FROM (SELECT i, c[i] AS ch, len(c) AS n FROM (SELECT c, unnest(generate_series(1, len(c))) AS i FROM (SELECT string_split(text, '') AS c)) WHERE i = 1 OR c[i] <> c[i - 1])) WHERE run >= 11 AND ch <> chr(10)) THEN 'repeated' END] if x IS NOT NULL] AS issues
- FROM documents WHERE text IS NOT NULL"""
+ FROM {_TEXTS}"""
 _PDF = f"""SELECT source AS pdf, count(*) AS total_pages, CAST(sum(char_count) AS BIGINT) AS char_count, count_if(char_count < 10) AS empty_pages, count_if(char_count >= 10 AND char_count < 100) AS short_pages,
  count_if(char_count >= 100 AND char_count < 500) AS medium_pages, count_if(char_count >= 500) AS long_pages, count_if(has_table) AS table_count, count_if(has_formula) AS formula_count,
  count_if(has_image) AS image_count, count_if(has_code) AS code_block_count FROM ({_FLAGS}) GROUP BY source"""
@@ -30,7 +33,7 @@ _QUALITY = f"""SELECT p.*, coalesce(i.issue_count, 0) AS issue_count, (medium_pa
 
 
 def _pages(spark, sf_dir):
-    return table(spark, sf_dir, "documents").where(F.col("text").isNotNull()).select("doc_id", "source", "text")
+    return table(spark, sf_dir, "documents").select("doc_id", "source", F.coalesce("text", F.lit("")).alias("text"))
 
 
 def _quality(spark, sf_dir):
@@ -66,10 +69,10 @@ def corpus_quality(spark, sf_dir):
     return quality.corpus_quality(_quality(spark, sf_dir))
 
 
-@query("quality_rating", f"SELECT pdf, quality_score, {_RATE.format(s='quality_score')} AS rating FROM ({_QUALITY}) ORDER BY quality_score DESC, pdf")
+@query("quality_rating", f"SELECT pdf, quality_score, {_RATE.format(s='quality_score')} AS rating, row_number() OVER (ORDER BY quality_score DESC, pdf) AS place FROM ({_QUALITY})")
 def quality_rating(spark, sf_dir):
     rows = _quality(spark, sf_dir).select("pdf", "quality_score", T.rating(F.col("quality_score")).alias("rating"))
-    return rows.orderBy(F.desc("quality_score"), "pdf")
+    return with_place(rows, F.desc("quality_score"), F.asc("pdf"))
 
 
 @query("corpus_compliance", f"SELECT pdfs, compliant, floor(compliant * 100.0::DOUBLE / greatest(succeeded, 1) * 10.0::DOUBLE + 0.5::DOUBLE) / 10.0::DOUBLE AS compliance_rate FROM (SELECT count(*) AS pdfs, count_if(total_pages > 0) AS succeeded, count_if(char_count % 3 = 0) AS compliant FROM ({_QUALITY}))")

@@ -38,7 +38,7 @@ def parse_failures(spark, sf_dir):
 
 
 _YES = "CASE WHEN {} THEN 'yes' ELSE 'no' END"
-_FIGURES = f"""SELECT p_partkey, i AS ordinal, number AS figure_number, number AS reference, CASE WHEN p_size % 3 = 0 THEN p_name ELSE 'Untitled' END AS chart_title, 'figure' AS image_type, 'N/A' AS chart_type, 'images/page_' || lpad(CAST(p_size AS VARCHAR), 3, '0') || '.png' AS image_path,
+_FIGURES = f"""SELECT p_partkey, i AS ordinal, number AS figure_number, number AS reference, CASE WHEN p_size % 3 = 0 THEN p_name ELSE 'Untitled' END AS chart_title, 'figure' AS image_type, 'unknown' AS chart_type, p_size AS page_number, 'images/page_' || lpad(CAST(p_size AS VARCHAR), 3, '0') || '.png' AS image_path,
  p_type AS description, substring(p_type, 1, 200) AS summary, '' AS key_insight, CASE WHEN p_size % 3 = 1 THEN p_brand || '|b' ELSE '' END AS key_elements, '' AS text_labels, CASE WHEN p_size % 5 = 2 THEN '{{"x_axis":"year"}}' ELSE '{parse.NO_AXES}' END AS axes,
  CASE WHEN p_size % 4 = 0 THEN '{{"x":"a","Total":1.5,"Brand":"' || p_brand || '"}}' WHEN p_size % 6 = 1 THEN '{{"series_name":"Main Data","data_points":[3,' || p_size || '],"trend":"N/A"}}' ELSE '' END AS data_series, p_size % 4 = 0 OR p_size % 6 = 1 AS has_quantitative_data,
  '{parse.NO_STATISTICS}' AS statistics, '{parse.NO_DESIGN}' AS visual_design, CASE p_size % 5 WHEN 0 THEN 'high' WHEN 1 THEN 'low' ELSE 'medium' END AS confidence, CASE p_size % 5 WHEN 0 THEN 0.95 WHEN 1 THEN 0.4 ELSE 0.7 END::DOUBLE AS confidence_score, CASE p_size % 5 WHEN 0 THEN 'yes' WHEN 1 THEN 'no' ELSE 'partial' END AS complete,

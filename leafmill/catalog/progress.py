@@ -84,9 +84,9 @@ def blocked_pages(spark, sf_dir):
     return rows.where(progress.blocked(F.col("error"))).select(F.col("user_id").alias("pdf"), F.col("event_id").alias("page_num"))
 
 
-@query("key_health", "SELECT key, calls, successes, failures, success_rate, calls = successes + failures AS balanced FROM (SELECT key, count(*) AS calls, count_if(ok) AS successes, count_if(NOT ok) AS failures, count(CASE WHEN ok THEN 1 END) / greatest(count(*), 1) AS success_rate FROM (" + _CALLS + ") GROUP BY key)")
+@query("key_health", "SELECT key, calls, successes, failures, success_rate, coalesce(floor(1000.0::DOUBLE * latency / greatest(successes, 1) + 0.5::DOUBLE) / 1000.0::DOUBLE, 0) AS avg_latency, calls = successes + failures AS balanced FROM (SELECT key, count(*) AS calls, count_if(ok) AS successes, count_if(NOT ok) AS failures, sum(CASE WHEN ok THEN latency END) AS latency, count(CASE WHEN ok THEN 1 END) / greatest(count(*), 1) AS success_rate FROM (" + _CALLS + ") GROUP BY key)")
 def key_health(spark, sf_dir):
-    return progress.key_health(_calls(spark, sf_dir)).select("key", "calls", "successes", "failures", "success_rate", (F.col("calls") == F.col("successes") + F.col("failures")).alias("balanced"))
+    return progress.key_health(_calls(spark, sf_dir)).select("key", "calls", "successes", "failures", "success_rate", T.rounded(F.col("avg_latency"), 3).alias("avg_latency"), (F.col("calls") == F.col("successes") + F.col("failures")).alias("balanced"))
 
 
 _CONSECUTIVE = f"SELECT key, call, ok, CAST(sum(CASE WHEN ok THEN 0 ELSE 1 END) OVER (PARTITION BY key, run ORDER BY ts, call) AS BIGINT) AS consecutive FROM (SELECT *, sum(CASE WHEN ok THEN 1 ELSE 0 END) OVER (PARTITION BY key ORDER BY ts, call) AS run FROM ({_CALLS}))"
@@ -229,9 +229,9 @@ def recovery_stats(spark, sf_dir):
     return recover.recovery_statistics(_recovered(spark, sf_dir))
 
 
-@query("recovery_errors", f"SELECT error, count(*) AS failures, string_agg(CASE WHEN place <= 10 THEN pdf || ' page ' || page_num END, ', ' ORDER BY place) AS pages FROM (SELECT *, row_number() OVER (PARTITION BY error ORDER BY pdf, page_num) AS place FROM ({_RECOVERED}) WHERE attempt = 1 AND NOT success) GROUP BY error")
+@query("recovery_errors", f"SELECT error, count(*) AS failures, string_agg(CASE WHEN place <= 10 THEN pdf || ' page ' || page_num END, ', ' ORDER BY place) AS pages FROM (SELECT *, row_number() OVER (PARTITION BY error ORDER BY pdf, page_num, attempt) AS place FROM ({_RECOVERED}) WHERE NOT success) GROUP BY error")
 def recovery_errors(spark, sf_dir):
-    return recover.recovery_errors(_recovered(spark, sf_dir).where("attempt = 1"))
+    return recover.recovery_errors(_recovered(spark, sf_dir), ["pdf", "page_num", "attempt"])
 
 
 @query("content_blocked", f"SELECT pdf, page_num FROM ({_STATES}) WHERE status = 'failed' AND contains(error, 'DataInspectionFailed') AND contains(error, 'inappropriate') ORDER BY pdf, page_num LIMIT 50")

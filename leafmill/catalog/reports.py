@@ -186,9 +186,9 @@ def task_quality(spark, sf_dir):
     return reports.task_quality(_runs(spark, sf_dir), _pages(spark, sf_dir)).withColumn("failed_pages", F.col("failed_pages").cast("long"))
 
 
-@query("shown_documents", f"SELECT CAST(place AS INTEGER) AS place, line FROM (SELECT row_number() OVER (ORDER BY pdf) AS place, pdf AS line FROM ({page_queries._PDF}) WHERE char_count % 2 = 0) WHERE place <= 3 UNION ALL SELECT 4, '... and ' || (count(*) - 3) || ' more' FROM ({page_queries._PDF}) WHERE char_count % 2 = 0 HAVING count(*) > 3")
+@query("shown_documents", f"SELECT CAST(place AS INTEGER) AS place, line FROM (SELECT row_number() OVER (ORDER BY pdf) AS place, pdf AS line FROM ({page_queries._PDF})) WHERE place <= 3 UNION ALL SELECT 4, '... and ' || (count(*) - 3) || ' more' FROM ({page_queries._PDF}) HAVING count(*) > 3")
 def shown_documents(spark, sf_dir):
-    return reports.shown_rows(page_queries.pdf_quality(spark, sf_dir).where("char_count % 2 = 0"), [F.col("pdf")], F.col("pdf"), 3)
+    return reports.shown_rows(page_queries.pdf_quality(spark, sf_dir), [F.col("pdf")], F.col("pdf"), 3)
 
 
 _YAML = "CASE c_custkey % 4 WHEN 0 THEN 'a: ' || c_custkey WHEN 1 THEN 'a: [1, ' || c_custkey WHEN 2 THEN '# ' || c_name || ' only a comment' ELSE '' END"

@@ -131,7 +131,7 @@ def masked_key(key: Column) -> Column:
 
 def keywords(text: Column) -> Column:
     """Distinct lower-case words of more than two characters."""
-    words = F.split(F.lower(F.regexp_replace(text, r"[^\p{L}\p{N}_\s]", " ")), r"\s+")
+    words = F.transform(F.split(text, r"[^\p{L}\p{N}_]+"), F.lower)
     return F.array_distinct(F.filter(words, lambda w: F.length(w) > 2))
 
 

@@ -12,51 +12,13 @@ from pyspark.sql.types import DoubleType
 
 from leafmill.functions import text as T
 
+
 @pandas_udf(DoubleType())
 def similarity(a: pd.Series, b: pd.Series) -> pd.Series:
     """Ratcliff-Obershelp ratio of lower-cased strings; not symmetric."""
     return pd.Series([SequenceMatcher(None, (x or "").lower(), (y or "").lower()).ratio() for x, y in zip(a, b)], dtype=float)
 
 
-def _keywords(frame: DataFrame, key: str, text: str, name: str) -> DataFrame:
-    return frame.select(F.col(key).alias(name), T.keywords(F.col(text)).alias("w"))
-
-
-def keyword_pairs(left: DataFrame, right: DataFrame, left_id: str, right_id: str, left_text: str, right_text: str, at_least: float) -> DataFrame:
-    """Pairs whose keyword sets have a Jaccard similarity of ``at_least`` (above 0), with the shared words and the score.
-
-    Exact prefix filter: with words in order of how rare they are, sets that similar share a word among
-    the first ``n - ceil(at_least * n) + 1`` of each, so only these are joined; the join is on the
-    word and drops pairs whose sizes differ too much.  Candidates are then compared as whole sets.
-    """
-    if not 0 < at_least <= 1:
-        raise ValueError("a pair needs a similarity above 0")
-    sides = _keywords(left, left_id, left_text, "l"), _keywords(right, right_id, right_text, "r")
-    rare = sides[0].select("w").unionByName(sides[1].select("w")).select(F.explode("w").alias("word")).groupBy("word").agg(F.count(F.lit(1)).alias("c"))
-
-    def heads(side: DataFrame, name: str) -> DataFrame:
-        rows = side.where(F.size("w") > 0).select(name, F.size("w").alias("n"), F.explode("w").alias("word")).join(rare, "word")
-        listed = rows.groupBy(name, "n").agg(F.array_sort(F.collect_list(F.struct("c", "word"))).alias("s"))
-        kept = F.col("n") - F.ceil(F.col("n") * at_least - 1e-9).cast("int") + 1
-        return listed.select(name, F.col("n").alias(f"n{name}"), F.explode(F.slice("s", F.lit(1), kept)).alias("h")).select(name, f"n{name}", F.col("h.word").alias("word"))
-
-    near = (F.col("nr") >= F.col("nl") * (at_least - 1e-9)) & (F.col("nl") >= F.col("nr") * (at_least - 1e-9))
-    pairs = heads(sides[0], "l").join(heads(sides[1], "r"), "word").where(near).select("l", "r").distinct()
-    both = pairs.join(sides[0].withColumnRenamed("w", "wl"), "l").join(sides[1].withColumnRenamed("w", "wr"), "r")
-    shared = F.size(F.array_intersect("wl", "wr"))
-    scored = both.select(F.col("l").alias(left_id), F.col("r").alias(right_id), shared.cast("long").alias("shared"), (shared / (F.size("wl") + F.size("wr") - shared)).alias("score"))
-    return scored.where(F.col("score") >= at_least)
-
-
-def best(pairs: DataFrame, key: str, score: str, order: str, k: int = 1) -> DataFrame:
-    """The k best rows of each key; of equal scores the first in ``order``.
-
-    The list of a key never holds more than the partial results of k rows from each task.
-    """
-    place = F.row_number().over(Window.partitionBy(key).orderBy(F.desc(score), order))
-    return pairs.withColumn("place", place).where(F.col("place") <= k)
-
-
 def table_scores(charts: DataFrame, tables: DataFrame) -> DataFrame:
     """Pairs of charts (chart, page_num, title, elements, figure_number) and tables (table, page_num,
     table_title, headers) on pages at most one apart, with a score."""

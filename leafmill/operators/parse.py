@@ -27,6 +27,8 @@ NO_AXES = '{"x_axis":{"label":"N/A","unit":"N/A","range":"N/A"},"y_axis":{"label
 NO_STATISTICS = '{"sample_size":"N/A","statistical_tests":[],"confidence_intervals":[],"p_values":[],"notes":"No statistical data extracted"}'
 NO_DESIGN = '{"color_scheme":[],"legend_present":false,"grid_lines":"N/A","annotations":[]}'
 SUMMARY, FALLBACK = 200, 500
+# Fixed value: the kind of a chart that has none.
+UNKNOWN = "unknown"
 
 _escape = re.compile(r'\\(?:(["\\/])|([bfnrt])(?![A-Za-z])|(u[0-9a-fA-F]{4})|\Z)|\\')
 _fence = re.compile(r"```json\s*(.*?)\s*```", re.S)
@@ -93,7 +95,7 @@ def figure_metadata(frame: DataFrame, keys: list[str], page: str | None = None)
     has_points = F.size(points) > 0
     quantitative = F.coalesce(f("has_quantitative_data"), F.lit(False)) | F.coalesce(f("has_data"), F.lit(False)) | (F.size(series) > 0) | has_points
     label = F.coalesce(f("figure_number"), F.concat(F.lit("Figure "), ordinal.cast("string")))
-    description = F.coalesce(f("content_description"), f("description"), f("visual_description"), F.lit(T.MISSING))
+    description = F.coalesce(f("content_description"), f("description"), f("visual_description"), F.lit(""))
     summary = F.coalesce(F.nullif(f("content_description"), F.lit("")), F.nullif(f("description"), F.lit("")), f("visual_description"), F.lit(""))
     return rows.select(
         *keys,
@@ -103,7 +105,8 @@ def figure_metadata(frame: DataFrame, keys: list[str], page: str | None = None)
         label.alias("reference"),
         F.coalesce(f("chart_title"), f("caption"), F.lit("Untitled")).alias("chart_title"),
         F.coalesce(f("image_type"), F.lit("figure")).alias("image_type"),
-        F.coalesce(f("chart_type"), F.lit(T.MISSING)).alias("chart_type"),
+        F.coalesce(f("chart_type"), F.lit(UNKNOWN)).alias("chart_type"),
+        F.col("_page").alias("page_number"),
         T.page_image(F.col("_page")).alias("image_path"),
         # what it shows
         description.alias("description"),

@@ -6,6 +6,8 @@ import pandas as pd
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from leafmill.operators.ranks import with_place
+
 # Errors and statuses of calls that are worth repeating.
 RETRYABLE_ERRORS = ["SSLError", "ConnectionError", "TimeoutError", "NameResolutionError", "UNEXPECTED_EOF"]
 RETRYABLE_STATUS = [429, 500, 502, 503, 504]
@@ -67,13 +69,8 @@ def consecutive_failures(calls: DataFrame) -> DataFrame:
 
 
 def key_ranks(health: DataFrame) -> DataFrame:
-    """Keys with their place by success rate, then fewest consecutive failures, then name.
-
-    The key table is as large as the list of keys: it is gathered in one row map-side and
-    unfolded in order.
-    """
-    order = F.array_sort(F.collect_list(F.struct((-F.col("success_rate")).alias("r"), "consecutive", "key")))
-    return health.agg(order.alias("o")).select(F.posexplode("o").alias("i", "k")).select("k.key", (F.col("i") + 1).cast("long").alias("place"))
+    """Keys with their place by success rate, then fewest consecutive failures, then name."""
+    return with_place(health.select("key", "success_rate", "consecutive"), F.desc("success_rate"), F.asc("consecutive"), F.asc("key")).select("key", "place")
 
 
 def chosen_key(health: DataFrame, now: Column) -> DataFrame:

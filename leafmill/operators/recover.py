@@ -2,9 +2,11 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from leafmill.operators.ranks import k_least
+
 #: Pages named for each error.
 MOST_PAGES = 10
 
@@ -43,12 +45,19 @@ def failed_details(failed: DataFrame, recovered: DataFrame) -> DataFrame:
     return failed.join(recovered.where("success").select("pdf", "page_num").distinct(), ["pdf", "page_num"], "left_anti")
 
 
-def recovery_errors(recovered: DataFrame) -> DataFrame:
-    """Pages of failed recoveries by error, as ``pdf page n``, the first MOST_PAGES in order of each."""
-    rows = recovered.where(~F.col("success")).withColumn("place", F.row_number().over(Window.partitionBy("error").orderBy("pdf", "page_num")))
+def recovery_errors(recovered: DataFrame, order: list[str] | None = None) -> DataFrame:
+    """Failed recoveries by error: how many, and the first MOST_PAGES in ``order`` as ``pdf page n``.
+
+    Counts are combined map-side, and so are the first pages (``k_least``): however many failures
+    an error has, no task reads them all.
+    """
+    failed = recovered.where(~F.col("success"))
     name = F.concat(F.col("pdf").cast("string"), F.lit(" page "), F.col("page_num").cast("string"))
-    named = F.transform(F.array_sort(F.collect_list(F.when(F.col("place") <= MOST_PAGES, F.struct("place", name.alias("n"))))), lambda x: x["n"])
-    return rows.groupBy("error").agg(F.count(F.lit(1)).alias("failures"), F.array_join(named, ", ").alias("pages"))
+    first = k_least(failed, ["error"], order or ["pdf", "page_num"], MOST_PAGES)
+    named = F.transform(F.array_sort(F.collect_list(F.struct("place", name.alias("n")))), lambda x: x["n"])
+    counted = failed.groupBy("error").agg(F.count(F.lit(1)).alias("failures"))
+    listed = first.groupBy(F.col("error").alias("e")).agg(F.array_join(named, ", ").alias("pages"))
+    return counted.join(listed, F.col("error").eqNullSafe(F.col("e"))).select("error", "failures", "pages")
 
 
 def recovery_statistics(recovered: DataFrame) -> DataFrame:

@@ -147,9 +147,9 @@ def delivery_checks(documents: DataFrame) -> DataFrame:
 
 def metadata_checks(files: DataFrame) -> DataFrame:
     """Issues and warnings of metadata files (name, text): YAML that can't be read, or that holds nothing."""
-    from leafmill.sources.files import yaml_error, yaml_to_json
+    from leafmill.sources.files import yaml_read
 
-    rows = files.where(~F.col("name").startswith("VALIDATION_REPORT")).withColumns({"error": yaml_error("text"), "json": yaml_to_json("text")})
+    rows = files.where(~F.col("name").startswith("VALIDATION_REPORT")).withColumn("read", yaml_read("text")).withColumns({"error": F.col("read.error"), "json": F.col("read.json")})
     empty = F.col("error").isNull() & F.coalesce(F.col("json") == "null", F.col("json").isNull()) & (F.octet_length("text") > 10)
     found = F.when(F.col("error").isNotNull(), F.struct(F.lit("issue").alias("severity"), F.concat(F.lit("unreadable: "), "error").alias("message"))).when(empty, F.struct(F.lit("warning").alias("severity"), F.lit("nothing in it").alias("message")))
     return rows.withColumn("x", found).where("x IS NOT NULL").select(F.col("name").alias("pdf"), "x.severity", F.lit("yaml").alias("check"), "x.message")

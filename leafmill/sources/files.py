@@ -11,7 +11,7 @@ import pandas as pd
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 from pyspark.sql.functions import pandas_udf
-from pyspark.sql.types import IntegerType, StringType
+from pyspark.sql.types import IntegerType, StringType, StructField, StructType
 
 from leafmill.functions import text as T
 
@@ -69,18 +69,18 @@ def _loaded(text: str | None) -> tuple[str | None, str | None]:
         return None, f"{type(e).__name__}: {e}"
 
 
+@pandas_udf(StructType([StructField("json", StringType()), StructField("error", StringType())]))
+def yaml_read(text: pd.Series) -> pd.DataFrame:
+    """YAML as JSON, and why it can't be read, in one reading."""
+    return pd.DataFrame(text.map(_loaded).tolist(), columns=["json", "error"])
+
+
 @pandas_udf(StringType())
 def yaml_to_json(text: pd.Series) -> pd.Series:
     """YAML as JSON; null where it can't be read."""
     return text.map(lambda t: _loaded(t)[0])
 
 
-@pandas_udf(StringType())
-def yaml_error(text: pd.Series) -> pd.Series:
-    """Why YAML can't be read; null where it can."""
-    return text.map(lambda t: _loaded(t)[1])
-
-
 @pandas_udf(StringType())
 def json_to_yaml(text: pd.Series) -> pd.Series:
     """JSON as YAML, keys in their order."""
@@ -124,7 +124,8 @@ def json_state(spark: SparkSession, path: str, schema: str) -> DataFrame:
 
     try:
         rows = spark.read.schema(f"{schema}, _corrupt string").option("multiLine", True).option("columnNameOfCorruptRecord", "_corrupt").json(path)
-        return rows.cache().where("_corrupt IS NULL").drop("_corrupt")
+        # all columns are read beside the corrupt one, which Spark asks for
+        return rows.select(F.struct(*[F.col(c) for c in rows.columns]).alias("r")).where("r._corrupt IS NULL").select("r.*").drop("_corrupt")
     except AnalysisException:
         return spark.createDataFrame([], schema)
 

@@ -76,11 +76,11 @@ def _answered(rows: list, call: Callable, threads: int, retries: int) -> list[tu
         return list(pool.map(one, rows))
 
 
-def ask(pages: DataFrame, model: PageModel, concurrency: int = 6, documents: int = 1, retries: int = 2) -> DataFrame:
+def ask(pages: DataFrame, model: PageModel, concurrency: int = 6, documents: int | None = None, retries: int = 2) -> DataFrame:
     """pdf, page_num, raw, status, error for pages (pdf, page_num, text).
 
-    ``documents`` tasks at a time, each with the pages of whole documents if there is more than
-    one, and ``concurrency`` calls at a time in each.
+    The tasks are the input's partitions, or ``documents`` ones; pages are dealt one by one, so
+    that a document of any length is shared.  ``concurrency`` calls run at a time in each task.
     """
 
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
@@ -89,7 +89,8 @@ def ask(pages: DataFrame, model: PageModel, concurrency: int = 6, documents: int
             yield pd.DataFrame({"pdf": batch["pdf"], "page_num": batch["page_num"], "raw": [a for a, _ in got], "status": ["failed" if a is None else "ok" for a, _ in got], "error": [e for _, e in got]})
 
     kind = {f.name: f.dataType.simpleString() for f in pages.schema}
-    dealt = pages.select("pdf", "page_num", "text").repartition(documents, "pdf") if documents > 1 else pages.select("pdf", "page_num", "text").repartition(1)
+    rows = pages.select("pdf", "page_num", "text")
+    dealt = rows.repartition(documents, "pdf", "page_num") if documents else rows
     return dealt.mapInPandas(run, f"pdf {kind['pdf']}, page_num {kind['page_num']}, raw string, status string, error string")
 
 
@@ -105,7 +106,7 @@ def read_images(images: DataFrame, reader: ImageReader, retries: int = 2) -> Dat
     return images.select("pdf", "page_num", "image").mapInPandas(run, f"pdf {kind['pdf']}, page_num {kind['page_num']}, text string")
 
 
-def recover(blocked: DataFrame, model: PageModel, concurrency: int = 10) -> DataFrame:
+def recover(blocked: DataFrame, model: PageModel, concurrency: int = 10, documents: int | None = None) -> DataFrame:
     """pdf, page_num, success, section, error for blocked pages asked of a second model, once each, ``concurrency`` at a time."""
-    asked = ask(blocked, model, concurrency, retries=0)
+    asked = ask(blocked, model, concurrency, documents, retries=0)
     return asked.select("pdf", "page_num", (F.col("status") == "ok").alias("success"), F.col("raw").alias("section"), "error")

@@ -5,5 +5,11 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 
 
+def spread(rows: DataFrame) -> DataFrame:
+    """``rows`` over all cores where their files split into fewer partitions than that; else as they are."""
+    cores = rows.sparkSession.sparkContext.defaultParallelism
+    return rows.repartition(cores) if rows.rdd.getNumPartitions() < cores else rows
+
+
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")

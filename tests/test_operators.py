@@ -1,7 +1,7 @@
 import pytest
 from pyspark.sql import functions as F
 
-from leafmill.operators import clean, context, match, merge, parse, quality, recover, render, reports, tables
+from leafmill.operators import clean, context, match, merge, parse, quality, ranks, recover, render, reports, similar, tables
 from leafmill.plans import chunks
 from leafmill.sources import files, providers
 from leafmill.streaming import state
@@ -194,11 +194,47 @@ def test_keyword_pairs_by_brute_force(spark):
     left, right = [(i, text()) for i in range(25)], [(i, text()) for i in range(40)] + [(99, None)]
     words = lambda t: {w for w in re.sub(r"[^\w\s]", " ", t or "").lower().split() if len(w) > 2}
     frames = spark.createDataFrame(left, "l_id int, t string"), spark.createDataFrame(right, "r_id int, t string")
-    for limit in (0.1, 0.5, 1.0):
-        want = {(i, j, len(words(a) & words(b))) for i, a in left for j, b in right if words(a) and words(b) and len(words(a) & words(b)) / len(words(a) | words(b)) >= limit}
-        assert {(x.l_id, x.r_id, x.shared) for x in match.keyword_pairs(*frames, "l_id", "r_id", "t", "t", limit).collect()} == want
-    with pytest.raises(ValueError):
-        match.keyword_pairs(*frames, "l_id", "r_id", "t", "t", 0.0)
+    want = {(i, j, len(words(a) & words(b)), len(words(a) & words(b)) / len(words(a) | words(b))) for i, a in left for j, b in right if words(a) & words(b)}
+    assert set(map(tuple, similar.keyword_pairs(*frames, "l_id", "r_id", "t", "t").collect())) == want
+    for k in (1, 3, 1000):
+        best = {(*x, n) for i, _ in left for n, x in enumerate(sorted((x for x in want if x[0] == i), key=lambda x: (-x[3], x[1]))[:k], 1)}
+        assert set(map(tuple, similar.best_matches(*frames, "l_id", "r_id", "t", "t", k).collect())) == best
+
+
+def test_best_matches_drop_what_cannot_win(spark, monkeypatch):
+    """Long right rows that share only the common words are never compared as whole sets."""
+    import random
+
+    whole = similar.whole_sets
+    r = random.Random(8)
+    left = [(i, " ".join([f"rare{i}x{j}" for j in range(20)] + ["common", "usual"])) for i in range(20)]
+    right = [(1000 + i, " ".join([f"rare{i % 20}x{j}" for j in r.sample(range(20), 12)] + ["common"])) for i in range(80)]
+    right += [(i, " ".join(["common", "usual"] + [f"other{r.randrange(10**6)}" for _ in range(30)])) for i in range(600)] + [(5000, "common")]
+    frames = spark.createDataFrame(left, "l_id int, t string"), spark.createDataFrame(right, "r_id int, t string")
+    sets = lambda rows: {i: set(t.split()) for i, t in rows}
+    ls, rs = sets(left), sets(right)
+    want = {(i, *x) for i in ls for x in sorted(((j, len(ls[i] & rs[j]) / len(ls[i] | rs[j])) for j in rs if ls[i] & rs[j]), key=lambda x: (-x[1], x[0]))[:3]}
+    compared = []
+    monkeypatch.setattr(similar, "whole_sets", lambda pairs, *sets: compared.append(pairs.count()) or whole(pairs, *sets))
+    got = similar.best_matches(*frames, "l_id", "r_id", "t", "t", 3)
+    assert {(x.l_id, x.r_id, x.score) for x in got.collect()} == want
+    assert len(compared) == 2 and compared[1] <= 20 * 5  # of 20 * 681 pairs
+
+
+def test_places(spark):
+    rows = spark.createDataFrame([(i * 7919 % 1000, i % 3) for i in range(1000)], "v int, g int")
+    got = ranks.with_place(rows, F.desc("v")).collect()
+    assert sorted((r.v, r.place) for r in got) == [(v, 1000 - v) for v in range(1000)]
+    assert ranks.with_place(rows.where("v < 0"), F.asc("v")).count() == 0
+
+
+def test_k_least_of_a_hot_key(spark):
+    rows = spark.range(0, 60_000, 1, 8).select((F.col("id") % 100 == 0).alias("rare"), (F.col("id") * 7919 % 60_000).alias("v")).unionByName(spark.createDataFrame([(None, 5), (None, 4)], "rare boolean, v long"))
+    least = ranks.k_least(rows, ["rare"], ["v"], 3)
+    want = {(k, p, v) for k, vs in ((True, sorted(i * 100 * 7919 % 60_000 for i in range(600))), (False, sorted(i * 7919 % 60_000 for i in range(60_000) if i % 100)), (None, [4, 5])) for p, v in enumerate(vs[:3], 1)}
+    assert {(r.rare, r.place, r.v) for r in least.collect()} == want
+    plan = least._jdf.queryExecution().executedPlan().toString()
+    assert plan.split("Initial Plan")[0].count("WindowGroupLimit") == 4  # before and after each shuffle
 
 
 def test_writers(spark, tmp_path):
