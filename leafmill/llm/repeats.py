@@ -220,7 +220,8 @@ def repeated_spans(docs: DataFrame) -> DataFrame:
     joined = stage(whole.unionByName(spans), "spans")
     for read in (rows, dictionary, written):
         unstage(read)
-    return joined.groupBy("did", "th").agg(F.collect_list(F.struct("start", "stop", "step", "copies")).alias("spans"))
+    # equal rows have equal spans: a set, combined map-side, holds those of one text however many copies there are
+    return joined.groupBy("did", "th").agg(F.collect_set(F.struct("start", "stop", "step", "copies")).alias("spans"))
 
 
 def merged(spans: list[dict], size: int) -> list[tuple[int, int]]:

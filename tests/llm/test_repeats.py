@@ -85,3 +85,14 @@ def test_columns_stay(docs):
 
 def test_no_documents(none):
     assert repeats.without_repeats(none).count() == 0
+
+
+def test_many_equal_rows(spark):
+    """Null and repeated ids with one text: the spans of the text are kept once, whatever the number of copies."""
+    import random
+
+    r = random.Random(3)
+    text = " ".join(r.choice(["river", "stone", "market", "winter"]) + str(r.randrange(10**6)) for _ in range(900))
+    docs = spark.createDataFrame([(None, text)] * 1000 + [(7, text)] * 1000 + [(8, "own " + text[:500])], "doc_id long, text string").repartition(8)
+    got = {(r.doc_id, r.n_bytes, r.n_removed, r.n_spans): r["count"] for r in repeats.without_repeats(docs).groupBy("doc_id", "n_bytes", "n_removed", "n_spans").count().collect()}
+    assert got == {(None, len(text), len(text), 1): 1000, (7, len(text), len(text), 1): 1000, (8, 504, 500, 1): 1}
