@@ -17,7 +17,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from leafmill.llm.common import prepare, table, text_bytes, text_chunks, wrapped
+from leafmill.llm.common import prepare, stage, table, text_bytes, text_chunks, wrapped
 from leafmill.llm.hashing import mix
 
 BITS = 15
@@ -25,8 +25,12 @@ BUCKETS = 1 << BITS
 SIZES = (1, 2, 3, 4)
 #: The classifier is fitted on at most about this many labelled documents (by a hash of doc_id).
 TRAIN_DOCS = 20_000
-#: The matrix has one column for each language; more distinct labels than this are an error.
-MAX_LANGUAGES = 500
+#: Languages of one broadcast matrix (33 MB); with more labels there are several, read one after the other.
+BLOCK = 256
+#: Languages that a task counts at once.
+HELD = 64
+#: Characters whose features and log-probabilities are held at once, times the languages of a block.
+SLICE = 1 << 22
 UNKNOWN = "und"
 _letter = re.compile(r"[^\W\d_]")
 _fold = np.full(128, 32, np.uint32)
@@ -67,8 +71,8 @@ def fit(docs: DataFrame, train_docs: int = TRAIN_DOCS) -> dict:
     All of them up to ``train_docs``; beyond that about ``train_docs`` of them, drawn by a 64-bit
     hash of doc_id (rows that share a doc_id are drawn together).  A null text teaches the prior only.
 
-    Each task counts n-grams by language in one array; Spark adds the arrays' entries up, so the
-    driver receives at most languages x buckets counts, however large the corpus is.
+    Each task counts n-grams by language in one array; Spark adds the arrays' entries up.  The
+    driver makes the matrix BLOCK languages at a time, however many labels the drawn documents have.
     """
     spark = prepare(docs.sparkSession)
     labelled = docs.where(F.col("lang").isNotNull() & F.col("doc_id").isNotNull() & ~held_out())
@@ -79,46 +83,70 @@ def fit(docs: DataFrame, train_docs: int = TRAIN_DOCS) -> dict:
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         counts: dict[str, np.ndarray] = {}
         documents: dict[str, int] = {}
+
+        def counted() -> Iterator[pa.RecordBatch]:
+            for lang, own in counts.items():
+                at = np.flatnonzero(own)
+                at, n = np.append(at, -1), np.append(own[at], documents[lang])
+                yield pa.RecordBatch.from_arrays([pa.array([lang] * len(at)), pa.array(at, pa.int32()), pa.array(n, pa.int64())], ["lang", "bucket", "n"])
+            counts.clear()
+            documents.clear()
+
         for chunk in text_chunks(batches):
             points, offsets = characters(*text_bytes(chunk.column("text")))
             grams = features(points, offsets)
             for row, lang in enumerate(chunk.column("lang").to_pylist()):
+                if len(counts) >= HELD and lang not in counts:
+                    yield from counted()
                 own = counts.setdefault(lang, np.zeros(BUCKETS, np.int64))
                 own += np.bincount(grams[offsets[row] : offsets[row + 1]].ravel(), minlength=BUCKETS)
                 documents[lang] = documents.get(lang, 0) + 1
-        for lang, own in counts.items():
-            at = np.flatnonzero(own)
-            at, n = np.append(at, -1), np.append(own[at], documents[lang])
-            yield pa.RecordBatch.from_arrays([pa.array([lang] * len(at)), pa.array(at, pa.int32()), pa.array(n, pa.int64())], ["lang", "bucket", "n"])
-
-    distinct = drawn.select("lang").distinct().limit(MAX_LANGUAGES + 1).count()
-    if distinct > MAX_LANGUAGES:
-        raise ValueError(f"more than {MAX_LANGUAGES} distinct labels: is lang a language?")
+        yield from counted()
+
     parts = drawn.select("lang", "text").repartition(16).mapInArrow(run, "lang string, bucket int, n long")
-    found = parts.groupBy("lang", "bucket").agg(F.sum("n").alias("n")).toPandas()
-    langs = sorted(found["lang"].unique().tolist())
-    counts, prior = np.zeros((BUCKETS, len(langs))), np.zeros(len(langs))
-    column = found["lang"].map({x: i for i, x in enumerate(langs)}).to_numpy()
-    bucket, n = found["bucket"].to_numpy(), found["n"].to_numpy()
-    gram = bucket >= 0
-    counts[bucket[gram], column[gram].astype(int) if len(column) else []] = n[gram]
-    prior[column[~gram].astype(int) if len(column) else []] = n[~gram]
-    table_ = np.log((counts + 0.1) / (counts.sum(0) + 0.1 * BUCKETS)) if langs else np.zeros((BUCKETS, 0))
-    return {"langs": langs, "documents": int(prior.sum()), "prior": np.log((prior + 1) / (prior.sum() + len(langs))) if langs else prior, "table": table_.astype(np.float32)}
-
-
-def score(raw: np.ndarray, offsets: np.ndarray, fitted: dict) -> np.ndarray:
-    """Posterior of each language for each document."""
+    found = stage(parts.groupBy("lang", "bucket").agg(F.sum("n").alias("n")), "language-counts")
+    known = sorted((r.lang, r.n) for r in found.where("bucket = -1").collect())  # a row for each label of the drawn documents
+    langs, documents = [x for x, _ in known], np.array([n for _, n in known], float)
+    prior = np.log((documents + 1) / (documents.sum() + len(langs))) if langs else documents
+
+    def matrix(own: list[str]) -> np.ndarray:
+        counts = np.zeros((BUCKETS, len(own)))
+        rows = found.where((F.col("bucket") >= 0) & F.col("lang").between(own[0], own[-1])).toPandas()
+        counts[rows["bucket"].to_numpy(), np.searchsorted(np.array(own, object), rows["lang"].to_numpy(object))] = rows["n"].to_numpy()
+        return np.log((counts + 0.1) / (counts.sum(0) + 0.1 * BUCKETS)).astype(np.float32)
+
+    tables = [spark.sparkContext.broadcast(matrix(langs[i : i + BLOCK])) for i in range(0, len(langs), BLOCK)]
+    return {"langs": langs, "documents": int(documents.sum()), "prior": prior, "tables": tables}
+
+
+def totals(grams: np.ndarray, offsets: np.ndarray, table: np.ndarray) -> np.ndarray:
+    """Sum of the log-probabilities of each document's n-grams, by language; gathered in slices of SLICE entries."""
+    out = np.zeros((len(offsets) - 1, table.shape[1]))
+    step = max(SLICE // max(table.shape[1], 1), 1)
+    for begin in range(0, len(grams), step):
+        end = min(begin + step, len(grams))
+        first = int(np.searchsorted(offsets, begin, "right")) - 1
+        last = int(np.searchsorted(offsets, end, "left"))
+        edges = np.clip(offsets[first : last + 1], begin, end) - begin
+        full = np.flatnonzero(np.diff(edges) > 0)
+        for k in range(grams.shape[1]):
+            out[first + full] += np.add.reduceat(table[grams[begin:end, k]], edges[full], axis=0, dtype=np.float64)
+    return out
+
+
+def score(raw: np.ndarray, offsets: np.ndarray, prior: np.ndarray, tables) -> tuple[np.ndarray, np.ndarray]:
+    """(number of the likeliest language, its posterior) of each document; ``tables`` gives the matrix blocks in order."""
     points, offsets = characters(raw, offsets)
     grams = features(points, offsets)
-    n = len(offsets) - 1
-    total = np.tile(fitted["prior"], (n, 1))
-    full = np.flatnonzero(np.diff(offsets) > 0)
-    if len(full):
-        for k in range(grams.shape[1]):
-            total[full] += np.add.reduceat(fitted["table"][grams[:, k]], offsets[full], axis=0, dtype=np.float64)
-    odds = np.exp(total - total.max(axis=1, keepdims=True))
-    return odds / odds.sum(axis=1, keepdims=True)
+    best = np.zeros(len(offsets) - 1, np.int64)
+    high, rest, begin = np.full(len(best), -np.inf), np.zeros(len(best)), 0  # rest: sum of odds against the highest
+    for table in tables:
+        own = prior[begin : begin + table.shape[1]] + totals(grams, offsets, table)
+        top = own.max(1)
+        rest = rest * np.exp(np.minimum(high - np.maximum(high, top), 0.0)) + np.exp(own - np.maximum(high, top)[:, None]).sum(1)
+        best = np.where(top > high, begin + own.argmax(1), best)
+        high, begin = np.maximum(high, top), begin + table.shape[1]
+    return best, 1 / rest
 
 
 def identify(docs: DataFrame, fitted: dict, keep: bool = False) -> DataFrame:
@@ -126,26 +154,30 @@ def identify(docs: DataFrame, fitted: dict, keep: bool = False) -> DataFrame:
 
     ``und`` with score 0 for a null text, one without a letter, or when nothing was learned.  A
     null doc_id is not held out.  A very long text is one slice of its own, its features taking
-    about 50 bytes for each character.  One pass, no shuffle.
+    about 50 bytes for each character, whatever the number of languages.  One pass, no shuffle.
     """
     spark = prepare(docs.sparkSession)
     given = wrapped(docs) if keep else docs.select("doc_id", "text")
     rows = given.withColumn("held_out", held_out())
     names = [*given.columns, "held_out", "lang_pred", "score"] if keep else ["doc_id", "held_out", "lang_pred", "score"]
     full = rows.withColumns({"lang_pred": F.lit(""), "score": F.lit(0.0)})
-    shared = spark.sparkContext.broadcast(fitted)
+    langs, prior, shared = fitted["langs"], fitted["prior"], fitted["tables"]
+
+    def blocks():
+        for block in shared:
+            yield block.value
+            if len(shared) > 1:  # a worker holds one block at a time and reads it again for the next texts
+                block.__dict__.pop("_value", None)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        fitted = shared.value
-        names_of = np.array([*fitted["langs"], UNKNOWN], object)
+        names_of = np.array([*langs, UNKNOWN], object)
         for chunk in text_chunks(batches, limit=1 << 19):
             texts = chunk.column("text").to_pylist()
             readable = np.array([bool(t and _letter.search(t)) for t in texts])
             best, value = np.full(len(texts), len(names_of) - 1), np.zeros(len(texts))
-            if fitted["langs"] and readable.any():
-                odds = score(*text_bytes(chunk.column("text")), fitted)
-                best = np.where(readable, odds.argmax(1), best)
-                value = np.where(readable, odds.max(1), 0.0)
+            if langs and readable.any():
+                likeliest, posterior = score(*text_bytes(chunk.column("text")), prior, blocks())
+                best, value = np.where(readable, likeliest, best), np.where(readable, posterior, 0.0)
             made = {"lang_pred": pa.array(names_of[best].tolist(), pa.string()), "score": pa.array(value)}
             yield pa.RecordBatch.from_arrays([made[c] if c in made else chunk.column(c) for c in names], names)
 

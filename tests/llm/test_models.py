@@ -114,6 +114,27 @@ def test_languages(spark, docs):
     assert odd[None] == odd[""] == odd["1234 5678 ..."] == "und" and odd["one"] != "und"
 
 
+def test_many_labels_and_a_long_text(spark, monkeypatch, make_prose):
+    """600 labels in blocks of 100 and of 1000 give the same predictions; a text of 600 kB in small slices those of large ones."""
+    import random
+
+    r = random.Random(6)
+    rows = [(i, " ".join("".join(r.choice(f"{chr(0x4E00 + 7 * (i % 600))}{chr(97 + i % 26)}e") for _ in range(5)) for _ in range(30)), f"l{i % 600:03d}") for i in range(2400)]
+    rows.append((5000, "the river and the stone " * 25_000, None))
+    rows += [(6000 + i, make_prose(i, 60), "en") for i in range(20)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string, lang string")
+    got = []
+    for block, slice_ in ((1000, 1 << 24), (100, 1 << 18)):
+        monkeypatch.setattr(language, "BLOCK", block)
+        monkeypatch.setattr(language, "SLICE", slice_)
+        fitted = language.fit(docs)
+        assert len(fitted["langs"]) == 601 and len(fitted["tables"]) == -(-601 // block)
+        got.append({x.doc_id: (x.lang_pred, round(x.score, 9)) for x in language.identify(docs, fitted).collect()})
+    assert got[0] == got[1] and got[0][5000][0] == "en"
+    right = [got[0][i][0] == lang for i, _, lang in rows if lang and i < 2400]
+    assert sum(right) / len(right) > 0.85
+
+
 def test_languages_by_brute_force(spark):
     """The same rows from dictionaries of character n-grams, each document on its own."""
     texts = {"a": "Über den Fluß, 12 Häuser", "b": "the old house by THE river", "c": "日本語の家と川"}
