@@ -3,8 +3,6 @@
 from __future__ import annotations
 
 import json
-import re
-import zlib
 from collections.abc import Iterator
 
 import pandas as pd
@@ -14,11 +12,13 @@ from pyspark.sql.functions import pandas_udf
 from pyspark.sql.types import IntegerType, StringType, StructField, StructType
 
 from leafmill.functions import text as T
+from leafmill.sources.pdf import page_count
 
 # Fixed value: names of report files, which are no documents.
 REPORT = "QUALITY_REPORT"
-#: File name patterns of metadata by kind.
+# File name patterns of metadata by kind, and of files that are none.
 METADATA = {"tables": "Table*.yaml", "figures": "*_all_figures.yaml", "validation": "*.validation.yaml", "any": "*.yaml"}
+NO_METADATA = r"^(?:QUALITY|VALIDATION)|\.validation$"
 
 
 def binary_files(spark: SparkSession, folder: str, pattern: str = "*.pdf", recursive: bool = False) -> DataFrame:
@@ -28,20 +28,9 @@ def binary_files(spark: SparkSession, folder: str, pattern: str = "*.pdf", recur
     return rows.select(name.alias("pdf"), "path", (F.col("length") / 1048576.0).alias("size_mb"), "content")
 
 
-def pages_of(content: bytes) -> int | None:
-    """Pages of a PDF by its page objects, those in compressed object streams too; None where none is found."""
-    found = len(re.findall(rb"/Type\s*/Page[^s]", content + b" "))
-    for stream in re.finditer(rb"/ObjStm\b.*?stream\r?\n(.*?)endstream", content, re.S):
-        try:
-            found += len(re.findall(rb"/Type\s*/Page[^s]", zlib.decompressobj().decompress(stream[1]) + b" "))
-        except zlib.error:
-            continue
-    return found or None
-
-
 @pandas_udf(IntegerType())
 def page_counts(content: pd.Series) -> pd.Series:
-    return content.map(lambda b: None if b is None else pages_of(bytes(b))).astype("Int32")
+    return content.map(lambda b: None if b is None else page_count(bytes(b))).astype("Int32")
 
 
 def with_page_counts(files: DataFrame) -> DataFrame:
@@ -99,7 +88,7 @@ def yaml_files(spark: SparkSession, folder: str, kind: str = "any", recursive: b
     """name, json, value (variant; null where the file can't be read) of YAML files; of ``any`` kind without reports and validations."""
     named = yaml_texts(spark, folder, kind, recursive)
     if kind == "any":
-        named = named.where(~F.col("name").rlike(r"^(?:QUALITY|VALIDATION)|\.validation$"))
+        named = named.where(~F.col("name").rlike(NO_METADATA))
     return named.select("name", yaml_to_json("text").alias("json")).withColumn("value", F.try_parse_json("json"))
 
 

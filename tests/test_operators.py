@@ -145,14 +145,6 @@ def test_streaming_resume(spark, tmp_path):
     assert rows == {0: (5, True), 1: (5, True)}
 
 
-def test_pages_in_object_streams():
-    import zlib
-
-    stream = zlib.compress(b"<< /Type /Page >> << /Type /Pages >> << /Type/Page/Parent 1 >>")
-    assert files.pages_of(b"%PDF /Type /Page 1 0 obj << /Type /ObjStm /Length 9 >> stream\n" + stream + b"\nendstream") == 3
-    assert files.pages_of(b"no page") is None
-
-
 def test_similarity_is_difflib_s(spark):
     from difflib import SequenceMatcher
 
