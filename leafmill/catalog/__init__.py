@@ -11,7 +11,7 @@ from pyspark.sql import DataFrame, SparkSession
 Query = Callable[[SparkSession, str], DataFrame]
 QUERIES: dict[str, Query] = {}
 SQL: dict[str, str] = {}
-_MODULES = ("pages", "planning", "rendering", "cleaning", "matching", "reports", "progress", "parsing")
+_MODULES = ("pages", "planning", "rendering", "cleaning", "matching", "reports", "progress", "parsing", "streams")
 
 
 def query(name: str, sql: str | None = None) -> Callable[[Query], Query]:

@@ -116,8 +116,9 @@ _CHUNK_JSON = """'{"pdf":"' || pdf || '","chunk_idx":' || chunk_idx || ',"chunk"
 _STATS_JSON = """'{"total_pdfs":' || count(*) || ',"split_pdfs":' || count(CASE WHEN status = 'split' THEN 1 END) || ',"skipped_pdfs":' || count(CASE WHEN status = 'skip' THEN 1 END) || ',"failed_pdfs":0,"total_chunks":' || coalesce(sum(CASE WHEN status = 'split' THEN chunks END), 0) || '}'"""
 
 
-@query("split_mapping", f"""SELECT '{{"chunks":' || (SELECT coalesce('[' || string_agg({_CHUNK_JSON}, ',' ORDER BY pdf, chunk_idx) || ']', '[]') FROM ({planning._CHUNKS})) || ',"direct":' || (SELECT coalesce('[' || string_agg('{{"pdf":"' || pdf || '"}}', ',' ORDER BY pdf) || ']', '[]') FROM ({planning._PLAN}) WHERE status = 'skip')
- || ',"stats":' || (SELECT {_STATS_JSON} FROM ({planning._PLAN})) || '}}' AS json""")
+@query("split_mapping", f"""SELECT row_number() OVER (ORDER BY section, pdf NULLS FIRST, i) AS place, line FROM (SELECT 1 AS section, pdf, chunk_idx AS i, {_CHUNK_JSON} || CASE WHEN row_number() OVER (ORDER BY pdf DESC, chunk_idx DESC) > 1 THEN ',' ELSE '' END AS line FROM ({planning._CHUNKS})
+ UNION ALL SELECT 3, pdf, 0, '{{"pdf":"' || pdf || '"}}' || CASE WHEN row_number() OVER (ORDER BY pdf DESC) > 1 THEN ',' ELSE '' END FROM ({planning._PLAN}) WHERE status = 'skip' UNION ALL SELECT 5, NULL, 0, '"stats":' || {_STATS_JSON} FROM ({planning._PLAN})
+ UNION ALL SELECT 0, NULL, 0, '{{' UNION ALL SELECT 0, NULL, 1, '"chunks":[' UNION ALL SELECT 2, NULL, 0, '],' UNION ALL SELECT 2, NULL, 1, '"direct":[' UNION ALL SELECT 4, NULL, 0, '],' UNION ALL SELECT 6, NULL, 0, '}}')""")
 def split_mapping(spark, sf_dir):
     return files.split_mapping(planning.split_plan(spark, sf_dir), planning.split_chunks(spark, sf_dir))
 

@@ -9,10 +9,11 @@ import pandas as pd
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 from pyspark.sql.functions import pandas_udf
-from pyspark.sql.types import IntegerType, StringType, StructField, StructType
+from pyspark.sql.types import BinaryType, IntegerType, StringType, StructField, StructType
 
 from leafmill.functions import text as T
-from leafmill.sources.pdf import page_count
+from leafmill.operators.ranks import with_place
+from leafmill.sources.pdf import page_count, pdf_bytes
 
 # Fixed value: names of report files, which are no documents.
 REPORT = "QUALITY_REPORT"
@@ -33,6 +34,12 @@ def page_counts(content: pd.Series) -> pd.Series:
     return content.map(lambda b: None if b is None else page_count(bytes(b))).astype("Int32")
 
 
+@pandas_udf(BinaryType())
+def pdf_of_texts(texts: pd.Series) -> pd.Series:
+    """A PDF for each list of texts, one page each."""
+    return texts.map(lambda t: pdf_bytes([x.encode() for x in t]))
+
+
 def with_page_counts(files: DataFrame) -> DataFrame:
     """``binary_files`` rows with total_pages in place of content, in order of path."""
     return files.withColumn("total_pages", page_counts("content")).drop("content").orderBy("path")
@@ -153,6 +160,53 @@ def log_tail(lines: DataFrame, key: str, order: str, n: int = 1000) -> DataFrame
     return lines.withColumn("_place", place).where(F.col("_place") <= n).drop("_place")
 
 
+#: Bytes of a log that are read at once, from its end backwards.
+TAIL_BLOCK = 1 << 16
+
+
+def last_lines(opened: object, n: int, block: int = TAIL_BLOCK) -> tuple[list[str], int]:
+    """(the last n lines of an opened file, bytes read), by blocks from the end; a last line break ends no line."""
+    at, parts, breaks, read = opened.size(), [], 0, 0
+    while at > 0 and breaks <= n:  # one break more than lines: the one before the first of them
+        size = min(block, at)
+        at -= size
+        parts.append(opened.read_at(size, at))
+        read += size
+        breaks += parts[-1].count(b"\n")
+    lines = b"".join(reversed(parts)).decode("utf-8", "replace").split("\n")
+    lines = lines[:-1] if lines[-1] == "" else lines
+    return lines[-n:] if n else [], read
+
+
+def file_tails(spark: SparkSession, folder: str, pattern: str = "*.log", n: int = 1000) -> DataFrame:
+    """log (file name), line_no (from 1, of the tail), line, bytes_read of the last ``n`` lines of each file.
+
+    Only names and sizes are listed by Spark; a task seeks to the end of its files and reads back
+    as far as it must.  Files are dealt one by one, an empty one has no rows.
+    """
+    listed = spark.read.format("binaryFile").option("pathGlobFilter", pattern).option("recursiveFileLookup", "true").load(folder).where("length > 0").select("path")
+
+    def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        from pyarrow import fs
+
+        for batch in batches:
+            for path in batch["path"]:
+                source, inside = fs.FileSystem.from_uri(path) if "://" in path else (fs.LocalFileSystem(), path.removeprefix("file:"))
+                with source.open_input_file(inside) as opened:
+                    lines, read = last_lines(opened, n)
+                yield pd.DataFrame({"log": path.rpartition("/")[2], "line_no": range(1, len(lines) + 1), "line": lines, "bytes_read": read})
+
+    return listed.repartition(spark.sparkContext.defaultParallelism, "path").mapInPandas(run, "log string, line_no int, line string, bytes_read long")
+
+
+def processing_log(tails: DataFrame, order: list[str]) -> DataFrame:
+    """place, line of one log put together from ``file_tails``: each file's tail under a heading, files in ``order``."""
+    place = F.array_position(F.array(*map(F.lit, order)), F.col("log"))
+    heads = tails.select("log").distinct().select("log", F.lit(0).alias("line_no"), F.concat(F.lit("== "), "log", F.lit(" ==")).alias("line"))
+    rows = heads.unionByName(tails.select("log", "line_no", "line")).where(F.col("log").isin(order)).withColumn("file_no", place)
+    return with_place(rows, F.asc("file_no"), F.asc("line_no")).select("place", "line")
+
+
 # ---- writers -----------------------------------------------------------------------------------
 
 
@@ -166,7 +220,7 @@ def write_files(files: DataFrame, folder: str, backup: bool = False) -> None:
     def write(rows: Iterator) -> None:
         from pyarrow import fs
 
-        target, base = fs.FileSystem.from_uri(folder) if "://" in folder else (fs.LocalFileSystem(), folder)
+        target, base = fs.FileSystem.from_uri(folder) if "://" in folder else (fs.LocalFileSystem(), folder.removeprefix("file:"))
         for row in rows:
             if row.content is None:
                 continue
@@ -224,14 +278,52 @@ def delivery_files(documents: DataFrame, metadata: DataFrame) -> DataFrame:
 
 
 def split_mapping(plan: DataFrame, ranges: DataFrame) -> DataFrame:
-    """One row: the JSON of a split, its statistics, chunks and whole documents.  It is as long as the list of files."""
+    """place, line of the JSON of a split: chunks and whole documents, one to a line, and the statistics.
+
+    The lines in order are one document.  No list is gathered: places come from counts of
+    partitions, and only the last line of a list, known by its count, has no comma.
+    """
     from leafmill.plans.chunks import split_statistics
 
-    chunk = ranges.agg(F.array_sort(F.collect_list(F.struct("pdf", "chunk_idx", "chunk", "total_chunks", "start_page", "end_page", "pages"))).alias("chunks"))
-    whole = plan.where("status = 'skip'").agg(F.array_sort(F.collect_list(F.struct("pdf"))).alias("direct"))
-    parts = [split_statistics(plan).select(F.to_json(F.struct("*")).alias("j"), F.lit("stats").alias("k")), chunk.select(F.to_json("chunks").alias("j"), F.lit("chunks").alias("k")), whole.select(F.to_json("direct").alias("j"), F.lit("direct").alias("k"))]
-    every = parts[0].unionByName(parts[1]).unionByName(parts[2])
-    return every.agg(F.concat(F.lit("{"), F.array_join(F.array_sort(F.collect_list(F.concat(F.lit('"'), "k", F.lit('":'), "j"))), ","), F.lit("}")).alias("json"))
+    frame = [(1, "{")]  # the lines that no table gives
+    listed, at = [], 1
+    chunk = ranges.select("pdf", "chunk_idx", "chunk", "total_chunks", "start_page", "end_page", "pages")
+    for name, rows, order in (("chunks", chunk, ["pdf", "chunk_idx"]), ("direct", plan.where("status = 'skip'").select("pdf"), ["pdf"])):
+        placed = with_place(rows, *[F.asc(c) for c in order])
+        n = placed.count()
+        comma = F.when(F.col("place") < n, ",").otherwise("")
+        listed.append(placed.select((F.col("place") + at + 1).alias("place"), F.concat(F.to_json(F.struct(*rows.columns)), comma).alias("line")))
+        frame += [(at + 1, f'"{name}":['), (at + n + 2, "],")]
+        at += n + 2
+    frame.append((at + 2, "}"))
+    listed.append(split_statistics(plan).select(F.lit(at + 1).cast("long").alias("place"), F.concat(F.lit('"stats":'), F.to_json(F.struct("*"))).alias("line")))
+    every = plan.sparkSession.createDataFrame(frame, "place long, line string")
+    for lines in listed:
+        every = every.unionByName(lines)
+    return every
+
+
+def write_lines(lines: DataFrame, folder: str, parts: int | None = None) -> None:
+    """Lines (place, line) as text files, ``parts`` or as many as Spark sees fit, whose names sort in order of the places."""
+    dealt = lines.repartitionByRange(parts, "place") if parts else lines.repartitionByRange("place")
+    dealt.sortWithinPartitions("place").select("line").write.mode("overwrite").text(folder)
+
+
+def join_parts(folder: str, target: str, block: int = 1 << 20) -> int:
+    """The files that ``write_lines`` wrote one after the other as one file; gives its size.  ``block`` bytes are held at once."""
+    from pyarrow import fs
+
+    source, base = fs.FileSystem.from_uri(folder) if "://" in folder else (fs.LocalFileSystem(), folder.removeprefix("file:"))
+    to, path = fs.FileSystem.from_uri(target) if "://" in target else (fs.LocalFileSystem(), target.removeprefix("file:"))
+    size = 0
+    with to.open_output_stream(f"{path}.part") as out:
+        for info in sorted(source.get_file_info(fs.FileSelector(base)), key=lambda i: i.path):
+            if info.base_name.startswith("part-"):
+                with source.open_input_stream(info.path) as part:
+                    while data := part.read(block):
+                        size += out.write(data)
+    to.move(f"{path}.part", path)
+    return size
 
 
 def write_report(row: DataFrame, folder: str) -> None:
@@ -244,9 +336,13 @@ def write_texts(spark: SparkSession, texts: dict[str, str], folder: str) -> None
     write_files(spark.createDataFrame(sorted(texts.items()), "name string, content string").coalesce(1), folder)
 
 
-def append_events(events: DataFrame, folder: str) -> None:
-    """Progress events (step, pdf, page_num, status, error, ts) at the end of the log; Spark commits whole files."""
-    events.select("step", "pdf", "page_num", "status", "error", "ts").write.mode("append").parquet(folder)
+def append_events(events: DataFrame, folder: str, batch: int | str) -> None:
+    """Progress events (step, pdf, page_num, status, error, ts) as one batch of the log.
+
+    A batch has a folder of its own, named by ``batch``: a repeated call with the same name, after
+    a failure or a replay, takes the place of the first one.
+    """
+    events.select("step", "pdf", "page_num", "status", "error", "ts").write.mode("overwrite").parquet(f"{folder.rstrip('/')}/batch={batch}")
 
 
 def page_images(files: DataFrame, render: object, max_pages: int = 0) -> DataFrame:

@@ -300,6 +300,22 @@ class PdfPages(DataSource):
         return PdfPageReader(self.options)
 
 
+def pdf_bytes(contents: list[bytes], width: int = 612, height: int = 792) -> bytes:
+    """A PDF with one page for each of the drawing instructions."""
+    n = len(contents)
+    bodies = [b"<< /Type /Catalog /Pages 2 0 R >>", b"<< /Type /Pages /Count %d /Kids [%s] /MediaBox [0 0 %d %d] >>" % (n, b" ".join(b"%d 0 R" % (3 + 2 * i) for i in range(n)), width, height)]
+    for i, content in enumerate(contents):
+        bodies += [b"<< /Type /Page /Parent 2 0 R /Contents %d 0 R >>" % (4 + 2 * i), b"<< /Length %d >>\nstream\n%s\nendstream" % (len(content), content)]
+    out, places = [b"%PDF-1.7\n"], []
+    size = len(out[0])
+    for number, body in enumerate(bodies, 1):
+        places.append(size)
+        out.append(b"%d 0 obj\n%s\nendobj\n" % (number, body))
+        size += len(out[-1])
+    table = b"0000000000 65535 f \n" + b"".join(b"%010d 00000 n \n" % p for p in places)
+    return b"".join([*out, b"xref\n0 %d\n%strailer\n<< /Size %d /Root 1 0 R >>\nstartxref\n%d\n%%%%EOF\n" % (len(places) + 1, table, len(places) + 1, size)])
+
+
 def register(spark: SparkSession) -> None:
     """Make ``pdf_pages`` known to the session; its filters are pushed down, which Spark wants to be told."""
     spark.conf.set("spark.sql.python.filterPushdown.enabled", "true")

@@ -263,8 +263,10 @@ def test_state_files(spark, tmp_path):
     assert [tuple(r) for r in files.retry_failures(spark, str(tmp_path)).collect()] == [("a", 3, "e", "permanent")]
     log = str(tmp_path / "log")
     event = spark.createDataFrame([("s", "a", 1, "failed", "e")], "step string, pdf string, page_num int, status string, error string").withColumn("ts", F.current_timestamp())
-    files.append_events(event, log)
-    files.append_events(event, log)
+    files.append_events(event, log, 1)
+    files.append_events(event, log, 1)  # a replay
+    assert spark.read.parquet(log).count() == 1
+    files.append_events(event, log, 2)
     assert spark.read.parquet(log).count() == 2
 
 
