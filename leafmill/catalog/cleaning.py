@@ -155,7 +155,15 @@ def clean_totals(spark, sf_dir):
     return clean.clean_totals(clean.cleaned(rows, details=True), clean.warnings(rows))
 
 
-@query("clean_report", "SELECT doc_id AS pdf, true AS fits FROM documents")
+_BEFORE = r"""E'# ' || source || E'\n## Part ' || doc_id || E'\n### Sub\n\\n `x` [a](#nowhere) [b](img.png) $(]$\n```json\n{"body_text": "B"}\n```\n|a|b|\n|---|---|\n|1|2|\n\n\n\n\nend'"""
+_AFTER = r"""E'# ' || source || E'\n## Part ' || doc_id || E'\n### Sub\n\n `x` [a](#nowhere) [b](img.png) $(]$\nB\n| a   | b   |\n| --- | --- |\n| 1   | 2   |\n\n\nend'"""
+
+
+@query("clean_report", f"""SELECT doc_id AS pdf, '| ' || substring(CAST(doc_id AS VARCHAR), 1, 30) || ' | ' || len({_BEFORE}) || ' | ' || len({_AFTER}) || ' | json: 1, newline marks: 1, blank lines: 1, tables: 1 |' AS line FROM documents""")
 def clean_report(spark, sf_dir):
-    rows = clean.clean_report(clean.cleaned(_damaged(spark, sf_dir), details=True))
-    return rows.select("pdf", F.col("line").rlike(r"^\| \S{1,30} \| \d+ \| \d+ \| json: 1, newline marks: 1, blank lines: 1, tables: 1 \|$").alias("fits"))
+    return clean.clean_report(clean.cleaned(_damaged(spark, sf_dir), details=True))
+
+
+@query("cleaned_damage", f"SELECT doc_id AS pdf, {_AFTER} AS markdown FROM documents")
+def cleaned_damage(spark, sf_dir):
+    return clean.cleaned(_damaged(spark, sf_dir)).select("pdf", "markdown")

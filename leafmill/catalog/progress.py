@@ -234,6 +234,14 @@ def recovery_errors(spark, sf_dir):
     return recover.recovery_errors(_recovered(spark, sf_dir), ["pdf", "page_num", "attempt"])
 
 
+@query("recovery_report", f"""WITH e AS (SELECT *, row_number() OVER (ORDER BY pdf, page_num, attempt) AS i, count(*) OVER () AS n FROM ({_RECOVERED}) WHERE NOT success)
+ SELECT row_number() OVER (ORDER BY section, i) AS place, line FROM (SELECT 1 AS section, i, '{{"pdf":"' || pdf || '","page_num":' || page_num || ',"attempt":' || attempt || ',"error":"' || error || '"}}' || CASE WHEN i < n THEN ',' ELSE '' END AS line FROM e UNION ALL SELECT 0, 0, '{{' UNION ALL SELECT 0, 1, '"errors":[' UNION ALL SELECT 2, 0, '],'
+ UNION ALL SELECT 3, 0, '"stats":{{"total":' || total || ',"succeeded":' || succeeded || ',"failed":' || failed || ',"tokens":' || tokens || ',"seconds":' || seconds || ',"pages_per_second":' || pages_per_second || '}},' FROM (SELECT *, total / seconds AS pages_per_second FROM (SELECT count(*) AS total, count(CASE WHEN success THEN 1 END) AS succeeded, count(CASE WHEN NOT success THEN 1 END) AS failed, CAST(sum(tokens) AS BIGINT) AS tokens, sum(seconds) AS seconds FROM ({_RECOVERED})))
+ UNION ALL SELECT 4, 0, '"run":{{"timestamp":"2024-01-01","model":"m","concurrency":10}}' UNION ALL SELECT 5, 0, '}}')""")
+def recovery_report(spark, sf_dir):
+    return recover.recovery_report(_recovered(spark, sf_dir), "m", 10, "2024-01-01", ["pdf", "page_num", "attempt"])
+
+
 @query("content_blocked", f"SELECT pdf, page_num FROM ({_STATES}) WHERE status = 'failed' AND contains(error, 'DataInspectionFailed') AND contains(error, 'inappropriate') ORDER BY pdf, page_num LIMIT 50")
 def content_blocked(spark, sf_dir):
     return recover.limited(recover.blocked_pages(_states(spark, sf_dir)).select("pdf", "page_num"), 50, ["pdf", "page_num"])

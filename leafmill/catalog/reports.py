@@ -8,7 +8,8 @@ from leafmill.catalog import pages as page_queries
 from leafmill.catalog import query
 from leafmill.catalog.rendering import _DOC, documents
 from leafmill.functions import text as T
-from leafmill.operators import reports
+from leafmill.operators import recover, reports
+from leafmill.sources import files
 from leafmill.sources.tables import table
 
 _PAGES = """SELECT source AS pdf, CASE WHEN d.doc_id % 41 = 0 THEN 'failed' WHEN d.doc_id % 29 = 0 THEN 'skipped' ELSE 'ok' END AS status, d.doc_id % 3 AS figures, CASE WHEN d.doc_id % 17 = 0 THEN 0 ELSE d.doc_id % 3 END AS metas,
@@ -173,11 +174,63 @@ def page_details(spark, sf_dir):
     return rows.select("pdf", F.when(F.size("failures") > 0, F.array_join(failed, ", ")).alias("failed"), F.array_join(F.transform("page_results", each), ", ").alias("pages"))
 
 
-@query("validation_files", f"SELECT pdf || '.validation.yaml' AS name, true AS whole FROM ({_PAGES}) GROUP BY pdf")
+_DETAILS = f"""SELECT pdf, string_agg(CASE WHEN status = 'failed' THEN page_num || ': ' || coalesce(error, 'Unknown error') END, ', ' ORDER BY page_num) AS failed, string_agg(page_num || CASE WHEN status = 'ok' THEN ' ok ' || figures || ' ' || tables || ' ' || formulas ELSE ' no 0 0 0' END, ', ' ORDER BY page_num) AS pages FROM ({_NUMBERED}) GROUP BY pdf"""
+_MEASURES = ["total_pages", "success_pages", "failed_pages", "figures", "metas", "tables", "formulas", "tokens_input", "tokens_output", "rated", "insertion_rate", "avg_confidence", "success_rate", "overall_pass", "no_page_failures"]
+
+
+@query("validation_files", f"""SELECT pdf || '.validation.yaml' AS name, pdf AS filename, total_pages AS document_pages, {', '.join(_MEASURES)}, failed, pages FROM ({_KQI}) JOIN ({_DETAILS}) USING (pdf)""")
 def validation_files(spark, sf_dir):
-    rows = reports.validation_yaml(kqi_metrics(spark, sf_dir), reports.page_details(_numbered(spark, sf_dir), "pdf"))
-    whole = F.col("content").rlike(r"(?s)^document_info:\n  filename: .*\nkqi_metrics:\n.*\nfailed_pages_detail:.*\npage_by_page_results:\n- page_num: ")
-    return rows.select("name", whole.alias("whole"))
+    """The YAML files read back: document, measures, failed pages and every page's outcome."""
+    made = reports.validation_yaml(kqi_metrics(spark, sf_dir), reports.page_details(_numbered(spark, sf_dir), "pdf"))
+    kinds = dict(kqi_metrics(spark, sf_dir).dtypes)
+    page = "page_num long, success boolean, figures long, tables long, formulas long"
+    schema = f"document_info struct<filename:string,total_pages:long>, kqi_metrics struct<{','.join(f'{m}:{kinds[m]}' for m in _MEASURES)}>, failed_pages_detail array<struct<page_num:long,error:string>>, page_by_page_results array<struct<{page.replace(' ', ':').replace(',:', ',')}>>"
+    rows = made.select("name", F.from_json(files.yaml_to_json("content"), schema).alias("v")).select("name", "v.*")
+    failed = F.transform("failed_pages_detail", lambda x: F.concat(x["page_num"].cast("string"), F.lit(": "), x["error"]))
+    each = lambda x: F.concat_ws(" ", x["page_num"].cast("string"), F.when(x["success"], "ok").otherwise("no"), *[x[c].cast("string") for c in ("figures", "tables", "formulas")])
+    return rows.select("name", F.col("document_info.filename").alias("filename"), F.col("document_info.total_pages").alias("document_pages"), *[F.col(f"kqi_metrics.{m}").alias(m) for m in _MEASURES], F.when(F.size("failed_pages_detail") > 0, F.array_join(failed, ", ")).alias("failed"), F.array_join(F.transform("page_by_page_results", each), ", ").alias("pages"))
+
+
+_BACK = "page_num % 4 = 0"
+
+
+@query("recovered_validation", f"""SELECT pdf, string_agg(page_num || CASE WHEN {_BACK} THEN ' by second' ELSE ' open' END, ', ' ORDER BY page_num) AS failures, count_if({_BACK}) AS pages_recovered FROM ({_NUMBERED}) WHERE status = 'failed' GROUP BY pdf""")
+def recovered_validation(spark, sf_dir):
+    """Validation files after a recovery of some of the failed pages, each asked for twice, read back."""
+    numbered = _numbered(spark, sf_dir)
+    recovered = numbered.where("status = 'failed'").select("pdf", "page_num", F.expr(_BACK).alias("success"), F.explode(F.array(F.lit(1), F.lit(2))).alias("attempt"))
+    details = recover.marked_failures(reports.page_details(numbered, "pdf"), recovered, "second", "2024-01-01")
+    made = reports.validation_yaml(kqi_metrics(spark, sf_dir), details)
+    schema = "document_info struct<filename:string>, failed_pages_detail array<struct<page_num:long,recovered:boolean,recovered_by:string,recovered_at:string>>, recovery_info struct<pages_recovered:long>"
+    rows = made.select(F.from_json(files.yaml_to_json("content"), schema).alias("v")).select("v.*").where(F.size("failed_pages_detail") > 0)
+    line = lambda x: F.concat(x["page_num"].cast("string"), F.when(x["recovered"], F.concat(F.lit(" by "), x["recovered_by"])).otherwise(" open"))
+    return rows.select(F.col("document_info.filename").alias("pdf"), F.array_join(F.transform("failed_pages_detail", line), ", ").alias("failures"), F.col("recovery_info.pages_recovered").alias("pages_recovered"))
+
+
+_STATUS_JSON = "'\"totals\":{\"pdfs\":' || pdfs || ',\"succeeded\":' || succeeded || ',\"failed\":' || pdfs - succeeded || ',\"total_pages\":' || total_pages || ',\"overall_score\":' || overall_score || '},'"
+
+
+@query("quality_json", f"""WITH c AS ({page_queries.CORPUS_SQL}), r AS (SELECT pdf, row_number() OVER (ORDER BY pdf) AS i, count(*) OVER () AS n FROM ({page_queries._QUALITY}) WHERE needs_review)
+ SELECT row_number() OVER (ORDER BY section, i) AS place, line FROM (SELECT 1 AS section, i, '"' || pdf || '"' || CASE WHEN i < n THEN ',' ELSE '' END AS line FROM r UNION ALL SELECT 0, 0, '{{' UNION ALL SELECT 0, 1, '"review_needed":[' UNION ALL SELECT 2, 0, '],' UNION ALL SELECT 2, 1, '"failed_list":[' UNION ALL SELECT 2, 2, '],'
+ UNION ALL SELECT 3, 0, {_STATUS_JSON} FROM c UNION ALL SELECT 4, 0, '"content_distribution":{{"empty":' || empty_pages || ',"short":' || short_pages || ',"medium":' || medium_pages || ',"long":' || long_pages || '}},' FROM c
+ UNION ALL SELECT 5, 0, '"elements":{{"tables":' || table_count || ',"formulas":' || formula_count || ',"images":' || image_count || ',"code_blocks":' || code_block_count || '}}' FROM c UNION ALL SELECT 6, 0, '}}')""")
+def quality_json(spark, sf_dir):
+    return reports.quality_json(page_queries.corpus_quality(spark, sf_dir), page_queries.pdf_quality(spark, sf_dir))
+
+
+@query("first_warnings", f"""SELECT CAST(place AS INTEGER) AS place, line FROM (SELECT row_number() OVER (ORDER BY pdf, "check", message) AS place, '[' || pdf || '] ' || "check" || ': ' || message AS line FROM ({_CHECKS}) WHERE severity = 'warning') WHERE place <= 10 UNION ALL SELECT 11, '... and ' || (count(*) - 10) || ' more' FROM ({_CHECKS}) WHERE severity = 'warning' HAVING count(*) > 10""")
+def first_warnings(spark, sf_dir):
+    rows = delivery_checks(spark, sf_dir).where("severity = 'warning'")
+    return reports.shown_rows(rows, [F.col("pdf"), F.col("check"), F.col("message")], F.concat(F.lit("["), "pdf", F.lit("] "), "check", F.lit(": "), "message"), 10)
+
+
+@query("recovery_preview", """SELECT CAST(place AS INTEGER) AS place, line FROM (SELECT row_number() OVER (ORDER BY source, doc_id) AS place, source || ' page ' || doc_id AS line FROM documents WHERE n_chars % 9 = 3) WHERE place <= 20 UNION ALL SELECT 21, '... and ' || (count(*) - 20) || ' more' FROM documents WHERE n_chars % 9 = 3 HAVING count(*) > 20""")
+def recovery_preview(spark, sf_dir):
+    """The first pages that a recovery would ask for, before it is run."""
+    from leafmill.catalog.progress import _states
+
+    blocked = recover.blocked_pages(_states(spark, sf_dir))
+    return reports.shown_rows(blocked, [F.col("pdf"), F.col("page_num")], F.concat("pdf", F.lit(" page "), F.col("page_num").cast("string")), 20)
 
 
 @query("task_quality", f"""SELECT *, floor((pages - failed_pages) * 100.0::DOUBLE / greatest(pages, 1) * 10.0::DOUBLE + 0.5::DOUBLE) / 10.0::DOUBLE AS success_rate FROM (SELECT * FROM (SELECT {_BIG.format('pages')} AS pages, {_BIG.format('figures')} AS figures FROM ({_RUNS})),

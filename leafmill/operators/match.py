@@ -55,6 +55,23 @@ def matched_tables(charts: DataFrame, tables: DataFrame) -> DataFrame:
     return best_tables(near).unionByName(best_tables(far))
 
 
+def fill_status(metadata: DataFrame, found: DataFrame, force: bool = False) -> DataFrame:
+    """Metadata files (name, json, image_type, has_series) with ``status``: filled, skipped or failed, and ``filled`` (JSON; else null).
+
+    ``found`` (name, series: JSON rows of the matching table) has at most one row for each file.
+    Unreadable metadata (null) fails, metadata of anything but tables and tables that have a
+    series already are skipped unless ``force``, and a table without a match or rows fails.
+    """
+    from leafmill.operators.parse import fillable
+    from leafmill.sources.files import with_series
+
+    rows = metadata.join(found, "name", "left")
+    wanted = fillable(F.coalesce("image_type", F.lit("")), F.col("has_series"), force)
+    usable = F.col("series").isNotNull() & (F.col("series") != "[]")
+    status = F.when(F.col("json").isNull(), "failed").when(~wanted, "skipped").when(usable, "filled").otherwise("failed")
+    return rows.withColumn("status", status).withColumn("filled", F.when(F.col("status") == "filled", with_series("json", F.coalesce("series", F.lit("[]"))))).drop("series")
+
+
 def by_prefix(deliveries: DataFrame, chunks: DataFrame) -> DataFrame:
     """Pairs of deliveries (base) and chunks (chunk) whose normal name begins with the base's.
 

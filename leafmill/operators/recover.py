@@ -63,3 +63,32 @@ def recovery_errors(recovered: DataFrame, order: list[str] | None = None) -> Dat
 def recovery_statistics(recovered: DataFrame) -> DataFrame:
     sums = recovered.agg(F.count(F.lit(1)).alias("total"), F.count_if("success").alias("succeeded"), F.count_if(~F.col("success")).alias("failed"), F.coalesce(F.sum("tokens"), F.lit(0)).alias("tokens"), F.coalesce(F.sum("seconds"), F.lit(0.0)).alias("seconds"))
     return sums.withColumn("pages_per_second", F.when(F.col("seconds") > 0, F.col("total") / F.col("seconds")).otherwise(0.0))
+
+
+def marked_failures(details: DataFrame, recovered: DataFrame, method: str, at: str) -> DataFrame:
+    """``reports.page_details`` rows after a recovery: failures that were brought back are marked with method and time, and counted.
+
+    ``recovery_info`` adds to the count of an earlier one, if ``details`` has the column.  A page
+    that was recovered several times counts once; documents without a failure stay as they are.
+    """
+    pages = recovered.where("success").groupBy("pdf").agg(F.collect_set("page_num").alias("_pages"))
+    rows = details.join(pages, "pdf", "left").withColumn("_pages", F.coalesce("_pages", F.array().cast("array<bigint>")))
+
+    def mark(x):
+        ok = F.array_contains("_pages", x["page_num"])
+        return F.struct(x["page_num"].alias("page_num"), x["error"].alias("error"), ok.alias("recovered"), F.when(ok, method).alias("recovered_by"), F.when(ok, at).alias("recovered_at"))
+
+    failures = F.transform("failures", mark)
+    before = F.coalesce("recovery_info.pages_recovered", F.lit(0)) if "recovery_info" in details.columns else F.lit(0)
+    n = F.size(F.filter(failures, lambda x: x["recovered"]))
+    info = F.struct(F.lit(at).alias("recovery_date"), (before + n).cast("int").alias("pages_recovered"), F.lit(method).alias("recovery_method"))
+    return rows.withColumns({"recovery_info": info, "failures": failures}).drop("_pages")
+
+
+def recovery_report(recovered: DataFrame, model: str, concurrency: int, made: str, order: list[str]) -> DataFrame:
+    """place, line of the JSON report of a recovery: every failure, the sums, and how it was run (see ``files.json_document``)."""
+    from leafmill.sources.files import json_document
+
+    errors = recovered.where(~F.col("success")).select(*order, "error")
+    run = recovered.sparkSession.createDataFrame([(made, model, concurrency)], "timestamp string, model string, concurrency int")
+    return json_document([("errors", errors, order)], [("stats", recovery_statistics(recovered)), ("run", run)])

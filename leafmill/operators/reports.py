@@ -80,7 +80,8 @@ def validation_yaml(kqi: DataFrame, details: DataFrame) -> DataFrame:
 
     measured = F.struct(*[c for c in kqi.columns if c != "pdf"])
     rows = kqi.join(details, "pdf")
-    content = F.to_json(F.struct(F.struct(F.col("pdf").alias("filename"), "total_pages").alias("document_info"), measured.alias("kqi_metrics"), F.col("failures").alias("failed_pages_detail"), F.col("page_results").alias("page_by_page_results")))
+    recovery = [F.col("recovery_info")] if "recovery_info" in details.columns else []
+    content = F.to_json(F.struct(F.struct(F.col("pdf").alias("filename"), "total_pages").alias("document_info"), measured.alias("kqi_metrics"), F.col("failures").alias("failed_pages_detail"), F.col("page_results").alias("page_by_page_results"), *recovery))
     return rows.select(F.concat(F.col("pdf").cast("string"), F.lit(".validation.yaml")).alias("name"), json_to_yaml(content).alias("content"))
 
 
@@ -195,7 +196,8 @@ def quality_report(total: DataFrame, documents: DataFrame, failures: DataFrame |
     """Markdown of a quality report: totals, sizes of pages, content, review, failures, resources, best documents, advice.
 
     ``total`` is the row of ``corpus_quality``, ``documents`` rows of ``document_quality``,
-    ``failures`` (pdf, page_num, error) pages that stayed failed.  Only the rows shown reach the driver.
+    ``failures`` (pdf, page_num, error, maybe kind: permanent or skipped) pages that stayed failed,
+    of which the first ``top`` and ``named`` are listed.  Only the rows shown reach the driver.
     """
     t = total.first()
     n = max(t["total_pages"], 1)
@@ -208,8 +210,13 @@ def quality_report(total: DataFrame, documents: DataFrame, failures: DataFrame |
     if t["needing_review"] > len(review):
         out.append(f"- ... and {t['needing_review'] - len(review)} more")
     if failures is not None:
-        failed = failures.orderBy("pdf", "page_num").limit(top + 1).collect()
-        out += ["", "## Failed pages", "", *[f"- {r['pdf']} page {r['page_num']}: {r['error']}" for r in failed[:top]], *(["- ..."] if len(failed) > top else [])]
+        kinds = failures if "kind" in failures.columns else failures.withColumn("kind", F.lit("permanent"))
+        many = {r["kind"]: r["count"] for r in kinds.groupBy("kind").count().collect()}  # two kinds
+        out += ["", "## Failed pages", "", f"{many.get('permanent', 0)} for good, {many.get('skipped', 0)} refused by a content check"]
+        for kind, heading, shown in (("permanent", "For good", top), ("skipped", "Refused", named)):
+            rows = kinds.where(F.col("kind") == kind).orderBy("pdf", "page_num").limit(shown).collect()
+            out += ["", f"### {heading}", "", *[f"- {str(r['pdf'])[:40]} page {r['page_num']}" + (f": {r['error'][:50]}" if kind == "permanent" else "") for r in rows]] if rows else []
+            out += [f"- ... {many[kind]} in all"] if many.get(kind, 0) > shown else []
     if seconds is not None:
         out += ["", "## Resources", "", f"{seconds:.0f} s, {seconds / n:.2f} s a page, estimated cost {n * 2000 / 1000 * 0.008:.2f}"]
     out += ["", "## Documents", "", "| document | pages | score | review |", "|---|---|---|---|"]
@@ -220,6 +227,28 @@ def quality_report(total: DataFrame, documents: DataFrame, failures: DataFrame |
     return "\n".join([*out, "", "## Advice", "", *[f"- {m}" for m in advice]]) + "\n"
 
 
+def quality_json(total: DataFrame, documents: DataFrame, failed: DataFrame | None = None) -> DataFrame:
+    """place, line of a quality report as JSON: documents to review, failed ones, and all totals (see ``files.json_document``)."""
+    from leafmill.sources.files import json_document
+
+    review = documents.where("needs_review").select(F.col("pdf").alias("item"))
+    gone = failed.select(F.col("pdf").alias("item")) if failed is not None else review.limit(0)
+    sums = total.select("pdfs", "succeeded", (F.col("pdfs") - F.col("succeeded")).alias("failed"), "total_pages", "overall_score")
+    pages = total.select(*[F.col(f"{k}_pages").alias(k) for k in ("empty", "short", "medium", "long")])
+    found = total.select(*[F.col(f"{k}_count").alias(f"{k}s") for k in ("table", "formula", "image", "code_block")])
+    return json_document([("review_needed", review, ["item"]), ("failed_list", gone, ["item"])], [("totals", sums), ("content_distribution", pages), ("elements", found)])
+
+
+def delivery_text(summary: DataFrame, findings: DataFrame, shown: int = 10) -> str:
+    """What a delivery check prints: every kind's first ``shown`` findings, and how many more there are."""
+    s = summary.first()
+    out = [f"documents: {s['documents']}, complete: {'yes' if s['complete'] else 'no'}"]
+    for kind, n in (("issue", s["issues"]), ("warning", s["warnings"])):
+        rows = findings.where(F.col("severity") == kind).orderBy("pdf", "check", "message").limit(shown).collect()
+        out += [f"{kind}s: {n}", *[f"  [{r['pdf']}] {r['check']}: {r['message']}" for r in rows], *([f"  ... and {n - len(rows)} more"] if n > len(rows) else [])]
+    return "\n".join([*out, "all checks passed" if s["passed"] else f"failed with {s['issues']} issues"]) + "\n"
+
+
 def task_reports(task: str, made: str, runs: DataFrame, pages: DataFrame, details: int = 50) -> dict[str, str]:
     """File name -> text of a task's reports: costs, quality, validation.  One row of sums and the first rows reach the driver."""
     import json

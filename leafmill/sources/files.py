@@ -14,6 +14,7 @@ from pyspark.sql.types import BinaryType, IntegerType, StringType, StructField,
 from leafmill.functions import text as T
 from leafmill.operators.ranks import with_place
 from leafmill.sources.pdf import page_count, pdf_bytes
+from leafmill.sources.shared import fresh_path, stage
 
 # Fixed value: names of report files, which are no documents.
 REPORT = "QUALITY_REPORT"
@@ -263,6 +264,42 @@ def changed_files(before: DataFrame, after: DataFrame, value: str) -> DataFrame:
     return after.join(old, "name", "left").where(~F.col(value).eqNullSafe(F.col("_old"))).drop("_old")
 
 
+def rewrite(before: DataFrame, after: DataFrame, folder: str, dry_run: bool = False, backup: bool = False) -> DataFrame:
+    """Write the files (name, content) whose content changed; gives their names and the size before and after.
+
+    With ``dry_run`` nothing is written.  The changes are worked out once and staged, so that a
+    file that is read for ``before`` may be written: what stands there when the write begins is
+    in the stage already.
+    """
+    changed = stage(changed_files(before, after.select("name", "content"), "content"), "rewrite")
+    if not dry_run:
+        write_files(changed, folder, backup)
+    old = before.select("name", F.octet_length("content").alias("size_before"))
+    return stage(changed.join(old, "name", "left").select("name", "size_before", F.octet_length("content").alias("size_after")), "rewritten")
+
+
+@pandas_udf(StringType())
+def with_series(metadata: pd.Series, series: pd.Series) -> pd.Series:
+    """Metadata (JSON) with the data series of another JSON text, and the mark that it has data; null where it can't be read."""
+
+    def one(text: str | None, rows: str) -> str | None:
+        try:
+            value = json.loads(text or "")
+            value.setdefault("data_extraction", {}).update(data_series=json.loads(rows), has_quantitative_data=True)
+        except (ValueError, AttributeError):
+            return None
+        return json.dumps(value, ensure_ascii=False)
+
+    return pd.Series([one(t, r) for t, r in zip(metadata, series)], dtype=object)
+
+
+def write_processing_log(spark: SparkSession, logs: str, order: list[str], folder: str, n: int = 1000) -> None:
+    """``processing.log`` in a folder: the last lines of each log under its name."""
+    parts = fresh_path(spark, "log-parts")
+    write_lines(processing_log(file_tails(spark, logs, n=n), order), parts)
+    join_parts(parts, f"{folder.rstrip('/')}/processing.log")
+
+
 def delivery_files(documents: DataFrame, metadata: DataFrame) -> DataFrame:
     """name, content of a delivery: each document's text and the first of its metadata files by name, under short names.
 
@@ -277,32 +314,41 @@ def delivery_files(documents: DataFrame, metadata: DataFrame) -> DataFrame:
     return rows.select(F.explode(both).alias("f")).select("f.*").where("content IS NOT NULL")
 
 
-def split_mapping(plan: DataFrame, ranges: DataFrame) -> DataFrame:
-    """place, line of the JSON of a split: chunks and whole documents, one to a line, and the statistics.
+def json_document(lists: list[tuple[str, DataFrame, list[str]]], values: list[tuple[str, DataFrame]]) -> DataFrame:
+    """place, line of a JSON object: lists with an item to a line, each (name, rows, order), then values of one row, each (name, rows).
 
     The lines in order are one document.  No list is gathered: places come from counts of
-    partitions, and only the last line of a list, known by its count, has no comma.
+    partitions, and only the last line of a list, known by its count, has no comma.  A row with
+    one column ``item`` is that value, any other an object.
     """
-    from leafmill.plans.chunks import split_statistics
-
-    frame = [(1, "{")]  # the lines that no table gives
-    listed, at = [], 1
-    chunk = ranges.select("pdf", "chunk_idx", "chunk", "total_chunks", "start_page", "end_page", "pages")
-    for name, rows, order in (("chunks", chunk, ["pdf", "chunk_idx"]), ("direct", plan.where("status = 'skip'").select("pdf"), ["pdf"])):
+    spark = (lists[0][1] if lists else values[0][1]).sparkSession
+    frame, made, at = [(1, "{")], [], 1  # frame: the lines that no table gives
+    for i, (name, rows, order) in enumerate(lists):
         placed = with_place(rows, *[F.asc(c) for c in order])
         n = placed.count()
-        comma = F.when(F.col("place") < n, ",").otherwise("")
-        listed.append(placed.select((F.col("place") + at + 1).alias("place"), F.concat(F.to_json(F.struct(*rows.columns)), comma).alias("line")))
-        frame += [(at + 1, f'"{name}":['), (at + n + 2, "],")]
+        item = F.to_json(F.array("item")).substr(F.lit(2), F.length(F.to_json(F.array("item"))) - 2) if rows.columns == ["item"] else F.to_json(F.struct(*rows.columns))
+        made.append(placed.select((F.col("place") + at + 1).alias("place"), F.concat(item, F.when(F.col("place") < n, ",").otherwise("")).alias("line")))
+        frame += [(at + 1, f'"{name}":['), (at + n + 2, "]," if values or i + 1 < len(lists) else "]")]
         at += n + 2
-    frame.append((at + 2, "}"))
-    listed.append(split_statistics(plan).select(F.lit(at + 1).cast("long").alias("place"), F.concat(F.lit('"stats":'), F.to_json(F.struct("*"))).alias("line")))
-    every = plan.sparkSession.createDataFrame(frame, "place long, line string")
-    for lines in listed:
+    for i, (name, rows) in enumerate(values):
+        at += 1
+        text = F.concat(F.lit(f'"{name}":'), F.to_json(F.struct("*")), F.lit("," if i + 1 < len(values) else ""))
+        made.append(rows.select(F.lit(at).cast("long").alias("place"), text.alias("line")))
+    frame.append((at + 1, "}"))
+    every = spark.createDataFrame(frame, "place long, line string")
+    for lines in made:
         every = every.unionByName(lines)
     return every
 
 
+def split_mapping(plan: DataFrame, ranges: DataFrame) -> DataFrame:
+    """place, line of the JSON of a split: its chunks, whole documents and statistics."""
+    from leafmill.plans.chunks import split_statistics
+
+    chunk = ranges.select("pdf", "chunk_idx", "chunk", "total_chunks", "start_page", "end_page", "pages")
+    return json_document([("chunks", chunk, ["pdf", "chunk_idx"]), ("direct", plan.where("status = 'skip'").select("pdf"), ["pdf"])], [("stats", split_statistics(plan))])
+
+
 def write_lines(lines: DataFrame, folder: str, parts: int | None = None) -> None:
     """Lines (place, line) as text files, ``parts`` or as many as Spark sees fit, whose names sort in order of the places."""
     dealt = lines.repartitionByRange(parts, "place") if parts else lines.repartitionByRange("place")

@@ -280,13 +280,62 @@ def test_reports(spark, tmp_path):
     total, documents = page_queries.corpus_quality(spark, sf), page_queries.pdf_quality(spark, sf)
     failures = spark.createDataFrame([("a", i, "e") for i in range(40)], "pdf string, page_num int, error string")
     text = reports.quality_report(total, documents, failures, 12.0, top=5)
-    assert all(f"## {h}" in text for h in ("Page sizes", "Content", "Review", "Failed pages", "Resources", "Documents", "Advice")) and "| ... |" in text and "- ...\n" in text
+    assert all(f"## {h}" in text for h in ("Page sizes", "Content", "Review", "Failed pages", "Resources", "Documents", "Advice")) and "| ... |" in text and "- ... 40 in all" in text
     texts = reports.task_reports("t", "2024-01-01", report_queries._runs(spark, sf), report_queries._pages(spark, sf))
     assert set(texts) == {"cost_summary.json", "quality_report.md", "validation_result.json"} and len(json.loads(texts["cost_summary.json"])["details"]) == 50 and "| ... |" in texts["quality_report.md"]
     files.write_texts(spark, texts, str(tmp_path / "r"))
     assert (tmp_path / "r/quality_report.md").read_text() == texts["quality_report.md"]
 
 
+def test_failures_by_kind(spark):
+    from leafmill.catalog import pages as page_queries
+
+    sf = "/root/testdata/sf0.001"
+    failures = spark.createDataFrame([("a" * 50, i, "e" * 60, "permanent") for i in range(40)] + [("b", i, None, "skipped") for i in range(25)], "pdf string, page_num int, error string, kind string")
+    text = reports.quality_report(page_queries.corpus_quality(spark, sf), page_queries.pdf_quality(spark, sf), failures)
+    assert "40 for good, 25 refused by a content check" in text and text.count("\n- " + "a" * 40 + " page ") == 30 and "- ... 40 in all" in text
+    assert text.count("\n- b page ") == 20 and "- ... 25 in all" in text and "e" * 51 not in text
+
+
+def test_delivery_text(spark):
+    findings = spark.createDataFrame([("a", "warning", "size", f"{i:02d}") for i in range(13)] + [("b", "issue", "json", "left")], "pdf string, severity string, check string, message string")
+    summary = reports.check_summary(spark.range(3), findings, 3)
+    text = reports.delivery_text(summary, findings)
+    assert "  ... and 3 more" in text and text.count("[a] size") == 10 and "issues: 1\n  [b] json: left" in text and text.endswith("failed with 1 issues\n")
+    assert reports.delivery_text(reports.check_summary(spark.range(3), findings.limit(0), 3), findings.limit(0)).endswith("all checks passed\n")
+
+
+def test_rewrite(spark, tmp_path):
+    folder = tmp_path / "out"
+    before = spark.createDataFrame([("a.md", "one"), ("b.md", "two"), ("c.md", None)], "name string, content string")
+    files.write_files(before, str(folder))
+    after = spark.createDataFrame([("a.md", "one"), ("b.md", "two!"), ("new.md", "n")], "name string, content string")
+    want = {("b.md", 3, 4), ("new.md", None, 1)}
+    assert set(map(tuple, files.rewrite(before, after, str(folder), dry_run=True).collect())) == want
+    assert (folder / "b.md").read_text() == "two" and not (folder / "new.md").exists()
+    # what is read for the old content is written in the same step
+    read = spark.read.option("pathGlobFilter", "*.md").text(str(folder), wholetext=True).select(F.col("_metadata.file_name").alias("name"), F.col("value").alias("content"))
+    assert set(map(tuple, files.rewrite(read, read.withColumn("content", F.upper("content")), str(folder), backup=True).collect())) == {("a.md", 3, 3), ("b.md", 3, 3)}
+    assert (folder / "b.md").read_text() == "TWO" and (folder / "b.md.bak").read_text() == "two"
+
+
+def test_marks_of_a_second_recovery(spark):
+    details = spark.createDataFrame([("a", [(1, "e"), (2, "e")], (3,)), ("b", [], (0,))], "pdf string, failures array<struct<page_num:long,error:string>>, recovery_info struct<pages_recovered:int>")
+    recovered = spark.createDataFrame([("a", 2, True), ("a", 2, True), ("a", 1, False), ("b", 9, True)], "pdf string, page_num long, success boolean")
+    got = {r.pdf: r for r in recover.marked_failures(details, recovered, "m", "t").collect()}
+    assert [tuple(x) for x in got["a"].failures] == [(1, "e", False, None, None), (2, "e", True, "m", "t")] and got["a"].recovery_info.pages_recovered == 4
+    assert got["b"].failures == [] and got["b"].recovery_info.pages_recovered == 0
+
+
+def test_fill_status(spark):
+    metadata = spark.createDataFrame([("a", '{"x": 1, "data_extraction": {"axes": 2}}', "table", False), ("b", "{}", "table", True), ("c", "{}", "photo", False), ("d", None, None, False), ("e", "{}", "data_table", False), ("f", "{}", "table", False)], "name string, json string, image_type string, has_series boolean")
+    found = spark.createDataFrame([(n, '[{"x": "1"}]') for n in "abcd"] + [("f", "[]")], "name string, series string")
+    got = {r.name: (r.status, r.filled) for r in match.fill_status(metadata, found).collect()}
+    assert {k: v[0] for k, v in got.items()} == {"a": "filled", "b": "skipped", "c": "skipped", "d": "failed", "e": "failed", "f": "failed"}
+    assert got["a"][1] == '{"x": 1, "data_extraction": {"axes": 2, "data_series": [{"x": "1"}], "has_quantitative_data": true}}' and got["b"][1] is None
+    assert {r.name for r in match.fill_status(metadata, found, force=True).where("status = 'filled'").collect()} == {"a", "b"}
+
+
 def test_delivery_report(spark):
     import json
 
