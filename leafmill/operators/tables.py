@@ -2,16 +2,37 @@
 
 from __future__ import annotations
 
+from collections.abc import Callable
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from leafmill.functions import text as T
 
-_BLOCK = r"###\s*(Table[^\n]*)\n+((?:\|[^\n]*(?:\n|\z))+)"
+# The sign of a heading of a table, and the word it begins with.
+HEADING, WORD = "###", "Table"
+
+
+def _named_runs(pages: DataFrame, keys: list[str], text: str, is_row: Callable[[Column], Column]) -> DataFrame:
+    """keys, ordinal, heading and lines of each run of rows that stands below a table's heading.
+
+    Lines are told apart one by one: headings, empty lines, rows, others.  A heading, maybe some
+    empty lines, and then rows up to the first line that is none make a table.
+    """
+    split = pages.select(*keys, F.split(text, "\n").alias("lines"))
+    heading = lambda line: F.ltrim(F.substring_index(line, HEADING, -1))
+    kind = lambda line: F.when(line.contains(HEADING) & heading(line).startswith(WORD), "t").when(line == "", " ").when(is_row(line), "r").otherwise("o")
+    told = split.withColumn("kinds", F.array_join(F.transform("lines", kind), ""))
+    headings = F.filter(F.sequence(F.lit(1), F.size("lines")), lambda i: F.substring("kinds", i, F.lit(1)) == "t")
 
+    def run(i: Column) -> Column:
+        behind = F.substring("kinds", i + 1, F.length("kinds"))
+        rows = F.ltrim(behind)
+        begin = i + 1 + F.length(behind) - F.length(rows)
+        return F.struct(heading(F.get("lines", i - 1)).alias("heading"), F.slice("lines", begin, F.length(rows) - F.length(F.ltrim(rows, F.lit("r")))).alias("lines"))
 
-# Fixed value: a table whose title is split at its first colon.
-_TITLED = r"###\s*(Table[^\n:]*):?[^\S\n]*([^\|\n][^\n]*)?\n+((?:\|[^\n]+\|(?:\n|\z))+)"
+    found = told.select(*keys, F.posexplode(F.filter(F.transform(headings, run), lambda t: F.size(t["lines"]) > 0)).alias("i", "t"))
+    return found.select(*keys, (F.col("i") + 1).alias("ordinal"), F.col("t.heading").alias("heading"), F.col("t.lines").alias("lines"))
 
 
 def glued_headers(text: Column) -> Column:
@@ -21,10 +42,8 @@ def glued_headers(text: Column) -> Column:
 
 def tables(pages: DataFrame, keys: list[str], text: str = "text") -> DataFrame:
     """One row for each table under a ``### Table`` title: ordinal, title, headers, rows, row_count."""
-    title, body = (F.regexp_extract_all(F.col(text), F.lit(_BLOCK), F.lit(i)) for i in (1, 2))
-    found = pages.select(*keys, F.posexplode(F.arrays_zip(title.alias("title"), body.alias("body"))).alias("i", "t"))
-    lines = F.filter(F.split(F.col("t.body"), "\n"), lambda x: x.startswith("|"))
-    rows = found.select(*keys, (F.col("i") + 1).alias("ordinal"), T.strip(F.col("t.title")).alias("title"), lines.alias("lines"))
+    found = _named_runs(pages, keys, text, lambda line: line.startswith("|"))
+    rows = found.select(*keys, "ordinal", T.strip(F.col("heading")).alias("title"), "lines")
     separated = F.get("lines", F.lit(1)).rlike(r"^\|[\s\-:|]+\|")
     first = F.when(separated, 3).otherwise(2)
     data = F.filter(F.transform(F.slice("lines", first, F.greatest(F.size("lines"), F.lit(1))), T.cells), lambda c: F.size(c) > 1)
@@ -37,11 +56,11 @@ def titled_tables(pages: DataFrame, keys: list[str], text: str = "text") -> Data
 
     Rows begin and end with a bar; empty cells are dropped, and rows that have no other.
     """
-    number, title, body = (F.regexp_extract_all(F.col(text), F.lit(_TITLED), F.lit(i)) for i in (1, 2, 3))
-    found = pages.select(*keys, F.posexplode(F.arrays_zip(number.alias("number"), title.alias("title"), body.alias("body"))).alias("i", "t"))
-    lines = F.filter(F.split(F.col("t.body"), "\n"), lambda x: F.length(x) > 0)
+    found = _named_runs(pages, keys, text, lambda line: line.startswith("|") & line.endswith("|") & (F.length(line) > 2))
     full = lambda line: F.filter(F.transform(F.split(line, r"\|"), T.strip), lambda c: F.length(c) > 0)
-    rows = found.select(*keys, (F.col("i") + 1).alias("ordinal"), T.strip(F.col("t.number")).alias("figure_number"), T.strip(F.coalesce("t.title", F.lit(""))).alias("title"), lines.alias("lines")).where(F.size("lines") >= 2)
+    number = F.substring_index("heading", ":", 1)
+    title = F.substring(F.col("heading"), F.length(number) + 2, F.length("heading"))
+    rows = found.where(F.size("lines") >= 2).select(*keys, "ordinal", T.strip(number).alias("figure_number"), T.strip(title).alias("title"), "lines")
     data = F.filter(F.transform(F.slice("lines", F.lit(3), F.greatest(F.size("lines"), F.lit(1))), full), lambda c: F.size(c) > 0)
     shown = rows.withColumn("title", F.when(F.col("title") == "", F.col("figure_number")).otherwise(F.col("title")))
     return shown.select(*keys, "ordinal", "figure_number", "title", full(F.get("lines", F.lit(0))).alias("headers"), F.size(data).alias("row_count"))
