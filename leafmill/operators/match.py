@@ -11,6 +11,7 @@ from pyspark.sql.functions import pandas_udf
 from pyspark.sql.types import DoubleType
 
 from leafmill.functions import text as T
+from leafmill.operators.prefixes import prefix_matches
 
 
 @pandas_udf(DoubleType())
@@ -73,13 +74,10 @@ def fill_status(metadata: DataFrame, found: DataFrame, force: bool = False) -> D
 
 
 def by_prefix(deliveries: DataFrame, chunks: DataFrame) -> DataFrame:
-    """Pairs of deliveries (base) and chunks (chunk) whose normal name begins with the base's.
-
-    Names are joined on each of their prefixes, an equi-join in place of a comparison of all pairs.
-    """
-    named = chunks.withColumn("name", T.normal_name(F.col("chunk")))
-    heads = named.withColumn("head", F.explode(F.transform(F.sequence(F.lit(1), F.length("name")), lambda n: F.col("name").substr(F.lit(1), n))))
-    return deliveries.withColumn("head", T.normal_name(F.col("base"))).join(heads.where(F.length("name") > 0), "head").drop("head", "name")
+    """Pairs of deliveries (base) and chunks (chunk) whose normal name begins with the base's."""
+    asked = deliveries.withColumn("head", T.normal_name(F.col("base")))
+    found = prefix_matches(asked.select("head"), chunks.withColumn("name", T.normal_name(F.col("chunk"))))
+    return asked.join(found, "head").drop("head", "name")
 
 
 def by_short_name(chunks: DataFrame, deliveries: DataFrame) -> DataFrame:

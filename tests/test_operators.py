@@ -213,6 +213,27 @@ def test_best_matches_drop_what_cannot_win(spark, monkeypatch):
     assert len(compared) == 2 and compared[1] <= 20 * 5  # of 20 * 681 pairs
 
 
+@pytest.mark.parametrize("parts", [1, 7, 40])
+def test_prefix_matches(spark, parts):
+    import random
+
+    from leafmill.operators.prefixes import prefix_matches
+
+    r = random.Random(parts)
+    word = lambda k: "".join(r.choice("abé") for _ in range(r.randrange(k)))
+    heads = [word(6) for _ in range(60)] + ["a", "a", "aaaa", None, "ab" * 9]
+    names = [(i, word(9)) for i in range(500)] + [(1000 + i, "aaaab") for i in range(400)] + [(2000, None), (2001, "")]
+    spark.conf.set("spark.sql.shuffle.partitions", str(parts))
+    spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", "false")
+    try:
+        found = prefix_matches(spark.createDataFrame([(h,) for h in heads], "head string"), spark.createDataFrame(names, "id int, name string"))
+        got = sorted((x.id, x.head) for x in found.collect())
+    finally:
+        spark.conf.set("spark.sql.shuffle.partitions", "4")
+        spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", "true")
+    assert got == sorted((i, h) for i, n in names for h in {h for h in heads if h} if n and n.startswith(h))
+
+
 def test_places(spark):
     rows = spark.createDataFrame([(i * 7919 % 1000, i % 3) for i in range(1000)], "v int, g int")
     got = ranks.with_place(rows, F.desc("v")).collect()
