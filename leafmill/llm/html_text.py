@@ -10,7 +10,8 @@ Tags and class words that usually mark boilerplate, and those that mark an artic
 of the fused ratio and nothing more: whatever is far richer than the rest of its page is content,
 whatever it is called.  Headings, short paragraphs, lists and captions have poor ratios of their
 own; they stay if they lie in the element that holds content nodes, or between the first and
-the last of these, are no list of links, and carry no mark that the content does not carry.
+the last of these, carry no mark that the content does not carry, and are no list of links
+outside an article.
 """
 
 from __future__ import annotations
@@ -51,6 +52,8 @@ CLASS_FACTORS = (
         re.I,
     )),
 )
+#: What marks a paragraph, quotation or item of an article itself; its other class words say what it is, as a correction or a quotation.
+OWN_MARKS = re.compile(r"(?:^|[\s_-])(?:ads?|advert\w*|adsense|sponsor\w*|promo\w*|newsletter|subscribe|signup|share|sharing|social)(?:$|[\s_-])", re.I)
 #: Smallest factor of a path, however many marks it carries.
 LEAST_FACTOR = 0.002
 SMOOTH = np.exp(-0.5 * np.arange(-2, 3) ** 2.0)
@@ -124,8 +127,9 @@ def read_page(source: str) -> Page:
             own = 1.0  # the header of an article holds its title
         elif own < 1:
             marked = name != "header"
+        own_text = name in LEAVES and story >= 0 and page.tag[story] == "article"
         for value, pattern in CLASS_FACTORS if named else ():
-            if pattern.search(named):
+            if (OWN_MARKS if own_text else pattern).search(named):
                 own, marked = own * value, 1
                 break
         step = f"{name}.{_digits.sub('', named)}" if named else name
@@ -236,7 +240,14 @@ def common_ancestor(page: Page, nodes: set[int]) -> int:
 
 def selected(page: Page) -> np.ndarray:
     """Which blocks belong to the article."""
-    chosen = content(scores(page))
+    score = scores(page)
+    # beside an unmarked article that has text of its own, nothing marked wins
+    inside = np.array([page.story[k] >= 0 and page.tag[page.story[k]] == "article" and not page.marks[page.story[k]] for k in page.node])
+    marked = np.array([page.marks[k] > 0 for k in page.node])
+    own = np.array([2 * k < len(t) for t, k in zip(page.text, page.linked)])
+    if (inside & ~marked & own).any():
+        score = np.where(marked & ~inside, 0.0, score)
+    chosen = content(score)
     keep = chosen.copy()
     if not chosen.any():
         return keep
@@ -256,7 +267,7 @@ def selected(page: Page) -> np.ndarray:
     for k in np.flatnonzero(~chosen).tolist():
         node = page.node[k]
         heading = page.tag[node] in HEADINGS
-        if dense[k] and not lonely[k] and not heading:
+        if dense[k] and not lonely[k] and not heading and not inside[k]:
             continue
         if allowed[node] >= 0:
             keep[k] = page.marks[node] <= allowed[node]

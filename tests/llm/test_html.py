@@ -42,6 +42,11 @@ LAYOUTS = {
     "unclosed inline": ("<article><h1>Ab.</h1><p><b>Ab.<br><p>Cd, ef.</p></article><div class=ad>In in oredble ea.</div>", "Ab.\n\nAb.\n\nCd, ef."),
     "short article, long advert": ("<body><nav><a href=1>x</a></nav><div class=ad>Nicht aulich für sch erüver enau sch der.</div><article><h1>Be.</h1><p>Be.</p></article><footer>&copy; m.example.net &middot; Ist der die einütz eine von.</footer>", "Be.\n\nBe."),
     "link in a paragraph": (f"<article><p>{P[0]}</p><p><a href=1>The whole report</a></p><p>{P[1]}</p></article>", f"{P[0]}\n\nThe whole report\n\n{P[1]}"),
+    "list of sources": (f'<nav>{MENU}</nav><article><p>{P[0]}</p><p>{P[1]}</p><ul><li><a href=1>First source</a></li><li><a href=2>Second source</a></li></ul></article>', f"{P[0]}\n\n{P[1]}\n\nFirst source\n\nSecond source"),
+    "marked list of links": (f'<article><p>{P[0]}</p><p>{P[1]}</p><ul class="related"><li><a href=1>Another story</a></li><li><a href=2>One more</a></li></ul></article>', f"{P[0]}\n\n{P[1]}"),
+    "correction and quotation": (f'<article><p>{P[0]}</p><p class="notice">Correction: it was nine.</p><blockquote class="related-quote">They said so, twice.</blockquote><p class="advert">Buy this.</p><p>{P[1]}</p></article>', f"{P[0]}\n\nCorrection: it was nine.\n\nThey said so, twice.\n\n{P[1]}"),
+    "short article, long aside": (f"<article><h1>T</h1><p>It is so, they say.</p></article><aside>{STORY}</aside>", "T\n\nIt is so, they say."),
+    "article of links only, story in a marked div": (f'<article><a href=1>Read on</a></article><div class="side-story">{STORY}</div>', TEXT),
     "menu only": ("<nav>a</nav>", ""),
     "links only": (f"<body>{MENU}</body>", ""),
 }
