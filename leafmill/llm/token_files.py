@@ -253,7 +253,9 @@ def write_tokens(docs: DataFrame, uri: str, encode: Callable[[], Callable[[list[
 
     filesystem, path = _fs(uri)
     filesystem.create_dir(path, recursive=True)
-    ordered = docs.select("doc_id", F.coalesce("text", F.lit("")).alias("text")).repartitionByRange(F.col("doc_id").asc_nulls_first()).sortWithinPartitions(F.col("doc_id").asc_nulls_first(), "text")
+    # the beginning of the text deals rows that share a doc_id, or have none, to several partitions, in the order of the sort
+    dealt = docs.select("doc_id", F.coalesce("text", F.lit("")).alias("text")).repartitionByRange(F.asc_nulls_first("doc_id"), F.left("text", F.lit(256)))
+    ordered = dealt.sortWithinPartitions(F.asc_nulls_first("doc_id"), "text")
     manifest = ordered.mapInArrow(run, SHARD_SCHEMA).collect()
     return sorted(manifest, key=lambda r: (r.part, r.uri))
 

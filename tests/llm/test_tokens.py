@@ -29,6 +29,22 @@ def test_token_files(spark, docs):
     assert [(r.doc_id, r.start, r.n_tokens, r.ids_crc32) for r in got] == want
 
 
+def test_token_files_of_one_id(spark, make_prose):
+    """Rows without a doc_id are shared by several tasks and stand in order of their texts."""
+    docs = spark.createDataFrame([(None if i % 3 else i, make_prose(i, 40)) for i in range(300)], "doc_id long, text string")
+    path = public_tokenizers.path("byte_bpe_50k.json")
+    spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", "false")
+    try:
+        manifest = token_files.write_tokens(docs, fresh_path(spark, "t"), lambda: token_files.encoder(path), 50257)
+    finally:
+        spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", "true")
+    assert sum(not m.has_key for m in manifest) > 1 and max(m.rows for m in manifest) < 150
+    lib = Tokenizer.from_file(path)
+    rows = sorted(docs.collect(), key=lambda r: (r.doc_id is not None, r.doc_id or 0, r.text))
+    got = token_files.read_tokens(spark, manifest).orderBy("start").collect()
+    assert [(r.doc_id, r.ids) for r in got] == [(r.doc_id, np.array([*lib.encode(r.text, add_special_tokens=False).ids, 0], "<u4").tobytes()) for r in rows]
+
+
 def test_token_files_small_shards(spark, docs):
     path = public_tokenizers.path("byte_bpe_50k.json")
     manifest = token_files.write_tokens(docs, fresh_path(spark, "t"), lambda: token_files.encoder(path), 50257, shard_tokens=500)
