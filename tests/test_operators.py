@@ -3,7 +3,7 @@ from pyspark.sql import functions as F
 
 from leafmill.operators import clean, context, match, merge, parse, quality, ranks, recover, render, reports, similar, tables
 from leafmill.plans import chunks
-from leafmill.sources import files, providers
+from leafmill.sources import files, pdf, providers
 from leafmill.streaming import state
 
 
@@ -120,7 +120,7 @@ def test_files(spark, tmp_path):
     (tmp_path / "f.yaml").write_text("figures:\n- figure_number: 1\n")
     (tmp_path / "bad.yaml").write_text("a: [")
     (tmp_path / "x.validation.yaml").write_text("a: 1")
-    (tmp_path / "d.pdf").write_bytes(b"%PDF /Type /Pages /Type /Page /Type/Page >>")
+    (tmp_path / "d.pdf").write_bytes(pdf.pdf_bytes([b"one", b"two"]))
     assert [(r.pdf, r.markdown) for r in files.markdown_files(spark, str(tmp_path)).collect()] == [("a", "# a\n")]
     assert {r.name: r.json for r in files.yaml_files(spark, str(tmp_path)).collect()} == {"f": '{"figures": [{"figure_number": 1}]}', "bad": None}
     assert files.with_page_counts(files.binary_files(spark, str(tmp_path))).first().total_pages == 2
