@@ -138,7 +138,9 @@ def _symbols(rows: DataFrame) -> DataFrame:
     """Rows with ``key`` (equal for equal rows of one turn), the end of the text, and ``first_turn`` where role and text come again."""
     known = rows.select("conv_id", "turn", "role", F.coalesce("text", F.lit("")).alias("text")).withColumns({"content": F.sha2("text", 256), "ending": F.right(F.rtrim("text", F.lit(_WHITE)), F.lit(1))})
     turn = F.struct("turn")  # a null turn is the least
-    again = known.where(F.col("role").isNotNull() & (F.col("ending") != "")).groupBy("conv_id", "role", "content").agg(F.min(turn).alias("first_turn"), F.count("*").alias("n")).where("n > 1").drop("n")
+    again = known.where(F.col("role").isNotNull() & (F.col("ending") != "")).groupBy("conv_id", "role", "content").agg(F.min(turn).alias("first_turn"), F.max(turn).alias("last_turn"))
+    # few rows, as repeats within a turn are neighbours and not looked for here; staged, so that Spark knows their size before it joins
+    again = stage(again.where(~F.col("first_turn").eqNullSafe(F.col("last_turn"))).drop("last_turn"), "again")
     c, a = known.alias("c"), again.alias("a")
     same = F.col("c.conv_id").eqNullSafe(F.col("a.conv_id")) & (F.col("c.role") == F.col("a.role")) & (F.col("c.content") == F.col("a.content"))
     later = F.coalesce(~F.col("a.first_turn.turn").eqNullSafe(F.col("c.turn")), F.lit(False)) & F.col("a.first_turn").isNotNull()
