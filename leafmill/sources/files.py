@@ -300,17 +300,19 @@ def write_processing_log(spark: SparkSession, logs: str, order: list[str], folde
     join_parts(parts, f"{folder.rstrip('/')}/processing.log")
 
 
-def delivery_files(documents: DataFrame, metadata: DataFrame) -> DataFrame:
+def delivery_files(documents: DataFrame, metadata: DataFrame, name: str | None = None) -> DataFrame:
     """name, content of a delivery: each document's text and the first of its metadata files by name, under short names.
 
-    Documents whose short names meet are numbered in order of their names.
+    Documents whose short names meet are numbered in order of their names.  Where whole names are
+    too long to be dealt around, ``pdf`` may be any key in the same order, and ``name`` the column
+    with the begin of the name.  No side is small: texts and files are never broadcast.
     """
     first = metadata.where(~F.col("name").endswith(".validation.yaml")).groupBy("pdf").agg(F.min_by("content", "name").alias("meta"))
-    short = T.delivery_name(F.col("pdf").cast("string"))
+    short = T.delivery_name(F.col(name or "pdf").cast("string"))
     place = F.row_number().over(Window.partitionBy(short).orderBy("pdf"))
-    rows = documents.join(first, "pdf", "left").withColumn("place", place)
-    name = F.concat(short, F.when(F.col("place") > 1, F.concat(F.lit("-"), F.col("place").cast("string"))).otherwise(""))
-    both = F.array(F.struct(F.concat(name, F.lit(".md")).alias("name"), F.col("markdown").alias("content")), F.struct(F.concat(name, F.lit(".yaml")).alias("name"), F.col("meta").alias("content")))
+    rows = documents.join(first.hint("merge"), "pdf", "left").withColumn("place", place)
+    made = F.concat(short, F.when(F.col("place") > 1, F.concat(F.lit("-"), F.col("place").cast("string"))).otherwise(""))
+    both = F.array(F.struct(F.concat(made, F.lit(".md")).alias("name"), F.col("markdown").alias("content")), F.struct(F.concat(made, F.lit(".yaml")).alias("name"), F.col("meta").alias("content")))
     return rows.select(F.explode(both).alias("f")).select("f.*").where("content IS NOT NULL")
 
 
