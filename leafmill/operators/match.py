@@ -81,17 +81,24 @@ def by_prefix(deliveries: DataFrame, chunks: DataFrame) -> DataFrame:
 
 
 def by_short_name(chunks: DataFrame, deliveries: DataFrame) -> DataFrame:
-    """The delivery of each chunk: mutual prefix of 20 characters first, else equal first 15; the first by name."""
-    name = lambda c: T.alnum_name(F.col(c))
-    c = chunks.withColumn("c", name("chunk"))
-    d = deliveries.withColumn("d", name("delivery"))
-    long = c.withColumn("k", F.substring("c", 1, 20)).join(d.withColumn("k", F.substring("d", 1, 20)), "k").withColumn("tier", F.lit(1))
+    """The delivery of each chunk: mutual prefix of 20 characters first, else equal first 15; the first by name.
+
+    Only the first delivery of each key is joined, so no pairs beyond one a chunk and key are made.
+    Both sides grow alike, so neither is broadcast, whatever their files' sizes promise.
+    """
+    c = chunks.withColumn("c", T.alnum_name(F.col("chunk")))
+    d = deliveries.withColumn("d", T.alnum_name(F.col("delivery")))
+    begins = lambda name: F.explode(F.transform(F.sequence(F.lit(1), F.least(F.length(name), F.lit(20))), lambda n: F.col(name).substr(F.lit(1), n)))
+
+    def met(c: DataFrame, c_key: Column, d: DataFrame, d_key: Column, tier: int) -> DataFrame:
+        first = d.select(d_key.alias("k"), "delivery").where(F.length("k") > 0).groupBy("k").agg(F.min("delivery").alias("delivery"))
+        return c.select(c_key.alias("k"), "chunk").where(F.length("k") > 0).join(first.hint("merge"), "k").select("chunk", "delivery", F.lit(tier).alias("tier"))
+
+    every = met(c, F.substring("c", 1, 20), d, F.substring("d", 1, 20), 1)
     # one name shorter than 20 characters is a prefix of the other
-    short = c.where(F.length("c") < 20).withColumn("k", F.col("c")).join(d.withColumn("k", F.explode(F.transform(F.sequence(F.lit(1), F.least(F.length("d"), F.lit(20))), lambda n: F.col("d").substr(F.lit(1), n)))), "k").withColumn("tier", F.lit(1))
-    back = d.where(F.length("d") < 20).withColumn("k", F.col("d")).join(c.withColumn("k", F.explode(F.transform(F.sequence(F.lit(1), F.least(F.length("c"), F.lit(20))), lambda n: F.col("c").substr(F.lit(1), n)))), "k").withColumn("tier", F.lit(1))
-    rest = c.withColumn("k", F.substring("c", 1, 15)).join(d.withColumn("k", F.substring("d", 1, 15)), "k").withColumn("tier", F.lit(2))
-    pairs = [p.where(F.length("k") > 0).select("chunk", "delivery", "tier") for p in (long, short, back, rest)]
-    every = pairs[0].unionByName(pairs[1]).unionByName(pairs[2]).unionByName(pairs[3])
+    every = every.unionByName(met(c.where(F.length("c") < 20), F.col("c"), d, begins("d"), 1))
+    every = every.unionByName(met(c, begins("c"), d.where(F.length("d") < 20), F.col("d"), 1))
+    every = every.unionByName(met(c, F.substring("c", 1, 15), d, F.substring("d", 1, 15), 2))
     found = every.groupBy("chunk").agg(F.min(F.struct("tier", "delivery")).alias("m"))
     return found.select("chunk", "m.delivery", "m.tier")
 

@@ -5,6 +5,7 @@ import re
 from pyspark.sql import functions as F
 
 from leafmill.catalog import rendering
+from leafmill.operators import match
 from leafmill.sources import files
 
 
@@ -29,3 +30,23 @@ def test_delivery_names_in_order_without_their_underscores(spark, tmp_path, monk
         want |= {(f"{name}.md", 1 + k % 40)} | ({(f"{name}.yaml", len(b))} if k % 2 else set())
     assert sorted(map(tuple, got.collect())) == sorted(want)
     assert given[0].agg(F.max(F.length(F.to_json(F.struct("*"))))).first()[0] < 400
+
+
+def test_short_names_are_matched_without_broadcast(spark):
+    chunks = [f"{'Ab' * (k % 15)}{k % 7}x{'q' * (k % 3)}_part1of2" for k in range(150)] + ["", "--"]
+    chunks += ["Cd" * 8 + "1" * 9]
+    deliveries = [f"{'ab' * (k % 14)}{k % 5}-X" for k in range(80)] + [f"{'ab' * (k % 9)}" for k in range(80)] + ["", "cd" * 8 + "2" * 9]
+    alnum = lambda n: re.sub("[^a-zA-Z0-9]", "", re.sub(r"_part\d+of\d+$", "", n)).lower()
+
+    def tier(c, d):
+        near = c[:20] == d[:20] or (len(c) < 20 and d[:20].startswith(c)) or (len(d) < 20 and c[:20].startswith(d))
+        return 1 if near else 2 if c[:15] == d[:15] else None
+
+    want = set()
+    for chunk in set(chunks):
+        c = alnum(chunk)
+        found = [(tier(c, alnum(d)), d) for d in deliveries if c and alnum(d) and tier(c, alnum(d))]
+        want |= {(chunk, min(found)[1], min(found)[0])} if found else set()
+    got = match.by_short_name(spark.createDataFrame([(x,) for x in chunks], "chunk string"), spark.createDataFrame([(x,) for x in deliveries], "delivery string"))
+    assert "Broadcast" not in plan(got)
+    assert {tuple(r) for r in got.collect()} == want and any(t == 2 for _, _, t in want)
