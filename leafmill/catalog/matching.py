@@ -247,11 +247,11 @@ def fill_files(spark, sf_dir):
     pages = _tables(spark, sf_dir)
     found = match.best_tables(match.table_scores(charts, pages.select("pdf", "page_num", F.col("page_num").alias("table"), F.col("title").alias("table_title"), "headers"))).where(F.col("at") == F.col("table"))
     rows = F.to_json(F.transform("rows", lambda r: F.struct(r[0].alias("x"), r[1].alias("balance"), r[2].alias("segment"))))
-    series = found.select(F.col("chart").alias("name"), "table").join(pages.select(F.col("page_num").alias("table"), rows.alias("series")), "table").select("name", "series")
+    series = pages.select(F.col("page_num").alias("table"), rows.alias("series"))
     k = F.col("s_suppkey") % 5
     kind = F.when(k == 1, "photo").otherwise("data_table")
     metadata = s.select(F.col("s_suppkey").alias("name"), F.when(k != 0, F.to_json(F.struct(kind.alias("image_type")))).alias("json"), kind.alias("image_type"), (k == 2).alias("has_series"))
-    return match.fill_status(metadata, series).select(F.col("name").alias("file"), "status", "filled")
+    return match.fill_from_tables(metadata, found.select(F.col("chart").alias("name"), "table"), series).select(F.col("name").alias("file"), "status", "filled")
 
 
 @query("fill_counts", "SELECT count(*) AS total, count(CASE WHEN s % 5 IN (3, 4) AND n THEN 1 END) AS filled, count(CASE WHEN s % 5 IN (1, 2) THEN 1 END) AS skipped, count(CASE WHEN s % 5 = 0 OR (s % 5 IN (3, 4) AND NOT n) THEN 1 END) AS failed FROM (SELECT s_suppkey AS s, s_nationkey IN (SELECT c_nationkey FROM customer) AS n FROM supplier)")

@@ -12,6 +12,7 @@ from pyspark.sql.types import DoubleType
 
 from leafmill.functions import text as T
 from leafmill.operators.prefixes import prefix_matches
+from leafmill.operators.ranks import SALT
 
 
 @pandas_udf(DoubleType())
@@ -56,6 +57,13 @@ def matched_tables(charts: DataFrame, tables: DataFrame) -> DataFrame:
     return best_tables(near).unionByName(best_tables(far))
 
 
+def _status(force: bool, usable: Column) -> Column:
+    from leafmill.operators.parse import fillable
+
+    wanted = fillable(F.coalesce("image_type", F.lit("")), F.col("has_series"), force)
+    return F.when(F.col("json").isNull(), "failed").when(~wanted, "skipped").when(usable, "filled").otherwise("failed")
+
+
 def fill_status(metadata: DataFrame, found: DataFrame, force: bool = False) -> DataFrame:
     """Metadata files (name, json, image_type, has_series) with ``status``: filled, skipped or failed, and ``filled`` (JSON; else null).
 
@@ -63,14 +71,27 @@ def fill_status(metadata: DataFrame, found: DataFrame, force: bool = False) -> D
     Unreadable metadata (null) fails, metadata of anything but tables and tables that have a
     series already are skipped unless ``force``, and a table without a match or rows fails.
     """
-    from leafmill.operators.parse import fillable
     from leafmill.sources.files import with_series
 
-    rows = metadata.join(found, "name", "left")
-    wanted = fillable(F.coalesce("image_type", F.lit("")), F.col("has_series"), force)
-    usable = F.col("series").isNotNull() & (F.col("series") != "[]")
-    status = F.when(F.col("json").isNull(), "failed").when(~wanted, "skipped").when(usable, "filled").otherwise("failed")
-    return rows.withColumn("status", status).withColumn("filled", F.when(F.col("status") == "filled", with_series("json", F.coalesce("series", F.lit("[]"))))).drop("series")
+    rows = metadata.join(found, "name", "left").withColumn("status", _status(force, F.col("series").isNotNull() & (F.col("series") != "[]")))
+    return rows.withColumn("filled", F.when(F.col("status") == "filled", with_series("json", F.coalesce("series", F.lit("[]"))))).drop("series")
+
+
+def fill_from_tables(metadata: DataFrame, found: DataFrame, series: DataFrame, force: bool = False) -> DataFrame:
+    """``fill_status`` where many files share a table: ``found`` (name, table), ``series`` (table, series), a row for each.
+
+    A table's rows are read and written once for each text they go into, not for each file, and
+    only the last join, which shuffles none of its output, has a copy for each file.  That join is
+    dealt in ``SALT`` parts, so that a table with many files is no single task.
+    """
+    from leafmill.sources.files import with_series
+
+    usable = series.where(F.col("series") != "[]").select("table", F.lit(True).alias("_usable"))
+    rows = metadata.join(found, "name", "left").join(usable, "table", "left").withColumn("status", _status(force, F.coalesce("_usable", F.lit(False)))).drop("_usable")
+    made = rows.where("status = 'filled'").select("json", "table").distinct().join(series, "table").select("json", "table", with_series("json", "series").alias("filled"))
+    part = F.pmod(F.xxhash64("name"), F.lit(SALT))
+    dealt = made.withColumns({"_part": F.explode(F.sequence(F.lit(0).cast("long"), F.lit(SALT - 1).cast("long"))), "status": F.lit("filled")})
+    return rows.withColumn("_part", part).join(dealt.hint("merge"), ["status", "json", "table", "_part"], "left").drop("_part", "table")
 
 
 def by_prefix(deliveries: DataFrame, chunks: DataFrame) -> DataFrame:

@@ -1,7 +1,10 @@
 """What grew faster than the input, or was left to a guess of sizes."""
 
+import json
+import random
 import re
 
+import pytest
 from pyspark.sql import functions as F
 
 from leafmill.catalog import rendering
@@ -50,3 +53,47 @@ def test_short_names_are_matched_without_broadcast(spark):
     got = match.by_short_name(spark.createDataFrame([(x,) for x in chunks], "chunk string"), spark.createDataFrame([(x,) for x in deliveries], "delivery string"))
     assert "Broadcast" not in plan(got)
     assert {tuple(r) for r in got.collect()} == want and any(t == 2 for _, _, t in want)
+
+
+def test_a_table_is_written_once_for_all_its_files(spark):
+    metadata = spark.createDataFrame([(f"f{k}", [None, '{"x": 1}', "{}", "[1]"][k % 4], "photo" if k % 9 == 0 else "table", k % 7 == 0) for k in range(120)], "name string, json string, image_type string, has_series boolean")
+    found = spark.createDataFrame([(f"f{k}", k % 3) for k in range(100)], "name string, table int")
+    series = spark.createDataFrame([(0, '[{"x": "1"}]'), (1, "[]"), (3, '[{"x": "2"}]')], "table int, series string")
+    for force in (False, True):
+        got = match.fill_from_tables(metadata, found, series, force)
+        want = match.fill_status(metadata, found.join(series, "table").select("name", "series"), force)
+        assert sorted(map(str, got.select(*want.columns).collect())) == sorted(map(str, want.collect()))
+    # the call of Python stands below the join that makes a copy for each file
+    text = plan(got)
+    assert 0 <= text.index("SortMergeJoin") < text.index("with_series(")
+
+
+def test_libyaml_reads_and_writes_what_pyyaml_does(monkeypatch):
+    yaml = pytest.importorskip("yaml")
+    r = random.Random(3)
+    signs = ["a", "b:", " ", "- ", "\n", "#", "'", '"', "é", "[", "]", "{", "}", ",", "1", "1e3", "true", "~", "2024-01-01", ":", "|", ">", "&x", "*x", "%", "\n  ", "!", "?", "=", "<<", "---", "\\", "\t", "\x85", "12:30", "word word word word word word"]
+
+    def read(f, text):
+        try:
+            return json.dumps(f(text), default=str)
+        except (yaml.YAMLError, ValueError, TypeError) as e:
+            return str(e)
+
+    def some(depth=0):
+        kind = r.randrange(7 if depth < 3 else 4)
+        if kind < 4:
+            return r.choice([1, 1.5, None, True, "".join(r.choices(signs, k=r.randrange(20)))])
+        return [some(depth + 1) for _ in range(kind)] if kind == 4 else {"".join(r.choices(signs, k=r.randrange(4))): some(depth + 1) for _ in range(kind)}
+
+    for _ in range(20_000):
+        text = "".join(r.choices(signs, k=r.randrange(12)))
+        assert read(files._load, text) == read(yaml.safe_load, text), text
+    for _ in range(2_000):
+        value = some()
+        assert files._dumped(json.dumps(value, ensure_ascii=False)) == yaml.safe_dump(value, allow_unicode=True, sort_keys=False, default_flow_style=False)
+    # a long file takes the short way
+    long = {"page_by_page_results": [{"page_num": k, "success": True, "error": "TimeoutError: read"} for k in range(20)]}
+    text = yaml.safe_dump(long, sort_keys=False)
+    for slow in ("safe_load", "SafeDumper"):
+        monkeypatch.setattr(yaml, slow, None)
+    assert files._load(text) == long and files._dumped(json.dumps(long)) == text
