@@ -10,6 +10,7 @@ from leafmill.catalog.rendering import _DOC, documents
 from leafmill.functions import text as T
 from leafmill.operators import recover, reports
 from leafmill.sources import files
+from leafmill.sources.shared import stage
 from leafmill.sources.tables import table
 
 _PAGES = """SELECT source AS pdf, CASE WHEN d.doc_id % 41 = 0 THEN 'failed' WHEN d.doc_id % 29 = 0 THEN 'skipped' ELSE 'ok' END AS status, d.doc_id % 3 AS figures, CASE WHEN d.doc_id % 17 = 0 THEN 0 ELSE d.doc_id % 3 END AS metas,
@@ -202,7 +203,8 @@ def recovered_validation(spark, sf_dir):
     details = recover.marked_failures(reports.page_details(numbered, "pdf"), recovered, "second", "2024-01-01")
     made = reports.validation_yaml(kqi_metrics(spark, sf_dir), details)
     schema = "document_info struct<filename:string>, failed_pages_detail array<struct<page_num:long,recovered:boolean,recovered_by:string,recovered_at:string>>, recovery_info struct<pages_recovered:long>"
-    rows = made.select(F.from_json(files.yaml_to_json("content"), schema).alias("v")).select("v.*").where(F.size("failed_pages_detail") > 0)
+    read = stage(made.select(files.yaml_to_json("content").alias("json")), "validation")  # the filter below would read each file again
+    rows = read.select(F.from_json("json", schema).alias("v")).select("v.*").where(F.size("failed_pages_detail") > 0)
     line = lambda x: F.concat(x["page_num"].cast("string"), F.when(x["recovered"], F.concat(F.lit(" by "), x["recovered_by"])).otherwise(" open"))
     return rows.select(F.col("document_info.filename").alias("pdf"), F.array_join(F.transform("failed_pages_detail", line), ", ").alias("failures"), F.col("recovery_info.pages_recovered").alias("pages_recovered"))
 
