@@ -120,3 +120,13 @@ def test_limit_reaches_the_reader(spark, folder):
 def test_counts_of_files(spark, folder):
     got = {r.pdf: r.total_pages for r in files.with_page_counts(files.binary_files(spark, folder, recursive=True)).collect()}
     assert got == {"large": 40, "small": 2, "broken": None}
+
+
+def test_small_pdf_files_share_a_task(spark, tmp_path):
+    for k in range(500):
+        (tmp_path / f"{k}.pdf").write_bytes(pdf.pdf_bytes([b"%d" % k] * (1 + k % 3)))
+    (tmp_path / "broken.pdf").write_bytes(b"%PDF nothing")
+    pdf.register(spark)
+    rows = spark.read.format("pdf_pages").load(str(tmp_path))
+    assert rows.rdd.getNumPartitions() < 40
+    assert sorted((r.pdf, r.page_num, bytes(r.content)) for r in rows.collect()) == sorted((str(k), n + 1, b"%d" % k) for k in range(500) for n in range(1 + k % 3))
