@@ -11,7 +11,7 @@ from leafmill.functions import text as T
 from leafmill.operators import recover, reports
 from leafmill.sources import files
 from leafmill.sources.shared import stage
-from leafmill.sources.tables import table
+from leafmill.sources.tables import spread, table
 
 _PAGES = """SELECT source AS pdf, CASE WHEN d.doc_id % 41 = 0 THEN 'failed' WHEN d.doc_id % 29 = 0 THEN 'skipped' ELSE 'ok' END AS status, d.doc_id % 3 AS figures, CASE WHEN d.doc_id % 17 = 0 THEN 0 ELSE d.doc_id % 3 END AS metas,
  d.doc_id % 2 AS tables, d.doc_id % 5 AS formulas, n_chars AS tokens, n_chars // 3 AS tokens_input, n_chars - n_chars // 3 AS tokens_output, CASE quality WHEN 1 THEN 'high' WHEN 0 THEN 'low' END AS confidence FROM documents d LEFT JOIN labels USING (doc_id)"""
@@ -253,5 +253,5 @@ _YAML = "CASE c_custkey % 4 WHEN 0 THEN 'a: ' || c_custkey WHEN 1 THEN 'a: [1, '
 def metadata_checks(spark, sf_dir):
     k = F.col("c_custkey") % 4
     text = F.when(k == 0, F.concat(F.lit("a: "), F.col("c_custkey").cast("string"))).when(k == 1, F.concat(F.lit("a: [1, "), F.col("c_custkey").cast("string"))).when(k == 2, F.concat(F.lit("# "), "c_name", F.lit(" only a comment"))).otherwise("")
-    found = reports.metadata_checks(table(spark, sf_dir, "customer").select(F.col("c_name").alias("name"), text.alias("text")))
+    found = reports.metadata_checks(spread(table(spark, sf_dir, "customer")).select(F.col("c_name").alias("name"), text.alias("text")))
     return found.withColumn("message", F.regexp_replace("message", ":.*", ""))

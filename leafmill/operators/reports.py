@@ -153,7 +153,9 @@ def metadata_checks(files: DataFrame) -> DataFrame:
     rows = files.where(~F.col("name").startswith("VALIDATION_REPORT")).withColumn("read", yaml_read("text")).withColumns({"error": F.col("read.error"), "json": F.col("read.json")})
     empty = F.col("error").isNull() & F.coalesce(F.col("json") == "null", F.col("json").isNull()) & (F.octet_length("text") > 10)
     found = F.when(F.col("error").isNotNull(), F.struct(F.lit("issue").alias("severity"), F.concat(F.lit("unreadable: "), "error").alias("message"))).when(empty, F.struct(F.lit("warning").alias("severity"), F.lit("nothing in it").alias("message")))
-    return rows.withColumn("x", found).where("x IS NOT NULL").select(F.col("name").alias("pdf"), "x.severity", F.lit("yaml").alias("check"), "x.message")
+    # exploded, since a filter would be moved below and read every file again
+    rows = rows.select("name", F.explode(F.filter(F.array(found), lambda x: x.isNotNull())).alias("x"))
+    return rows.select(F.col("name").alias("pdf"), "x.severity", F.lit("yaml").alias("check"), "x.message")
 
 
 def delivery_statistics(documents: DataFrame) -> DataFrame:

@@ -97,3 +97,13 @@ def test_libyaml_reads_and_writes_what_pyyaml_does(monkeypatch):
     for slow in ("safe_load", "SafeDumper"):
         monkeypatch.setattr(yaml, slow, None)
     assert files._load(text) == long and files._dumped(json.dumps(long)) == text
+
+
+def test_metadata_is_checked_on_all_cores_and_read_once(spark):
+    from leafmill.catalog import reports
+
+    sf = "/root/testdata/sf0.001"
+    assert reports.metadata_checks(spark, sf).rdd.getNumPartitions() == spark.sparkContext.defaultParallelism
+    assert len(re.findall(r"ArrowEvalPython \[", plan(reports.metadata_checks(spark, sf)))) == 1
+    # the filter on what was read calls Python no second time
+    assert plan(reports.recovered_validation(spark, sf)).count("yaml_to_json(") == 0
