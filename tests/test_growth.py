@@ -107,3 +107,13 @@ def test_metadata_is_checked_on_all_cores_and_read_once(spark):
     assert len(re.findall(r"ArrowEvalPython \[", plan(reports.metadata_checks(spark, sf)))) == 1
     # the filter on what was read calls Python no second time
     assert plan(reports.recovered_validation(spark, sf)).count("yaml_to_json(") == 0
+
+
+def test_batches_for_python_are_bounded_by_bytes(spark):
+    from leafmill import catalog
+
+    catalog.load()
+    catalog.QUERIES["cleaned_documents"](spark, "/root/testdata/sf0.001")
+    rows = spark.range(400, numPartitions=1).select(F.repeat(F.lit("x"), F.lit(100_000)).alias("t"))
+    sizes = [r.n for r in rows.mapInPandas(lambda batches: (b[["t"]].iloc[:1].assign(n=len(b))[["n"]] for b in batches), "n long").collect()]
+    assert sum(sizes) == 400 and max(sizes) * 100_000 <= catalog.BATCH_BYTES + 200_000
