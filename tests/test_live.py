@@ -5,6 +5,7 @@ import json
 import random
 
 import pytest
+from pyspark.sql import Row
 from pyspark.sql import functions as F
 
 from leafmill.catalog import planning
@@ -66,6 +67,57 @@ def test_live_state_over_several_batches(spark, tmp_path):
     assert open_errors and all(any(e[5] and (e[1], e[2]) == k for e in given) for k in open_errors)
 
 
+def test_a_group_calls_the_store_a_few_times_for_any_number_of_rows():
+    calls = []
+
+    class Store:
+        def __init__(self, *_):
+            self.held = []
+
+        def __getattr__(self, name):
+            def call(*args):
+                calls.append(name)
+                if name in ("update", "put"):
+                    self.held = list(args) if name == "update" else list(args[0])
+                elif name in ("appendValue", "appendList"):
+                    self.held += args if name == "appendValue" else args[0]
+                elif name == "clear":
+                    self.held = []
+                elif name == "get":
+                    return iter(self.held) if self.many else (self.held or [None])[0]
+                return bool(self.held)
+
+            return call
+
+    class Handle:
+        def make(self, many):
+            store = Store()
+            store.many = many
+            return store
+
+        getValueState = lambda self, *_: self.make(False)
+        getListState = lambda self, *_: self.make(True)
+        getMapState = getListState
+
+    p = live.Progress()
+    p.init(Handle())
+    for n in range(3):
+        calls.clear()
+        rows = [Row(page_num=None if k % 3 else k, event=1000 * n + k, status="pending" if k % 3 or n else "completed", error="e" if k % 5 == 0 else None, at=k) for k in range(300)]
+        rows += [Row(page_num=None, event=1000 * n + 500, status="completed", error=None, at=150 + n)]
+        out = list(p.handleInputRows((1, 2), iter(rows), None))
+        assert len(calls) <= 6, calls
+        assert (out[0].status, out[0].done, out[0].failed) == ("pending", 100 if n == 0 else 0, 0)
+    calls.clear()
+    last = Row(page_num=None, event=9999, status="completed", error=None, at=250)
+    assert list(p.handleInputRows((1, 2), iter([last]), None))[0].status == "pending"
+    last = Row(page_num=None, event=9999, status="completed", error=None, at=295)
+    late = Row(page_num=None, event=1, status="pending", error="late", at=298)
+    assert list(p.handleInputRows((1, 2), iter([last]), None))[0].status == "pending"
+    assert list(p.handleInputRows((1, 2), iter([Row(page_num=None, event=99999, status="completed", error=None, at=299), late]), None))[0].status == "completed"
+    assert p.errors.held == []
+
+
 class Counted(io.BytesIO):
     def size(self):
         return len(self.getvalue())
