@@ -21,6 +21,7 @@ from collections.abc import Callable, Iterator
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -32,6 +33,10 @@ HEAD = struct.Struct("<4sIQQQ")
 #: Ids in a block: a multiple of 64, so that a block of any width fills whole words.
 BLOCK = 4096
 END_ID = 0
+#: Bytes of text whose chunks are looked up together.
+TOGETHER = 4 << 20
+#: ASCII white space beside blanks and newlines.
+OTHER_SPACES = "\t\r\x0b\x0c\x1c\x1d\x1e\x1f"
 
 
 def bits_for(vocabulary: int) -> int:
@@ -134,67 +139,87 @@ class Encoder:
         self.tokenizer = Tokenizer.from_file(path)
         self.pattern = regex.compile(public_tokenizers.PATTERN)
         self.space_pair = re.compile(r"\s\s|[\x1c-\x1f]")
+        # a token of the byte-level alphabet has a character for each byte
+        names = self.tokenizer.get_vocab(with_added_tokens=True)
+        self.sizes = np.zeros(max(names.values()) + 1, np.int64)
+        self.sizes[list(names.values())] = list(map(len, names))
         self.special = [t.content for t in self.tokenizer.get_added_tokens_decoder().values()]
         self.guard = pretokens.ClassGuard()
         self.bare, self.memo = pretokens.Memo(pretokens.MEMO_ENTRIES // 4), pretokens.Memo()
 
     def __call__(self, texts: list[str]) -> list[bytes]:
         """Ids of each text as little-endian uint32 bytes."""
-        firsts: list[str | None] = []
-        rests: list[list[str]] = []
-        found: list[list[bytes | None]] = []
-        look = self.memo.get
-        new: set[str] = set()
-        for text in texts:
+        out: list[bytes] = [b""] * len(texts)
+        plain = []
+        for i, text in enumerate(texts):
             if any(s in text for s in self.special) or not self.guard.agrees(text):
-                first, rest = None, []
-            elif self.space_pair.search(text):
-                first, rest = "", self.pattern.findall(text)
-                known = list(map(self.bare.get, rest))
-                if None in known:
-                    missing = list({p for p, v in zip(rest, known) if v is None})
-                    more = dict(zip(missing, self._library(missing)))
-                    known = [more[p] if v is None else v for p, v in zip(rest, known)]
-                    self.bare.learn(more)
-                rest, first = [b"".join(known)], False
+                out[i] = self._library([text])[0]
+            elif self._spaces_meet(text):
+                out[i] = self._by_pattern(text)
             else:
-                first, *rest = text.replace("\n", " \n").split(" ")
-            firsts.append(first)
-            rests.append(rest)
-            known = rest if first is False else list(map(look, rest))
-            found.append(known)
-            if None in known:
-                new.update([p for p, v in zip(rest, known) if v is None])
-        chunks = list(new)
-        more = dict(zip(chunks, self._run_on(chunks)))
-        heads = [f for f in firsts if f and f not in self.bare]
+                plain.append(i)
+        for i, raw in zip(plain, self._by_chunks([texts[i] for i in plain])):
+            out[i] = raw
+        return out
+
+    def _spaces_meet(self, text: str) -> bool:
+        """Whether white-space characters are neighbours; most texts have only blanks and newlines, and no pair of them."""
+        if text.isascii() and not any(c in text for c in OTHER_SPACES) and not any(p in text for p in ("  ", "\n\n", " \n", "\n ")):
+            return False
+        return self.space_pair.search(text) is not None
+
+    def _by_pattern(self, text: str) -> bytes:
+        parts = self.pattern.findall(text)
+        known = list(map(self.bare.get, parts))
+        if None in known:
+            missing = list({p for p, v in zip(parts, known) if v is None})
+            more = dict(zip(missing, self._library(missing)))
+            known = [more[p] if v is None else v for p, v in zip(parts, known)]
+            self.bare.learn(more)
+        return b"".join(known)
+
+    def _by_chunks(self, texts: list[str]) -> list[bytes]:
+        """Ids of texts that are cut before blanks and newlines: a chunk is looked up once for all of them."""
+        words = pc.split_pattern(pa.array([t.replace("\n", " \n") for t in texts], pa.large_string()), " ")
+        offsets = words.offsets.to_numpy()
+        coded = words.flatten().dictionary_encode()
+        chunks = coded.dictionary.to_numpy(zero_copy_only=False).tolist()
+        index = coded.indices.to_numpy().astype(np.int64)
+        # the first chunk of a text has no blank before it
+        firsts = [chunks[i] for i in index[offsets[:-1]].tolist()]
+        values = list(map(self.memo.get, chunks))
+        missing = [c for c, v in zip(chunks, values) if v is None]
+        more = dict(zip(missing, self._run_on(missing)))
+        values = [more[c] if v is None else v for c, v in zip(chunks, values)]
+        heads = [f for f in dict.fromkeys(firsts) if f and f not in self.bare]
         head = dict(zip(heads, self._library(heads)))
-        out = []
-        for text, first, rest, known in zip(texts, firsts, rests, found):
-            if first is None:
-                out.append(self._library([text])[0])
-                continue
-            if None in known:
-                known = [more[p] if v is None else v for p, v in zip(rest, known)]
-            start = b"" if not first else head[first] if first in head else self.bare[first]
-            out.append(start + b"".join(known))
+        index[offsets[:-1]] = np.arange(len(firsts)) + len(values)
+        values += [b"" if not f else head[f] if f in head else self.bare[f] for f in firsts]
         self.memo.learn(more)
         self.bare.learn(head)
-        return out
+        sizes = np.fromiter(map(len, values), np.int64, len(values)) // 4
+        begin, own = np.cumsum(sizes) - sizes, sizes[index]
+        ends = np.append(0, np.cumsum(own))
+        ids = np.frombuffer(b"".join(values), np.uint32)[np.arange(ends[-1]) + np.repeat(begin[index] - ends[:-1], own)]
+        raw, cuts = ids.tobytes(), (4 * ends[offsets]).tolist()
+        return [raw[a:b] for a, b in zip(cuts, cuts[1:])]
 
     def _run_on(self, chunks: list[str], together: int = 64) -> list[bytes]:
-        """Ids of chunks, a blank before each that begins no line: many as one text, cut again where the tokens begin."""
+        """Ids of chunks, a blank before each that begins no line: many as one text, cut again by the bytes of the tokens."""
         alone = {c: self._library([c or " "])[0] for c in {"", "\n"} & set(chunks)}
         run = [c for c in chunks if c not in alone]
-        out = dict(alone)
-        groups = [run[i : i + together] for i in range(0, len(run), together)]
-        joined = [[c if c[0] == "\n" else " " + c for c in g] for g in groups]
-        for group, parts, e in zip(groups, joined, self.tokenizer.encode_batch(["".join(p) for p in joined], add_special_tokens=False)):
-            begin = np.cumsum([0, *map(len, parts)])
-            starts = np.fromiter((a for a, _ in e.offsets), np.int64, len(e))
-            cuts = (4 * np.searchsorted(starts, begin)).tolist()
-            raw = np.array(e.ids, np.uint32).tobytes()
-            out.update(zip(group, (raw[a:b] for a, b in zip(cuts, cuts[1:]))))
+        if not run:
+            return [alone[c] for c in chunks]
+        parts = [c if c[0] == "\n" else " " + c for c in run]
+        found = self._library(["".join(parts[i : i + together]) for i in range(0, len(parts), together)])
+        raw = b"".join(found)
+        ends = np.cumsum(self.sizes[np.frombuffer(raw, np.uint32)])
+        stops = np.cumsum(np.fromiter((len(p) if p.isascii() else len(p.encode()) for p in parts), np.int64, len(parts)))
+        at = np.searchsorted(ends, stops)
+        if len(ends) == 0 or at[-1] == len(ends) or not np.array_equal(ends[at], stops):  # a vocabulary without all bytes
+            return [alone[c] if c in alone else self._library([c if c[0] == "\n" else " " + c])[0] for c in chunks]
+        cuts = [0, *(4 * (at + 1)).tolist()]
+        out = alone | dict(zip(run, (raw[a:b] for a, b in zip(cuts, cuts[1:]))))
         return [out[c] for c in chunks]
 
     def _library(self, texts: list[str]) -> list[bytes]:
@@ -240,7 +265,7 @@ def write_tokens(docs: DataFrame, uri: str, encode: Callable[[], Callable[[list[
             rows, held = [], 0
 
         end = np.array([END_ID], np.uint32).tobytes()
-        for chunk in text_chunks(batches):
+        for chunk in text_chunks(batches, limit=TOGETHER):
             for doc_id, raw in zip(chunk.column("doc_id").to_pylist(), ids_of(chunk.column("text").to_pylist())):
                 rows.append((doc_id, raw + end))
                 held += len(raw) // 4 + 1

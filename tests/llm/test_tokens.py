@@ -92,3 +92,22 @@ def test_round_trip(docs):
     assert all(r.decoded == (r.text or "") for r in coded.collect()) and coded.columns[: len(docs.columns)] == docs.columns
     once = sentencepieces.encode_and_decode(docs)
     assert sorted(map(str, once.collect())) == sorted(map(str, coded.select(*once.columns).collect()))
+
+
+def test_a_chunk_is_looked_up_once_for_many_texts(make_prose):
+    path = public_tokenizers.path("byte_bpe_50k.json")
+    lib = Tokenizer.from_file(path)
+    texts = [make_prose(i % 7, 200) for i in range(60)]
+    texts += ["", " ", "\n", "a\nb", "\na", "a ", "a \n b", "a\n\nb", "a\tb", "a\t b", "x  y", "é ñ\nü", "a b c", "日本 語\n文", "<|endoftext|> a", "a<|endoftext|>", "a\r\nb", "a\x1cb", "don't we'll I'm", "퟿ \U0001f600 x"]
+    encode = token_files.Encoder(path)
+    asked = []
+
+    class Memo(type(encode.memo)):
+        def get(self, *key):
+            asked.append(key)
+            return super().get(*key)
+
+    encode.memo = Memo()
+    for _ in range(2):
+        assert [np.frombuffer(b, np.uint32).tolist() for b in encode(texts)] == [e.ids for e in lib.encode_batch(texts, add_special_tokens=False)]
+    assert len(asked) < sum(t.count(" ") for t in texts) / 2
