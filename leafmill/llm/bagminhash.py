@@ -41,6 +41,8 @@ MIN_AGREE = int(REGISTERS * (SIMILARITY - 4.5 * (SIMILARITY * (1 - SIMILARITY) /
 PART = 500
 #: Rounds with leaders from outside the largest class of a bucket.
 ROUNDS = 2
+#: Hashes of texts, 8 bytes each, that are broadcast to fetch the texts; more are joined by a shuffle.
+FEW_KEYS = 2_000_000
 _fold = np.arange(256, dtype=np.uint8)
 _fold[65:91] += 32
 _space = np.zeros(256, bool)
@@ -268,11 +270,15 @@ class Finder:
 
     def _bags(self, wanted: DataFrame) -> DataFrame:
         """node, bag for the wanted nodes, from one text of each."""
-        keys = self.nodes.join(wanted, "node", "left_semi").select("th").distinct()
-        fetched = self.docs.withColumn("th", F.xxhash64("text")).join(keys, "th", "left_semi")
+        # staged, to count them: few enough are sent to all tasks, since a shuffled semi-join moves every text of the input
+        keys = stage(self.nodes.join(wanted, "node", "left_semi").select("th").distinct(), "keys")
+        few = keys.limit(FEW_KEYS + 1).count() <= FEW_KEYS
+        fetched = self.docs.withColumn("th", F.xxhash64("text")).join(F.broadcast(keys) if few else keys, "th", "left_semi")
         # texts that share the key by chance differ in another hash or in length
         one = fetched.groupBy("th", F.hash("text"), F.length("text")).agg(F.min("text").alias("text"))
-        return stage(bags(one).dropDuplicates(["node"]), "bags")
+        found = stage(bags(one).dropDuplicates(["node"]), "bags")
+        unstage(keys)
+        return found
 
     def _verified(self, pairs: DataFrame) -> DataFrame | None:
         """Links among staged pairs, staged; None if there are no pairs."""

@@ -114,3 +114,23 @@ def test_estimate_is_the_weighted_jaccard():
 
 def test_no_documents(none):
     assert bagminhash.near_duplicates(none).count() == 0 and bagminhash.one_of_each(none).count() == 0
+
+
+def test_texts_are_fetched_without_a_shuffle_of_all(spark, make_prose, monkeypatch):
+    from leafmill.llm import bagminhash
+
+    docs = spark.createDataFrame([(i, make_prose(i // 2, 60) + (" more" if i % 2 else "")) for i in range(40)], "doc_id long, text string")
+    given, made = [], bagminhash.bags
+    monkeypatch.setattr(bagminhash, "bags", lambda rows: given.append(rows._jdf.queryExecution().optimizedPlan().toString()) or made(rows))
+    seen = []
+    old = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        for few in (bagminhash.FEW_KEYS, 3):
+            monkeypatch.setattr(bagminhash, "FEW_KEYS", few)
+            given.clear()
+            seen.append(sorted(map(tuple, bagminhash.near_duplicates(docs).collect())))
+            assert given and all(("strategy=broadcast" in text) == (few > 3) for text in given)
+    finally:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", old)
+    assert seen[0] == seen[1] and len({r[1] for r in seen[0]}) == 20
