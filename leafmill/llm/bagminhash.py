@@ -13,7 +13,8 @@ node that meets most others, and not with each other; in ROUNDS more rounds the
 bucket's largest class choose a leader.  Where a bucket still holds several classes after that,
 the nodes beside its largest class are compared with its nodes of other classes, the bucket being
 dealt out in salted parts: semi-joins on the signatures leave those with a possible partner, and
-the exact test is part of the last join, so that only links leave it.  Every link is verified by
+the exact test is part of the last join, so that only links leave it.  Tables of a bounded size are
+sent to all tasks instead of being shuffled; the rows are the same either way.  Every link is verified by
 the exact overlap of the two multisets.
 """
 
@@ -21,6 +22,7 @@ from __future__ import annotations
 
 import hashlib
 from collections.abc import Iterator
+from functools import reduce
 
 import numpy as np
 import pyarrow as pa
@@ -43,6 +45,12 @@ PART = 500
 ROUNDS = 2
 #: Hashes of texts, 8 bytes each, that are broadcast to fetch the texts; more are joined by a shuffle.
 FEW_KEYS = 2_000_000
+#: Rows of two digests (pairs, labels) that are sent to all tasks in place of a shuffle: 20 MB or so.
+FEW_ROWS = 200_000
+#: Bytes of signatures and bags, estimated from their sizes, that are sent to all tasks to be compared there.
+FEW_BYTES = 64 << 20
+#: Times that FEW_BYTES are sent, one after the other, before a shuffle takes their place.
+SLICES = 4
 _fold = np.arange(256, dtype=np.uint8)
 _fold[65:91] += 32
 _space = np.zeros(256, bool)
@@ -157,6 +165,11 @@ def _bands(sig: str = "sig"):
     return [F.xxhash64(F.lit(i), F.slice(sig, 1 + ROWS * i, ROWS)) for i in range(BANDS)]
 
 
+def _sent(rows: DataFrame) -> DataFrame:
+    """Staged rows, marked to be sent to all tasks where they are few."""
+    return F.broadcast(rows) if rows.count() <= FEW_ROWS else rows
+
+
 def _agreeing(a: str, b: str):
     """Registers on which two signatures agree."""
     return F.size(F.filter(F.zip_with(a, b, lambda p, q: p == q), lambda e: e))
@@ -186,14 +199,16 @@ class Finder:
     def search(self) -> DataFrame | None:
         """node, label of all nodes with a link; None if there are none."""
         self._take(self._verified(self._close(self._with_leaders(self.buckets))))
-        for _ in range(ROUNDS if self.links is not None else 0):
+        if self.links is not None:
             mixed = stage(self._mixed(), "mixed")
-            more = self._verified(self._close(self._with_leaders(mixed)))
+            for _ in range(ROUNDS):
+                if mixed.isEmpty() or not self._take(self._verified(self._close(self._with_leaders(mixed)))):
+                    break
+                unstage(mixed)
+                mixed = stage(self._mixed(), "mixed")
+            if not mixed.isEmpty():
+                self._take(self._beside_largest(mixed))
             unstage(mixed)
-            if not self._take(more):
-                break
-        if self.links is not None:
-            self._take(self._beside_largest())
         unstage(self.buckets)
         return self.labels
 
@@ -211,25 +226,25 @@ class Finder:
         """Pairs whose signatures agree enough to be verified, staged."""
         pairs = stage(pairs, "pairs")
         sig = lambda end: self.nodes.select(F.col("node").alias(end), F.col("sig").alias(f"sig_{end}"))
-        both = pairs.join(sig("a"), "a").join(sig("b"), "b")
+        both = sig("a").join(_sent(pairs), "a").join(sig("b"), "b")
         close = stage(both.where(_agreeing("sig_a", "sig_b") >= MIN_AGREE).select("a", "b"), "close")
         unstage(pairs)
         return close
 
     def _mixed(self) -> DataFrame:
         """Nodes of buckets with several classes: bucket, node, met, k, label, beside (outside the largest class)."""
-        rows = self.buckets.join(self.labels, "node", "left").withColumn("label", F.coalesce("label", "node"))
+        rows = self.buckets.join(_sent(self.labels), "node", "left").withColumn("label", F.coalesce("label", "node"))
         counted = rows.groupBy("bucket", "label").agg(F.count(F.lit(1)).alias("c"))
         mixed = counted.groupBy("bucket").agg(F.max(F.struct("c", "label")).alias("top"), F.count(F.lit(1)).alias("classes")).where(F.col("classes") > 1).select("bucket", F.col("top.label").alias("largest"))
         return rows.join(mixed, "bucket").withColumn("beside", F.col("label") != F.col("largest")).drop("largest")
 
-    def _beside_largest(self) -> DataFrame:
+    def _beside_largest(self, mixed: DataFrame) -> DataFrame | None:
         """Links between nodes of different classes in one bucket, at least one outside its largest class.
 
         A bucket of n nodes with m outside its largest class costs m x n comparisons of signatures,
         in parts of PART nodes; the other pairs follow from their classes.
         """
-        rows = self._mixed().join(self.nodes.select("node", "sig"), "node").select("bucket", "band", "node", "label", "beside", "sig", F.ceil(F.col("k") / PART).cast("int").alias("parts"))
+        rows = mixed.join(self.nodes.select("node", "sig"), "node").select("bucket", "band", "node", "label", "beside", "sig", F.ceil(F.col("k") / PART).cast("int").alias("parts"))
         rows = stage(rows, "mixed")
         once = ~F.col("y.beside") | (F.col("x.node") < F.col("y.node"))
         able = lambda test: F.when(F.col("x.label") != F.col("y.label"), test).otherwise(False)
@@ -245,14 +260,25 @@ class Finder:
         if x.isEmpty():
             links = None
         else:
-            bag = self._bags(x.select("node").unionByName(y.select("node")).distinct())
+            bag = self._bags(x.select("node").unionByName(y.select("node")), x.count() + y.count() <= FEW_ROWS)
             # two nodes may share many buckets: the first band in which they agree compares them
             same = lambda i: F.slice("x.sig", i * ROWS + 1, ROWS) == F.slice("y.sig", i * ROWS + 1, ROWS)
             before = F.exists(F.slice(F.array(*map(F.lit, range(BANDS))), F.lit(1), F.col("x.band")), same)
-            test = F.when(once, F.when(~before, F.when(_agreeing("x.sig", "y.sig") >= MIN_AGREE, _similar("x.bag", "y.bag"))))
-            similar = met & able(F.coalesce(test, F.lit(False)))
-            pairs = x.join(bag, "node").alias("x").join(y.join(bag, "node").alias("y"), similar)
-            links = stage(pairs.select(F.least("x.node", "y.node").alias("a"), F.greatest("x.node", "y.node").alias("b")).distinct(), "links")
+            test = lambda last: F.when(once, F.when(~before, F.when(_agreeing("x.sig", "y.sig") >= MIN_AGREE, last)))
+            possible = lambda last: met & able(F.coalesce(test(last), F.lit(False)))
+            listed = lambda pairs: stage(pairs.select(F.least("x.node", "y.node").alias("a"), F.greatest("x.node", "y.node").alias("b")).distinct(), "links")
+            similar = possible(_similar("x.bag", "y.bag"))
+            all_bags = bag.agg(F.sum(F.size("bag") * 8 + 100)).first()[0] or 0
+            size = x.join(F.broadcast(bag) if all_bags <= FEW_BYTES else bag, "node").agg(F.sum(F.size("bag") * 8 + REGISTERS * 4 + 200)).first()[0] or 0
+            if max(all_bags, size / SLICES) <= FEW_BYTES:
+                # one side is sent to where the other lies: a shuffle by bucket would cut a very large bucket in pieces,
+                # and join each piece of one side with each of the other
+                slices = max(1, -(-size // FEW_BYTES))
+                held, y_bag = x.join(F.broadcast(bag), "node"), y.join(F.broadcast(bag), "node").alias("y")
+                sent = [F.broadcast(held.where(F.pmod(F.xxhash64("node"), F.lit(slices)) == i)).alias("x") for i in range(slices)]
+                links = reduce(DataFrame.unionByName, [listed(x_bag.join(y_bag, similar)) for x_bag in sent])
+            else:
+                links = listed(x.join(bag, "node").alias("x").join(y.join(bag, "node").alias("y"), similar))
             unstage(bag)
         unstage(x)
         unstage(y)
@@ -268,15 +294,18 @@ class Finder:
         self.labels = components(self.links)
         return True
 
-    def _bags(self, wanted: DataFrame) -> DataFrame:
-        """node, bag for the wanted nodes, from one text of each."""
+    def _bags(self, wanted: DataFrame, sent: bool) -> DataFrame:
+        """node, bag for the wanted nodes (``sent``: few enough to be sent to all tasks), from one text of each.
+
+        A node may come twice where texts share their key by chance.
+        """
         # staged, to count them: few enough are sent to all tasks, since a shuffled semi-join moves every text of the input
-        keys = stage(self.nodes.join(wanted, "node", "left_semi").select("th").distinct(), "keys")
+        keys = stage(self.nodes.join(F.broadcast(wanted) if sent else wanted.distinct(), "node", "left_semi").select("th"), "keys")
         few = keys.limit(FEW_KEYS + 1).count() <= FEW_KEYS
         fetched = self.docs.withColumn("th", F.xxhash64("text")).join(F.broadcast(keys) if few else keys, "th", "left_semi")
         # texts that share the key by chance differ in another hash or in length
         one = fetched.groupBy("th", F.hash("text"), F.length("text")).agg(F.min("text").alias("text"))
-        found = stage(bags(one).dropDuplicates(["node"]), "bags")
+        found = stage(bags(one), "bags")
         unstage(keys)
         return found
 
@@ -285,9 +314,10 @@ class Finder:
         if pairs.isEmpty():
             unstage(pairs)
             return None
-        ends = pairs.select(F.col("a").alias("node")).unionByName(pairs.select(F.col("b").alias("node"))).distinct()
-        bag = self._bags(ends)
-        both = pairs.join(bag.select(F.col("node").alias("a"), F.col("bag").alias("x")), "a").join(bag.select(F.col("node").alias("b"), F.col("bag").alias("y")), "b")
+        ends = pairs.select(F.col("a").alias("node")).unionByName(pairs.select(F.col("b").alias("node")))
+        few = pairs.count() <= FEW_ROWS
+        bag = self._bags(ends, few)
+        both = bag.select(F.col("node").alias("a"), F.col("bag").alias("x")).join(F.broadcast(pairs) if few else pairs, "a").join(bag.select(F.col("node").alias("b"), F.col("bag").alias("y")), "b")
         links = stage(both.where(_similar("x", "y")).select("a", "b"), "links")
         unstage(bag)
         unstage(pairs)
@@ -306,18 +336,20 @@ def components(links: DataFrame) -> DataFrame:
     Labels spread along links and are then replaced by their own labels, until nothing changes;
     each step is a staged table, so neither lineage nor the driver grows with the graph.
     """
-    both = stage(links.select(F.col("a").alias("node"), F.col("b").alias("peer")).unionByName(links.select(F.col("b").alias("node"), F.col("a").alias("peer"))).distinct(), "edges")
+    both = stage(links.select(F.col("a").alias("node"), F.col("b").alias("peer")).unionByName(links.select(F.col("b").alias("node"), F.col("a").alias("peer"))), "edges")
     labels = stage(both.groupBy("node").agg(F.min("peer").alias("peer")).select("node", F.least("node", "peer").alias("label")), "labels")
+    few = labels.count() <= FEW_ROWS
+    sent = lambda rows: F.broadcast(rows) if few else rows
     while True:
-        near = both.join(labels.select(F.col("node").alias("peer"), F.col("label").alias("seen")), "peer").groupBy("node").agg(F.min("seen").alias("seen"))
-        spread = stage(labels.join(near, "node").select("node", F.least("label", "seen").alias("label"), (F.col("seen") < F.col("label")).alias("moved")), "labels")
+        near = both.join(sent(labels.select(F.col("node").alias("peer"), F.col("label").alias("seen"))), "peer").groupBy("node").agg(F.min("seen").alias("seen"))
+        spread = stage(near.join(sent(labels), "node").select("node", F.least("label", "seen").alias("label"), (F.col("seen") < F.col("label")).alias("moved")), "labels")
         if spread.where("moved").isEmpty():
             unstage(both)
             unstage(spread)
             return labels
         unstage(labels)
         hop = spread.select(F.col("node").alias("label"), F.col("label").alias("next"))
-        labels = stage(spread.join(hop, "label", "left").select("node", F.coalesce("next", "label").alias("label")), "labels")
+        labels = stage(spread.join(sent(hop), "label", "left").select("node", F.coalesce("next", "label").alias("label")), "labels")
         unstage(spread)
 
 
@@ -330,7 +362,7 @@ def labelled_rows(docs: DataFrame) -> tuple[DataFrame, DataFrame, DataFrame]:
     finder = Finder(docs)
     labels = finder.search()
     nodes = finder.nodes.select("node", "first_id", "n")
-    labelled = nodes.join(labels, "node", "left").withColumn("label", F.coalesce("label", "node")) if labels is not None else nodes.withColumn("label", F.col("node"))
+    labelled = nodes.join(_sent(labels), "node", "left").withColumn("label", F.coalesce("label", "node")) if labels is not None else nodes.withColumn("label", F.col("node"))
     classes = labelled.groupBy("label").agg(F.min("first_id").alias("class_id"), F.sum("n").alias("class_size"))
     rows = finder.rows.select("doc_id", "th", "node").join(labelled.select("node", "label"), "node", "left")
     return rows, classes, _linked(finder)

@@ -134,3 +134,33 @@ def test_texts_are_fetched_without_a_shuffle_of_all(spark, make_prose, monkeypat
     finally:
         spark.conf.set("spark.sql.autoBroadcastJoinThreshold", old)
     assert seen[0] == seen[1] and len({r[1] for r in seen[0]}) == 20
+
+
+def test_small_sides_are_sent_and_give_the_same_rows(spark, monkeypatch):
+    """Whatever is small is not shuffled again for each step: on many partitions the shuffles are what costs."""
+    words = [f"w{i}" for i in range(400)]
+    rows = [(k, " ".join(words[5 * k : 5 * k + 130])) for k in range(30)] + [(100 + k, " ".join(words[:100] + [f"x{k}"] + words[100:130])) for k in range(12)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string")
+    shuffles, made = [], bagminhash.stage
+
+    def counted(df, tag):
+        shuffles.append(df._jdf.queryExecution().executedPlan().toString().count("Exchange hashpartitioning"))
+        return made(df, tag)
+
+    monkeypatch.setattr(bagminhash, "stage", counted)
+    old = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    # all buckets are left to the last step, where the two ways to compare differ
+    monkeypatch.setattr(bagminhash, "ROUNDS", 0)
+    seen, sums = [], []
+    try:
+        for rows_sent, bytes_sent in ((bagminhash.FEW_ROWS, bagminhash.FEW_BYTES), (0, 0)):
+            monkeypatch.setattr(bagminhash, "FEW_ROWS", rows_sent)
+            monkeypatch.setattr(bagminhash, "FEW_BYTES", bytes_sent)
+            shuffles.clear()
+            seen.append(sorted(map(tuple, bagminhash.near_duplicates(docs).collect())))
+            sums.append(sum(shuffles))
+    finally:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", old)
+    assert seen[0] == seen[1] and sorted(r[:3] for r in seen[0]) == classes(docs)[0]
+    assert sums[0] <= 0.6 * sums[1], sums
