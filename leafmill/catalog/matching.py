@@ -237,11 +237,8 @@ def fill_match_far(spark, sf_dir):
     return rows.join(found.select(F.col("table").alias("s_nationkey")), "s_nationkey", "left_semi").select("chart", F.col("page_num").alias("asked"), "table")
 
 
-@query("fill_files", """SELECT s_suppkey AS file, status, CASE WHEN status = 'filled' THEN '{"image_type": "data_table", "data_extraction": {"data_series": [' || series || '], "has_quantitative_data": true}}' END AS filled FROM
- (SELECT s_suppkey, CASE WHEN s_suppkey % 5 = 0 THEN 'failed' WHEN s_suppkey % 5 = 1 OR s_suppkey % 5 = 2 THEN 'skipped' WHEN n IS NULL THEN 'failed' ELSE 'filled' END AS status, series FROM supplier LEFT JOIN
- (SELECT c_nationkey AS n, string_agg('{"x": "' || c_name || '", "balance": "$' || CAST(floor(c_acctbal) AS BIGINT) || '", "segment": "' || c_mktsegment || '"}', ', ' ORDER BY c_custkey) AS series FROM customer GROUP BY c_nationkey) ON n = s_nationkey)""")
-def fill_files(spark, sf_dir):
-    """Metadata files of suppliers filled with the rows of the table on their page: some unreadable, some no tables, some filled before."""
+def _fills(spark, sf_dir):
+    """Metadata files of suppliers, the tables found for them and the tables' rows."""
     s = table(spark, sf_dir, "supplier")
     charts = s.select(F.lit("bank").alias("pdf"), F.col("s_suppkey").alias("chart"), F.col("s_nationkey").alias("page_num"), F.lit("").alias("title"), F.array(F.lit("balance"), F.lit("segment")).alias("elements"), F.concat(F.lit("Table "), F.col("s_nationkey").cast("string"), F.lit(":")).alias("figure_number"))
     pages = _tables(spark, sf_dir)
@@ -251,13 +248,21 @@ def fill_files(spark, sf_dir):
     k = F.col("s_suppkey") % 5
     kind = F.when(k == 1, "photo").otherwise("data_table")
     metadata = s.select(F.col("s_suppkey").alias("name"), F.when(k != 0, F.to_json(F.struct(kind.alias("image_type")))).alias("json"), kind.alias("image_type"), (k == 2).alias("has_series"))
-    return match.fill_from_tables(metadata, found.select(F.col("chart").alias("name"), "table"), series).select(F.col("name").alias("file"), "status", "filled")
+    return metadata, found.select(F.col("chart").alias("name"), "table"), series
+
+
+@query("fill_files", """SELECT s_suppkey AS file, status, CASE WHEN status = 'filled' THEN '{"image_type": "data_table", "data_extraction": {"data_series": [' || series || '], "has_quantitative_data": true}}' END AS filled FROM
+ (SELECT s_suppkey, CASE WHEN s_suppkey % 5 = 0 THEN 'failed' WHEN s_suppkey % 5 = 1 OR s_suppkey % 5 = 2 THEN 'skipped' WHEN n IS NULL THEN 'failed' ELSE 'filled' END AS status, series FROM supplier LEFT JOIN
+ (SELECT c_nationkey AS n, string_agg('{"x": "' || c_name || '", "balance": "$' || CAST(floor(c_acctbal) AS BIGINT) || '", "segment": "' || c_mktsegment || '"}', ', ' ORDER BY c_custkey) AS series FROM customer GROUP BY c_nationkey) ON n = s_nationkey)""")
+def fill_files(spark, sf_dir):
+    """Metadata files of suppliers filled with the rows of the table on their page: some unreadable, some no tables, some filled before."""
+    return match.fill_from_tables(*_fills(spark, sf_dir)).select(F.col("name").alias("file"), "status", "filled")
 
 
 @query("fill_counts", "SELECT count(*) AS total, count(CASE WHEN s % 5 IN (3, 4) AND n THEN 1 END) AS filled, count(CASE WHEN s % 5 IN (1, 2) THEN 1 END) AS skipped, count(CASE WHEN s % 5 = 0 OR (s % 5 IN (3, 4) AND NOT n) THEN 1 END) AS failed FROM (SELECT s_suppkey AS s, s_nationkey IN (SELECT c_nationkey FROM customer) AS n FROM supplier)")
 def fill_counts(spark, sf_dir):
     is_ = lambda s: F.count_if(F.col("status") == s).alias(s)
-    return fill_files(spark, sf_dir).agg(F.count(F.lit(1)).alias("total"), is_("filled"), is_("skipped"), is_("failed"))
+    return match.fill_statuses(*_fills(spark, sf_dir)).agg(F.count(F.lit(1)).alias("total"), is_("filled"), is_("skipped"), is_("failed"))
 
 
 @query("glued_headers", """SELECT n_nationkey, '### Table ' || n_nationkey || ': x' || chr(10) || chr(10) || '| a | b |' || chr(10) || '|---|---|' || chr(10) || '| 1 | 2 |' || chr(10) || CASE WHEN n_nationkey % 2 = 0 THEN '' ELSE '### Table 2 | c |' || chr(10) || 'no row' END AS text FROM nation""")

@@ -12,7 +12,10 @@ from pyspark.sql.types import DoubleType
 
 from leafmill.functions import text as T
 from leafmill.operators.prefixes import prefix_matches
-from leafmill.operators.ranks import SALT
+from leafmill.sources.shared import stage
+
+#: Bytes of filled texts that a task gives out in the mean, and bytes of the files that share a copy of their text.
+TASK_BYTES, COPY_BYTES = 8 << 20, 16 << 20
 
 
 @pandas_udf(DoubleType())
@@ -77,21 +80,41 @@ def fill_status(metadata: DataFrame, found: DataFrame, force: bool = False) -> D
     return rows.withColumn("filled", F.when(F.col("status") == "filled", with_series("json", F.coalesce("series", F.lit("[]"))))).drop("series")
 
 
+def fill_statuses(metadata: DataFrame, found: DataFrame, series: DataFrame, force: bool = False) -> DataFrame:
+    """``fill_from_tables`` without the texts: metadata with ``table``, ``status`` and the ``size`` of the table's rows."""
+    usable = series.where(F.col("series") != "[]").select("table", F.octet_length("series").cast("long").alias("size"))
+    rows = metadata.join(found, "name", "left").join(usable, "table", "left")
+    return rows.withColumn("status", _status(force, F.col("size").isNotNull()))
+
+
 def fill_from_tables(metadata: DataFrame, found: DataFrame, series: DataFrame, force: bool = False) -> DataFrame:
     """``fill_status`` where many files share a table: ``found`` (name, table), ``series`` (table, series), a row for each.
 
     A table's rows are read and written once for each text they go into, not for each file, and
     only the last join, which shuffles none of its output, has a copy for each file.  That join is
-    dealt in ``SALT`` parts, so that a table with many files is no single task.
+    dealt by the bytes it gives out: a copy of a text goes to files of about ``COPY_BYTES`` in all,
+    and there is a task for each ``TASK_BYTES``, since what writes the rows may hold a task's texts
+    at once.  Copies are made in two steps, so that no task makes and sorts all of a text's.
     """
     from leafmill.sources.files import with_series
 
-    usable = series.where(F.col("series") != "[]").select("table", F.lit(True).alias("_usable"))
-    rows = metadata.join(found, "name", "left").join(usable, "table", "left").withColumn("status", _status(force, F.coalesce("_usable", F.lit(False)))).drop("_usable")
-    made = rows.where("status = 'filled'").select("json", "table").distinct().join(series, "table").select("json", "table", with_series("json", "series").alias("filled"))
-    part = F.pmod(F.xxhash64("name"), F.lit(SALT))
-    dealt = made.withColumns({"_part": F.explode(F.sequence(F.lit(0).cast("long"), F.lit(SALT - 1).cast("long"))), "status": F.lit("filled")})
-    return rows.withColumn("_part", part).join(dealt.hint("merge"), ["status", "json", "table", "_part"], "left").drop("_part", "table")
+    series = stage(series, "series")
+    rows = stage(fill_statuses(metadata, found, series, force), "fills")
+    n = F.count(F.lit(1))
+    asked = rows.where("status = 'filled'").groupBy("json", "table").agg(n.alias("files"), (n * (F.max("size") + F.octet_length("json"))).alias("bytes"))
+    split = asked.withColumn("parts", F.least("files", F.ceil(F.col("bytes") / COPY_BYTES)))
+    parts = split.withColumns({"groups": F.ceil(F.sqrt("parts")), "copied": F.ceil(F.col("parts") * F.col("bytes") / F.col("files"))})
+    total = parts.agg(*[F.coalesce(F.sum(c), F.lit(0)).alias(c) for c in ("files", "bytes", "groups", "copied")]).first()
+    cores = rows.sparkSession.sparkContext.defaultParallelism
+    tasks, groups = max(cores, min(total.files, -(-total.bytes // TASK_BYTES))), max(cores, min(total.groups, -(-total.copied // COPY_BYTES)))
+    made = parts.join(series.hint("merge"), "table").select("json", "table", "parts", "groups", with_series("json", "series").alias("filled"))
+    grouped = made.withColumn("_group", F.explode(F.sequence(F.lit(0).cast("long"), F.col("groups") - 1))).repartition(groups, "json", "table", "_group")
+    dealt = grouped.withColumn("_part", F.explode(F.sequence("_group", F.col("parts") - 1, "groups"))).select("json", "table", "_part", "filled")
+    # a file without a text asks for a part below zero, which no text has
+    part = F.when(F.col("status") == "filled", F.pmod(F.xxhash64("name"), F.col("parts"))).otherwise(-1 - F.pmod(F.xxhash64("name"), F.lit(tasks)))
+    keys = ["json", "table", "_part"]
+    files = rows.join(parts.select("json", "table", "parts"), ["json", "table"], "left").withColumn("_part", part).drop("parts", "size")
+    return files.repartition(tasks, *keys).join(dealt.repartition(tasks, *keys).hint("merge"), keys, "left").drop("_part", "table")
 
 
 def by_prefix(deliveries: DataFrame, chunks: DataFrame) -> DataFrame:

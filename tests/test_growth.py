@@ -68,6 +68,22 @@ def test_a_table_is_written_once_for_all_its_files(spark):
     assert 0 <= text.index("SortMergeJoin") < text.index("with_series(")
 
 
+def test_a_task_gives_out_no_more_texts_than_its_writer_can_hold(spark, monkeypatch):
+    metadata = spark.range(300).select("id", F.concat(F.lit("f"), "id").alias("name"), F.when(F.col("id") % 3 > 0, "{}").alias("json"), F.lit("table").alias("image_type"), F.lit(False).alias("has_series")).drop("id")
+    series = spark.range(1).select(F.lit(7).alias("table"), F.concat(F.lit('[{"x": "'), F.repeat(F.lit("a"), F.lit(2_000_000)), F.lit('"}]')).alias("series"))
+    got = match.fill_from_tables(metadata, metadata.select("name", F.lit(7).alias("table")), series)
+    sizes = got.groupBy(F.spark_partition_id()).agg(F.sum(F.octet_length("filled")).alias("n")).where("n > 0").collect()
+    assert sum(r.n for r in sizes) > 200 * 2_000_000 and max(r.n for r in sizes) < 80 << 20
+    # many parts of a text, in groups: each file gets the text once
+    monkeypatch.setattr(match, "TASK_BYTES", 256)
+    monkeypatch.setattr(match, "COPY_BYTES", 512)
+    series = spark.createDataFrame([(k, json.dumps([{"x": "y" * k}])) for k in range(5)] + [(5, "[]")], "table int, series string")
+    found = metadata.select("name", F.pmod(F.xxhash64("name"), F.lit(7)).cast("int").alias("table"))
+    got = match.fill_from_tables(metadata, found, series)
+    want = match.fill_status(metadata, found.join(series, "table").select("name", "series"))
+    assert sorted(map(str, got.select(*want.columns).collect())) == sorted(map(str, want.collect()))
+
+
 def test_libyaml_reads_and_writes_what_pyyaml_does(monkeypatch):
     yaml = pytest.importorskip("yaml")
     r = random.Random(3)
