@@ -22,8 +22,9 @@ def _named_runs(pages: DataFrame, keys: list[str], text: str, is_row: Callable[[
     split = pages.select(*keys, F.split(text, "\n").alias("lines"))
     heading = lambda line: F.ltrim(F.substring_index(line, HEADING, -1))
     kind = lambda line: F.when(line.contains(HEADING) & heading(line).startswith(WORD), "t").when(line == "", " ").when(is_row(line), "r").otherwise("o")
-    told = split.withColumn("kinds", F.array_join(F.transform("lines", kind), ""))
-    headings = F.filter(F.sequence(F.lit(1), F.size("lines")), lambda i: F.substring("kinds", i, F.lit(1)) == "t")
+    told = split.withColumn("signs", F.transform("lines", kind)).withColumn("kinds", F.array_join("signs", ""))
+    # from the array: to find a place in a string all of it is counted
+    headings = F.filter(F.transform("signs", lambda sign, i: F.when(sign == "t", i + 1)), lambda i: i.isNotNull())
 
     def run(i: Column) -> Column:
         behind = F.substring("kinds", i + 1, F.length("kinds"))

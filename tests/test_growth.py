@@ -8,7 +8,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from leafmill.catalog import rendering
-from leafmill.operators import match
+from leafmill.operators import match, tables
 from leafmill.sources import files
 
 
@@ -84,6 +84,15 @@ def test_a_task_gives_out_no_more_texts_than_its_writer_can_hold(spark, monkeypa
     assert sorted(map(str, got.select(*want.columns).collect())) == sorted(map(str, want.collect()))
 
 
+def test_a_long_table_is_read_line_by_line(spark):
+    row = F.repeat(F.lit("| a | 1 |\n"), F.col("n").cast("int"))
+    text = F.concat(F.lit("### Table 1: x\n\n| h | k |\n|---|---|\n"), row, F.lit("### Table 2\n| h | k |\n|---|---|\n"), row, F.lit("end\n### Table 3\nnone"))
+    got = tables.tables(spark.createDataFrame([(0,), (1,), (5000,)], "n long").withColumn("text", text), ["n"])
+    assert sorted((r.n, r.ordinal, r.title, r.row_count) for r in got.collect()) == [(n, i + 1, t, n) for n in (0, 1, 5000) for i, t in enumerate(["Table 1: x", "Table 2"])]
+    # no place in a string is looked up for each line
+    assert "sequence(" not in plan(got)
+
+
 def test_libyaml_reads_and_writes_what_pyyaml_does(monkeypatch):
     yaml = pytest.importorskip("yaml")
     r = random.Random(3)
